@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weftline.llm import chat, line_dedup, quality_rules, sharding
+from weftline.llm import bpe, chat, decontaminate, line_dedup, pii, quality_rules, rule_ensemble, sharding, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,21 +15,50 @@ def op1_quality_rules(spark, sf_dir):
     return quality_rules.op1(table(spark, sf_dir, "documents"))
 
 
+def op2_byte_bpe(spark, sf_dir):
+    return bpe.op2(table(spark, sf_dir, "documents"))
+
+
+def op4_pii(spark, sf_dir):
+    return pii.op4(table(spark, sf_dir, "documents"))
+
+
+def op5_quality_classifier(spark, sf_dir):
+    return rule_ensemble.op5(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_sharding(spark, sf_dir):
     return sharding.op6(table(spark, sf_dir, "documents"))
 
 
+def op7_decontamination(spark, sf_dir):
+    return decontaminate.op7(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_chat_formatting(spark, sf_dir):
     return chat.op8(table(spark, sf_dir, "conversations"))
 
 
+def op9_warc(spark, sf_dir):
+    return warc.op9(table(spark, sf_dir, "pages"))
+
+
 def op10_line_dedup(spark, sf_dir):
     return line_dedup.op10(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op6_sharding, op8_chat_formatting, op10_line_dedup)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_quality_rules, op2_byte_bpe, op4_pii, op5_quality_classifier, op6_sharding, op7_decontamination,
+        op8_chat_formatting, op9_warc, op10_line_dedup,
+    )
+}
+#: Queries that SQL can express; the others are tested against brute force.
 ORACLE_SQL = {
     "op1_quality_rules": quality_rules.ORACLE,
+    "op7_decontamination": decontaminate.ORACLE,
     "op8_chat_formatting": chat.ORACLE,
+    "op9_warc": warc.ORACLE,
     "op10_line_dedup": line_dedup.ORACLE,
 }
