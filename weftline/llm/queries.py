@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weftline.llm import bpe, chat, decontaminate, line_dedup, pii, quality_rules, rule_ensemble, sharding, warc
+from weftline.llm import bpe, chat, decontaminate, line_dedup, minhash_dedup, pii, quality_rules, rule_ensemble, sharding, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op2_byte_bpe(spark, sf_dir):
     return bpe.op2(table(spark, sf_dir, "documents"))
 
 
+def op3_near_dedup(spark, sf_dir):
+    return minhash_dedup.op3(table(spark, sf_dir, "documents"))
+
+
 def op4_pii(spark, sf_dir):
     return pii.op4(table(spark, sf_dir, "documents"))
 
@@ -50,7 +54,7 @@ def op10_line_dedup(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_quality_rules, op2_byte_bpe, op4_pii, op5_quality_classifier, op6_sharding, op7_decontamination,
+        op1_quality_rules, op2_byte_bpe, op3_near_dedup, op4_pii, op5_quality_classifier, op6_sharding, op7_decontamination,
         op8_chat_formatting, op9_warc, op10_line_dedup,
     )
 }

@@ -216,9 +216,14 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return fit(x, np.array([r[1] for r in got], float))
 
 
-def scored(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``score``."""
-    return with_statistics(docs, text_col).withColumn("score", model.column()).drop("_stat")
+def scored(docs: DataFrame, model: Model, text_col: str = "text", out_col: str = "score") -> DataFrame:
+    """``docs`` with the score in ``out_col``."""
+    return with_statistics(docs, text_col).withColumn(out_col, model.column()).drop("_stat")
+
+
+def keep_good(docs: DataFrame, model: Model, text_col: str = "text", cutoff: float = CUTOFF) -> DataFrame:
+    """The rows of ``docs`` that score at least ``cutoff``."""
+    return scored(docs, model, text_col, "_score").filter(F.col("_score") >= cutoff).drop("_score")
 
 
 def op5(docs: DataFrame, labels: DataFrame) -> DataFrame:
