@@ -1,4 +1,479 @@
-"""Registered queries over the driver's tables, with their oracle SQL."""
+"""Registered queries over the driver's tables, with their oracle SQL.
 
-QUERIES: dict = {}
+Each query's docstring names the survey's operators that it covers.  Tables of the driver have no
+transliterated text, so some queries first map accented letters to it, in both engines alike.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from weftline.functions import text as X
+from weftline.functions import translit
+from weftline.operators import align, graph, ordered, qc, relational
+from weftline.sources import html
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    """Register a query under its function's name."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def doc_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ordered.lines(t(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+LINES = "lines AS (SELECT doc_id, (generate_subscripts(ls, 1) - 1)::INT AS idx, unnest(ls) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents))"
+# Accented letters of the tables, and the transliteration letters they stand for here.
+ACCENTS, LETTERS = "éèêçàùñ", "āīūśṣṛṇ"
+IAST_SQL = f"translate(text, '{ACCENTS}', '{LETTERS}')"
+
+
+def iast_text() -> F.Column:
+    return F.translate("text", ACCENTS, LETTERS)
+
+
+SCRIPT_SQL = """CASE WHEN regexp_matches(line, '[ঀ-৿]') THEN 'bengali' WHEN regexp_matches(line, '[ऀ-ॿ]') THEN 'devanagari'
+  WHEN regexp_matches(line, '[a-zA-Z]') THEN CASE WHEN regexp_matches(line, '[Ā-ſḀ-ỿ̀-ͯ]') THEN 'iast' ELSE 'plain' END ELSE 'other' END"""
+
+
+@query(f"""WITH {LINES}, a AS (SELECT *, {SCRIPT_SQL.replace('line,', f"translate(line, '{ACCENTS}', '{LETTERS}'),")} AS s FROM lines),
+b AS (SELECT *, coalesce(last_value(CASE WHEN s <> 'other' THEN s END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY idx), 'other') AS tag FROM a),
+c AS (SELECT *, CASE WHEN lag(tag) OVER w IS DISTINCT FROM tag AND row_number() OVER w > 1 THEN 1 ELSE 0 END AS new FROM b WINDOW w AS (PARTITION BY doc_id ORDER BY idx)),
+d AS (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY idx) AS block FROM c)
+SELECT doc_id, block::BIGINT AS block, tag, min(idx)::INT AS start, max(idx)::INT AS "end", count(*)::BIGINT AS n FROM d GROUP BY doc_id, block, tag""")
+def line_script_blocks(spark, sf_dir):
+    """Blocks of lines of one script."""
+    rows = doc_lines(spark, sf_dir).withColumn("tag", X.line_script(F.translate("line", ACCENTS, LETTERS)))
+    return ordered.folded_blocks(rows, ["doc_id"], "idx", "tag")
+
+
+@query("""WITH a AS (SELECT *, CASE WHEN lag(role) OVER w IS DISTINCT FROM role AND row_number() OVER w > 1 THEN 1 ELSE 0 END AS new FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
+b AS (SELECT *, sum(new) OVER (PARTITION BY conv_id ORDER BY turn) AS block FROM a)
+SELECT conv_id, block::BIGINT AS block, role, min(turn) AS start, max(turn) AS "end", string_agg(text, chr(10) ORDER BY turn) AS text FROM b GROUP BY conv_id, block, role""")
+def conversation_islands(spark, sf_dir):
+    """Consecutive turns of one role, texts joined."""
+    return ordered.blocks(t(spark, sf_dir, "conversations"), ["conv_id"], "turn", "role", "text")
+
+
+@query("""WITH a AS (SELECT *, CASE WHEN turn % 3 = 1 THEN 'quoted' ELSE role END AS tag FROM conversations)
+SELECT conv_id, turn, coalesce(last_value(CASE WHEN tag <> 'quoted' THEN tag END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn), 'root') AS context FROM a""")
+def quoted_merge(spark, sf_dir):
+    """Every third turn counts as quoted and joins its context."""
+    rows = t(spark, sf_dir, "conversations").withColumn("tag", F.when(F.col("turn") % 3 == 1, "quoted").otherwise(F.col("role")))
+    return ordered.merge_into_context(rows, ["conv_id"], ["turn"], "tag", "quoted", "root", "context").select("conv_id", "turn", "context")
+
+
+@query("""WITH g AS (SELECT conv_id, role, min(turn) AS first_idx, count(*) AS n, string_agg(text, chr(10) ORDER BY turn) AS text FROM conversations GROUP BY conv_id, role)
+SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY first_idx) AS rank FROM g""")
+def tag_groups_in_order(spark, sf_dir):
+    """Texts per role in order of first appearance."""
+    return ordered.tag_groups(t(spark, sf_dir, "conversations"), ["conv_id"], "turn", "role", "text")
+
+
+@query(r"""SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(text, 'er ', 'er-' || chr(10)), '-\n(\S)', '\1', 'g'), '[ \t]+', ' ', 'g'), '\n{3,}', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g') AS clean FROM documents""")
+def ocr_normalize(spark, sf_dir):
+    """Line-end hyphens, put in after each 'er', are joined again."""
+    return t(spark, sf_dir, "documents").select("doc_id", X.clean_ocr(F.replace("text", F.lit("er "), F.lit("er-\n"))).alias("clean"))
+
+
+@query("""WITH m AS (SELECT avg(n_chars) AS mean_length FROM documents)
+SELECT doc_id, n_chars, CASE WHEN n_chars < 20 THEN 'near-empty' WHEN n_chars < 0.3::DOUBLE * mean_length THEN 'significantly below average' END AS reason,
+  CASE WHEN n_chars < 20 OR n_chars < 0.3::DOUBLE * mean_length THEN 'flagged' ELSE 'ok' END AS status FROM documents, m""")
+def page_quality(spark, sf_dir):
+    """pages that are short against the mean of all."""
+    return qc.page_status(t(spark, sf_dir, "documents"), F.col("n_chars")).select("doc_id", "n_chars", "reason", "status")
+
+
+@query("""WITH m AS (SELECT avg(n_chars) AS mean_length FROM documents)
+SELECT count(*)::BIGINT AS total, count_if(n_chars < 20 OR n_chars < 0.3::DOUBLE * mean_length)::BIGINT AS flagged, count_if(n_chars < 20)::BIGINT AS near_empty FROM documents, m""")
+def page_report(spark, sf_dir):
+    """Totals of the page check."""
+    rows = qc.page_status(t(spark, sf_dir, "documents"), F.col("n_chars"))
+    return rows.agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("status") == "flagged").alias("flagged"), F.count_if(F.col("reason") == "near-empty").alias("near_empty"))
+
+
+DEV_SQL = translit.iast_to_devanagari_sql(IAST_SQL)
+
+
+@query(f"SELECT doc_id, {DEV_SQL} AS devanagari FROM documents")
+def translit_iast(spark, sf_dir):
+    """Transliteration as native expressions."""
+    return t(spark, sf_dir, "documents").select("doc_id", translit.iast_to_devanagari(iast_text()).alias("devanagari"))
+
+
+@query(f"""SELECT doc_id, length(regexp_replace(regexp_replace(regexp_replace({DEV_SQL}, '\\[[^\\]]*\\]', '', 'g'), '\\([^)]*\\)', '', 'g'), '[^ऀ-ॿ]', '', 'g'))::BIGINT AS n FROM documents""")
+def match_normalize_len(spark, sf_dir):
+    """Length of the bare form used for matching."""
+    return t(spark, sf_dir, "documents").select("doc_id", F.length(X.matching_form(translit.iast_to_devanagari(iast_text()))).cast("long").alias("n"))
+
+
+@query(f"""WITH {LINES} SELECT doc_id, idx, (sum(length(line)) OVER w)::BIGINT AS "end", ((sum(length(line)) OVER w) - length(line))::BIGINT AS start FROM lines WINDOW w AS (PARTITION BY doc_id ORDER BY idx)""")
+def running_offsets(spark, sf_dir):
+    """Offsets of lines in the joined text."""
+    return ordered.running_offsets(doc_lines(spark, sf_dir), ["doc_id"], ["idx"], F.col("line")).select("doc_id", "idx", "end", "start")
+
+
+HYPHEN_CLASS = "[a-zA-Zāīūṛṝḷḹṅñṭḍṇśṣṁṃḥ'']"
+
+
+@query(f"""SELECT doc_id, regexp_replace(regexp_replace(replace({IAST_SQL}, ' ', '-'), '({HYPHEN_CLASS})-({HYPHEN_CLASS})', '\\1\\2', 'g'), '({HYPHEN_CLASS})-({HYPHEN_CLASS})', '\\1\\2', 'g') AS joined FROM documents""")
+def hyphen_join(spark, sf_dir):
+    """Hyphens, put for blanks, go between two letters."""
+    return t(spark, sf_dir, "documents").select("doc_id", X.join_hyphens(F.replace(iast_text(), F.lit(" "), F.lit("-"))).alias("joined"))
+
+
+@query("""SELECT event_id, translate(event_id::VARCHAR, '0123456789', '०१२३४५६७८९') AS digits, event_id AS back, translate('a’' || event_type || '‘', '’‘', '''''') AS quoted FROM events""")
+def digit_and_quote_maps(spark, sf_dir):
+    """Digits to Devanagari and back, quotes made straight."""
+    digits = X.to_devanagari_digits(F.col("event_id"))
+    return t(spark, sf_dir, "events").select(
+        "event_id", digits.alias("digits"), X.from_devanagari_digits(digits).alias("back"),
+        X.straight_quotes(F.concat(F.lit("a’"), F.col("event_type"), F.lit("‘"))).alias("quoted"),
+    )
+
+
+_lists = lambda words: "[" + ", ".join(f"'{w}'" for w in words) + "]"
+MIXED_SQL = f"""WITH {LINES}, l AS (SELECT doc_id, idx, translate(line, '{ACCENTS}', '{LETTERS}') AS line FROM lines),
+k AS (SELECT *, list_distinct(list_transform(list_filter(list_transform(regexp_split_to_array(line, '\\s+'), lambda x: replace(replace(trim(x, '|()[]{{}}.,;:!?"''’‘'), '-', ''), '''', '')),
+  lambda x: regexp_full_match(x, '[A-Za-z]+')), lambda x: lower(x))) AS toks, regexp_matches(line, '[Ā-ſḀ-ỿ̀-ͯ]') AS iast FROM l),
+m AS (SELECT *, iast AND (regexp_matches(line, '^\\s*(?:[A-Za-z]+\\s*){{1,4}}:') OR len(list_intersect(toks, {_lists(X.STRONG_ENGLISH)})) > 0
+  OR len(list_intersect(toks, {_lists(X.WEAK_ENGLISH)})) >= 2) AS mixed FROM k)
+"""
+
+
+@query(MIXED_SQL + "SELECT doc_id, idx, iast, mixed FROM m")
+def mixed_language(spark, sf_dir):
+    """Lines with transliteration, and with English in it."""
+    rows = doc_lines(spark, sf_dir).withColumn("line", F.translate("line", ACCENTS, LETTERS))
+    return rows.select("doc_id", "idx", X.looks_like_iast(F.col("line")).alias("iast"), X.has_mixed_language(F.col("line")).alias("mixed"))
+
+
+@query(MIXED_SQL + """SELECT CASE WHEN NOT iast THEN 'skipped' WHEN mixed THEN 'mixed' ELSE 'converted' END AS disposition, count(*)::BIGINT AS n, count(DISTINCT doc_id)::BIGINT AS docs FROM m GROUP BY 1""")
+def dispositions(spark, sf_dir):
+    """F4, C5 without its classifier: lines by what happens to them."""
+    line = F.translate("line", ACCENTS, LETTERS)
+    kind = F.when(~X.looks_like_iast(line), "skipped").when(X.has_mixed_language(line), "mixed").otherwise("converted")
+    return doc_lines(spark, sf_dir).groupBy(kind.alias("disposition")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("doc_id").alias("docs"))
+
+
+@query(f"""WITH d AS (SELECT text, {DEV_SQL} AS dev FROM documents)
+SELECT count(text)::BIGINT AS n_in, count(dev)::BIGINT AS n_out, count_if(regexp_matches(dev, '[ऀ-ॿ]') AND regexp_matches(dev, '[a-zA-Z]'))::BIGINT AS n_stray, count(text) = count(dev) AS match FROM d""")
+def sanity_report(spark, sf_dir):
+    """Inputs against outputs."""
+    d = t(spark, sf_dir, "documents")
+    return qc.sanity(d, F.col("text"), translit.iast_to_devanagari(iast_text()))
+
+
+EV = "e AS (SELECT *, CASE WHEN event_id % 7 = 0 THEN event_type END AS mark FROM events)"
+
+
+@query(f"""WITH {EV}, f AS (SELECT *, CASE WHEN mark IS NOT NULL AND row_number() OVER (PARTITION BY user_id, mark ORDER BY ts, event_id) = 1 THEN mark END AS fresh FROM e)
+SELECT event_id, last_value(fresh IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS chunk FROM f""")
+def marker_chunks(spark, sf_dir):
+    """Events belong to the last marker seen for the first time."""
+    rows = t(spark, sf_dir, "events").withColumn("mark", F.when(F.col("event_id") % 7 == 0, F.col("event_type")))
+    return ordered.marker_chunks(rows, ["user_id"], ["ts", "event_id"], "mark").select("event_id", "chunk")
+
+
+@query("""SELECT event_id, max((event_type = 'purchase')::INT) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) = 1 AS after FROM events""")
+def seen_label_split(spark, sf_dir):
+    """Events from a user's first purchase on."""
+    return ordered.after_label(t(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"], F.col("event_type") == "purchase").select("event_id", "after")
+
+
+@query("""SELECT event_id, last_value(CASE WHEN value > 50 THEN value END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS carried FROM events""")
+def carry_forward(spark, sf_dir):
+    """The last value above fifty."""
+    rows = t(spark, sf_dir, "events").withColumn("v", F.when(F.col("value") > 50, F.col("value")))
+    return ordered.carry_forward(rows, ["user_id"], ["ts", "event_id"], "v", "carried").select("event_id", "carried")
+
+
+@query("""SELECT event_id, coalesce(lead(event_id) OVER w, -1) AS next_id, coalesce(lag(event_id) OVER w, -1) AS prev_id FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
+def next_start_range(spark, sf_dir):
+    """Neighbours in a user's events."""
+    rows = ordered.next_start(t(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"], "event_id", "next_id")
+    return ordered.neighbours(rows, ["user_id"], ["ts", "event_id"], "event_id").select("event_id", F.coalesce("next_id", F.lit(-1).cast("long")).alias("next_id"), F.coalesce("prev", F.lit(-1).cast("long")).alias("prev_id"))
+
+
+@query("""SELECT * FROM (SELECT event_id, value, lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS previous FROM events) WHERE previous > value""")
+def out_of_order(spark, sf_dir):
+    """Values that fall."""
+    return ordered.out_of_order(t(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"], "value").select("event_id", "value", "previous")
+
+
+@query("""WITH a AS (SELECT *, lag(event_type) OVER w AS p, row_number() OVER w AS k FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
+SELECT event_id, event_type FROM a WHERE k = 1 OR event_type IS DISTINCT FROM p""")
+def without_repeats(spark, sf_dir):
+    """Consecutive repeats dropped."""
+    return ordered.without_repeats(t(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"], "event_type").select("event_id", "event_type")
+
+
+@query("""WITH a AS (SELECT *, sum((event_type = 'view')::INT) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS g FROM events)
+SELECT event_id, dense_rank() OVER (PARTITION BY user_id ORDER BY g) AS chunk FROM a WHERE event_type <> 'view'""")
+def separator_chunks(spark, sf_dir):
+    """Runs between views, empty ones not counted."""
+    return ordered.separator_chunks(t(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"], F.col("event_type") == "view").select("event_id", "chunk")
+
+
+@query("""WITH a AS (SELECT *, event_type = 'purchase' AS e FROM events),
+b AS (SELECT *, coalesce(sum(e::INT) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b, sum(e::INT) OVER (PARTITION BY user_id) AS n FROM a)
+SELECT event_id, (b + 1)::BIGINT AS segment FROM b WHERE b < n""")
+def closed_segments(spark, sf_dir):
+    """Segments that end with a purchase; the open rest is dropped."""
+    return ordered.segments(t(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"], F.col("event_type") == "purchase").select("event_id", "segment")
+
+
+@query("""WITH q AS (SELECT o_orderkey AS k, unnest([1, 2, 3]) AS block, unnest([2, 1, 2]) AS quota FROM orders),
+s AS (SELECT *, sum(quota) OVER (PARTITION BY k ORDER BY block) AS hi FROM q), i AS (SELECT l_orderkey AS k, l_linenumber AS n FROM lineitem)
+SELECT i.k, i.n::BIGINT AS n, coalesce(s.block, -1) AS block FROM i LEFT JOIN s ON i.k = s.k AND i.n > s.hi - s.quota AND i.n <= s.hi""")
+def quota_assignment(spark, sf_dir):
+    """Lines of an order dealt to blocks of 2, 1 and 2."""
+    orders = t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"))
+    quotas = orders.select("k", F.inline(F.array(*[F.struct(F.lit(b).alias("block"), F.lit(q).alias("quota")) for b, q in ((1, 2), (2, 1), (3, 2))])))
+    items = t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").cast("long").alias("n"))
+    return ordered.assign_quotas(items, quotas, ["k"], "n", "block", "quota").select("k", "n", F.coalesce("block", F.lit(-1)).alias("block"))
+
+
+@query("""WITH g AS (SELECT user_id, event_type, sum(length(props)) AS total, min(event_id) AS first FROM events GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY total DESC, first) AS n FROM g) SELECT user_id, event_type, total::BIGINT AS total FROM r WHERE n = 1""")
+def dominant_value(spark, sf_dir):
+    """F1, H5: a user's main event type by length of properties, ties to the first seen."""
+    return ordered.dominant(t(spark, sf_dir, "events"), ["user_id"], "event_type", F.length("props").cast("long"), "event_id", "DEFAULT").select("user_id", "event_type", "total")
+
+
+@query("""WITH m AS (SELECT user_id, ts, event_id, CASE WHEN event_type = 'login' OR event_id % 11 = 0 THEN event_id END AS mark FROM events),
+a AS (SELECT *, last_value(mark IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS r FROM m)
+SELECT user_id, coalesce(r, -1) AS range_id, count(*)::BIGINT AS n, sum(event_id)::BIGINT AS total FROM a GROUP BY ALL""")
+def range_slices(spark, sf_dir):
+    """Events in half-open ranges, by an as-of window."""
+    e = t(spark, sf_dir, "events").select("user_id", "event_id", "event_type")
+    ranges = e.filter((F.col("event_type") == "login") | (F.col("event_id") % 11 == 0)).select("user_id", F.col("event_id").alias("from"), F.col("event_id").alias("range_id"))
+    rows = ordered.slice_ranges(e, ranges, ["user_id"], "event_id", "from", "range_id")
+    return rows.groupBy("user_id", F.coalesce("range_id", F.lit(-1).cast("long")).alias("range_id")).agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("total"))
+
+
+@query("""WITH p AS (SELECT l_orderkey AS k, sum(l_quantity) AS a, sum(CASE WHEN l_linenumber > 1 THEN l_quantity ELSE 0 END) AS b FROM lineitem GROUP BY 1)
+SELECT k, a, b, a - b AS deficit, b / a AS ratio FROM p WHERE a <> 0 AND a - b > 20 AND b / a < 0.97::DOUBLE""")
+def deficit_qc(spark, sf_dir):
+    """Orders whose first line is much of the whole."""
+    rows = t(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(F.sum("l_quantity").alias("a"), F.sum(F.when(F.col("l_linenumber") > 1, F.col("l_quantity")).otherwise(0)).alias("b"))
+    return align.deficits(rows, "a", "b", 20).select("k", "a", "b", "deficit", "ratio")
+
+
+@query("SELECT a.n_nationkey, a.n_name, b.n_regionkey FROM nation a JOIN nation b USING (n_nationkey)")
+def zip_by_position(spark, sf_dir):
+    """G1: positions joined one to one, or an error."""
+    n = t(spark, sf_dir, "nation")
+    return relational.zip_positions(n.select("n_nationkey", "n_name"), n.select("n_nationkey", "n_regionkey"), ["n_nationkey"])
+
+
+@query("SELECT k AS n_nationkey, n_name FROM range(0, 31) r(k) LEFT JOIN nation ON k = n_nationkey")
+def left_from_sequence(spark, sf_dir):
+    """A fixed range of keys, with gaps as nulls."""
+    return relational.fill_sequence(t(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("n_nationkey"), "n_name"), "n_nationkey", 0, 30)
+
+
+@query("""SELECT coalesce(a.o_orderkey, b.o_orderkey) AS o_orderkey, a.o_totalprice AS high, coalesce(b.o_custkey, -1) AS even FROM (SELECT * FROM orders WHERE o_totalprice > 150000) a
+FULL JOIN (SELECT * FROM orders WHERE o_custkey % 2 = 0) b ON a.o_orderkey = b.o_orderkey""")
+def full_outer_merge(spark, sf_dir):
+    """Keys of either side."""
+    o = t(spark, sf_dir, "orders")
+    return relational.full_merge(o.filter("o_totalprice > 150000").select("o_orderkey", F.col("o_totalprice").alias("high")), o.filter("o_custkey % 2 = 0").select("o_orderkey", F.col("o_custkey").alias("even")), ["o_orderkey"]).fillna(-1, ["even"])
+
+
+@query("""SELECT event_id, CASE event_type WHEN 'click' THEN 'mula' WHEN 'view' THEN 'quoted' ELSE 'OTHER:' || event_type END AS tag FROM events""")
+def dimension_tags(spark, sf_dir):
+    """A small map, unknown values marked."""
+    return t(spark, sf_dir, "events").select("event_id", X.tag_of(F.col("event_type"), {"click": "mula", "view": "quoted"}).alias("tag"))
+
+
+@query("SELECT doc_id, n_chars FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def resume_anti(spark, sf_dir):
+    """Documents not labelled yet."""
+    return relational.todo(t(spark, sf_dir, "documents").select("doc_id", "n_chars"), t(spark, sf_dir, "labels"), ["doc_id"])
+
+
+@query("SELECT doc_id FROM (SELECT doc_id FROM documents ORDER BY doc_id LIMIT 100) WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def limit_then_resume(spark, sf_dir):
+    """H3: the limit counts before finished items go."""
+    return relational.todo(t(spark, sf_dir, "documents").select("doc_id"), t(spark, sf_dir, "labels"), ["doc_id"], 100)
+
+
+@query(r"""WITH a AS (SELECT page_id, regexp_extract_all(html, '(?is)<a\b[^>]*\bhref\s*=\s*"([^"]*)"[^>]*>(.*?)</a>', 1) AS h, regexp_extract_all(html, '(?is)<a\b[^>]*\bhref\s*=\s*"([^"]*)"[^>]*>(.*?)</a>', 2) AS l FROM pages)
+SELECT page_id, (unnest(range(0, len(h))))::INT AS pos, unnest(h) AS href, trim(regexp_replace(unnest(l), '<[^>]*>', '', 'g')) AS label FROM a""")
+def toc_links(spark, sf_dir):
+    """Anchors of pages in order."""
+    return html.links(t(spark, sf_dir, "pages"), ["page_id"], "html")
+
+
+CITES = """c AS (SELECT l_orderkey, l_linenumber, l_suppkey, (l_partkey % 4 + 1) AS a, (l_suppkey % 4 + 1) AS p, (l_partkey % 60) AS s, CASE WHEN l_partkey % 3 = 0 THEN 'वे.सू.' ELSE 'ब्र.सू.' END AS abbrev FROM lineitem WHERE l_partkey % 5 <> 0)"""
+
+
+def _citation_lines(spark, sf_dir):
+    """References written into lines, so that the pattern has something to find."""
+    rows = t(spark, sf_dir, "lineitem")
+    abbrev = F.when(F.col("l_partkey") % 3 == 0, "वे.सू.").otherwise("ब्र.सू.")
+    num = graph.devanagari_triple(F.col("l_partkey") % 4 + 1, F.col("l_suppkey") % 4 + 1, F.col("l_partkey") % 60)
+    cite = F.when(F.col("l_partkey") % 5 != 0, F.concat(F.lit("x ["), abbrev, F.lit(" "), num, F.lit("] y"))).otherwise(F.lit("[see] none"))
+    return rows.select("l_orderkey", "l_linenumber", "l_suppkey", cite.alias("line"))
+
+
+@query(f"WITH {CITES} SELECT l_orderkey, l_linenumber, abbrev, a::BIGINT AS adhyaya, p::BIGINT AS pada, s::BIGINT AS sutra, concat_ws('.', a, p, s) AS sutra_id FROM c")
+def citation_edges(spark, sf_dir):
+    """References in lines."""
+    return graph.citations(_citation_lines(spark, sf_dir)).select("l_orderkey", "l_linenumber", "abbrev", "adhyaya", "pada", "sutra", "sutra_id")
+
+
+@query(f"""WITH {CITES}, e AS (SELECT concat_ws('.', a, p, s) AS sutra_id, abbrev, l_orderkey, l_linenumber FROM c),
+f AS (SELECT sutra_id, abbrev, min((l_orderkey, l_linenumber)) AS pos, count(*) AS n FROM e GROUP BY ALL)
+SELECT sutra_id, sum(n)::BIGINT AS citation_count, count(*)::BIGINT AS n_sources, string_agg(abbrev, ',' ORDER BY pos, abbrev) AS sources, CASE WHEN count(*) > 1 THEN 'both' ELSE 'single' END AS kind FROM f GROUP BY sutra_id""")
+def citation_nodes(spark, sf_dir):
+    """per target, counts and sources in order of first mention."""
+    return graph.target_nodes(graph.citations(_citation_lines(spark, sf_dir)), "sutra_id", "abbrev", ["l_orderkey", "l_linenumber"])
+
+
+@query(f"WITH {CITES} SELECT l_suppkey, count(*)::BIGINT AS citation_count, count(DISTINCT concat_ws('.', a, p, s))::BIGINT AS n_targets FROM c GROUP BY 1")
+def citation_sources(spark, sf_dir):
+    """per source, citations and distinct targets."""
+    return graph.source_nodes(graph.citations(_citation_lines(spark, sf_dir)), ["l_suppkey"], "sutra_id")
+
+
+@query("""WITH p AS (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem), z AS (SELECT l_partkey, count(*) AS size FROM p GROUP BY 1)
+SELECT l_suppkey, sum(size - 1)::BIGINT AS paths, count(*)::BIGINT AS middles FROM p JOIN z USING (l_partkey) GROUP BY 1""")
+def two_hop(spark, sf_dir):
+    """Suppliers over shared parts, without spelling out pairs."""
+    return graph.two_hop(t(spark, sf_dir, "lineitem"), "l_suppkey", "l_partkey")
+
+
+@query("""SELECT o_custkey, o_orderkey, n FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS n FROM orders)""")
+def position_number(spark, sf_dir):
+    """Orders of a customer numbered by position."""
+    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
+    return t(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", F.row_number().over(w).cast("long").alias("n"))
+
+
+@query("""SELECT p_brand, p_partkey, p_name FROM (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS n FROM part) WHERE n = 1""")
+def first_per_key(spark, sf_dir):
+    """F16, I4: the first part of each brand."""
+    return ordered.first_per_key(t(spark, sf_dir, "part"), ["p_brand"], ["p_partkey"]).select("p_brand", "p_partkey", "p_name")
+
+
+@query("""SELECT p_brand, p_partkey, p_name FROM (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey DESC) AS n FROM part) WHERE n = 1""")
+def last_wins(spark, sf_dir):
+    """The last part of each brand."""
+    return ordered.last_wins(t(spark, sf_dir, "part"), ["p_brand"], "p_partkey").select("p_brand", "p_partkey", "p_name")
+
+
+HEADED = f"""{LINES}, h AS (SELECT doc_id, idx, CASE WHEN idx % 6 = 2 THEN '## ' || left(line, 12) WHEN idx % 6 IN (0, 4) THEN '### ' || left(line, 8) ELSE line END AS line FROM lines),
+s AS (SELECT *, regexp_matches(line, '^##\\s+\\S') AS h2, regexp_matches(line, '^###\\s+\\S') AS h3 FROM h),
+g AS (SELECT *, sum(h2::INT) OVER (PARTITION BY doc_id ORDER BY idx) AS sn FROM s), u AS (SELECT *, sum(h3::INT) OVER (PARTITION BY doc_id, sn ORDER BY idx) AS tn FROM g)"""
+
+
+@query(f"""WITH {HEADED} SELECT doc_id, idx, (CASE WHEN sn > 0 THEN sn - 1 ELSE -1 END)::BIGINT AS section, (CASE WHEN sn > 0 AND tn > 0 THEN tn - 1 ELSE -1 END)::BIGINT AS sub,
+last_value(CASE WHEN h2 THEN regexp_replace(line, '^##\\s+', '') END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY idx) AS heading FROM u""")
+def sections_hierarchy(spark, sf_dir):
+    """Two heading levels over lines."""
+    head = F.when(F.col("idx") % 6 == 2, F.concat(F.lit("## "), F.substring("line", 1, 12))).when((F.col("idx") % 6).isin(0, 4), F.concat(F.lit("### "), F.substring("line", 1, 8))).otherwise(F.col("line"))
+    return ordered.sections(doc_lines(spark, sf_dir).withColumn("line", head), "doc_id", "idx", "line").fillna(-1, ["section", "sub"]).select("doc_id", "idx", "section", "sub", "heading")
+
+
+@query(f"""WITH {LINES}, a AS (SELECT *, idx % 5 = 1 AS s, idx % 5 = 3 AS e FROM lines),
+b AS (SELECT *, coalesce(sum(e::INT) OVER (PARTITION BY doc_id ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS g FROM a),
+c AS (SELECT *, max(s::INT) OVER (PARTITION BY doc_id, g ORDER BY idx) AS i FROM b)
+SELECT doc_id, min(idx)::INT AS start, max(idx)::INT AS "end", string_agg(line, ' ' ORDER BY idx) AS text FROM c WHERE i = 1 GROUP BY doc_id, g HAVING bool_or(e)""")
+def span_colophon(spark, sf_dir):
+    """Spans from a start line to the next end line."""
+    rows = doc_lines(spark, sf_dir)
+    return ordered.open_spans(rows, ["doc_id"], "idx", F.col("idx") % 5 == 1, F.col("idx") % 5 == 3, "line")
+
+
+@query(f"""WITH {LINES}, a AS (SELECT *, CASE WHEN idx % 4 = 0 THEN line || '\\-' ELSE line END AS l FROM lines),
+b AS (SELECT *, sum(CASE WHEN lag_l IS NULL OR NOT ends_with(lag_l, '\\-') THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY idx) AS g FROM (SELECT *, lag(l) OVER (PARTITION BY doc_id ORDER BY idx) AS lag_l FROM a))
+SELECT doc_id, min(idx)::INT AS idx, string_agg(CASE WHEN ends_with(l, '\\-') THEN left(l, length(l) - 2) ELSE l END, '' ORDER BY idx) AS line, count(*)::BIGINT AS n_lines FROM b GROUP BY doc_id, g""")
+def dehyphenate(spark, sf_dir):
+    """Lines with a continuation mark, put on every fourth, joined."""
+    rows = doc_lines(spark, sf_dir).withColumn("line", F.when(F.col("idx") % 4 == 0, F.concat("line", F.lit("\\-"))).otherwise(F.col("line")))
+    return ordered.join_continued(rows, ["doc_id"], "idx", "line", "\\-")
+
+
+@query(f"""WITH {LINES}, a AS (SELECT *, lead(line) OVER (PARTITION BY doc_id ORDER BY idx) AS nx FROM lines)
+SELECT doc_id, idx, (unnest(CASE WHEN ends_with(line, '.') AND trim(nx) <> '' THEN [0, 1] ELSE [0] END))::INT AS sub, unnest(CASE WHEN ends_with(line, '.') AND trim(nx) <> '' THEN [line, ''] ELSE [line] END) AS line FROM a""")
+def verse_breaks(spark, sf_dir):
+    """An empty line after lines that end with a full stop."""
+    return ordered.verse_breaks(doc_lines(spark, sf_dir), ["doc_id"], "idx", "line", F.col("line").endswith("."))
+
+
+@query(f"""WITH {LINES}, e AS (SELECT doc_id, idx, CASE WHEN idx % 3 = 2 THEN '' ELSE line END AS line FROM lines),
+a AS (SELECT *, sum((trim(line) = '')::INT) OVER (PARTITION BY doc_id ORDER BY idx) AS g FROM e), b AS (SELECT *, dense_rank() OVER (PARTITION BY doc_id ORDER BY g) AS para FROM a WHERE trim(line) <> '')
+SELECT doc_id, para, min(idx)::INT AS start, count(*)::BIGINT AS n_lines, string_agg(line, chr(10) ORDER BY idx) AS text FROM b GROUP BY doc_id, para""")
+def paragraph_split(spark, sf_dir):
+    """Paragraphs between empty lines."""
+    rows = doc_lines(spark, sf_dir).withColumn("line", F.when(F.col("idx") % 3 == 2, "").otherwise(F.col("line")))
+    return ordered.paragraphs(rows, ["doc_id"], "idx", "line")
+
+
+@query(f"""WITH {LINES}, k AS (SELECT doc_id, idx, line FROM lines WHERE NOT regexp_full_match(line, '[|()0-9\\s]+') AND NOT regexp_full_match(line, '\\s*-{{3,}}\\s*'))
+SELECT doc_id, count(*)::BIGINT AS n, string_agg(left(line, 20), '|' ORDER BY idx) AS heads FROM k GROUP BY doc_id""")
+def line_cleanup(spark, sf_dir):
+    """Marker lines and rules dropped."""
+    clean = X.without_rules(X.without_marker_lines(F.col("text")))
+    ls = F.split(clean, "\n", -1)
+    return t(spark, sf_dir, "documents").select("doc_id", F.size(ls).cast("long").alias("n"), F.array_join(F.transform(ls, lambda x: F.substring(x, 1, 20)), "|").alias("heads"))
+
+
+@query("""SELECT doc_id, replace(replace(replace(replace(CASE WHEN length(text) > 220 THEN left(text, 220) || '…' ELSE text END, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;') AS shown FROM documents""")
+def excerpt(spark, sf_dir):
+    """Escaped excerpts."""
+    return t(spark, sf_dir, "documents").select("doc_id", X.escape_html(X.truncate(F.col("text"), 220)).alias("shown"))
+
+
+@query("""SELECT o_custkey, string_agg(o_orderkey::VARCHAR, ',' ORDER BY o_orderdate, o_orderkey) AS orders, count(*)::BIGINT AS n, sum(round(o_totalprice * 100)::BIGINT)::BIGINT AS cents FROM orders GROUP BY 1""")
+def grouped_entries(spark, sf_dir):
+    """entries per work in sequence."""
+    entries = F.array_sort(F.collect_list(F.struct("o_orderdate", "o_orderkey")))
+    return t(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.array_join(F.transform(entries, lambda r: r["o_orderkey"].cast("string")), ",").alias("orders"), F.count(F.lit(1)).alias("n"), F.sum(F.round(F.col("o_totalprice") * 100).cast("long")).alias("cents"))
+
+
+@query(r"""WITH a AS (SELECT *, CASE WHEN p_partkey % 2 = 0 THEN '(' || p_size || ') ' || p_name || ' ' || p_size ELSE '🔷 ' || p_name || ' *(' || p_brand || ')*' END AS x FROM part)
+SELECT p_partkey, trim(regexp_replace(regexp_replace(x, '^\s*\([0-9]+\)\s*', ''), '\s+[0-9]+\s*$', '')) AS title,
+  trim(regexp_replace(regexp_replace(x, '^[^\p{L}\p{M}\p{N}_]+', ''), '\s*\*\([^)]*\)\*\s*$', '')) AS label FROM a""")
+def titles_and_labels(spark, sf_dir):
+    """Titles and labels without their ornaments."""
+    p = t(spark, sf_dir, "part")
+    x = F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit("("), "p_size", F.lit(") "), "p_name", F.lit(" "), "p_size")).otherwise(F.concat(F.lit("🔷 "), "p_name", F.lit(" *("), "p_brand", F.lit(")*")))
+    return p.select("p_partkey", X.chapter_title(x).alias("title"), X.clean_label(x).alias("label"))
+
+
+@query()
+def forward_match(spark, sf_dir):
+    """Benchmark items sought in order in each document (bounded query list; tested against a loop)."""
+    items = t(spark, sf_dir, "benchmark").groupBy().agg(F.transform(F.array_sort(F.collect_list(F.struct("item_id", "text"))), lambda r: F.substring(r["text"], 1, 40)).alias("queries"))
+    rows = t(spark, sf_dir, "documents").select("doc_id", "text").join(F.broadcast(items))
+    found = align.forward_match(rows, "text", "queries").select("doc_id", F.posexplode("matches").alias("pos", "m")).filter("m.found")
+    return found.select("doc_id", "pos", "m.start", "m.match_length")
+
+
+@query()
+def translit_cross_check(spark, sf_dir):
+    """Both transliterations, counted where they agree."""
+    d = t(spark, sf_dir, "documents").select(translit.cross_checked(iast_text()).alias("c"))
+    return d.agg(F.count(F.lit(1)).alias("n"), F.count_if("c.agree").alias("agree"))
