@@ -214,3 +214,57 @@ def dominant(df: DataFrame, keys: list[str], value: str, weight: Column, order:
     sums = df.withColumn("_w", weight).filter("_w > 0").groupBy(*keys, value).agg(F.sum("_w").alias("total"), F.min(order).alias("first"))
     best = sums.groupBy(*keys).agg(F.max(F.struct("total", (-F.col("first")).alias("f"), value)).alias("b"))
     return df.select(*keys).distinct().join(best, keys, "left").select(*keys, F.coalesce(f"b.{value}", F.lit(default)).alias(value), F.coalesce("b.total", F.lit(0)).alias("total"))
+
+
+def pick_blocks(blocks_: DataFrame, keys: list[str], block: str, tag: str, main: str, second: str, rest: str) -> DataFrame:
+    """[E5] Per key: the first ``main`` block, the first ``second`` block after it, and of the later ``rest`` blocks all but the last.
+
+    ``reason`` names what is missing; it is null where all three are there.
+    """
+    w = Window.partitionBy(*keys)
+    rows = blocks_.withColumn("_main", F.min(F.when(F.col(tag) == main, F.col(block))).over(w))
+    rows = rows.withColumn("_second", F.min(F.when((F.col(tag) == second) & (F.col(block) > F.col("_main")), F.col(block))).over(w))
+    later = (F.col(tag) == rest) & (F.col(block) > F.col("_second"))
+    rows = rows.withColumn("_last", F.max(F.when(later, F.col(block))).over(w))
+    got = rows.groupBy(*keys).agg(
+        F.first("_main").alias("main_block"), F.first("_second").alias("second_block"), F.count_if(later & (F.col(block) < F.col("_last"))).alias("n_rest")
+    )
+    reason = F.when(F.col("main_block").isNull(), f"no {main} block").when(F.col("second_block").isNull(), f"no {second} block").when(F.col("n_rest") == 0, f"no {rest} block")
+    return got.withColumn("reason", reason)
+
+
+def numbered_items(df: DataFrame, keys: list[str], order: list[str], is_chapter: Column, is_section: Column, text: Column) -> DataFrame:
+    """[E24, E25] Chapters and their items numbered by position, not by what they say; markers go, items without text are not counted."""
+    rows = df.withColumn("_c", is_chapter.cast("long")).withColumn("_s", is_section.cast("long")).withColumn("_t", text)
+    rows = rows.withColumn("chapter", F.sum("_c").over(_upto(keys, order))).withColumn("_g", F.sum("_s").over(_upto([*keys, "chapter"], order)))
+    rows = rows.filter("_c = 0 and _s = 0").withColumn("_full", F.max((F.trim("_t") != "").cast("int")).over(Window.partitionBy(*keys, "chapter", "_g"))).filter("_full = 1")
+    return rows.withColumn("item", F.dense_rank().over(Window.partitionBy(*keys, "chapter").orderBy("_g")).cast("long")).drop("_c", "_s", "_t", "_g", "_full")
+
+
+def next_run(df: DataFrame, keys: list[str], idx: str, is_marker: Column, in_run: Column, is_blank: Column, reach: int = 400, most: int = 6) -> DataFrame:
+    """[E29] For each marker the first run of rows after it within ``reach`` rows, blanks ignored, at most ``most`` rows: their idx values.
+
+    The frame is bounded, so a row holds at most ``reach`` flags whatever the sequence's length.
+    """
+    w = Window.partitionBy(*keys).orderBy(idx)
+    rows = df.withColumn("_f", F.collect_list(F.struct(F.col(idx).alias("i"), in_run.alias("r"), is_blank.alias("b"))).over(w.rowsBetween(1, reach - 1))).filter(is_marker)
+    full = F.filter("_f", lambda x: ~x["b"])
+    rows = rows.withColumn("_f", full).withColumn("_a", F.array_position(F.transform("_f", lambda x: x["r"]), True))
+    tail = F.when(F.col("_a") > 0, F.expr(f"slice(_f, cast(_a as int), {most})")).otherwise(F.slice("_f", 1, 0))
+    rows = rows.withColumn("_f", tail).withColumn("_z", F.array_position(F.transform("_f", lambda x: x["r"]), False))
+    run = F.when(F.col("_z") > 0, F.expr("slice(_f, 1, cast(_z as int) - 1)")).otherwise(F.col("_f"))
+    return rows.withColumn("run", F.transform(run, lambda x: x["i"])).drop("_f", "_a", "_z")
+
+
+def longest_prefix(candidates: DataFrame, known: DataFrame, keys: list[str], parts: str, text: str) -> DataFrame:
+    """[G5] Of the prefixes of an array of texts, joined by blanks, the longest that is a known text; its least id."""
+    prefixes = candidates.select(*keys, F.explode(F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.struct(n.alias("n"), F.array_join(F.slice(parts, 1, n), " ").alias(text)))).alias("p")).select(*keys, "p.*")
+    hits = prefixes.join(known, text).groupBy(*keys).agg(F.max(F.struct("n", (-F.col("id")).alias("minus"))).alias("best"))
+    return hits.select(*keys, F.col("best.n").alias("n"), (-F.col("best.minus")).alias("id"))
+
+
+def by_category(entries: DataFrame, work: str, category: str, order: list[str], ranking: list[str]) -> DataFrame:
+    """[F16] The first entry of each work; category position in ``ranking`` (unknown and none first, as class -1), then sequence."""
+    first = first_per_key(entries, [work], order)
+    place = F.array_position(F.array(*map(F.lit, ranking)), F.col(category)) - 1
+    return first.withColumn("place", F.coalesce(place, F.lit(-1)).cast("long"))

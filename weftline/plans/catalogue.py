@@ -463,6 +463,60 @@ def titles_and_labels(spark, sf_dir):
     return p.select("p_partkey", X.chapter_title(x).alias("title"), X.clean_label(x).alias("label"))
 
 
+@query("""WITH a AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS block FROM events),
+m AS (SELECT *, min(CASE WHEN event_type = 'view' THEN block END) OVER (PARTITION BY user_id) AS mb FROM a),
+s AS (SELECT *, min(CASE WHEN event_type = 'click' AND block > mb THEN block END) OVER (PARTITION BY user_id) AS sb FROM m),
+l AS (SELECT *, max(CASE WHEN event_type = 'purchase' AND block > sb THEN block END) OVER (PARTITION BY user_id) AS lb FROM s)
+SELECT user_id, coalesce(first(mb), -1)::BIGINT AS main_block, coalesce(first(sb), -1)::BIGINT AS second_block, count_if(event_type = 'purchase' AND block > sb AND block < lb)::BIGINT AS n_rest,
+CASE WHEN first(mb) IS NULL THEN 'no view block' WHEN first(sb) IS NULL THEN 'no click block' WHEN count_if(event_type = 'purchase' AND block > sb AND block < lb) = 0 THEN 'no purchase block' END AS reason FROM l GROUP BY user_id""")
+def pick_blocks(spark, sf_dir):
+    """E5: first view, first click after it, purchases after that but the last, with reasons."""
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    rows = t(spark, sf_dir, "events").withColumn("block", (F.row_number().over(w) - 1).cast("long"))
+    return ordered.pick_blocks(rows, ["user_id"], "block", "event_type", "view", "click", "purchase").fillna(-1, ["main_block", "second_block"])
+
+
+@query("""WITH a AS (SELECT *, event_id % 13 = 0 AS c, event_id % 13 <> 0 AND event_type = 'view' AS s FROM events),
+b AS (SELECT *, sum(c::INT) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS chapter FROM a),
+g AS (SELECT *, sum(s::INT) OVER (PARTITION BY user_id, chapter ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS g FROM b),
+f AS (SELECT *, max((trim(props) <> '')::INT) OVER (PARTITION BY user_id, chapter, g) AS filled FROM g WHERE NOT c AND NOT s)
+SELECT event_id, chapter::BIGINT AS chapter, dense_rank() OVER (PARTITION BY user_id, chapter ORDER BY g) AS item FROM f WHERE filled = 1""")
+def numbered_items(spark, sf_dir):
+    """Chapters and items numbered by position."""
+    chapter = F.col("event_id") % 13 == 0
+    return ordered.numbered_items(t(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"], chapter, ~chapter & (F.col("event_type") == "view"), F.col("props")).select("event_id", "chapter", "item")
+
+
+@query("""SELECT p_brand, p_partkey, place FROM (SELECT p_brand, p_partkey, (coalesce(list_position(['3', '1'], (p_size % 4)::VARCHAR), 0) - 1)::BIGINT AS place,
+row_number() OVER (PARTITION BY p_brand ORDER BY p_size, p_partkey) AS n FROM part) WHERE n = 1""")
+def works_by_category(spark, sf_dir):
+    """F16, H2: the first entry of each work with its category's place in a custom order."""
+    parts = t(spark, sf_dir, "part").withColumn("category", (F.col("p_size") % 4).cast("string"))
+    return ordered.by_category(parts, "p_brand", "category", ["p_size", "p_partkey"], ["3", "1"]).select("p_brand", "p_partkey", "place")
+
+
+@query("""WITH a AS (SELECT *, event_type = 'purchase' AS m, value > 30 AS r, event_id % 5 = 0 AS b FROM events),
+n AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS k FROM a),
+f AS (SELECT x.event_id AS mark, y.event_id AS i, y.r, row_number() OVER (PARTITION BY x.event_id ORDER BY y.k) AS p FROM n x JOIN n y ON x.user_id = y.user_id AND y.k > x.k AND y.k < x.k + 20 WHERE x.m AND NOT y.b),
+s AS (SELECT mark, min(CASE WHEN r THEN p END) AS a FROM f GROUP BY mark),
+z AS (SELECT f.mark, a, coalesce(min(CASE WHEN NOT r AND p > a THEN p END), 1000000) AS z FROM f JOIN s ON f.mark = s.mark GROUP BY f.mark, a)
+SELECT n.event_id, count(f.i)::BIGINT AS n_run, coalesce(min(f.i), -1) AS first_run FROM n LEFT JOIN z ON n.event_id = z.mark LEFT JOIN f ON f.mark = z.mark AND f.p >= z.a AND f.p < z.z AND f.p < z.a + 4 WHERE n.m GROUP BY n.event_id""")
+def next_runs(spark, sf_dir):
+    """After each purchase the next run of high values within 20 events, four at most."""
+    rows = ordered.next_run(t(spark, sf_dir, "events"), ["user_id"], "event_id", F.col("event_type") == "purchase", F.col("value") > 30, F.col("event_id") % 5 == 0, 20, 4)
+    return rows.select("event_id", F.size("run").cast("long").alias("n_run"), F.coalesce(F.get("run", 0), F.lit(-1)).alias("first_run"))
+
+
+@query("""WITH k AS (SELECT n_nationkey AS id, n_name AS text FROM nation UNION ALL SELECT 100 + n_nationkey, n_name || ' x' FROM nation WHERE n_nationkey % 2 = 0),
+c AS (SELECT n_nationkey AS k, unnest([n_name, n_name || ' x', n_name || ' x y']) AS text, unnest([1, 2, 3]) AS n FROM nation)
+SELECT k, n, id FROM (SELECT c.k, c.n, k.id, row_number() OVER (PARTITION BY c.k ORDER BY n DESC, id) AS r FROM c JOIN k USING (text)) WHERE r = 1""")
+def longest_prefix(spark, sf_dir):
+    """The longest known prefix of a run of texts."""
+    n = t(spark, sf_dir, "nation")
+    known = n.select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("text")).union(n.filter("n_nationkey % 2 = 0").select(F.col("n_nationkey") + 100, F.concat("n_name", F.lit(" x"))))
+    return ordered.longest_prefix(n.select(F.col("n_nationkey").alias("k"), F.array("n_name", F.lit("x"), F.lit("y")).alias("parts")), known, ["k"], "parts", "text")
+
+
 @query()
 def forward_match(spark, sf_dir):
     """Benchmark items sought in order in each document (bounded query list; tested against a loop)."""
