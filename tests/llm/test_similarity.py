@@ -7,7 +7,7 @@ import pytest
 
 import corpus_pipeline
 from weftline.components import components
-from weftline.llm import decontaminate, minhash_dedup, rule_ensemble, shingles
+from weftline.llm import bpe, decontaminate, minhash_dedup, shingles
 from weftline.scratch import Scratch
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
@@ -100,10 +100,11 @@ def test_components(spark):
     assert got == {x: find(x) for x in parent}
 
 
-@pytest.mark.parametrize("small", [64, 4])
-def test_near_duplicates_against_all_pairs(spark, monkeypatch, small):
-    """With tiny buckets the splitting by further bands is exercised too."""
-    monkeypatch.setattr(minhash_dedup, "SMALL", small)
+@pytest.mark.parametrize("limits", [{}, {"BUCKET": 6, "CLUSTER": 8, "BLOCK": 7}])
+def test_near_duplicates_against_all_pairs(spark, monkeypatch, limits):
+    """With tiny limits the ways for hot buckets and for large clusters are exercised too."""
+    for name, value in limits.items():
+        monkeypatch.setattr(minhash_dedup, name, value)
     rows = corpus(11)
     heavy = minhash_dedup.heavy_shingles(frame(spark, rows), "text")
     assert len(heavy[0])
@@ -111,6 +112,16 @@ def test_near_duplicates_against_all_pairs(spark, monkeypatch, small):
     assert got == classes_by_force(rows, heavy)
 
 
+def test_groups_are_kept_whole_over_batches():
+    import pandas as pd
+
+    frame = pd.DataFrame({"k": [1, 1, 2, 3, 3, 3, 3, 4, 5, 5], "v": range(10)})
+    for size in range(1, 11):
+        parts = list(minhash_dedup._grouped((frame.iloc[i : i + size] for i in range(0, 10, size)), "k"))
+        assert pd.concat(parts)["v"].tolist() == list(range(10))
+        assert sum(p["k"].nunique() for p in parts) == 5
+
+
 def test_heavy_shingles_are_counted_exactly(spark, monkeypatch):
     monkeypatch.setattr(minhash_dedup, "COUNTERS", 50)  # summaries lose much; the second scan still counts exactly
     rows = corpus(12)
@@ -167,24 +178,24 @@ def test_leaks_against_all_pairs(spark, monkeypatch, inline):
 
 def test_pipeline_against_brute_force(spark, tmp_path):
     r = random.Random(9)
-    good = [(i, "menu of the site\n" + text(r, 90) + ".") for i in range(80)]
+    good = [(i, "menu of the site\n" + text(r, 90) + ".") for i in range(40)]
     junk = [(200 + i, " ".join(w + "###" for w in text(r, 90).split())) for i in range(40)]
     item = text(r, 20)
     rows = good + junk + [(300, edited(r, good[0][1], 1)), (301, good[1][1])] + [(400, text(r, 70) + " " + item + " " + text(r, 30) + ".")]
     frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
-    spark.createDataFrame([(d, int(d < 200 or d >= 300), 0) for d, _ in rows[:120]], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(d, int(d < 200 or d >= 300), 0) for d, _ in rows[:80]], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
-    docs, step = frame(spark, rows), {}
-    for name, stage in corpus_pipeline.STAGES:
-        columns = docs.columns
-        docs = Scratch(spark, "test").write(stage(spark, docs, str(tmp_path)), "stage")
-        step[name] = {x.doc_id: x for x in docs.collect()}
-        assert name == corpus_pipeline.STAGES[-1][0] or docs.columns == columns
-    assert set(step["quality classifier"]) == {d for d, _ in rows if d < 200 or d >= 300}
-    assert all("menu" not in x.text and x.n_chars == len(x.text) for x in step["line dedup"].values())
-    force = classes_by_force([(x.doc_id, x.text) for x in step["line dedup"].values()])
-    assert set(step["near dedup"]) == {d for d, c in force.items() if d == c} == {*range(80), 400}
-    assert set(step["decontamination"]) == set(range(80))
-    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
-    assert sorted((x.doc_id, x.ids_sha256) for x in got) == sorted((d, x.ids_sha256) for d, x in step["byte-level BPE"].items())
-    assert rule_ensemble.held_out is not None
+    docs = frame(spark, rows)
+    stages = dict(corpus_pipeline.STAGES)
+    kept = stages["quality classifier"](spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns and {x.doc_id for x in kept.collect()} == {d for d, _ in rows if d < 200 or d >= 300}
+    cleaned = stages["line dedup"](spark, kept, str(tmp_path))
+    texts = {x.doc_id: x for x in cleaned.collect()}
+    assert cleaned.columns == docs.columns and all(x.n_chars == len(x.text) for x in texts.values())
+    assert not any("menu" in texts[d].text for d in [*range(40), 301])
+    assert stages["decontamination"](spark, cleaned, str(tmp_path)).columns == docs.columns
+    force = classes_by_force([(x.doc_id, x.text) for x in texts.values()])
+    left = {d for d, c in force.items() if d == c} - {d for d, _ in leaks_by_force([(x.doc_id, x.text) for x in texts.values()], [(1, item)])}
+    got = {x.doc_id: x.ids_sha256 for x in corpus_pipeline.run(spark, str(tmp_path)).collect()}
+    assert set(got) == left == set(range(40))
+    assert got == {x.doc_id: x.ids_sha256 for x in bpe.op2(cleaned).collect() if x.doc_id in left}

@@ -16,21 +16,23 @@ pool of triples sorted by the value that a shingle of weight 1 would get, so the
 one multiplication per shingle and sample; other weights go through the full formula.  Signatures
 are banded; a document meets others in a bucket per band value.
 
-Within a bucket no pairs are spelled out.  Every member is compared with one leader, the member that
-most documents meet in all their buckets (the centre of a group of edited copies); after the links
-found so far have been merged, a bucket is looked at again only if it still holds several classes:
-
-* by the triangle inequality of the Jaccard distance, members far from the leader and members near
-  it cannot be linked, so the two sides are treated apart, and a side that is one class is done;
-* a small side compares its members across classes; a large one is split by a further band value
-  and treated again, without its leader, until nothing is left.
-
-Pairs pass a byte sketch of the signature first, and are then verified exactly on their texts; the
-doubtful ones only if the surer ones have not joined their classes.
+From buckets to classes, in two steps that never spell out the pairs of a group:
+
+* *Clusters* are a coarse partition that no link can cross: components of the graph of documents that
+  share a bucket and whose byte sketches agree in at least ``MAYBE`` of the samples (a link fails
+  that by a chance of 3e-4).  A bucket emits a spanning forest of its part of the graph, at most one
+  edge a member.  A bucket with more than ``BUCKET`` members is compared with one leader instead and
+  then split by a further band value; by the triangle inequality of the Jaccard distance only the
+  members that are not near the leader can have links that this misses, so only they go on.
+* *Links* are verified exactly inside each cluster, whose texts are brought together once; pairs that
+  are joined already are skipped.  A cluster beyond ``CLUSTER`` documents or ``CLUSTER_CHARS``
+  characters is not brought together: its members are verified against its centre (the one with the
+  most company in its buckets) one by one, and the members that do not link to it are compared with
+  all others in blocks of bounded size, whose plausible pairs are verified one by one too.
 
 Defined results: equal texts are one class; null texts and texts without words are alone, except
-that equal ones of the latter are one class; a null id has class null; ids that repeat with different
-texts join the classes of those texts; ties for leader go to the smaller id; empty tables give empty
+that equal ones of the latter are one class; a null id has class null; an id that repeats with different
+texts is in the least of their classes; ties for leader go to the smaller number; empty tables give empty
 results; other columns are not read.
 """
 
@@ -40,7 +42,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,11 +56,12 @@ BANDS, ROWS = 24, 4
 SAMPLES = BANDS * ROWS
 #: Share of documents from which a shingle counts as heavy, and counters of a summary.
 HEAVY, HEAVY_LEAST, COUNTERS = 0.01, 20, 1 << 17
-#: Sketch similarity below which a pair cannot be a link but for a chance of 3e-4, and from which it is verified first.
-MAYBE, LIKELY = 0.66, 0.78
-#: Sketch similarities that part near from far members of a bucket, overlapping.
-NEAR, FAR = 0.45, 0.80
-SMALL = 64
+#: Sketch similarity below which a pair cannot be a link but for a chance of 3e-4.
+MAYBE = 0.66
+#: For hot buckets: members this similar to the leader are joined with it; the less similar ones (overlapping) go on.
+JOINED, ONWARD = 0.30, 0.75
+#: Members of a bucket compared in one task; documents and characters of a cluster brought together; members of a block.
+BUCKET, CLUSTER, CLUSTER_CHARS, BLOCK = 1_024, 1_000, 16_000_000, 1_000
 BROADCAST_IDS = 1_000_000
 _POOL = 1 << 16
 
@@ -218,8 +221,13 @@ def heavy_shingles(docs: DataFrame, text_col: str, heavy: float = HEAVY, least:
 # --- signatures, pairs, links ----------------------------------------------------------------------
 
 
+def _node(text: Column) -> Column:
+    """A number that stands for a text."""
+    return F.xxhash64(F.unhex(F.md5(text)))
+
+
 def signatures(docs: DataFrame, heavy: tuple[np.ndarray, np.ndarray], id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, key, bands, sketch) per text with words; ``key`` stands for the text."""
+    """(doc_id, node, n_chars, bands, sketch) per text; ``node`` stands for the text, bands and sketch are null without words."""
     shared = docs.sparkSession.sparkContext.broadcast(heavy)
 
     @F.pandas_udf("bands array<long>, sketch binary")
@@ -236,138 +244,256 @@ def signatures(docs: DataFrame, heavy: tuple[np.ndarray, np.ndarray], id_col: st
 
     text = F.col(text_col)
     return docs.filter(text.isNotNull() & F.col(id_col).isNotNull()).select(
-        F.col(id_col).cast("long").alias("doc_id"), F.unhex(F.md5(text)).alias("key"), signed(text).alias("s")
-    ).select("doc_id", "key", "s.bands", "s.sketch")
+        F.col(id_col).cast("long").alias("doc_id"), _node(text).alias("node"), F.length(text).cast("long").alias("n_chars"), signed(text).alias("s")
+    ).select("doc_id", "node", "n_chars", "s.bands", "s.sketch")
+
+
+def _corrected(share: np.ndarray) -> np.ndarray:
+    """Sketch similarity from the share of equal bytes, corrected for chance."""
+    return (share - 1 / 256) / (1 - 1 / 256)
 
 
 @F.pandas_udf(T.FloatType())
 def sketch_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Share of equal bytes, corrected for chance."""
     x = np.frombuffer(b"".join(a), np.uint8).reshape(len(a), -1)
     y = np.frombuffer(b"".join(b), np.uint8).reshape(len(b), -1)
-    return pd.Series((((x == y).mean(1) - 1 / 256) / (1 - 1 / 256)).astype(np.float32))
+    return pd.Series(_corrected((x == y).mean(1)).astype(np.float32))
+
+
+def _between(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Sketch similarities of all rows of x with all rows of y, a few rows at a time."""
+    out = np.empty((len(x), len(y)), np.float32)
+    for i in range(0, len(x), 64):
+        out[i : i + 64] = (x[i : i + 64, None] == y[None]).mean(2)
+    return _corrected(out)
+
+
+def _grouped(batches: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]:
+    """Whole groups from batches sorted by ``key``: a frame holds one or more complete groups."""
+    held: list[pd.DataFrame] = []
+    for pdf in batches:
+        if not len(pdf):
+            continue
+        last = pdf[key].iloc[-1]
+        open_ = int((pdf[key].to_numpy() == last).argmax())
+        if held and held[-1][key].iloc[-1] != pdf[key].iloc[0] or open_:
+            whole = pd.concat([*held, pdf.iloc[:open_]], ignore_index=True)
+            held = []
+            if len(whole):
+                yield whole
+        held.append(pdf.iloc[open_:])
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
+def _bounds(values: np.ndarray) -> list[tuple[int, int]]:
+    """Where runs of equal values begin and end."""
+    edge = np.flatnonzero(values[1:] != values[:-1]) + 1
+    return list(zip([0, *edge], [*edge, len(values)], strict=True))
+
+
+def _spanning(near: np.ndarray) -> list[tuple[int, int]]:
+    """Edges (root, member) of a forest that spans a graph given as a matrix."""
+    free, out = np.ones(len(near), bool), []
+    for root in range(len(near)):
+        if not free[root]:
+            continue
+        free[root], todo = False, [root]
+        while todo:
+            found = np.flatnonzero(near[todo.pop()] & free)
+            free[found] = False
+            todo += found.tolist()
+            out += [(root, j) for j in found.tolist()]
+    return out
+
+
+EDGES = "u long, v long"
+
+
+def _forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Per bucket, edges that span the graph of similar sketches."""
+    for pdf in _grouped(batches, "bucket"):
+        node = pdf["node"].to_numpy(np.int64)
+        sketch = np.frombuffer(b"".join(pdf["sketch"]), np.uint8).reshape(len(pdf), -1)
+        u, v = [], []
+        bounds = np.array(_bounds(pdf["bucket"].to_numpy()))
+        pair = bounds[bounds[:, 1] - bounds[:, 0] == 2, 0]
+        near = _corrected((sketch[pair] == sketch[pair + 1]).mean(1)) >= MAYBE
+        u.append(node[pair[near]])
+        v.append(node[pair[near] + 1])
+        for a, b in bounds[bounds[:, 1] - bounds[:, 0] > 2]:
+            edges = np.array(_spanning(_between(sketch[a:b], sketch[a:b]) >= MAYBE), np.int64).reshape(-1, 2) + a
+            u.append(node[edges[:, 0]])
+            v.append(node[edges[:, 1]])
+        yield pd.DataFrame({"u": np.concatenate(u), "v": np.concatenate(v)}).drop_duplicates()
+
+
+def _verified(heavy):
+    """Per cluster, (node, comp): classes by exact similarity."""
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in _grouped(batches, "cluster"):
+            for a, b in _bounds(pdf["cluster"].to_numpy()):
+                part = pdf.iloc[a:b]
+                node, texts = part["node"].to_numpy(np.int64), part["text"].tolist()
+                docs = [weighted(d, heavy.value) for s in in_chunks(texts) for d in shingles(texts[s], WIDTH)]
+                sketch = np.frombuffer(b"".join(part["sketch"]), np.uint8).reshape(b - a, -1)
+                near = np.triu(_between(sketch, sketch), 1)
+                i, j = np.nonzero(near >= MAYBE)
+                order = np.argsort(-near[i, j], kind="stable")
+                parent = list(range(b - a))
+
+                def find(x: int, parent=parent) -> int:
+                    while parent[x] != x:
+                        parent[x] = parent[parent[x]]
+                        x = parent[x]
+                    return x
+
+                for x, y in zip(i[order].tolist(), j[order].tolist(), strict=True):
+                    p, q = find(x), find(y)
+                    if p != q and jaccard(docs[x], docs[y]) >= SIMILARITY - 1e-9:
+                        parent[max(p, q)] = min(p, q)
+                roots = np.array([find(x) for x in range(b - a)])
+                least = np.full(b - a, np.iinfo(np.int64).max)
+                np.minimum.at(least, roots, node)
+                yield pd.DataFrame({"node": node, "comp": least[roots]})
 
-class _Verifier:
-    """Exact similarities of pairs, on the texts of the documents that occur in them."""
+    return run
 
-    def __init__(self, spark: SparkSession, docs: DataFrame, nodes: DataFrame, heavy, id_col: str, text_col: str, scratch: Scratch):
-        self.nodes, self.scratch, self.spark = nodes, scratch, spark
-        self.texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"), F.unhex(F.md5(F.col(text_col))).alias("key"))
-        self.heavy = spark.sparkContext.broadcast(heavy)
 
-    def links(self, pairs: DataFrame) -> DataFrame:
-        """(u, v) of the pairs (u, v) whose similarity is at least ``SIMILARITY``."""
-        needed = self.scratch.write(pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct(), "needed")
-        few = needed.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-        wanted = self.nodes.select("node", "key").join(needed, "node", "left_semi")
-        # Ids are unique but for repeats; one row per node and text is kept.
-        found = self.texts.join(F.broadcast(needed) if few else needed, "node", "left_semi").join(wanted, ["node", "key"], "left_semi").dropDuplicates(["node", "key"])
-        found = self.scratch.write(found.select("node", "text"), "texts")
+def _plausible(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Per pair of blocks: pairs of a member that is left (``left``) and any other whose sketches are similar."""
+    for pdf in _grouped(batches, "block"):
+        for a, b in _bounds(pdf["block"].to_numpy()):
+            part = pdf.iloc[a:b]
+            node, left = part["node"].to_numpy(np.int64), part["left"].to_numpy(bool)
+            sketch = np.frombuffer(b"".join(part["sketch"]), np.uint8).reshape(b - a, -1)
+            i, j = np.nonzero(_between(sketch[left], sketch) >= MAYBE)
+            u, v = node[left][i], node[j]
+            yield pd.DataFrame({"u": np.maximum(u, v)[u != v], "v": np.minimum(u, v)[u != v]}).drop_duplicates()
+
+
+class _Run:
+    """One run over a corpus: its tables and the steps from buckets to classes."""
+
+    def __init__(self, docs: DataFrame, id_col: str, text_col: str, scratch: Scratch):
+        self.spark, self.scratch = docs.sparkSession, scratch
+        heavy = heavy_shingles(docs, text_col)
+        self.heavy = self.spark.sparkContext.broadcast(heavy)
+        self.signed = scratch.write(signatures(docs, heavy, id_col, text_col), "signatures")
+        # Equal texts are one node.
+        same = self.signed.groupBy("node").agg(F.min("doc_id").alias("first_id"), *[F.first(c).alias(c) for c in ("n_chars", "bands", "sketch")])
+        self.nodes = scratch.write(same, "nodes")
+        self.texts = docs.select(F.col(id_col).cast("long").alias("first_id"), F.col(text_col).alias("text"), _node(F.col(text_col)).alias("node"))
+        self.sketches = self.nodes.filter("sketch is not null").select("node", "sketch", "n_chars")
+
+    def with_texts(self, wanted: DataFrame) -> DataFrame:
+        """``wanted`` (with a node) and the text of each node."""
+        ids = self.nodes.select("node", "first_id").join(wanted.select("node").distinct(), "node", "left_semi")
+        few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+        one = self.texts.join(F.broadcast(ids) if few else ids, ["node", "first_id"], "left_semi").dropDuplicates(["node"])
+        return wanted.join(one.select("node", "text"), "node")
+
+    def coarse_edges(self) -> tuple[DataFrame | None, DataFrame]:
+        """(edges of the coarse graph, company of nodes in their buckets)."""
+        rows = self.nodes.filter("bands is not null").select("node", F.explode("bands").alias("bucket")).distinct()
+        edges, company, depth = None, None, 0
+        while True:
+            sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+            live = self.scratch.write(rows.join(sizes, "bucket"), "live")
+            if company is None:
+                company = live.groupBy("node").agg(F.sum("n").alias("company"))
+            small = live.filter(F.col("n") <= BUCKET).join(self.sketches.select("node", "sketch"), "node").select("bucket", "node", "sketch")
+            found = small.repartition("bucket").sortWithinPartitions("bucket", "node").mapInPandas(_forest, EDGES)
+            hot = live.filter(F.col("n") > BUCKET).select("bucket", "node")
+            if hot.isEmpty():
+                found = self.scratch.write(found.distinct(), "coarse")
+                return (found if edges is None else edges.union(found)), company
+            depth += 1
+            led = hot.join(company, "node")
+            leaders = led.groupBy("bucket").agg(F.max(F.struct("company", (-F.col("node")).alias("minus"))).alias("top")).select("bucket", (-F.col("top.minus")).alias("leader"))
+            leaders = leaders.join(self.sketches.select(F.col("node").alias("leader"), F.col("sketch").alias("of_leader")), "leader")
+            hot = hot.join(self.sketches.select("node", "sketch"), "node").join(leaders, "bucket").filter("node <> leader")
+            hot = self.scratch.write(hot.select("bucket", "node", "leader", sketch_similarity("sketch", "of_leader").alias("s")), "hot")
+            star = hot.filter(F.col("s") >= F.lit(JOINED)).select(F.col("node").alias("u"), F.col("leader").alias("v"))
+            found = self.scratch.write(found.union(star).distinct(), "coarse")
+            edges = found if edges is None else edges.union(found)
+            # A bucket whose members all joined the leader is one cluster already.
+            apart = hot.filter(F.col("s") < F.lit(JOINED)).select("bucket").distinct()
+            on = hot.filter(F.col("s") < F.lit(ONWARD)).select("bucket", "node").join(apart, "bucket", "left_semi")
+            split = on.join(self.nodes.select("node", F.explode("bands").alias("value")), "node")
+            rows = self.scratch.write(split.select("node", F.xxhash64("bucket", "value", F.lit(depth)).alias("bucket")).distinct(), "rows")
+
+    def verified_pairs(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (u, v) that are links; both texts of a pair meet in one row."""
         heavy = self.heavy
 
-        @F.pandas_udf("float")
-        def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
+        @F.pandas_udf("boolean")
+        def linked(a: pd.Series, b: pd.Series) -> pd.Series:
             xs, ys, out = a.tolist(), b.tolist(), []
             for s in in_chunks(xs, 1_000_000):
-                left = shingles(xs[s], WIDTH)
                 last, right = None, None
-                for doc, text in zip(left, ys[s], strict=True):
+                for doc, text in zip(shingles(xs[s], WIDTH), ys[s], strict=True):
                     if text != last:
                         last, right = text, weighted(shingles([text], WIDTH)[0], heavy.value)
-                    out.append(jaccard(weighted(doc, heavy.value), right))
-            return pd.Series(np.array(out, np.float32))
-
-        both = (
-            pairs.join(found.select(F.col("node").alias("u"), F.col("text").alias("a")), "u")
-            .join(found.select(F.col("node").alias("v"), F.col("text").alias("b")), "v")
-        )
-        return self.scratch.write(both.withColumn("s", similarity("a", "b")).filter(F.col("s") >= F.lit(SIMILARITY - 1e-6)).select("u", "v"), "links")
-
-
-def _labelled(rows: DataFrame, comp: DataFrame | None) -> DataFrame:
-    """``rows`` (with a node) and each node's class so far."""
-    if comp is None:
-        return rows.withColumn("comp", F.col("node"))
-    return rows.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-
-
-def _mixed(rows: DataFrame) -> DataFrame:
-    """Buckets that hold more than one class, with their number of rows."""
-    return rows.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size")).filter("lo <> hi").select("bucket", "size")
+                    out.append(jaccard(weighted(doc, heavy.value), right) >= SIMILARITY - 1e-9)
+            return pd.Series(out, dtype=bool)
+
+        one = self.with_texts(pairs.withColumnRenamed("u", "node")).withColumnsRenamed({"node": "u", "text": "a"})
+        two = self.with_texts(one.withColumnRenamed("v", "node")).withColumnsRenamed({"node": "v", "text": "b"})
+        return self.scratch.write(two.filter(linked("a", "b")).select("u", "v"), "links")
+
+    def hot_classes(self, members: DataFrame, company: DataFrame) -> DataFrame:
+        """(node, comp) of clusters too large to be brought together."""
+        members = self.scratch.write(members.join(company, "node").select("cluster", "node", "company"), "hot-members")
+        centres = members.groupBy("cluster").agg(F.max(F.struct("company", (-F.col("node")).alias("minus"))).alias("top"), F.count(F.lit(1)).alias("size"))
+        centres = centres.select("cluster", (-F.col("top.minus")).alias("centre"), "size")
+        led = members.join(centres, "cluster")
+        links = self.verified_pairs(led.filter("node <> centre").select(F.col("node").alias("u"), F.col("centre").alias("v")))
+        done = links.select(F.col("u").alias("node")).union(centres.select(F.col("centre").alias("node")))
+        left = led.join(done.withColumn("done", F.lit(True)), "node", "left").withColumn("left", F.col("done").isNull())
+        left = left.join(self.sketches.select("node", "sketch"), "node").withColumn("n_blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
+        left = self.scratch.write(left.select("cluster", "node", "left", "n_blocks", "sketch", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int").alias("b")), "left")
+        # Members that are left meet every block of their cluster; members of a block come to those that exist.
+        rest = left.filter("left").select("cluster", "n_blocks", "node", "sketch", "left", F.col("b").alias("x"))
+        asked = rest.select("cluster", "x").distinct()
+        to_all = rest.withColumn("y", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
+        others = left.join(asked, "cluster").select("cluster", "node", "sketch", F.lit(False).alias("left"), "x", F.col("b").alias("y"))
+        met = to_all.select("cluster", "node", "sketch", "left", "x", "y").union(others).withColumn("block", F.xxhash64("cluster", "x", "y"))
+        pairs = met.select("block", "node", "left", "sketch").repartition("block").sortWithinPartitions("block").mapInPandas(_plausible, EDGES).distinct()
+        links = self.scratch.write(links.union(self.verified_pairs(self.scratch.write(pairs, "plausible"))), "hot-links")
+        found = components(links.union(members.select(F.col("node").alias("u"), F.col("node").alias("v"))), self.scratch)
+        return found
+
+    def classes(self) -> DataFrame | None:
+        """(node, comp) of all nodes that share a cluster with another; None if there are none."""
+        edges, company = self.coarse_edges()
+        if edges is None or edges.isEmpty():
+            return None
+        clusters = components(edges, self.scratch).withColumnRenamed("comp", "cluster").join(self.sketches, "node")
+        clusters = self.scratch.write(clusters, "clusters")
+        sizes = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("chars"))
+        large = sizes.filter((F.col("n") > CLUSTER) | (F.col("chars") > CLUSTER_CHARS)).select("cluster")
+        large = self.scratch.write(large, "large")
+        small = self.with_texts(clusters.join(large, "cluster", "left_anti").select("cluster", "node", "sketch"))
+        found = small.repartition("cluster").sortWithinPartitions("cluster", "node").mapInPandas(_verified(self.heavy), "node long, comp long")
+        if not large.isEmpty():
+            found = found.union(self.hot_classes(clusters.join(large, "cluster", "left_semi").select("cluster", "node"), company))
+        return self.scratch.write(found, "classes")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scratch: Scratch | None = None) -> DataFrame:
     """(doc_id, class_id) per row with an id; class_id is the least id of the class."""
-    spark = docs.sparkSession
-    scratch = scratch or Scratch(spark, "dedup")
-    heavy = heavy_shingles(docs, text_col)
-    sigs = scratch.write(signatures(docs, heavy, id_col, text_col), "signatures")
-    # Equal texts: the least id stands for all.
-    nodes = scratch.write(sigs.groupBy("key").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "nodes")
-    sketches = nodes.filter("sketch is not null").select("node", "sketch").dropDuplicates(["node"])
-    verifier = _Verifier(spark, docs, nodes, heavy, id_col, text_col, scratch)
-    edges: DataFrame | None = None
-    comp: DataFrame | None = None
-
-    def merge(new: DataFrame) -> None:
-        nonlocal edges, comp
-        edges = scratch.write(new if edges is None else comp.select(F.col("node").alias("u"), F.col("comp").alias("v")).union(new), "all-links")
-        comp = components(edges, scratch)
-
-    def compare(pairs: DataFrame) -> DataFrame:
-        """Sketch similarities of distinct pairs, after verifying and merging those that can be links."""
-        one = sketches.select(F.col("node").alias("u"), F.col("sketch").alias("su"))
-        two = sketches.select(F.col("node").alias("v"), F.col("sketch").alias("sv"))
-        seen = scratch.write(pairs.join(one, "u").join(two, "v").select("u", "v", sketch_similarity("su", "sv").alias("s")), "seen")
-        sure = seen.filter(F.col("s") >= F.lit(LIKELY)).select("u", "v")
-        if not sure.isEmpty():
-            merge(verifier.links(sure))
-        rest = seen.filter((F.col("s") >= F.lit(MAYBE)) & (F.col("s") < F.lit(LIKELY))).select("u", "v")
-        rest = _labelled(rest.withColumnRenamed("u", "node"), comp).withColumnsRenamed({"node": "u", "comp": "cu"})
-        rest = _labelled(rest.withColumnRenamed("v", "node"), comp).withColumnsRenamed({"node": "v", "comp": "cv"})
-        rest = scratch.write(rest.filter("cu <> cv").select("u", "v"), "rest")
-        if not rest.isEmpty():
-            merge(verifier.links(rest))
-        return seen
-
-    rows = nodes.filter("bands is not null").select("node", F.explode("bands").alias("bucket"))
-    depth = 0
-    while True:
-        # Buckets with company, and how much company a node has in all its buckets.
-        sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-        live = scratch.write(rows.join(sizes, "bucket"), "live")
-        if live.isEmpty():
-            break
-        company = live.groupBy("node").agg(F.sum("n").alias("company"))
-        live = live.select("bucket", "node").join(company, "node")
-        leaders = live.groupBy("bucket").agg(F.max(F.struct("company", (-F.col("node")).alias("minus"))).alias("top")).select("bucket", (-F.col("top.minus")).alias("leader"))
-        led = scratch.write(live.select("bucket", "node").join(leaders, "bucket"), "led")
-        seen = compare(led.filter("node <> leader").select(F.col("node").alias("u"), F.col("leader").alias("v")).distinct())
-        # Look again at buckets that are not one class, in two overlapping sides.
-        again = _labelled(led.join(seen.select(F.col("u").alias("node"), F.col("v").alias("leader"), "s"), ["node", "leader"]), comp)
-        near = again.filter(F.col("s") >= F.lit(NEAR)).select(F.xxhash64("bucket", F.lit("near")).alias("bucket"), "node", "comp")
-        far = again.filter(F.col("s") < F.lit(FAR)).select(F.xxhash64("bucket", F.lit("far")).alias("bucket"), "node", "comp")
-        sides = scratch.write(near.union(far), "sides")
-        open_ = scratch.write(sides.join(_mixed(sides), "bucket"), "open")
-        few = open_.filter(F.col("size") <= SMALL)
-        across = (
-            few.select("bucket", F.col("node").alias("u"), F.col("comp").alias("cu"))
-            .join(few.select("bucket", F.col("node").alias("v"), F.col("comp").alias("cv")), "bucket")
-            .filter("u < v and cu <> cv").select("u", "v").distinct()
-        )
-        if not few.isEmpty():
-            compare(across)
-        depth += 1
-        many = _labelled(open_.filter(F.col("size") > SMALL).select("bucket", "node"), comp)
-        many = many.join(_mixed(many).select("bucket"), "bucket", "left_semi")
-        split = many.join(nodes.select("node", "bands").dropDuplicates(["node"]), "node").select("node", "bucket", F.explode("bands").alias("value"))
-        rows = scratch.write(split.select("node", F.xxhash64("bucket", "value", F.lit(depth)).alias("bucket")).distinct(), "rows")
-        if rows.isEmpty():
-            break
-    class_of = nodes.select("key", "node")
-    out = sigs.select("doc_id", "key").join(_labelled(class_of, comp).select("key", "comp"), "key").select("doc_id", F.col("comp").alias("class_id"))
-    out = out.groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
+    run = _Run(docs, id_col, text_col, scratch or Scratch(docs.sparkSession, "dedup"))
+    comp = run.classes()
+    of = run.nodes.select("node", "first_id")
+    if comp is None:
+        of = of.select("node", F.col("first_id").alias("class_id"))
+    else:
+        of = of.join(comp, "node", "left").select("node", "first_id", F.coalesce("comp", "node").alias("comp"))
+        of = of.join(of.groupBy("comp").agg(F.min("first_id").alias("class_id")), "comp").select("node", "class_id")
+    # An id that repeats with several texts takes the least of their classes.
+    out = run.signed.select("doc_id", "node").join(of, "node").groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
     ids = docs.select(F.col(id_col).cast("long").alias("doc_id"))
     return ids.join(out, "doc_id", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
 
