@@ -27,8 +27,8 @@ From buckets to classes, in two steps that never spell out the pairs of a group:
 * *Links* are verified exactly inside each cluster, whose texts are brought together once; pairs that
   are joined already are skipped.  A cluster beyond ``CLUSTER`` documents or ``CLUSTER_CHARS``
   characters is not brought together: its members are verified against its centre (the one with the
-  most company in its buckets) one by one, and the members that do not link to it are compared with
-  all others in blocks of bounded size, whose plausible pairs are verified one by one too.
+  most company in its buckets) one by one, and the members that do not link to it meet all others in
+  pairs of blocks of bounded size; again joined pairs are skipped and a member emits one link at most.
 
 Defined results: equal texts are one class; null texts and texts without words are alone, except
 that equal ones of the latter are one class; a null id has class null; an id that repeats with different
@@ -361,16 +361,33 @@ def _verified(heavy):
     return run
 
 
-def _plausible(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per pair of blocks: pairs of a member that is left (``left``) and any other whose sketches are similar."""
-    for pdf in _grouped(batches, "block"):
-        for a, b in _bounds(pdf["block"].to_numpy()):
-            part = pdf.iloc[a:b]
-            node, left = part["node"].to_numpy(np.int64), part["left"].to_numpy(bool)
-            sketch = np.frombuffer(b"".join(part["sketch"]), np.uint8).reshape(b - a, -1)
-            i, j = np.nonzero(_between(sketch[left], sketch) >= MAYBE)
-            u, v = node[left][i], node[j]
-            yield pd.DataFrame({"u": np.maximum(u, v)[u != v], "v": np.minimum(u, v)[u != v]}).drop_duplicates()
+def _linked(heavy):
+    """Per pair of blocks of a hot cluster: links that join its classes so far (``done`` members are one).
+
+    Members that ``ask`` are compared with all of the block; a pair that is joined already is skipped,
+    so at most one link a member is emitted.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in _grouped(batches, "block"):
+            for a, b in _bounds(pdf["block"].to_numpy()):
+                part = pdf.iloc[a:b]
+                node, asks, done, texts = part["node"].to_numpy(np.int64), part["asks"].to_numpy(bool), part["done"].to_numpy(bool), part["text"].tolist()
+                docs = [weighted(d, heavy.value) for s in in_chunks(texts) for d in shingles(texts[s], WIDTH)]
+                sketch = np.frombuffer(b"".join(part["sketch"]), np.uint8).reshape(b - a, -1)
+                askers = np.flatnonzero(asks)
+                near = _between(sketch[asks], sketch)
+                i, j = np.nonzero(near >= MAYBE)
+                order = np.argsort(-near[i, j], kind="stable")
+                label = np.where(done, -1, node)
+                out = []
+                for x, y in zip(askers[i[order]].tolist(), j[order].tolist(), strict=True):
+                    if label[x] != label[y] and jaccard(docs[x], docs[y]) >= SIMILARITY - 1e-9:
+                        out.append((node[x], node[y]))
+                        label[label == max(label[x], label[y])] = min(label[x], label[y])
+                yield pd.DataFrame(out, columns=["u", "v"], dtype=np.int64)
+
+    return run
 
 
 class _Run:
@@ -445,25 +462,26 @@ class _Run:
 
     def hot_classes(self, members: DataFrame, company: DataFrame) -> DataFrame:
         """(node, comp) of clusters too large to be brought together."""
-        members = self.scratch.write(members.join(company, "node").select("cluster", "node", "company"), "hot-members")
-        centres = members.groupBy("cluster").agg(F.max(F.struct("company", (-F.col("node")).alias("minus"))).alias("top"), F.count(F.lit(1)).alias("size"))
-        centres = centres.select("cluster", (-F.col("top.minus")).alias("centre"), "size")
-        led = members.join(centres, "cluster")
+        members = self.scratch.write(members.join(company, "node").select("cluster", "node", "n_chars", "company"), "hot-members")
+        centres = members.groupBy("cluster").agg(F.max(F.struct("company", (-F.col("node")).alias("minus"))).alias("top"), F.count(F.lit(1)).alias("size"), F.sum("n_chars").alias("chars"))
+        blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("chars") / (CLUSTER_CHARS / 2))).cast("int")
+        centres = centres.select("cluster", (-F.col("top.minus")).alias("centre"), blocks.alias("n_blocks"))
+        led = members.select("cluster", "node").join(centres, "cluster")
         links = self.verified_pairs(led.filter("node <> centre").select(F.col("node").alias("u"), F.col("centre").alias("v")))
         done = links.select(F.col("u").alias("node")).union(centres.select(F.col("centre").alias("node")))
-        left = led.join(done.withColumn("done", F.lit(True)), "node", "left").withColumn("left", F.col("done").isNull())
-        left = left.join(self.sketches.select("node", "sketch"), "node").withColumn("n_blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
-        left = self.scratch.write(left.select("cluster", "node", "left", "n_blocks", "sketch", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int").alias("b")), "left")
-        # Members that are left meet every block of their cluster; members of a block come to those that exist.
-        rest = left.filter("left").select("cluster", "n_blocks", "node", "sketch", "left", F.col("b").alias("x"))
+        all_ = led.join(done.withColumn("_d", F.lit(True)), "node", "left").withColumn("done", F.col("_d").isNotNull())
+        all_ = self.with_texts(all_.join(self.sketches.select("node", "sketch"), "node"))
+        all_ = self.scratch.write(all_.select("cluster", "node", "done", "n_blocks", "sketch", "text", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int").alias("b")), "hot-texts")
+        # Members that are left meet every block of their cluster; blocks come to those that some are left in.
+        rest = all_.filter(~F.col("done")).withColumnRenamed("b", "x")
         asked = rest.select("cluster", "x").distinct()
-        to_all = rest.withColumn("y", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
-        others = left.join(asked, "cluster").select("cluster", "node", "sketch", F.lit(False).alias("left"), "x", F.col("b").alias("y"))
-        met = to_all.select("cluster", "node", "sketch", "left", "x", "y").union(others).withColumn("block", F.xxhash64("cluster", "x", "y"))
-        pairs = met.select("block", "node", "left", "sketch").repartition("block").sortWithinPartitions("block").mapInPandas(_plausible, EDGES).distinct()
-        links = self.scratch.write(links.union(self.verified_pairs(self.scratch.write(pairs, "plausible"))), "hot-links")
-        found = components(links.union(members.select(F.col("node").alias("u"), F.col("node").alias("v"))), self.scratch)
-        return found
+        to_all = rest.withColumn("y", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1))).withColumn("asks", F.lit(True))
+        others = all_.join(asked, "cluster").withColumnRenamed("b", "y").filter(F.col("done") | (F.col("x") != F.col("y"))).withColumn("asks", F.lit(False))
+        columns = ["cluster", "x", "y", "node", "asks", "done", "sketch", "text"]
+        met = to_all.select(*columns).union(others.select(*columns)).withColumn("block", F.xxhash64("cluster", "x", "y")).drop("cluster", "x", "y")
+        found = met.repartition("block").sortWithinPartitions("block", "node").mapInPandas(_linked(self.heavy), EDGES)
+        links = self.scratch.write(links.union(found).distinct(), "hot-links")
+        return components(links.union(members.select(F.col("node").alias("u"), F.col("node").alias("v"))), self.scratch)
 
     def classes(self) -> DataFrame | None:
         """(node, comp) of all nodes that share a cluster with another; None if there are none."""
@@ -478,7 +496,7 @@ class _Run:
         small = self.with_texts(clusters.join(large, "cluster", "left_anti").select("cluster", "node", "sketch"))
         found = small.repartition("cluster").sortWithinPartitions("cluster", "node").mapInPandas(_verified(self.heavy), "node long, comp long")
         if not large.isEmpty():
-            found = found.union(self.hot_classes(clusters.join(large, "cluster", "left_semi").select("cluster", "node"), company))
+            found = found.union(self.hot_classes(clusters.join(large, "cluster", "left_semi").select("cluster", "node", "n_chars"), company))
         return self.scratch.write(found, "classes")
 
 

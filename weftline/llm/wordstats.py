@@ -50,7 +50,7 @@ def duplicate_lines(text: str | None) -> tuple[int, int]:
     return len(lines), len(lines) - len(set(lines))
 
 
-def in_chunks(texts: list, max_chars: int = 4_000_000) -> Iterator[slice]:
+def in_chunks(texts: list, max_chars: int = 2_000_000) -> Iterator[slice]:
     """Slices of a batch whose texts hold about ``max_chars`` characters; at least one text each."""
     start = size = 0
     for i, text in enumerate(texts):
