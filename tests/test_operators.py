@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from weftline.functions import text as X
 from weftline.functions import translit
 from weftline.operators import align, graph, ordered, qc, relational
+from weftline.plans import catalogue
 from weftline.sources import files, html
 from weftline.streaming import incremental
 
@@ -122,6 +123,29 @@ def test_forward_match_equals_a_loop(spark):
     assert [[tuple(m) for m in g.matches] for g in got] == [match_by_loop(b, q) for b, q in cases]
 
 
+def test_forward_match_of_one_list_equals_a_loop(spark):
+    import random
+
+    r = random.Random(2)
+    word = lambda: "".join(r.choice("ab") for _ in range(r.randint(0, 30)))
+    queries = [word() for _ in range(40)] + [None]
+    texts = ["".join(r.choice("ab") for _ in range(400)) for _ in range(30)] + ["", "ab", None]
+    got = align.forward_match_all(spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "k long, big string"), "big", queries).collect()
+    for row in got:
+        expected = match_by_loop(row.big, [q if q is not None else "#" for q in queries]) if row.big is not None else []
+        assert [tuple(m) for m in row.finds] == [(k, a, n) for k, (found, a, n) in enumerate(expected) if found]
+
+
+def test_forward_match_query_seeks_whole_items(spark, tmp_path):
+    item = "the quick brown fox jumps over the lazy dog and goes home again"
+    texts = [(1, "so " + item[:45] + " not; then " + item), (2, item[:14] + " alone"), (3, "nothing")]
+    spark.createDataFrame([(1, item), (2, "goes home")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted(tuple(r) for r in catalogue.QUERIES["forward_match"](spark, str(tmp_path)).collect())
+    whole = texts[0][1].index(item)
+    assert got == [(1, 0, whole, len(item)), (1, 1, texts[0][1].index("goes home", whole), 9), (2, 0, 0, len(item))]
+
+
 def test_deficits_and_checks(spark):
     df = spark.createDataFrame([(1, 1000, 900), (2, 1000, 980), (3, 100, 45), (4, 0, 0)], "k long, a long, b long")
     assert [r.k for r in align.deficits(df, "a", "b").collect()] == [1]

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +33,53 @@ def forward_match(groups: DataFrame, big: str, queries: str) -> DataFrame:
     return groups.withColumn("matches", F.expr(fold))
 
 
+class Sought:
+    """An ordered list of queries, sought as in ``forward_match``.
+
+    No query is found, whole or by its prefix, in a text that lacks its first twelve characters, and
+    one that is not found leaves the cursor alone; so a text is read once, and only queries whose first
+    characters it holds are sought.
+    """
+
+    def __init__(self, queries: list[str | None]):
+        self.queries, self.by_start = queries, defaultdict(list)
+        for k, q in enumerate(queries):
+            if q is not None:
+                self.by_start[q[:PREFIX]].append(k)
+        self.short = [s for s in self.by_start if len(s) < PREFIX]
+
+    def finds(self, big: str | None) -> list[tuple[int, int, int]]:
+        """(position in the list, start, match_length) of the queries that are found."""
+        if big is None:
+            return []
+        starts = {s for i in range(len(big) - PREFIX + 1) if (s := big[i : i + PREFIX]) in self.by_start}
+        starts.update(s for s in self.short if s in big)
+        at, out = 0, []
+        for k in sorted(k for s in starts for k in self.by_start[s]):
+            q = self.queries[k]
+            hit = big.find(q, at)
+            if hit < 0 and len(q) > PREFIX:
+                hit = big.find(q[:PREFIX], at)
+            if hit >= 0:
+                out.append((k, hit, len(q)))
+                at = hit + max(1, len(q) // 2)
+        return out
+
+
+def forward_match_all(texts: DataFrame, big: str, queries: list[str | None]) -> DataFrame:
+    """[E16] ``forward_match`` of one whole list in every text: ``texts`` with an array ``finds`` of what is found.
+
+    The list is held by the driver and sent to each Python worker; texts are independent of one another.
+    """
+    sought = Sought(queries)
+
+    @F.pandas_udf("array<struct<pos:int,start:int,match_length:int>>")
+    def found(text: pd.Series) -> pd.Series:
+        return pd.Series([[{"pos": k, "start": a, "match_length": n} for k, a, n in sought.finds(x)] for x in text], dtype=object)
+
+    return texts.withColumn("finds", found(F.col(big)))
+
+
 def deficits(df: DataFrame, source_len: str, target_len: str, at_least: int = 60, ratio: float = 0.97) -> DataFrame:
     """[F8, P6] Rows whose target is shorter than its source by more than ``at_least`` characters and below ``ratio`` of it."""
     rows = df.withColumn("deficit", F.col(source_len) - F.col(target_len)).withColumn("ratio", F.when(F.col(source_len) != 0, F.col(target_len) / F.col(source_len)))
