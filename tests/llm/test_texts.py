@@ -120,6 +120,22 @@ def test_pii_frames(spark, crf):
     assert got[5].spans == "" and pii.redact(rows[3][1], got[4].spans) == "call me at [PHONE] today"
 
 
+def test_long_windows_are_tagged_whole(crf):
+    phone, n = "(555) 123-4567", 9_000
+    text = " or ".join([phone] * n)
+    tokens, = pii.windows(text)
+    assert len(tokens) == 3 * n - 1 and text[tokens[255][0] : tokens[256][1]] == phone
+    assert pii.added_spans([text], [pii.base_spans(text)], crf)[0] == [("phone", i, i + 14) for i in range(0, len(text), 18)]
+    feats = pii.features([text[a:b] for a, b in tokens[:400]])
+    for n_scored in (1, 7, 10_000):
+        pii.SCORED, kept = n_scored, pii.SCORED
+        try:
+            got = crf.viterbi(feats[None])
+        finally:
+            pii.SCORED = kept
+        assert (got == crf.viterbi(feats[None])).all()
+
+
 def test_windows_are_all_tokens_near_triggers():
     r = random.Random(8)
     for _ in range(300):

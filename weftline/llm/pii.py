@@ -179,6 +179,10 @@ def labelled_table(n: int = 320, seed: int = 7) -> list[tuple[list[str], list[st
     return rows
 
 
+#: Tokens whose emissions are held at once, and tokens of short windows tagged in one batch.
+SCORED, BATCH = 16_384, 65_536
+
+
 class Crf:
     """Weights of emissions (feature, label) and transitions (label, label)."""
 
@@ -190,13 +194,15 @@ class Crf:
 
     def viterbi(self, feats: np.ndarray) -> np.ndarray:
         """Best labels of a batch of sequences of one length: (batch, length, features) in, (batch, length) out."""
-        e = self.scores(feats)
-        n, length, _ = e.shape
-        best, back = e[:, 0], np.zeros((n, length, len(LABELS)), np.int8)
-        for t in range(1, length):
-            through = best[:, :, None] + self.move
-            back[:, t] = through.argmax(1)
-            best = through.max(1) + e[:, t]
+        n, length, _ = feats.shape
+        step = max(1, SCORED // max(1, n))
+        best, back = self.scores(feats[:, :1])[:, 0], np.zeros((n, length, len(LABELS)), np.int8)
+        for at in range(1, length, step):
+            e = self.scores(feats[:, at : at + step])
+            for t in range(at, min(at + step, length)):
+                through = best[:, :, None] + self.move
+                back[:, t] = through.argmax(1)
+                best = through.max(1) + e[:, t - at]
         out = np.empty((n, length), np.int8)
         out[:, -1] = best.argmax(1)
         for t in range(length - 1, 0, -1):
@@ -293,8 +299,6 @@ def windows(text: str) -> Iterator[list[tuple[int, int]]]:
         yield tokens
 
 
-#: Longest window tagged at once; a longer run of triggers is cut there, with the cut inside no span if it can be.
-MAX_WINDOW = 256
 _TRIM = re.compile(r"^[^\w+(\[]+|[^\w)\]]+$")
 _ADDRESS = re.compile(r"\S+(?:@| ?[(\[]at[)\]] ?| at )\S*?(?:\.| ?[(\[]dot[)\]] ?| dot )[\w-]\S*")
 
@@ -312,17 +316,19 @@ def _valid(kind: str, text: str) -> bool:
 
 
 def added_spans(texts: list[str | None], base: list[list[Span]], model: Crf) -> list[list[Span]]:
-    """CRF spans of a batch of texts that touch no base span and pass their kind's check."""
+    """CRF spans of a batch of texts that touch no base span and pass their kind's check.
+
+    A window is tagged whole, whatever its length; time and memory are linear in it.
+    """
     out: list[list[Span]] = [[] for _ in texts]
     by_length: dict[int, list[tuple[int, list[tuple[int, int]], np.ndarray]]] = {}
     for i, text in enumerate(texts):
         for tokens in windows(text) if text else ():
-            for j in range(0, len(tokens), MAX_WINDOW):
-                part = tokens[j : j + MAX_WINDOW]
-                by_length.setdefault(len(part), []).append((i, part, features([text[a:b] for a, b in part])))
-    for group in by_length.values():
-        for at in range(0, len(group), 4_096):
-            some = group[at : at + 4_096]
+            by_length.setdefault(len(tokens), []).append((i, tokens, features([text[a:b] for a, b in tokens])))
+    for length, group in by_length.items():
+        most = max(1, BATCH // length)
+        for at in range(0, len(group), most):
+            some = group[at : at + most]
             for (i, tokens, _), labels in zip(some, model.viterbi(np.stack([f for _, _, f in some])), strict=True):
                 text, k = texts[i], 0
                 while k < len(tokens):
