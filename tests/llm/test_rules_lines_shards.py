@@ -51,6 +51,17 @@ def test_line_dedup_is_relative_to_the_host(spark):
     assert line_dedup.op10(spark.createDataFrame([], DOC)).count() == 0
 
 
+def test_pipeline_keeps_the_lines_of_a_group_of_copies(spark):
+    import corpus_pipeline
+
+    rows = [(i, f"menu\nown line {i}", "a", "") for i in range(20)] + [(100 + i, "menu\nbody of the copies\nits end", "a", "") for i in range(30)]
+    docs = spark.createDataFrame(rows, DOC).withColumn("n_chars", F.length("text").cast("long"))
+    got = {r.doc_id: r.text for r in corpus_pipeline.lines(spark, docs, "").collect()}
+    assert got == {i: f"own line {i}" for i in range(20)} | {100 + i: "body of the copies\nits end" for i in range(30)}
+    none = spark.createDataFrame([(1, None, None, ""), (2, "x", None, "")], DOC).withColumn("n_chars", F.lit(0).cast("long"))
+    assert {r.doc_id: r.text for r in corpus_pipeline.lines(spark, none, "").collect()} == {1: None, 2: "x"}
+
+
 def test_url_host(spark):
     df = spark.createDataFrame([("http://www.A.example.com:80/x",), ("https://u@b.org?q",), (None,), ("nothing",)], "url string")
     assert [r[0] for r in df.select(line_dedup.url_host(F.col("url"))).collect()] == ["a.example.com", "b.org", None, ""]

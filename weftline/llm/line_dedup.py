@@ -11,8 +11,13 @@ Pages without a boilerplate host (the join's other side is small) are not shuffl
 array table stays under ``broadcast_rows``; beyond it the join is an ordinary one, which Spark may
 split where a host is hot.
 
+With ``distinct_texts`` a page is a distinct text of its host, in the count of a line and in the host's
+total alike: a group of exact copies is then one page, whose own lines are not taken for boilerplate
+just because it was copied; the copies are left to near dedup.  Without it each row is a page, which is
+what the query's SQL says.
+
 Defined results: a null text stays null, with 0 lines; a line without a word character is never
-dropped and never counted; a null host is a host of its own; repeated rows each count as a page;
+dropped and never counted; a null host is a host of its own; repeated rows each count as a page unless ``distinct_texts`` is set;
 an empty table gives an empty result; other columns pass through (the names ``_line_*`` are ours).
 """
 
@@ -41,12 +46,19 @@ def _hashes(text: Column) -> Column:
     return F.array_distinct(F.transform(full, lambda x: F.xxhash64(x)))
 
 
-def boilerplate(df: DataFrame, host_col: str, text_col: str, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def _distinct_pages(pages: DataFrame) -> DataFrame:
+    """One row per host and distinct text: two 64-bit hashes and the length stand for the text, its line hashes go with them."""
+    key = [F.xxhash64("text").alias("a"), F.xxhash64(F.lit(1), F.reverse("text")).alias("b"), F.length("text").alias("n")]
+    return pages.select("host", *key, _hashes(F.col("text")).alias("hashes")).groupBy("host", "a", "b", "n").agg(F.first("hashes").alias("hashes"))
+
+
+def boilerplate(df: DataFrame, host_col: str, text_col: str, ratio: float = RATIO, min_pages: int = MIN_PAGES, distinct_texts: bool = False) -> DataFrame:
     """(host, line_hash, n_pages, host_pages) of the lines to drop."""
     pages = df.select(F.col(host_col).alias("host"), F.col(text_col).alias("text"))
+    pages = _distinct_pages(pages) if distinct_texts else pages.withColumn("hashes", _hashes(F.col("text")))
     totals = pages.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages")).withColumnRenamed("host", "of_host")
     counts = (
-        pages.select("host", F.explode(_hashes(F.col("text"))).alias("line_hash"))
+        pages.select("host", F.explode("hashes").alias("line_hash"))
         .groupBy("host", "line_hash").agg(F.count(F.lit(1)).alias("n_pages")).filter(F.col("n_pages") >= min_pages)
     )
     if totals.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
@@ -54,10 +66,10 @@ def boilerplate(df: DataFrame, host_col: str, text_col: str, ratio: float = RATI
     return counts.join(totals, F.col("host").eqNullSafe(F.col("of_host")), "inner").drop("of_host").filter(F.col("n_pages") >= F.lit(ratio) * F.col("host_pages"))
 
 
-def line_dedup(df: DataFrame, host_col: str = "source", text_col: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def line_dedup(df: DataFrame, host_col: str = "source", text_col: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES, distinct_texts: bool = False) -> DataFrame:
     """``df`` with boilerplate lines taken out of ``text_col``, plus ``_line_total`` and ``_line_dropped``."""
     drop = (
-        boilerplate(df, host_col, text_col, ratio, min_pages)
+        boilerplate(df, host_col, text_col, ratio, min_pages, distinct_texts)
         .groupBy("host").agg(F.collect_set("line_hash").alias("_line_drop"))
         .withColumnRenamed("host", "_line_host")
     )
