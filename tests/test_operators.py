@@ -146,6 +146,33 @@ def test_forward_match_query_seeks_whole_items(spark, tmp_path):
     assert got == [(1, 0, whole, len(item)), (1, 1, texts[0][1].index("goes home", whole), 9), (2, 0, 0, len(item))]
 
 
+def test_next_runs_whole_equals_a_loop(spark, tmp_path):
+    import random
+
+    r = random.Random(4)
+    rows = [(i, 1 + i // 1500, "purchase" if r.random() < 0.01 else "view", 50.0 if i % 450 in range(430, 445) or r.random() < 0.002 else 1.0) for i in range(3000)]
+    spark.createDataFrame(rows, "event_id long, user_id long, event_type string, value double").write.parquet(f"{tmp_path}/events.parquet")
+    expected = {}
+    for user in (1, 2):
+        own = [x for x in rows if x[1] == user]
+        for k, x in enumerate(own):
+            if x[2] == "purchase":
+                run = []
+                for y in own[k + 1 : k + 400]:
+                    if y[0] % 5 == 0:
+                        continue
+                    if y[3] > 30:
+                        run.append(y[0])
+                    elif run:
+                        break
+                    if len(run) == 6:
+                        break
+                expected[x[0]] = run
+    got = {x.event_id: x.run for x in catalogue.QUERIES["next_runs_whole"](spark, str(tmp_path)).collect()}
+    assert got == expected and max(map(len, expected.values())) == 6
+    assert any(run and run[0] - e >= 20 for e, run in expected.items())
+
+
 def test_deficits_and_checks(spark):
     df = spark.createDataFrame([(1, 1000, 900), (2, 1000, 980), (3, 100, 45), (4, 0, 0)], "k long, a long, b long")
     assert [r.k for r in align.deficits(df, "a", "b").collect()] == [1]
