@@ -166,6 +166,24 @@ def without_marker_lines(x: Column) -> Column:
     return F.array_join(F.filter(F.split(x, "\n", -1), lambda t: ~t.rlike(r"^[|()0-9\s]+$")), "\n")
 
 
+def is_section_line(line: Column) -> Column:
+    """[P9] Verse markers, numbered labels, section numbers and short pada titles, as trimmed lines."""
+    t = strip(line)
+    title = t.rlike(r"(?iu)^(prathamo|dvitīyo|tṛtīyo|caturtho)['’]?dhyāy|^(prathamaḥ|dvitīyaḥ|tṛtīyaḥ|caturthaḥ)(?U:\s)*pādaḥ") & (F.length(t) < 70)
+    return t.rlike(r"(?U)^\|\|\s*[\d.]+\s*\|\|$") | t.rlike(r"(?U)^\d+\.\s*[^\n]+$") | t.rlike(r"(?U)^\(\s*[\d.]+\s*\)$") | title
+
+
+def is_stray_line(line: Column) -> Column:
+    """[P10] Stray ``@N`` lines and malformed section markers such as ``(39]``."""
+    t = strip(line)
+    return t.rlike(r"(?U)^@\d+$") | t.rlike(r"(?U)^[(\[]\d+[)\]]$")
+
+
+def without_section_lines(x: Column) -> Column:
+    """[P9, P10] Without section lines and stray lines."""
+    return F.array_join(F.filter(F.split(x, "\n", -1), lambda t: ~(is_section_line(t) | is_stray_line(t))), "\n")
+
+
 def without_boilerplate(x: Column, lines: tuple[str, ...]) -> Column:
     """[C22] Without given lines and without lines that are a number."""
     return F.array_join(F.filter(F.split(x, "\n", -1), lambda t: ~(strip(t).isin(*lines) | strip(t).rlike("^[0-9]+$"))), "\n")

@@ -11,6 +11,14 @@ from weftline.functions.text import DEVANAGARI_DIGITS, from_devanagari_digits
 CITATION = r"\[((?:वे\.सू्?\.|ब्र\.सू्?\.)[^\]]*)\]"
 TRIPLE = r"([०-९]+)\.([०-९]+)\.([०-९]+)"
 
+# Fixed value: works whose references make the graph.
+WORKS = ("tattva-sandarbha", "bhagavat-sandarbha", "paramatma-sandarbha", "krishna-sandarbha")
+
+
+def of_works(lines: DataFrame, work: str, works: tuple[str, ...] = WORKS) -> DataFrame:
+    """[P5] The rows whose work is in an allow-list; a null work is in none."""
+    return lines.filter(F.col(work).isin(*works))
+
 
 def citations(lines: DataFrame, line: str = "line", pattern: str = CITATION) -> DataFrame:
     """[J2, J3] One row per reference with its first triple of numbers; references without one are dropped."""

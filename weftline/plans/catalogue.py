@@ -339,10 +339,18 @@ def _citation_lines(spark, sf_dir):
 
 @query(f"WITH {CITES} SELECT l_orderkey, l_linenumber, abbrev, a::BIGINT AS adhyaya, p::BIGINT AS pada, s::BIGINT AS sutra, concat_ws('.', a, p, s) AS sutra_id FROM c")
 def citation_edges(spark, sf_dir):
-    """References in lines."""
+    """References in lines of all works; ``citation_edges_of_works`` has P5."""
     return graph.citations(_citation_lines(spark, sf_dir)).select("l_orderkey", "l_linenumber", "abbrev", "adhyaya", "pada", "sutra", "sutra_id")
 
 
+@query()
+def citation_edges_of_works(spark, sf_dir):
+    """References in lines of the works in the allow-list; two of six made-up works are not in it (tested on the golden rows)."""
+    slugs = F.array(*map(F.lit, (*graph.WORKS, "govinda-bhashya", "stavamala")))
+    rows = _citation_lines(spark, sf_dir).withColumn("work", F.get(slugs, (F.col("l_suppkey") % 6).cast("int")))
+    return graph.citations(graph.of_works(rows, "work")).select("l_orderkey", "l_linenumber", "work", "abbrev", "adhyaya", "pada", "sutra", "sutra_id")
+
+
 @query(f"""WITH {CITES}, e AS (SELECT concat_ws('.', a, p, s) AS sutra_id, abbrev, l_orderkey, l_linenumber FROM c),
 f AS (SELECT sutra_id, abbrev, min((l_orderkey, l_linenumber)) AS pos, count(*) AS n FROM e GROUP BY ALL)
 SELECT sutra_id, sum(n)::BIGINT AS citation_count, count(*)::BIGINT AS n_sources, string_agg(abbrev, ',' ORDER BY pos, abbrev) AS sources, CASE WHEN count(*) > 1 THEN 'both' ELSE 'single' END AS kind FROM f GROUP BY sutra_id""")
@@ -434,12 +442,19 @@ def paragraph_split(spark, sf_dir):
 @query(f"""WITH {LINES}, k AS (SELECT doc_id, idx, line FROM lines WHERE NOT regexp_full_match(line, '[|()0-9\\s]+') AND NOT regexp_full_match(line, '\\s*-{{3,}}\\s*'))
 SELECT doc_id, count(*)::BIGINT AS n, string_agg(left(line, 20), '|' ORDER BY idx) AS heads FROM k GROUP BY doc_id""")
 def line_cleanup(spark, sf_dir):
-    """Marker lines and rules dropped."""
+    """Marker lines and rules dropped, heads of the lines that stay, as its SQL has it; ``line_cleanup_whole`` has P9, P10 and whole lines."""
     clean = X.without_rules(X.without_marker_lines(F.col("text")))
     ls = F.split(clean, "\n", -1)
     return t(spark, sf_dir, "documents").select("doc_id", F.size(ls).cast("long").alias("n"), F.array_join(F.transform(ls, lambda x: F.substring(x, 1, 20)), "|").alias("heads"))
 
 
+@query()
+def line_cleanup_whole(spark, sf_dir):
+    """Marker, rule, section and stray lines dropped; the whole cleaned text (no SQL; tested on fixed lines)."""
+    clean = X.without_section_lines(X.without_rules(X.without_marker_lines(F.col("text"))))
+    return t(spark, sf_dir, "documents").select("doc_id", clean.alias("clean"))
+
+
 @query("""SELECT doc_id, replace(replace(replace(replace(CASE WHEN length(text) > 220 THEN left(text, 220) || '…' ELSE text END, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;') AS shown FROM documents""")
 def excerpt(spark, sf_dir):
     """Escaped excerpts."""
