@@ -127,6 +127,17 @@ def test_rule_ensemble_learns_and_compiles(spark):
     assert model.describe() and rule_ensemble.keep_good(docs, model).columns == docs.columns
 
 
+def test_training_rows_are_those_of_least_id_hash_with_repeats(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"{'word ' * (i + 1)}{k}", "", "") for i in range(40) for k in range(4)], DOC)
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(40)], "doc_id long, quality int, toxic int")
+    seen = []
+    monkeypatch.setattr(rule_ensemble, "fit", lambda x, y: seen.append(x) or rule_ensemble.Model(0.0, [], []))
+    rule_ensemble.train(docs, labels, max_train=10)
+    ids = [r.i for r in labels.filter(~rule_ensemble.held_out(F.col("doc_id"))).select(F.col("doc_id").alias("i")).orderBy(F.xxhash64("i")).collect()]
+    firsts = rule_ensemble.with_statistics(docs.filter(F.col("doc_id").isin(ids[:3]))).select("_stat.*").distinct().collect()
+    assert len(seen[0]) == 10 and {tuple(x) for x in seen[0].tolist()} <= {tuple(map(float, x)) for x in firsts}
+
+
 def test_rule_ensemble_without_labels(spark):
     docs = spark.createDataFrame([(1, "a", "", "")], DOC)
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")

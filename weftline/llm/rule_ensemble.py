@@ -203,15 +203,15 @@ def held_out(id_col: Column) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_train: int = MAX_TRAIN) -> Model:
-    """Fit on at most ``max_train`` labelled rows outside the held-out fold."""
+    """Fit on the ``max_train`` labelled rows of least id hash outside the held-out fold; ids repeated in ``docs`` count as rows."""
     sample = (
         labels.select(F.col("doc_id").alias("_lid"), F.col("quality").alias("_label"))
         .filter(F.col("_label").isin(0, 1) & ~held_out(F.col("_lid")))
         .orderBy(F.xxhash64("_lid"), "_lid", "_label").limit(max_train)
     )
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(sample), F.col("_id") == F.col("_lid"))
-    got = with_statistics(rows.select("_id", "_label", "_text"), "_text").select("_id", "_label", "_stat.*").collect()
-    got = sorted(map(tuple, got))[: 2 * max_train]
+    got = with_statistics(rows.select("_id", "_label", "_text"), "_text").select("_id", "_label", "_stat.*")
+    got = sorted(map(tuple, got.orderBy(F.xxhash64("_id"), *got.columns).limit(max_train).collect()))
     x = np.array([r[2:] for r in got], float).reshape(len(got), len(NAMES))
     return fit(x, np.array([r[1] for r in got], float))
 
