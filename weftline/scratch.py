@@ -2,13 +2,11 @@
 
 Lineage is cut by writing Parquet below ``spark.checkpoint.dir`` and reading it again, so a lost
 executor costs a re-read and never a recomputation from the source.  The setting is read from the
-session; a folder of our own is chosen only where it is unset (unit tests).
+session; only a session in local mode, as in tests, may do without it.
 """
 
 from __future__ import annotations
 
-import atexit
-import contextlib
 import tempfile
 import uuid
 
@@ -16,9 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only if that is unset."""
+    """The folder named by ``spark.checkpoint.dir``; a folder of our own only where that is unset and all runs on this machine."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = f"file://{tempfile.gettempdir()}/weftline-scratch"
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
@@ -32,13 +33,21 @@ def delete(spark: SparkSession, path: str) -> None:
 
 
 class Scratch:
-    """A folder of written tables for one operator run."""
+    """Written tables of one operator run.
+
+    Operators ``drop`` what nothing reads any more; what a result still reads goes when the driver's
+    JVM ends, by Hadoop's own list of folders to delete then, whether or not the session was stopped.
+    """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/weft-{name}-{uuid.uuid4().hex}"
         self._count = 0
-        atexit.register(self._at_exit)
+        jvm = spark.sparkContext._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.root)
+        store = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        store.mkdirs(root)
+        store.deleteOnExit(root)
 
     def path(self, name: str) -> str:
         self._count += 1
@@ -52,10 +61,7 @@ class Scratch:
         out._weft_path = path
         return out
 
-    def drop(self, table: DataFrame) -> None:
-        """Delete a table from :meth:`write` that nothing reads any more."""
-        delete(self.spark, table._weft_path)
-
-    def _at_exit(self) -> None:
-        with contextlib.suppress(Exception):
-            delete(self.spark, self.root)
+    def drop(self, *tables: DataFrame) -> None:
+        """Delete tables from :meth:`write` that nothing reads any more."""
+        for table in tables:
+            delete(self.spark, table._weft_path)
