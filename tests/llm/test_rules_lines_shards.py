@@ -1,4 +1,6 @@
 import random
+import re
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,11 +17,24 @@ def brute_repeat(words, width=3):
     return len({p for at in seen.values() if len(at) > 1 for i in at for p in range(i, i + width)})
 
 
-def test_repeat_words_against_brute_force():
+def brute_measures(text):
+    words, lines = re.findall(r"[^\x20\x09-\x0D]+", text), text.split("\n")
+    full = [x for x in lines if re.search(r"[^\x20\x09-\x0D]", x)]
+    category = [unicodedata.category(c) for c in text]
+    return (
+        len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(full) - len(set(full)), brute_repeat(words), len(full),
+        category.count("Lu"), sum(c[0] == "L" for c in category), sum(x.rstrip()[-1:] in tuple('.!?"') for x in full), len(set(words)),
+    )
+
+
+def test_measures_against_brute_force():
     r = random.Random(1)
-    for _ in range(400):
-        words = [r.choice("abcde") for _ in range(r.randint(0, 40))]
-        assert wordstats.repeat_words(words) == brute_repeat(words), words
+    parts = ["a", "b", "Cé", "Ⅷ", "日", "😀", "#", "$x", " ", "  ", "\n", "\t", "\x0b", "\x85", ".", "a b c ", "end.\n", "x" * 70, "x" * 71]
+    texts = [None, "", " ", "\n\n", *["".join(r.choice(parts) for _ in range(r.randint(0, 40))) for _ in range(500)], "w " * 50_000]
+    got = wordstats.measure(texts)
+    for text, row in zip(texts, got.tolist(), strict=True):
+        assert tuple(row) == brute_measures(text or ""), text
+    assert wordstats.measure([]).shape == (0, 10) and (wordstats.measure(texts[::-1])[::-1] == got).all()
 
 
 def test_quality_ledger_nulls_empty_clashing_names(spark):

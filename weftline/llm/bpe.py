@@ -12,19 +12,22 @@ Determinisation happens on demand: a state is the set of live paths (tokens not
 token, trie node); what all paths agree on is emitted at once.  A path dies when its token can grow
 no further, so at most as many are alive as the longest token has bytes: lookahead is bounded and
 cost is linear in the text, for any piece length.  States are kept up to ``max_states``, then
-forgotten and built again as needed.
+forgotten and built again as needed; ids of short pieces are kept in two generations of bounded size,
+so frequent ones stay.  All of that is dropped when a task ends: a worker keeps the vocabulary alone.
 
 Decoding streams: chunks of ids give bytes, and an incremental UTF-8 state machine hands on complete
 characters, holding back at most three bytes; ill-formed parts become U+FFFD.
 
 Defined results: a null text is an empty text with no ids and empty bytes; repeated rows and ties are
-encoded alike; empty tables give empty tables; other columns are not read, so names cannot clash.
+encoded alike; empty tables give empty tables; very long texts are encoded whole, piece by piece;
+other columns are not read, so names cannot clash.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -33,6 +36,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weftline.llm.workers import text_udf
+
 #: A vocabulary file larger than this is refused: it is broadcast to every executor.
 MAX_VOCABULARY_BYTES = 64 << 20
 
@@ -60,7 +65,7 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[bytes]:
 class Transducer:
     """Encoder of byte strings, built from ranks; states are made as they are met."""
 
-    def __init__(self, ranks: dict[bytes, int], max_states: int = 250_000):
+    def __init__(self, ranks: dict[bytes, int], max_states: int = 120_000):
         missing = [b for b in range(256) if bytes([b]) not in ranks]
         if missing:
             raise ValueError(f"the vocabulary lacks single bytes: {missing[:5]}")
@@ -80,9 +85,10 @@ class Transducer:
             self._token[node] = rank
         self._fits: dict[int, bool] = {}
         self._halves: dict[int, tuple[int, int] | None] = {}
-        self._reset()
+        self.reset()
 
-    def _reset(self) -> None:
+    def reset(self) -> None:
+        """Forget all states."""
         self._states: list[tuple] = [(((), -1, 0),)]
         self._number: dict[tuple, int] = {self._states[0]: 0}
         self._arcs: dict[int, tuple[int, tuple[int, ...]]] = {}
@@ -131,7 +137,7 @@ class Transducer:
         key = left << 32 | right
         out = self._fits.get(key)
         if out is None:
-            if len(self._fits) > 8 * self.max_states:
+            if len(self._fits) > 2 * self.max_states:
                 self._fits.clear()
             out = self._fits[key] = not self._crossed(left, right, 1 << 62)
         return out
@@ -186,7 +192,7 @@ class Transducer:
         if rank is not None:
             return [rank]
         if len(self._states) > self.max_states:
-            self._reset()
+            self.reset()
         out: list[int] = []
         state, arcs = 0, self._arcs
         for byte in piece:
@@ -194,7 +200,7 @@ class Transducer:
             if arc is None:
                 if len(self._states) > 2 * self.max_states:  # a very long piece: forget all but where it stands
                     paths = self._states[state]
-                    self._reset()
+                    self.reset()
                     arcs, state = self._arcs, self._number.setdefault(paths, len(self._states))
                     if state == len(self._states):
                         self._states.append(paths)
@@ -213,34 +219,49 @@ class Transducer:
 class Tokenizer:
     """Texts to ids and back; pieces are matches of ``pattern``, each encoded on its own."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, max_pieces: int = 800_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, max_pieces: int = 150_000):
         self.fst = Transducer(ranks)
         self.pattern = regex.compile(pattern)
         self.max_pieces = max_pieces
-        self._pieces: dict[str, list[int]] = {}
-
-    def encode(self, text: str | None) -> list[int]:
-        out: list[int] = []
-        known = self._pieces
+        self.forget()
+
+    def forget(self) -> None:
+        """Drop everything that was kept to save work."""
+        self._new: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
+        self.fst.reset()
+        self.fst._fits.clear()
+
+    def _piece(self, piece: str) -> bytes:
+        """Ids of a piece that is not among the new ones."""
+        ids = self._old.get(piece)
+        if ids is None:
+            ids = np.asarray(self.fst.encode(piece.encode("utf-8")), "<u4").tobytes()
+        if len(piece) <= 64:
+            if len(self._new) >= self.max_pieces:
+                self._old, self._new = self._new, {}
+            self._new[piece] = ids
+        return ids
+
+    def encode_packed(self, text: str | None) -> bytes:
+        """Ids as little-endian unsigned 32-bit integers."""
         text = text or ""
         # The list of a text's pieces is the quicker way; a very long text is matched piece by piece.
         pieces = self.pattern.findall(text) if len(text) <= 1 << 20 else (m[0] for m in self.pattern.finditer(text))
+        out = []
         for piece in pieces:
-            ids = known.get(piece)
-            if ids is None:
-                ids = self.fst.encode(piece.encode("utf-8"))
-                if len(piece) <= 64:
-                    if len(known) >= self.max_pieces:
-                        known.clear()
-                    known[piece] = ids
-            out += ids
-        return out
+            ids = self._new.get(piece)
+            out.append(self._piece(piece) if ids is None else ids)
+        return b"".join(out)
+
+    def encode(self, text: str | None) -> list[int]:
+        return np.frombuffer(self.encode_packed(text), "<u4").tolist()
 
     def decode_bytes(self, ids: Iterable[int], chunk: int = 8_192) -> Iterator[bytes]:
         """The bytes of ids, ``chunk`` tokens at a time."""
-        ids, of = list(ids), self.fst.bytes_of
-        for i in range(0, len(ids), chunk):
-            yield b"".join([of[x] for x in ids[i : i + chunk]])
+        ids, of = iter(ids), self.fst.bytes_of
+        while data := b"".join([of[x] for x in itertools.islice(ids, chunk)]):
+            yield data
 
     def decode(self, ids: Iterable[int]) -> str:
         machine = Utf8Machine()
@@ -327,6 +348,11 @@ def tokenizer(data: bytes, pattern: str) -> Tokenizer:
     return _MADE[key]
 
 
+def _forget() -> None:
+    for made in _MADE.values():
+        made.forget()
+
+
 def load_vocabulary(path: str) -> bytes:
     """Bytes of a vocabulary file, read on the driver."""
     with open(path, "rb") as f:
@@ -340,10 +366,10 @@ def encode(df: DataFrame, vocabulary: bytes, pattern: str, text_col: str = "text
     """``df`` with an array of token ids."""
     shared = df.sparkSession.sparkContext.broadcast(vocabulary)
 
-    @F.pandas_udf("array<int>")
-    def ids(text: pd.Series) -> pd.Series:
+    @text_udf("array<int>", _forget)
+    def ids(texts: list) -> pd.Series:
         t = tokenizer(shared.value, pattern)
-        return pd.Series([np.asarray(t.encode(x), np.int32) for x in text])
+        return pd.Series([np.frombuffer(t.encode_packed(x), "<u4").astype(np.int32) for x in texts])
 
     return df.withColumn(out_col, ids(F.col(text_col)))
 
@@ -352,8 +378,8 @@ def decode(df: DataFrame, vocabulary: bytes, pattern: str, ids_col: str = "ids",
     """``df`` with the text that an array of ids stands for."""
     shared = df.sparkSession.sparkContext.broadcast(vocabulary)
 
-    @F.pandas_udf("string")
-    def texts(ids: pd.Series) -> pd.Series:
+    @text_udf("string", _forget)
+    def texts(ids: list) -> pd.Series:
         t = tokenizer(shared.value, pattern)
         return pd.Series([t.decode([] if x is None else x.tolist()) for x in ids])
 
@@ -370,19 +396,20 @@ def digests(df: DataFrame, vocabulary: bytes, pattern: str, id_col: str = "doc_i
     """
     shared = df.sparkSession.sparkContext.broadcast(vocabulary)
 
-    @F.pandas_udf(DIGESTS)
-    def digest(text: pd.Series) -> pd.DataFrame:
+    @text_udf(DIGESTS, _forget)
+    def digest(texts: list) -> pd.DataFrame:
         t = tokenizer(shared.value, pattern)
         rows = []
-        for x in text:
+        for x in texts:
             x = x or ""
-            ids = t.encode(x)
-            sha, machine, out = hashlib.sha256(), Utf8Machine(), []
-            for data in t.decode_bytes(ids):
+            ids = t.encode_packed(x)
+            sha, machine, at, same = hashlib.sha256(), Utf8Machine(), 0, True
+            for data in t.decode_bytes(np.frombuffer(ids, "<u4").tolist()):
                 sha.update(data)
-                out.append(machine.feed(data))
-            out.append(machine.close())
-            rows.append((len(ids), hashlib.sha256(np.asarray(ids, "<u4").tobytes()).hexdigest(), sha.hexdigest(), "".join(out) == x))
+                part = machine.feed(data)
+                same, at = same and x.startswith(part, at), at + len(part)
+            part = machine.close()
+            rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), sha.hexdigest(), same and not part and at == len(x)))
         return pd.DataFrame(rows, columns=[x.split()[0] for x in DIGESTS.split(", ")])
 
     return df.select(F.col(id_col).alias("doc_id"), digest(F.col(text_col)).alias("d")).select("doc_id", "d.*")

@@ -7,7 +7,7 @@ bitwise aggregation of the stored bits, never a second pass over texts.
 
 Defined results: a null or empty text has zero words and fails ``too_few_words`` only among the
 rules that need words; ties cannot occur (each row is judged alone); repeated rows are judged alike;
-an empty table gives an empty ledger; columns of the input other than ``id_col`` and ``text_col`` are
+an empty table gives an empty ledger; very long texts are measured whole, one at a time; columns of the input other than ``id_col`` and ``text_col`` are
 not read, so clashing names in it do no harm.
 """
 
@@ -21,11 +21,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftline.llm import wordstats as W
+from weftline.llm.workers import text_udf
 
-MEASURES = (
-    "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-    "n_lines long, n_chars_upper long, n_chars_alpha long, n_end_lines long, n_unique_words long"
-)
+MEASURES = ", ".join(f"{name} long" for name in W.MEASURES)
+
+
+def measured(text: Column) -> Column:
+    """A struct of ``MEASURES`` of each whole text."""
+    return text_udf(MEASURES)(lambda texts: pd.DataFrame(W.measure(texts), columns=list(W.MEASURES)))(text)
 
 
 @dataclass(frozen=True)
@@ -56,19 +59,6 @@ POLICIES = {
 }
 
 
-def measure(text: str | None) -> tuple:
-    """Measurements of one whole text, in the order of ``MEASURES``."""
-    if not text:
-        return (0,) * 10
-    tokens = W.words(text)
-    n_lines, n_dup = W.duplicate_lines(text)
-    spans = text.translate(W.SYMBOL_TABLE)
-    upper = sum(map(str.isupper, text)) if not text.islower() else 0
-    alpha = len(text) if text.isalpha() else sum(map(str.isalpha, text))
-    ends = sum(1 for x in text.split("\n") if x.rstrip()[-1:] in (".", "!", "?", '"'))
-    return (len(tokens), sum(map(len, tokens)), len(text) - len(spans), n_dup, W.repeat_words(tokens), n_lines, upper, alpha, ends, len(set(tokens)))
-
-
 def mask(names: Iterable[str], rules: Iterable[Rule] = RULES) -> int:
     """The bitmask of a policy."""
     bits = {r.name: 1 << r.bit for r in rules}
@@ -89,11 +79,6 @@ def fail_bits(rules: Iterable[Rule] = RULES) -> Column:
 def ledger(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: Iterable[Rule] = RULES) -> DataFrame:
     """id, measurements and ``fail_bits``: one row per input row, in one narrow pass."""
 
-    @F.pandas_udf(MEASURES)
-    def measured(text: pd.Series) -> pd.DataFrame:
-        names = [x.split()[0] for x in MEASURES.split(", ")]
-        return pd.DataFrame([measure(t) for t in text], columns=names, dtype="int64")
-
     out = df.select(F.col(id_col).alias("doc_id"), measured(F.col(text_col)).alias("m")).select("doc_id", "m.*")
     return out.withColumn("fail_bits", fail_bits(rules))
 

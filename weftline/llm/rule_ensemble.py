@@ -21,7 +21,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,11 +50,7 @@ NAMES = tuple(STATISTICS)
 def with_statistics(df: DataFrame, text_col: str = "text") -> DataFrame:
     """``df`` with a struct ``_stat`` of statistics, measured once per text."""
 
-    @F.pandas_udf(quality_rules.MEASURES)
-    def measured(text: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([quality_rules.measure(t) for t in text], columns=[x.split()[0] for x in quality_rules.MEASURES.split(", ")], dtype="int64")
-
-    df = df.withColumn("_stat", measured(F.col(text_col)))
+    df = df.withColumn("_stat", quality_rules.measured(F.col(text_col)))
     return df.withColumn("_stat", F.struct(*[f().alias(n) for n, f in STATISTICS.items()]))
 
 

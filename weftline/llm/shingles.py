@@ -2,21 +2,9 @@
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 
-#: Odd multipliers of the 64-bit mixes (any odd numbers with scattered bits would do).
-_M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-_SHORT = 48
-
-
-def mix(x: np.ndarray) -> np.ndarray:
-    """A bijection of 64-bit numbers that scatters them."""
-    x = x + _M1
-    x = (x ^ (x >> np.uint64(30))) * _M2
-    x = (x ^ (x >> np.uint64(27))) * _M3
-    return x ^ (x >> np.uint64(31))
+from weftline.llm.wordstats import M2, M3, hash_runs, mix
 
 
 def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -27,19 +15,7 @@ def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     space = (data == 32) | ((data >= 9) & (data <= 13))
     edge = np.flatnonzero(np.diff(np.concatenate(([True], space, [True])).astype(np.int8)))
     starts, ends = edge[::2], edge[1::2]
-    sizes = ends - starts
-    h = np.zeros(len(starts), np.uint64)
-    live = np.arange(len(starts))
-    for k in range(_SHORT):
-        live = live[sizes[live] > k]
-        if not len(live):
-            break
-        h[live] = (h[live] ^ data[starts[live] + k]) * _M1 + np.uint64(k + 1)
-    raw = None
-    for i in live[sizes[live] > _SHORT] if len(live) else ():
-        raw = raw or data.tobytes()
-        h[i] = int.from_bytes(hashlib.blake2b(raw[starts[i] : ends[i]], digest_size=8).digest(), "little")
-    return mix(h), np.append(np.searchsorted(starts, begins), len(starts))
+    return hash_runs(data, starts, ends), np.append(np.searchsorted(starts, begins), len(starts))
 
 
 def shingles(texts: list[str | None], width: int = 5) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -50,7 +26,7 @@ def shingles(texts: list[str | None], width: int = 5) -> list[tuple[np.ndarray,
     words, at = word_hashes(texts)
     run = np.zeros(max(0, len(words) - width + 1), np.uint64)
     for k in range(width):
-        run = run * _M3 + words[k : k + len(run)]
+        run = run * M3 + words[k : k + len(run)]
     run = mix(run)
     out = []
     for a, b in zip(at[:-1], at[1:], strict=True):
@@ -59,7 +35,7 @@ def shingles(texts: list[str | None], width: int = 5) -> list[tuple[np.ndarray,
         elif b > a:
             one = np.uint64(b - a)
             for w in words[a:b]:
-                one = np.uint64((int(one) * int(_M2) + int(w)) & 0xFFFFFFFFFFFFFFFF)
+                one = np.uint64((int(one) * int(M2) + int(w)) & 0xFFFFFFFFFFFFFFFF)
             out.append((mix(np.array([one], np.uint64)), np.ones(1, np.int64)))
         else:
             out.append((np.zeros(0, np.uint64), np.zeros(0, np.int64)))
