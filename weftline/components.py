@@ -13,8 +13,21 @@ from pyspark.sql import functions as F
 from weftline.scratch import Scratch
 
 
+#: Nodes with more neighbours than a 2^-17 share of all edge ends, and this many, are hot: there are 2^17 of them at most.
+HOT = 1_000
+
+
 def _least(edges: DataFrame) -> DataFrame:
-    return edges.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    """(u, n, m): neighbours of each node and the least of them and itself."""
+    return edges.groupBy("u").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("m")).select("u", "n", F.least("u", "m").alias("m"))
+
+
+def _with_least(edges: DataFrame, least: DataFrame, n_edges: int) -> DataFrame:
+    """Edges with ``m`` of their u.  Those of hot nodes stay where they are and meet a broadcast table of bounded size."""
+    hot = F.col("n") > max(HOT, n_edges >> 16)
+    marked = edges.join(F.broadcast(least.filter(hot).select("u", F.col("m").alias("hot"))), "u", "left")
+    others = marked.filter("hot is null").drop("hot").join(least.filter(~hot).select("u", "m"), "u")
+    return marked.filter("hot is not null").select("u", "v", F.col("hot").alias("m")).unionByName(others.select("u", "v", "m"))
 
 
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
@@ -23,18 +36,20 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     Self-loops keep a node in the result; repeated edges and either direction are allowed.
     """
     now = scratch.write(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-    seen = None
+    seen, size = None, now.count()
     while True:
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = both.filter("v >= u").join(_least(both), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = scratch.write(_least(both), "least")
+        large = scratch.write(_with_least(both.filter("v >= u"), least, size).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
         small = large.filter("v <= u")
-        least = _least(small)
-        out = small.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v"))).distinct()
+        lesser = scratch.write(_least(small), "lesser")
+        out = _with_least(small, lesser, size).select(F.col("v").alias("u"), F.col("m").alias("v")).union(lesser.select("u", F.col("m").alias("v"))).distinct()
         after = scratch.write(out, "edges")
+        scratch.drop(least, large, lesser)
         # Two numbers say whether the edge set changed: its size and the sum of its hashes.
         mark = tuple(after.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         scratch.drop(now)
-        now = after
+        now, size = after, mark[0]
         if mark == seen:
             return now.select(F.col("u").alias("node"), F.col("v").alias("comp"))
         seen = mark
