@@ -1,11 +1,13 @@
 import collections
 import itertools
+import os
 import random
 
 import numpy as np
 import pytest
 
 import corpus_pipeline
+import weftline.components
 from weftline.components import components
 from weftline.llm import bpe, decontaminate, minhash_dedup, shingles
 from weftline.scratch import Scratch
@@ -83,7 +85,57 @@ def test_samples_estimate_weighted_jaccard():
     assert abs(np.mean(error)) < 0.01 and np.std(error) < 0.06
 
 
-def test_components(spark):
+def test_samples_of_very_long_weighted_texts():
+    """Estimates hold far beyond any table of draws: independent variables per shingle and sample."""
+    rng = np.random.default_rng(3)
+    u = np.sort(rng.integers(0, 1 << 63, 500_000).astype(np.uint64))
+    w = rng.choice([0.5, 0.7, 2.0, 3.0], len(u))
+    keep = rng.random(len(u)) < 0.8
+    a, b = (u, w), (u[keep], w[keep])
+    c = u, np.where(rng.random(len(u)) < 0.3, w * 2, w)
+    for x, y in ((a, b), (a, c)):
+        assert abs((minhash_dedup.signature(*x) == minhash_dedup.signature(*y)).mean() - minhash_dedup.jaccard(x, y)) < 4 * 0.042
+
+
+def test_equal_weights_need_no_logarithm():
+    """A weight of one takes the short way; it gives the sample that the full formula gives."""
+    rng = np.random.default_rng(4)
+    for _ in range(20):
+        u = np.sort(rng.integers(0, 1 << 63, 40).astype(np.uint64))
+        assert (minhash_dedup.signature(u, np.ones(40)) == minhash_dedup.signature(u, np.full(40, 1 + 1e-15))).all()
+
+
+def test_exact_similarities_by_postings():
+    rng = np.random.default_rng(5)
+    docs = []
+    for _ in range(30):
+        h = np.unique(rng.integers(0, 60, rng.integers(0, 40)).astype(np.uint64))
+        docs.append((h, rng.choice([0.5, 1.0, 2.0], len(h))))
+    postings = minhash_dedup.Postings(docs)
+    for x in docs:
+        assert np.allclose(postings.similarities(x), [minhash_dedup.jaccard(x, y) for y in docs])
+    assert len(minhash_dedup.Postings([]).similarities(docs[0])) == 0
+
+
+def test_hot_bucket_of_unlike_texts_ends_soon(spark, monkeypatch):
+    """Thirty texts that share one band and are otherwise unlike: a round per member once."""
+    monkeypatch.setattr(minhash_dedup, "BUCKET", 6)
+    r = np.random.default_rng(6)
+    rows = [(i, [7, *r.integers(1 << 20, 1 << 60, 23).tolist()], r.bytes(96), 10) for i in range(30)]
+    run = object.__new__(minhash_dedup._Run)
+    run.spark, run.scratch = spark, Scratch(spark, "test")
+    run.nodes = spark.createDataFrame(rows, "node long, bands array<long>, sketch binary, n_chars long")
+    run.sketches = run.nodes.select("node", "sketch", "n_chars")
+    names = []
+    write = run.scratch.write
+    run.scratch.write = lambda df, name: names.append(name) or write(df, name)
+    edges, _ = run.coarse_edges()
+    assert edges.count() == 0 and names.count("live") <= 3
+
+
+@pytest.mark.parametrize("hot", [1_000, 3])
+def test_components(spark, monkeypatch, hot):
+    monkeypatch.setattr(weftline.components, "HOT", hot)
     r = random.Random(5)
     edges = [(r.randint(0, 200), r.randint(0, 200)) for _ in range(120)] + [(i, i + 1) for i in range(1000, 1030)] + [(2000, 2000)]
     parent = {}
@@ -100,7 +152,7 @@ def test_components(spark):
     assert got == {x: find(x) for x in parent}
 
 
-@pytest.mark.parametrize("limits", [{}, {"BUCKET": 6, "CLUSTER": 8, "BLOCK": 7}])
+@pytest.mark.parametrize("limits", [{}, {"BUCKET": 6, "CLUSTER": 8, "BLOCK": 7, "BROADCAST_IDS": 3}])
 def test_near_duplicates_against_all_pairs(spark, monkeypatch, limits):
     """With tiny limits the ways for hot buckets and for large clusters are exercised too."""
     for name, value in limits.items():
@@ -141,6 +193,59 @@ def test_keep_one_and_repeated_rows(spark):
     assert minhash_dedup.op3(frame(spark, [])).count() == 0
 
 
+def test_keep_one_of_ids_with_several_texts_and_clashing_names(spark):
+    r = random.Random(3)
+    a, b = text(r), text(r)
+    rows = [(5, a, "y", 2), (5, a, "x", 1), (5, b, "x", 1), (7, b, "x", 1), (8, edited(r, a, 1), "x", 1), (9, None, "x", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, node string, cluster long")
+    got = sorted(((x.doc_id, x.text, x.node, x.cluster) for x in minhash_dedup.keep_one(docs).collect()), key=str)
+    assert got == sorted([(5, a, "x", 1), (5, b, "x", 1), (9, None, "x", 1)], key=str)
+    assert {x.doc_id: x.class_id for x in minhash_dedup.op3(docs).collect()} == {5: 5, 7: 5, 8: 5, 9: 9}
+
+
+def test_very_long_texts_are_hashed_whole(spark):
+    r = random.Random(4)
+    words = [r.choice("abcdefgh") + str(r.randrange(10_000)) for _ in range(300_000)]
+    other = words[:250_000] + [w + "x" for w in words[250_000:]]
+    unlike = words[:150_000] + [w + "y" for w in words[150_000:]]
+    got = {x.doc_id: x.class_id for x in minhash_dedup.op3(frame(spark, [(1, " ".join(words)), (2, " ".join(other)), (3, " ".join(unlike))])).collect()}
+    assert got == {1: 1, 2: 1 if jaccard_of(words, other) >= 0.8 else 2, 3: 3}
+
+
+def jaccard_of(a, b):
+    x, y = ({tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (a, b))
+    return len(x & y) / len(x | y)
+
+
+SF = "/root/testdata/sf0.01/documents.parquet"
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="the driver's tables are not here")
+def test_recall_against_all_pairs_on_documents(spark):
+    """Every pair of the table's texts that is a link, by an inverted index over all of them, is in one class, and classes have no more."""
+    docs = spark.read.parquet(SF)
+    rows = [(x.doc_id, x.text) for x in docs.select("doc_id", "text").collect()]
+    heavy = minhash_dedup.heavy_shingles(docs, "text")
+    sets = [minhash_dedup.weighted(d, heavy) for d in shingles.shingles([t for _, t in rows])]
+    postings = minhash_dedup.Postings(sets)
+    got = {x.doc_id: x.class_id for x in minhash_dedup.near_duplicates(docs).collect()}
+    links = [(rows[i][0], rows[j][0]) for i, s in enumerate(sets) if len(s[0]) for j in np.flatnonzero(postings.similarities(s) >= 0.8 - 1e-9).tolist() if i < j]
+    recall = sum(got[a] == got[b] for a, b in links) / len(links)
+    assert len(links) > 50 and recall >= 0.99
+    parent = {d: d for d, _ in rows}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        a, b = sorted((find(a), find(b)))
+        parent[b] = a
+    wrong = [d for d, t in rows if t and t.split() and got[d] != find(d)]
+    assert len(wrong) <= 0.001 * len(rows)
+
+
 def leaks_by_force(docs, items, t=0.8):
     out = set()
     grams = lambda w, n: {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}

@@ -11,10 +11,11 @@ document frequency to 1/2 for one that all documents have:
 * they are found exactly: mergeable frequent-item summaries with a fixed number of counters give a
   superset, and a second scan counts each of those over all documents.
 
-Signatures: ICWS draws gamma, gamma and uniform variables per shingle and sample.  They come from a
-pool of triples sorted by the value that a shingle of weight 1 would get, so the usual weight needs
-one multiplication per shingle and sample; other weights go through the full formula.  Signatures
-are banded; a document meets others in a bucket per band value.
+Signatures: ICWS draws gamma, gamma and uniform variables per shingle and sample.  They are made from
+three independent exponentials E1, E2, E3 of the shingle's hash for the sample: c = E1 + E2, r =
+ln(c / E1) + E3, beta = E3 / r have the required law, and the value at weight 1 is E1 itself.  So the
+usual weight needs one multiplication per shingle and sample and no logarithm; other weights go
+through the full formula.  Signatures are banded; a document meets others in a bucket per band value.
 
 From buckets to classes, in two steps that never spell out the pairs of a group:
 
@@ -22,18 +23,20 @@ From buckets to classes, in two steps that never spell out the pairs of a group:
   share a bucket and whose byte sketches agree in at least ``MAYBE`` of the samples (a link fails
   that by a chance of 3e-4).  A bucket emits a spanning forest of its part of the graph, at most one
   edge a member.  A bucket with more than ``BUCKET`` members is compared with one leader instead and
-  then split by a further band value; by the triangle inequality of the Jaccard distance only the
+  then split by the bands that were not used on its way and in which its members differ, so each
+  round brings four more samples to agree on; by the triangle inequality of the Jaccard distance only the
   members that are not near the leader can have links that this misses, so only they go on.
-* *Links* are verified exactly inside each cluster, whose texts are brought together once; pairs that
-  are joined already are skipped.  A cluster beyond ``CLUSTER`` documents or ``CLUSTER_CHARS``
-  characters is not brought together: its members are verified against its centre (the one with the
-  most company in its buckets) one by one, and the members that do not link to it meet all others in
-  pairs of blocks of bounded size; again joined pairs are skipped and a member emits one link at most.
+* *Links* are verified exactly inside each cluster, whose texts are brought together once.  A cluster
+  beyond ``CLUSTER`` documents or ``CLUSTER_CHARS`` characters is dealt out in blocks of bounded size:
+  first every block meets the texts of ``CENTRES`` members, which joins nearly all; the members that
+  are not of the first centre's class then meet, block by block, those whose similarity to that centre
+  differs from theirs by no more than the triangle inequality lets a link have.  Such members are
+  compared with their like one by one: that is their number times the cluster's size at worst.
 
 Defined results: equal texts are one class; null texts and texts without words are alone, except
 that equal ones of the latter are one class; a null id has class null; an id that repeats with different
-texts is in the least of their classes; ties for leader go to the smaller number; empty tables give empty
-results; other columns are not read.
+texts is in the least of their classes; ties for leader go to the smaller number; very long texts are
+hashed whole, in parts; empty tables give empty results; other columns are not read, so names cannot clash.
 """
 
 from __future__ import annotations
@@ -47,8 +50,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weftline.components import components
-from weftline.llm.shingles import mix, shingles
-from weftline.llm.wordstats import in_chunks
+from weftline.llm.shingles import shingles
+from weftline.llm.wordstats import in_chunks, mix
+from weftline.llm.workers import give_back, text_udf
 from weftline.scratch import Scratch
 
 WIDTH, SIMILARITY = 5, 0.8
@@ -61,25 +65,15 @@ MAYBE = 0.66
 #: For hot buckets: members this similar to the leader are joined with it; the less similar ones (overlapping) go on.
 JOINED, ONWARD = 0.30, 0.75
 #: Members of a bucket compared in one task; documents and characters of a cluster brought together; members of a block.
-BUCKET, CLUSTER, CLUSTER_CHARS, BLOCK = 1_024, 1_000, 16_000_000, 1_000
-BROADCAST_IDS = 1_000_000
-_POOL = 1 << 16
+BUCKET, CLUSTER, CLUSTER_CHARS, BLOCK, BLOCK_CHARS = 1_024, 1_000, 16_000_000, 1_000, 8_000_000
+#: Members that every block of a large cluster meets; width of the shells around the first of them.
+CENTRES, SHELL = 4, 0.05
+#: Rows of 24 bytes that are broadcast at most.
+BROADCAST_IDS = 300_000
 
-
-def _pool() -> tuple[np.ndarray, ...]:
-    """Triples (r, c, beta) in ascending order of the value at weight 1, and that value."""
-    g = np.random.Generator(np.random.PCG64(20240501))
-    r, c, beta = g.gamma(2, 1, _POOL), g.gamma(2, 1, _POOL), g.random(_POOL)
-    unit = c * np.exp(r * (beta - 1))
-    order = np.argsort(unit, kind="stable")
-    return r[order], c[order], beta[order], unit[order]
-
-
-R, C, BETA, UNIT = _pool()
 _SEED = np.random.Generator(np.random.PCG64(77))
 _A = _SEED.integers(0, 1 << 63, SAMPLES, np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _SEED.integers(0, 1 << 63, SAMPLES, np.uint64)
-_TOP = np.uint64(48)
 
 
 def idf(df: np.ndarray, n: int, least: float) -> np.ndarray:
@@ -98,32 +92,41 @@ def weighted(doc: tuple[np.ndarray, np.ndarray], heavy: tuple[np.ndarray, np.nda
     return h, w
 
 
-def signature(h: np.ndarray, w: np.ndarray, block: int = 16_384) -> np.ndarray:
+def _exponential(uniform: np.ndarray, bits: int = 64) -> np.ndarray:
+    """Exponential variables from whole numbers below ``2 ** bits``, increasing."""
+    return -np.log1p(-(uniform.astype(np.float64) + 0.5) * 2.0**-bits * (1 - 2.0**-40))
+
+
+def signature(h: np.ndarray, w: np.ndarray, block: int = 2_048) -> np.ndarray:
     """``SAMPLES`` consistent weighted samples as 64-bit numbers."""
     best = np.full(SAMPLES, np.inf)
-    rank = np.zeros(SAMPLES, np.uint64)
     out = np.zeros(SAMPLES, np.uint64)
+    k = np.arange(SAMPLES)
     plain = w == 1.0
-    for part in np.array_split(h[plain], max(1, -(-int(plain.sum()) // block))) if plain.any() else ():
-        x = part[:, None] * _A + _B
-        low = x.argmin(0)
-        x = x[low, np.arange(SAMPLES)]
-        a = UNIT[(x >> _TOP).astype(np.int64)]
-        new = (a < best) | (a == best) & (x < rank)
-        best, rank, out = np.where(new, a, best), np.where(new, x, rank), np.where(new, part[low], out)
-    others, weights = h[~plain], w[~plain]
+    if plain.any():
+        least = np.full(SAMPLES, np.iinfo(np.uint64).max)
+        ones = h[plain]
+        for i in range(0, len(ones), block):
+            x = ones[i : i + block, None] * _A + _B
+            low = x.argmin(0)
+            x = x[low, k]
+            out = np.where(x <= least, ones[i : i + block][low], out)
+            least = np.minimum(x, least)
+        best = _exponential(least)
+    others, weights = h[~plain], np.log(w[~plain])
     for i in range(0, len(others), block):
-        part, wt = others[i : i + block], weights[i : i + block, None]
+        part = others[i : i + block]
         x = part[:, None] * _A + _B
-        j = (x >> _TOP).astype(np.int64)
-        r = R[j]
-        t = np.floor(np.log(wt) / r + BETA[j])
-        a = C[j] * np.exp(-r * (t - BETA[j] + 1))
+        one, more = _exponential(x), mix(x)
+        c = one + _exponential(more >> np.uint64(32), 32)
+        r_beta = _exponential(more & np.uint64(0xFFFFFFFF), 32)
+        r = np.log(c / one) + r_beta
+        t = np.floor((weights[i : i + block, None] + r_beta) / r)
+        a = c * np.exp(r_beta - r * (t + 1))
         low = a.argmin(0)
-        k = np.arange(SAMPLES)
-        x, a, t = x[low, k], a[low, k], t[low, k].astype(np.int64).astype(np.uint64)
-        new = (a < best) | (a == best) & (x < rank)
-        best, rank, out = np.where(new, a, best), np.where(new, x, rank), np.where(new, part[low] ^ mix(t) * (t != 0), out)
+        a, t = a[low, k], t[low, k].astype(np.int64).astype(np.uint64)
+        new = a < best
+        best, out = np.where(new, a, best), np.where(new, part[low] ^ mix(t) * (t != 0), out)
     return mix(out ^ _B)
 
 
@@ -146,6 +149,25 @@ def jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
     return float(shared / (a[1].sum() + b[1].sum() - shared))
 
 
+class Postings:
+    """Exact similarities of one weighted set with many, by the lists of who has a shingle."""
+
+    def __init__(self, docs: list[tuple[np.ndarray, np.ndarray]]):
+        self.total = np.array([w.sum() for _, w in docs], np.float64)
+        h = np.concatenate([d[0] for d in docs]) if docs else np.zeros(0, np.uint64)
+        order = np.argsort(h, kind="stable")
+        self.h, self.w = h[order], np.concatenate([d[1] for d in docs])[order] if docs else np.zeros(0)
+        self.owner = np.repeat(np.arange(len(docs)), np.array([len(d[0]) for d in docs], np.int64))[order]
+
+    def similarities(self, doc: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+        h, w = doc
+        a, b = np.searchsorted(self.h, h, "left"), np.searchsorted(self.h, h, "right")
+        n = b - a
+        at = np.repeat(a - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum()) if len(n) else np.zeros(0, np.int64)
+        shared = np.bincount(self.owner[at], np.minimum(self.w[at], np.repeat(w, n)), len(self.total))
+        return shared / np.maximum(self.total + w.sum() - shared, 1e-300)
+
+
 # --- document frequencies --------------------------------------------------------------------------
 
 SUMMARY = "h long, n long"
@@ -170,6 +192,7 @@ def _summaries(text_col: str, counters: int):
                     keys, counts = keys[keep], counts[keep] - cut
         yield pd.DataFrame({"h": pd.array(keys.view(np.int64), "Int64"), "n": counts})
         yield pd.DataFrame({"h": pd.array([pd.NA], "Int64"), "n": [lost]})
+        give_back()
 
     return run
 
@@ -185,6 +208,7 @@ def _counts(text_col: str, wanted: np.ndarray):
                 h = np.concatenate([h for h, _ in shingles(texts[s], WIDTH)])
                 at = np.minimum(np.searchsorted(wanted, h), len(wanted) - 1)
                 total += np.bincount(at[wanted[at] == h], minlength=len(wanted))
+        give_back()
         some = total > 0
         yield pd.DataFrame({"h": wanted[some].view(np.int64), "n": total[some]})
 
@@ -221,31 +245,30 @@ def heavy_shingles(docs: DataFrame, text_col: str, heavy: float = HEAVY, least:
 # --- signatures, pairs, links ----------------------------------------------------------------------
 
 
-def _node(text: Column) -> Column:
-    """A number that stands for a text."""
-    return F.xxhash64(F.unhex(F.md5(text)))
+def _key(text: Column) -> Column:
+    """128 bits that stand for a text."""
+    return F.unhex(F.md5(text))
 
 
 def signatures(docs: DataFrame, heavy: tuple[np.ndarray, np.ndarray], id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, node, n_chars, bands, sketch) per text; ``node`` stands for the text, bands and sketch are null without words."""
+    """(doc_id, key, n_chars, bands, sketch) per text; ``key`` stands for the text, bands and sketch are null without words."""
     shared = docs.sparkSession.sparkContext.broadcast(heavy)
 
-    @F.pandas_udf("bands array<long>, sketch binary")
-    def signed(text: pd.Series) -> pd.DataFrame:
-        texts, rows = text.tolist(), []
-        for s in in_chunks(texts):
-            for doc in shingles(texts[s], WIDTH):
-                if len(doc[0]):
-                    sig = signature(*weighted(doc, shared.value))
-                    rows.append((band_values(sig), (sig & np.uint64(255)).astype(np.uint8).tobytes()))
-                else:
-                    rows.append((None, None))
+    @text_udf("bands array<long>, sketch binary")
+    def signed(texts: list) -> pd.DataFrame:
+        rows = []
+        for doc in shingles(texts, WIDTH):
+            if len(doc[0]):
+                sig = signature(*weighted(doc, shared.value))
+                rows.append((band_values(sig), (sig & np.uint64(255)).astype(np.uint8).tobytes()))
+            else:
+                rows.append((None, None))
         return pd.DataFrame(rows, columns=["bands", "sketch"])
 
     text = F.col(text_col)
     return docs.filter(text.isNotNull() & F.col(id_col).isNotNull()).select(
-        F.col(id_col).cast("long").alias("doc_id"), _node(text).alias("node"), F.length(text).cast("long").alias("n_chars"), signed(text).alias("s")
-    ).select("doc_id", "node", "n_chars", "s.bands", "s.sketch")
+        F.col(id_col).cast("long").alias("doc_id"), _key(text).alias("key"), F.length(text).cast("long").alias("n_chars"), signed(text).alias("s")
+    ).select("doc_id", "key", "n_chars", "s.bands", "s.sketch")
 
 
 def _corrected(share: np.ndarray) -> np.ndarray:
@@ -328,68 +351,99 @@ def _forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"u": np.concatenate(u), "v": np.concatenate(v)}).drop_duplicates()
 
 
+def _sets(texts: list[str], heavy) -> list[tuple[np.ndarray, np.ndarray]]:
+    return [weighted(d, heavy.value) for s in in_chunks(texts) for d in shingles(texts[s], WIDTH)]
+
+
+def _components_of(docs: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """A number per set, equal for sets that links connect."""
+    n = len(docs)
+    if n == 2:
+        return np.array([0, int(jaccard(docs[0], docs[1]) < SIMILARITY - 1e-9)])
+    postings, label, free = Postings(docs), np.arange(n), np.ones(n, bool)
+    for root in range(n):
+        if not free[root]:
+            continue
+        free[root], todo = False, [root]
+        while todo:
+            found = np.flatnonzero((postings.similarities(docs[todo.pop()]) >= SIMILARITY - 1e-9) & free)
+            free[found], label[found] = False, root
+            todo += found.tolist()
+    return label
+
+
 def _verified(heavy):
     """Per cluster, (node, comp): classes by exact similarity."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in _grouped(batches, "cluster"):
+            nodes, texts, out = pdf["node"].to_numpy(np.int64), pdf["text"].tolist(), []
             for a, b in _bounds(pdf["cluster"].to_numpy()):
-                part = pdf.iloc[a:b]
-                node, texts = part["node"].to_numpy(np.int64), part["text"].tolist()
-                docs = [weighted(d, heavy.value) for s in in_chunks(texts) for d in shingles(texts[s], WIDTH)]
-                sketch = np.frombuffer(b"".join(part["sketch"]), np.uint8).reshape(b - a, -1)
-                near = np.triu(_between(sketch, sketch), 1)
-                i, j = np.nonzero(near >= MAYBE)
-                order = np.argsort(-near[i, j], kind="stable")
-                parent = list(range(b - a))
-
-                def find(x: int, parent=parent) -> int:
-                    while parent[x] != x:
-                        parent[x] = parent[parent[x]]
-                        x = parent[x]
-                    return x
-
-                for x, y in zip(i[order].tolist(), j[order].tolist(), strict=True):
-                    p, q = find(x), find(y)
-                    if p != q and jaccard(docs[x], docs[y]) >= SIMILARITY - 1e-9:
-                        parent[max(p, q)] = min(p, q)
-                roots = np.array([find(x) for x in range(b - a)])
+                node, label = nodes[a:b], _components_of(_sets(texts[a:b], heavy))
                 least = np.full(b - a, np.iinfo(np.int64).max)
-                np.minimum.at(least, roots, node)
-                yield pd.DataFrame({"node": node, "comp": least[roots]})
+                np.minimum.at(least, label, node)
+                out.append(least[label])
+            yield pd.DataFrame({"node": nodes, "comp": np.concatenate(out)})
+        give_back()
+
+    return run
+
+
+NEAR_CENTRES = "node long, s double, u long, v long"
+
+
+def _against_centres(heavy):
+    """Per block of a large cluster, whose first rows are the centres: (node, similarity to the first centre) and links (u, v) to centres."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in _grouped(batches, "block"):
+            for a, b in _bounds(pdf["block"].to_numpy()):
+                part = pdf.iloc[a:b]
+                node, rank, docs = part["node"].to_numpy(np.int64), part["rank"].to_numpy(), _sets(part["text"].tolist(), heavy)
+                members = np.flatnonzero(rank < 0)
+                postings = Postings([docs[i] for i in members])
+                for k, centre in enumerate(np.flatnonzero(rank >= 0).tolist()):
+                    s = postings.similarities(docs[centre])
+                    linked = s >= SIMILARITY - 1e-9
+                    if k == 0:
+                        yield pd.DataFrame({"node": node[members], "s": s}).assign(u=pd.array([pd.NA] * len(members), "Int64"), v=pd.array([pd.NA] * len(members), "Int64"))
+                    links = pd.DataFrame({"u": node[members[linked]], "v": node[centre]})
+                    yield links.assign(node=pd.array([pd.NA] * len(links), "Int64"), s=np.nan)[["node", "s", "u", "v"]]
+        give_back()
 
     return run
 
 
 def _linked(heavy):
-    """Per pair of blocks of a hot cluster: links that join its classes so far (``done`` members are one).
+    """Per pair of blocks of a large cluster: links of the members that ``ask``, as few as join what they join.
 
-    Members that ``ask`` are compared with all of the block; a pair that is joined already is skipped,
-    so at most one link a member is emitted.
+    Members with ``done`` are one class already.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in _grouped(batches, "block"):
             for a, b in _bounds(pdf["block"].to_numpy()):
                 part = pdf.iloc[a:b]
-                node, asks, done, texts = part["node"].to_numpy(np.int64), part["asks"].to_numpy(bool), part["done"].to_numpy(bool), part["text"].tolist()
-                docs = [weighted(d, heavy.value) for s in in_chunks(texts) for d in shingles(texts[s], WIDTH)]
-                sketch = np.frombuffer(b"".join(part["sketch"]), np.uint8).reshape(b - a, -1)
-                askers = np.flatnonzero(asks)
-                near = _between(sketch[asks], sketch)
-                i, j = np.nonzero(near >= MAYBE)
-                order = np.argsort(-near[i, j], kind="stable")
-                label = np.where(done, -1, node)
-                out = []
-                for x, y in zip(askers[i[order]].tolist(), j[order].tolist(), strict=True):
-                    if label[x] != label[y] and jaccard(docs[x], docs[y]) >= SIMILARITY - 1e-9:
-                        out.append((node[x], node[y]))
-                        label[label == max(label[x], label[y])] = min(label[x], label[y])
+                node, asks, done = part["node"].to_numpy(np.int64), part["asks"].to_numpy(bool), part["done"].to_numpy(bool)
+                docs = _sets(part["text"].tolist(), heavy)
+                postings, label, out = Postings(docs), np.where(done, -1, node), []
+                for x in np.flatnonzero(asks).tolist():
+                    linked = np.flatnonzero(postings.similarities(docs[x]) >= SIMILARITY - 1e-9)
+                    labels, first = np.unique(label[linked], return_index=True)
+                    if len(labels) > 1:
+                        out += [(node[x], node[y]) for y in linked[first].tolist() if label[y] != label[x]]
+                        label[np.isin(label, labels)] = labels[0]
                 yield pd.DataFrame(out, columns=["u", "v"], dtype=np.int64)
+        give_back()
 
     return run
 
 
+def _bounded(rows: DataFrame) -> DataFrame:
+    """``rows`` of ids and keys, marked for a broadcast if they are few."""
+    return F.broadcast(rows) if rows.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else rows
+
+
 class _Run:
     """One run over a corpus: its tables and the steps from buckets to classes."""
 
@@ -397,138 +451,171 @@ class _Run:
         self.spark, self.scratch = docs.sparkSession, scratch
         heavy = heavy_shingles(docs, text_col)
         self.heavy = self.spark.sparkContext.broadcast(heavy)
-        self.signed = scratch.write(signatures(docs, heavy, id_col, text_col), "signatures")
-        # Equal texts are one node.
-        same = self.signed.groupBy("node").agg(F.min("doc_id").alias("first_id"), *[F.first(c).alias(c) for c in ("n_chars", "bands", "sketch")])
-        self.nodes = scratch.write(same, "nodes")
-        self.texts = docs.select(F.col(id_col).cast("long").alias("first_id"), F.col(text_col).alias("text"), _node(F.col(text_col)).alias("node"))
+        signed = scratch.write(signatures(docs, heavy, id_col, text_col), "signatures")
+        # Equal texts are one node.  Numbers are given once, in a table that is written, so they are unique and stay.
+        same = signed.groupBy("key").agg(F.min("doc_id").alias("first_id"), *[F.first(c).alias(c) for c in ("n_chars", "bands", "sketch")])
+        self.nodes = scratch.write(same.withColumn("node", F.monotonically_increasing_id()), "nodes")
+        self.ids = scratch.write(signed.select("doc_id", "key"), "ids")
+        scratch.drop(signed)
+        self.texts = docs.select(F.col(id_col).cast("long").alias("first_id"), F.col(text_col).alias("text"), _key(F.col(text_col)).alias("key"))
         self.sketches = self.nodes.filter("sketch is not null").select("node", "sketch", "n_chars")
 
     def with_texts(self, wanted: DataFrame) -> DataFrame:
         """``wanted`` (with a node) and the text of each node."""
-        ids = self.nodes.select("node", "first_id").join(wanted.select("node").distinct(), "node", "left_semi")
+        ids = self.nodes.select("node", "key", "first_id").join(wanted.select("node").distinct(), "node", "left_semi")
         few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-        one = self.texts.join(F.broadcast(ids) if few else ids, ["node", "first_id"], "left_semi").dropDuplicates(["node"])
+        one = self.texts.join(F.broadcast(ids) if few else ids, ["key", "first_id"]).dropDuplicates(["node"])
         return wanted.join(one.select("node", "text"), "node")
 
     def coarse_edges(self) -> tuple[DataFrame | None, DataFrame]:
         """(edges of the coarse graph, company of nodes in their buckets)."""
-        rows = self.nodes.filter("bands is not null").select("node", F.explode("bands").alias("bucket")).distinct()
-        edges, company, depth = None, None, 0
+        # A bucket is named by the hashes of the band values that its members share, so the order of bands
+        # does not matter; ``used`` has a bit for each of those bands.
+        bands = self.nodes.filter("bands is not null").select("node", F.posexplode("bands").alias("band", "value"))
+        bit = F.expr("shiftleft(1L, band)")
+        rows = bands.select("node", F.xxhash64("value").alias("bucket"), bit.alias("used"))
+        edges, company = None, None
         while True:
-            sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-            live = self.scratch.write(rows.join(sizes, "bucket"), "live")
+            # Ways to a bucket may differ in what was agreed before; bands that all of them used count.
+            sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.bit_and("used").alias("used")).filter("n > 1")
+            live = self.scratch.write(rows.drop("used").join(sizes, "bucket"), "live")
             if company is None:
                 company = live.groupBy("node").agg(F.sum("n").alias("company"))
             small = live.filter(F.col("n") <= BUCKET).join(self.sketches.select("node", "sketch"), "node").select("bucket", "node", "sketch")
             found = small.repartition("bucket").sortWithinPartitions("bucket", "node").mapInPandas(_forest, EDGES)
-            hot = live.filter(F.col("n") > BUCKET).select("bucket", "node")
+            hot = live.filter(F.col("n") > BUCKET).select("bucket", "node", "used")
             if hot.isEmpty():
                 found = self.scratch.write(found.distinct(), "coarse")
                 return (found if edges is None else edges.union(found)), company
-            depth += 1
             led = hot.join(company, "node")
             leaders = led.groupBy("bucket").agg(F.max(F.struct("company", (-F.col("node")).alias("minus"))).alias("top")).select("bucket", (-F.col("top.minus")).alias("leader"))
             leaders = leaders.join(self.sketches.select(F.col("node").alias("leader"), F.col("sketch").alias("of_leader")), "leader")
             hot = hot.join(self.sketches.select("node", "sketch"), "node").join(leaders, "bucket").filter("node <> leader")
-            hot = self.scratch.write(hot.select("bucket", "node", "leader", sketch_similarity("sketch", "of_leader").alias("s")), "hot")
+            hot = self.scratch.write(hot.select("bucket", "node", "leader", "used", sketch_similarity("sketch", "of_leader").alias("s")), "hot")
             star = hot.filter(F.col("s") >= F.lit(JOINED)).select(F.col("node").alias("u"), F.col("leader").alias("v"))
             found = self.scratch.write(found.union(star).distinct(), "coarse")
             edges = found if edges is None else edges.union(found)
             # A bucket whose members all joined the leader is one cluster already.
             apart = hot.filter(F.col("s") < F.lit(JOINED)).select("bucket").distinct()
-            on = hot.filter(F.col("s") < F.lit(ONWARD)).select("bucket", "node").join(apart, "bucket", "left_semi")
-            split = on.join(self.nodes.select("node", F.explode("bands").alias("value")), "node")
-            rows = self.scratch.write(split.select("node", F.xxhash64("bucket", "value", F.lit(depth)).alias("bucket")).distinct(), "rows")
-
-    def verified_pairs(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (u, v) that are links; both texts of a pair meet in one row."""
-        heavy = self.heavy
-
-        @F.pandas_udf("boolean")
-        def linked(a: pd.Series, b: pd.Series) -> pd.Series:
-            xs, ys, out = a.tolist(), b.tolist(), []
-            for s in in_chunks(xs, 1_000_000):
-                last, right = None, None
-                for doc, text in zip(shingles(xs[s], WIDTH), ys[s], strict=True):
-                    if text != last:
-                        last, right = text, weighted(shingles([text], WIDTH)[0], heavy.value)
-                    out.append(jaccard(weighted(doc, heavy.value), right) >= SIMILARITY - 1e-9)
-            return pd.Series(out, dtype=bool)
-
-        one = self.with_texts(pairs.withColumnRenamed("u", "node")).withColumnsRenamed({"node": "u", "text": "a"})
-        two = self.with_texts(one.withColumnRenamed("v", "node")).withColumnsRenamed({"node": "v", "text": "b"})
-        return self.scratch.write(two.filter(linked("a", "b")).select("u", "v"), "links")
-
-    def hot_classes(self, members: DataFrame, company: DataFrame) -> DataFrame:
+            on = hot.filter(F.col("s") < F.lit(ONWARD)).select("bucket", "node", "used").join(apart, "bucket", "left_semi")
+            split = on.join(bands, "node").filter(F.expr("(used & shiftleft(1L, band)) = 0"))
+            split = self.scratch.write(split, "split")
+            # Bands in which all of a bucket's members agree tell nothing more; they count as used.
+            agreed = split.groupBy("bucket", "band").agg(F.min("value").alias("a"), F.max("value").alias("z"))
+            agreed = agreed.filter("a = z").groupBy("bucket").agg(F.bit_or(bit).alias("agreed"))
+            split = split.join(_bounded(agreed), "bucket", "left").withColumn("used", F.expr("used | coalesce(agreed, 0L)")).filter("(used & shiftleft(1L, band)) = 0")
+            named = F.col("bucket").bitwiseXOR(F.xxhash64("value")).alias("bucket")
+            rows = self.scratch.write(split.select("node", named, F.expr("used | shiftleft(1L, band)").alias("used")).groupBy("node", "bucket").agg(F.bit_and("used").alias("used")), "rows")
+
+    def blocks_of(self, size: str, chars: str) -> Column:
+        """In how many blocks of bounded size so many texts of so many characters go."""
+        return F.greatest(F.ceil(F.col(size) / BLOCK), F.ceil(F.col(chars) / BLOCK_CHARS)).cast("int")
+
+    def large_classes(self, members: DataFrame, company: DataFrame) -> DataFrame:
         """(node, comp) of clusters too large to be brought together."""
-        members = self.scratch.write(members.join(company, "node").select("cluster", "node", "n_chars", "company"), "hot-members")
-        centres = members.groupBy("cluster").agg(F.max(F.struct("company", (-F.col("node")).alias("minus"))).alias("top"), F.count(F.lit(1)).alias("size"), F.sum("n_chars").alias("chars"))
-        blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("chars") / (CLUSTER_CHARS / 2))).cast("int")
-        centres = centres.select("cluster", (-F.col("top.minus")).alias("centre"), blocks.alias("n_blocks"))
-        led = members.select("cluster", "node").join(centres, "cluster")
-        links = self.verified_pairs(led.filter("node <> centre").select(F.col("node").alias("u"), F.col("centre").alias("v")))
-        done = links.select(F.col("u").alias("node")).union(centres.select(F.col("centre").alias("node")))
-        all_ = led.join(done.withColumn("_d", F.lit(True)), "node", "left").withColumn("done", F.col("_d").isNotNull())
-        all_ = self.with_texts(all_.join(self.sketches.select("node", "sketch"), "node"))
-        all_ = self.scratch.write(all_.select("cluster", "node", "done", "n_blocks", "sketch", "text", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int").alias("b")), "hot-texts")
-        # Members that are left meet every block of their cluster; blocks come to those that some are left in.
-        rest = all_.filter(~F.col("done")).withColumnRenamed("b", "x")
-        asked = rest.select("cluster", "x").distinct()
-        to_all = rest.withColumn("y", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1))).withColumn("asks", F.lit(True))
-        others = all_.join(asked, "cluster").withColumnRenamed("b", "y").filter(F.col("done") | (F.col("x") != F.col("y"))).withColumn("asks", F.lit(False))
-        columns = ["cluster", "x", "y", "node", "asks", "done", "sketch", "text"]
-        met = to_all.select(*columns).union(others.select(*columns)).withColumn("block", F.xxhash64("cluster", "x", "y")).drop("cluster", "x", "y")
+        members = self.scratch.write(self.with_texts(members.join(company, "node")).select("cluster", "node", "n_chars", "company", "text"), "large-members")
+        by_company = F.struct("company", (-F.col("node")).alias("minus"))
+        by_hash = [F.min(F.struct(F.xxhash64("node", F.lit(k)).alias("h"), "node")).alias(f"c{k}") for k in range(1, CENTRES)]
+        stats = members.groupBy("cluster").agg(F.max(by_company).alias("top"), F.count(F.lit(1)).alias("size"), F.sum("n_chars").alias("chars"), *by_hash)
+        centre = (-F.col("top.minus")).alias("c")
+        stats = self.scratch.write(stats.select("cluster", "size", "chars", self.blocks_of("size", "chars").alias("n_blocks"), F.array_distinct(F.array(centre, *[F.col(f"c{k}.node") for k in range(1, CENTRES)])).alias("centres")), "stats")
+        sizes = _bounded(stats.select("cluster", "n_blocks"))
+        dealt = members.join(sizes, "cluster").select("cluster", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int").alias("b"), "node", F.lit(-1).alias("rank"), "text")
+        centres = stats.select("cluster", "n_blocks", F.posexplode("centres").alias("rank", "node")).join(members.select("node", "text"), "node")
+        centres = centres.select("cluster", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("b"), "node", "rank", "text")
+        met = dealt.union(centres).withColumn("block", F.xxhash64("cluster", "b"))
+        met = met.repartition("block").sortWithinPartitions("block", (F.col("rank") < 0), "rank", "node").select("block", "node", "rank", "text")
+        found = self.scratch.write(met.mapInPandas(_against_centres(self.heavy), NEAR_CENTRES), "near-centres")
+        selves = members.select(F.col("node").alias("u"), F.col("node").alias("v"))
+        links = found.filter("u is not null").select("u", "v")
+        first = components(links.union(selves), self.scratch)
+        main = stats.select("cluster", F.get("centres", 0).alias("node")).join(first, "node").select("cluster", F.col("comp").alias("main"))
+        placed = members.select("cluster", "node", "n_chars").join(first, "node").join(_bounded(main), "cluster")
+        placed = placed.join(found.filter("node is not null").groupBy("node").agg(F.max("s").alias("s")), "node")
+        placed = self.scratch.write(placed.select("cluster", "node", "n_chars", (F.col("comp") == F.col("main")).alias("done"), F.floor(F.col("s") / SHELL).cast("int").alias("shell")), "placed")
+        rest = placed.filter(~F.col("done"))
+        if rest.isEmpty():
+            return first
+        links = links.union(self.links_of_rest(members, placed, rest))
+        return components(links.union(selves), self.scratch)
+
+    def links_of_rest(self, members: DataFrame, placed: DataFrame, rest: DataFrame) -> DataFrame:
+        """Links of members that are not of their cluster's main class, each block of them with each block that a link can lead to."""
+        near = int(np.ceil((1 - SIMILARITY) / SHELL - 1e-9)) + 1
+        count = lambda rows, blocks: rows.groupBy("cluster", "shell").agg(F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("c")).select("cluster", "shell", self.blocks_of("n", "c").alias(blocks))
+        askers = self.scratch.write(count(rest, "n_ask"), "askers")
+        others = self.scratch.write(count(placed, "n_all"), "others")
+        in_block = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+        asking = rest.join(_bounded(askers), ["cluster", "shell"]).withColumn("x", in_block("n_ask"))
+        others = others.withColumnsRenamed({"shell": "other"})
+        reach = askers.join(_bounded(others), "cluster").filter(F.abs(F.col("shell") - F.col("other")) <= near)
+        reach = reach.withColumn("x", F.explode(F.sequence(F.lit(0), F.col("n_ask") - 1))).withColumn("y", F.explode(F.sequence(F.lit(0), F.col("n_all") - 1)))
+        # Each pair of blocks of askers and members; a block of askers is as small as their number allows.
+        reach = self.scratch.write(reach.select("cluster", "shell", "x", "other", "y", F.xxhash64("cluster", "shell", "x", "other", "y").alias("block")), "reach")
+        ask = asking.select("cluster", "shell", "x", "node").join(reach, ["cluster", "shell", "x"]).select("block", "node", F.lit(True).alias("asks"), F.lit(False).alias("done"))
+        member = placed.withColumnRenamed("shell", "other").join(_bounded(others), ["cluster", "other"]).withColumn("y", in_block("n_all"))
+        answer = member.select("cluster", "other", "y", "node", "done").join(reach, ["cluster", "other", "y"]).select("block", "node", F.lit(False).alias("asks"), "done")
+        met = ask.union(answer).groupBy("block", "node").agg(F.max("asks").alias("asks"), F.max("done").alias("done"))
+        met = met.join(members.select("node", "text"), "node").select("block", "node", "asks", "done", "text")
         found = met.repartition("block").sortWithinPartitions("block", "node").mapInPandas(_linked(self.heavy), EDGES)
-        links = self.scratch.write(links.union(found).distinct(), "hot-links")
-        return components(links.union(members.select(F.col("node").alias("u"), F.col("node").alias("v"))), self.scratch)
+        return self.scratch.write(found.distinct(), "rest-links")
 
     def classes(self) -> DataFrame | None:
         """(node, comp) of all nodes that share a cluster with another; None if there are none."""
         edges, company = self.coarse_edges()
         if edges is None or edges.isEmpty():
             return None
-        clusters = components(edges, self.scratch).withColumnRenamed("comp", "cluster").join(self.sketches, "node")
+        clusters = components(edges, self.scratch).withColumnRenamed("comp", "cluster").join(self.sketches.select("node", "n_chars"), "node")
         clusters = self.scratch.write(clusters, "clusters")
         sizes = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("chars"))
         large = sizes.filter((F.col("n") > CLUSTER) | (F.col("chars") > CLUSTER_CHARS)).select("cluster")
         large = self.scratch.write(large, "large")
-        small = self.with_texts(clusters.join(large, "cluster", "left_anti").select("cluster", "node", "sketch"))
+        small = self.with_texts(clusters.join(large, "cluster", "left_anti").select("cluster", "node"))
         found = small.repartition("cluster").sortWithinPartitions("cluster", "node").mapInPandas(_verified(self.heavy), "node long, comp long")
         if not large.isEmpty():
-            found = found.union(self.hot_classes(clusters.join(large, "cluster", "left_semi").select("cluster", "node", "n_chars"), company))
+            found = found.union(self.large_classes(clusters.join(large, "cluster", "left_semi").select("cluster", "node", "n_chars"), company))
         return self.scratch.write(found, "classes")
 
+    def of_keys(self) -> DataFrame:
+        """(key, first_id, comp, class_id) of every text."""
+        comp, of = self.classes(), self.nodes.select("node", "key", "first_id")
+        if comp is None:
+            return of.select("key", "first_id", F.col("node").alias("comp"), F.col("first_id").alias("class_id"))
+        of = of.join(comp, "node", "left").select("key", "first_id", F.coalesce("comp", "node").alias("comp"))
+        return self.scratch.write(of.join(of.groupBy("comp").agg(F.min("first_id").alias("class_id")), "comp").select("key", "first_id", "comp", "class_id"), "of-keys")
+
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scratch: Scratch | None = None) -> DataFrame:
     """(doc_id, class_id) per row with an id; class_id is the least id of the class."""
     run = _Run(docs, id_col, text_col, scratch or Scratch(docs.sparkSession, "dedup"))
-    comp = run.classes()
-    of = run.nodes.select("node", "first_id")
-    if comp is None:
-        of = of.select("node", F.col("first_id").alias("class_id"))
-    else:
-        of = of.join(comp, "node", "left").select("node", "first_id", F.coalesce("comp", "node").alias("comp"))
-        of = of.join(of.groupBy("comp").agg(F.min("first_id").alias("class_id")), "comp").select("node", "class_id")
     # An id that repeats with several texts takes the least of their classes.
-    out = run.signed.select("doc_id", "node").join(of, "node").groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
+    out = run.ids.join(run.of_keys().select("key", "class_id"), "key").groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
     ids = docs.select(F.col(id_col).cast("long").alias("doc_id"))
     return ids.join(out, "doc_id", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scratch: Scratch | None = None) -> DataFrame:
-    """``docs`` with one document of each class: the one with the least id.  Rows without an id stay."""
+    """``docs`` with one document of each class: the one with the least id.
+
+    Rows without an id or a text stay.  Rows that agree in id and text are one document, of which the
+    least row (by the other columns) stays; an id that repeats with several texts is as many documents.
+    """
     scratch = scratch or Scratch(docs.sparkSession, "dedup")
-    classes = scratch.write(near_duplicates(docs, id_col, text_col, scratch), "classes")
-    drop = classes.filter("doc_id <> class_id").select(F.col("doc_id").alias("_drop")).distinct()
-    repeats = classes.groupBy("doc_id").count().filter("count > 1 and doc_id is not null")
-    if drop.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
-        drop = F.broadcast(drop)
-    out = docs.join(drop, docs[id_col].cast("long") == F.col("_drop"), "left_anti")
+    run = _Run(docs, id_col, text_col, scratch)
+    of = run.of_keys()
+    # Of a class, the text whose first id is the class's; of several with that id, the least key.
+    stays = of.filter("first_id = class_id").groupBy("comp", "class_id").agg(F.min("key").alias("_stays")).select(F.col("_stays").alias("key"), F.col("class_id").alias("doc_id"))
+    keep = run.ids.join(stays, ["key", "doc_id"], "left_semi")
+    drop = scratch.write(run.ids.join(stays, ["key", "doc_id"], "left_anti").distinct().select(F.col("doc_id").alias("_id"), F.col("key").alias("_key")), "drop")
+    repeats = scratch.write(keep.groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("doc_id").alias("_id"), F.col("key").alias("_key")), "repeats")
+    same = (docs[id_col].cast("long") == F.col("_id")) & (_key(docs[text_col]) == F.col("_key"))
+    out = docs.join(_bounded(drop), same, "left_anti")
     if repeats.isEmpty():
         return out
-    alone = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("row "), F.monotonically_increasing_id().cast("string")))
-    return out.withColumn("_one", alone).dropDuplicates(["_one"]).drop("_one")
+    same = (out[id_col].cast("long") == F.col("_id")) & (_key(out[text_col]) == F.col("_key"))
+    alone = out.join(_bounded(repeats), same, "left_anti")
+    least = out.join(_bounded(repeats), same).groupBy("_id", "_key").agg(F.min(F.struct(*docs.columns)).alias("_row")).select("_row.*")
+    return alone.unionByName(least)
 
 
 def op3(docs: DataFrame) -> DataFrame:
