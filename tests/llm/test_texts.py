@@ -195,11 +195,50 @@ def test_chat_round_trip(spark):
     said = [nasty[1], nasty[2], nasty[2]]
     assert got[1].n_turns == 6 and got[1].loss_sha256 == hashlib.sha256("".join(said).encode()).hexdigest() and got[1].loss_chars == sum(map(len, said))
     assert got[2].loss_chars == 0 and got[2].n_turns == 1 and got[3].n_turns == 1 and got[None].n_turns == 1 and got[-7].n_turns == 2
-    full = {(r.conv_id, r.example_no): r for r in chat.materialise(chat.prefix_targets(df)).collect()}
+    full = {(r.conv_id, r.example_no): r for r in chat.materialise(df).collect()}
     assert chat.unescape(full[1, 1].target) == nasty[2] and [p[0] for p in chat.parse(full[1, 1].context + full[1, 1].target + full[1, 1].closing)] == ["user", "assistant", "user", "assistant"]
+    segments = {}
+    for r in chat.prefix_targets(df).orderBy("conv_id", "example_no").collect():
+        segments[r.conv_id] = segments.get(r.conv_id, "") + r.segment
+        if r.target_start is not None:
+            x = full[r.conv_id, r.example_no]
+            assert segments[r.conv_id][: r.target_start] == x.context and segments[r.conv_id][r.target_start : r.target_end] == x.target
+            assert r.context_sha256 == hashlib.sha256(x.context.encode()).hexdigest()
     assert [r.conv_id for r in chat.op8(spark.createDataFrame([], CONV)).collect()] == [-7]
 
 
+def test_examples_against_brute_force(monkeypatch):
+    monkeypatch.setattr(chat, "PIECE_TURNS", 5)  # runs beyond a piece are there too
+    r, turns = random.Random(3), []
+    for c in [None, *range(40)]:
+        turns += [(c, r.choice(["user", "assistant", "system"] if c != 3 else ["user"]), r.choice(["a", "", "</s>", "x\n", "<|"])) for _ in range(r.randint(1, 25))]
+    examples, by_conv = list(chat.expand(iter(turns))), {}
+    for t in turns:
+        by_conv.setdefault(t[0], []).append(t)
+    for c, own in by_conv.items():
+        replies = [x for x in examples if x.conv == c and x.target is not None]
+        at = [i for i, t in enumerate(own) if t[1] == "assistant"]
+        assert [chat.unescape(x.target) for x in replies] == [own[i][2] for i in at]
+        for x, i in zip(replies, at, strict=True):
+            assert x.context() + x.target + x.closing == "".join(chat.format_turn(*t[1:])[0] for t in own[: i + 1])
+    got = {row[0]: row for row in chat.read_examples(chat.expand(iter(turns)))}
+    for c, own in by_conv.items():
+        assert got[c][1:3] == (len(own), hashlib.sha256("".join(f"{t[1]}\n{t[2]}\n" for t in own).encode()).hexdigest())
+        assert got[c][4] == hashlib.sha256("".join(t[2] for t in own if t[1] == "assistant").encode()).hexdigest()
+
+
+def test_reading_fails_where_the_expansion_is_broken():
+    turns = [(1, "user", "a"), (1, "assistant", "b"), (1, "user", "c"), (1, "assistant", "d")]
+    first, second = chat.expand(iter(turns))
+    broken = chat.Example(1, 1, chat.Rope(["other", "turns", "here"]), 3, second.head, second.target, second.closing)
+    with pytest.raises(ValueError, match="does not begin"):
+        list(chat.read_examples(iter([first, broken])))
+    first, second = chat.expand(iter(turns))
+    short = chat.Example(1, 1, first.rope, 1, second.head, second.target, second.closing)
+    with pytest.raises(ValueError, match="does not begin"):
+        list(chat.read_examples(iter([first, short])))
+
+
 PAGE = "page_id long, url string, html string, digest string"
 
 
@@ -214,10 +253,9 @@ def test_warc_round_trip_index_and_ranges(spark):
         revisit = len(data) >= 100 and page_id != 3
         want.append((page_id, len(data), hashlib.sha256(data).hexdigest(), "revisit" if revisit else "response", 3 if revisit else None))
     assert got == sorted(want, key=str)
-    _, blocks = warc.archive(pages)
-    index = warc.CaptureIndex(blocks)
+    index = warc.CaptureIndex(warc.archive(pages))
     assert {h["WARC-Record-ID"] for h, _ in index.read("http://c.org/")} == {"<urn:page:9>", "<urn:page:2>"}
-    assert index.read("http://nowhere.org/") == []
+    assert list(index.read("http://nowhere.org/")) == []
     assert warc.op9(spark.createDataFrame([], PAGE)).count() == 0
 
 
@@ -226,9 +264,35 @@ def test_surt():
     assert warc.surt("https://u@x.y.org:8080") == "org,y,x:8080)/" and warc.surt(None) == ")/"
 
 
+def many_pages(spark):
+    return spark.range(40).select(F.col("id").alias("page_id"), F.concat(F.lit("http://h"), F.col("id") % 5, F.lit(".org/")).alias("url"), F.lit("x").alias("html"), F.lit("").alias("digest"))
+
+
 def test_index_over_many_blocks(spark, monkeypatch):
     monkeypatch.setattr(warc, "BLOCK_LINES", 3)
-    pages = spark.range(40).select(F.col("id").alias("page_id"), F.concat(F.lit("http://h"), F.col("id") % 5, F.lit(".org/")).alias("url"), F.lit("x").alias("html"), F.lit("").alias("digest"))
-    _, blocks = warc.archive(pages)
-    index = warc.CaptureIndex(blocks)
-    assert len(index.captures("http://h2.org/")) == 8 and {x[2] for x in index.captures("http://h2.org/")} == set(range(2, 40, 5))
+    index = warc.CaptureIndex(warc.archive(many_pages(spark), parts=4))
+    assert {x[2] for x in index.captures("http://h2.org/")} == set(range(2, 40, 5)) and len(list(index.captures("http://h2.org/"))) == 8
+
+
+def test_look_up_needs_the_directory_and_the_blocks(spark, monkeypatch):
+    """The query's rows come from the index: with a directory entry or a block's lines gone, theirs are gone too."""
+    monkeypatch.setattr(warc, "BLOCK_LINES", 3)
+    pages = many_pages(spark)
+    blocks = warc.archive(pages, parts=4)
+    keys = pages.select(warc.capture_key(F.col("url"), F.col("page_id")).alias("key"))
+    found = warc.look_up(blocks, keys.unionByName(keys).unionByName(spark.createDataFrame([("nowhere 1",)], "key string")))
+    assert sorted(r.page_id for r in found.collect()) == list(range(40))
+    assert sorted(r.page_id for r in warc.read_ranges(found).collect()) == list(range(40))
+    gone = blocks.filter("n > 1").orderBy("part", "block").first()
+    that = (F.col("part") == gone.part) & (F.col("block") == gone.block)
+    fewer = warc.look_up(blocks.filter(~that), keys).collect()
+    assert len(fewer) == 40 - gone.n and not {r.key for r in fewer} & {x[0] for x in warc._unpack_block(bytes(gone.data))}
+    wrong = blocks.withColumn("last_key", F.when(that, F.col("first_key")).otherwise(F.col("last_key")))
+    assert warc.look_up(wrong, keys).count() < 40
+
+
+def test_archives_with_long_pages_are_scanned_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(warc, "SCAN_BYTES", 700)
+    rows = [(i, f"http://x.org/{i}", ("é\r\n\r\nWARC/1.1" * 3000 if i % 3 == 0 else "y") + str(i), "") for i in range(20)]
+    got = {r.page_id: r for r in warc.op9(spark.createDataFrame(rows, PAGE).coalesce(2)).collect()}
+    assert {i: r.payload_digest for i, r in got.items()} == {i: hashlib.sha256(t.encode()).hexdigest() for i, _, t, _ in rows} and all(r.intact for r in got.values())

@@ -9,17 +9,20 @@ control string of this or other common templates can occur inside them: a backsl
 a backslash goes after the first character of every place where a control string begins.  In a role a
 line feed is escaped too.  Reading takes each backslash away and keeps the character after it.
 
-The context of example k is, character for character, the formatted conversation up to its target.
-So an example row holds only the ``segment`` that it adds, and its offsets into the whole: the output
-grows with the input and not with the square of a conversation's length.  ``materialise`` writes the
-full text of every example where a trainer wants it.
+``expand`` makes the examples of a stream of turns.  The context of each is the very text of all turns
+before it; examples of a conversation share it as a rope, so that expanding costs what the turns cost
+and not the square of a conversation's length.  ``materialise`` writes each example's full text out, a row
+at a time, where a trainer wants it; ``prefix_targets`` writes the segment that each example adds, its place in the
+whole, and the digest of its context; and the registered query reads turns and loss back from the expanded
+examples: turns from their contexts and what follows, loss from their targets.
 
 Rows of one conversation are sorted by (turn, role, text) on the executors and streamed: a partition
-is read batch by batch, and an example's segment is all that is held, however long a conversation is.
+is read batch by batch, and readers let go of the turns they have read, so an example's own turns are
+the most that is held, however long a conversation is (``materialise`` alone holds a whole one).
 
 Defined results: null roles and texts are empty; null turns come first and a null conv_id is one
 conversation; turns with equal numbers are ordered by role, then text; repeated rows are turns of
-their own; an empty table gives no examples; other columns are not read.
+their own; very long texts are formatted whole; an empty table gives no examples; other columns are not read.
 """
 
 from __future__ import annotations
@@ -27,11 +30,11 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 START, END = "<|im_start|>", "<|im_end|>\n"
 #: Control strings of common chat templates; none is the beginning of another.
@@ -42,9 +45,12 @@ _TURN = re.compile(r"<\|im_start\|>((?:[^\\\n]|\\.)*)\n(.*?)<\|im_end\|>\n", re.
 
 #: A longer run of turns without a reply is handed on in pieces without a target.
 PIECE_TURNS = 4_096
+#: Characters of rows that are held before they are handed on.
+HELD_CHARS = 4_000_000
 EXAMPLES = (
-    "conv_id long, example_no long, segment string, segment_start long, target_start long, target_end long, end long"
+    "conv_id long, example_no long, segment string, segment_start long, target_start long, target_end long, end long, context_sha256 string"
 )
+TEXTS = "conv_id long, example_no long, context string, target string, closing string"
 
 
 def escape(text: str) -> str:
@@ -72,41 +78,114 @@ def _null(x) -> bool:
     return x is None or x != x
 
 
-def _examples(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    names = [x.split()[0] for x in EXAMPLES.split(", ")]
-    conv, begun, no, start, at, parts = None, False, 0, 0, 0, []
-    out: list[tuple] = []
-
-    def closing() -> None:
-        if parts:
-            out.append((conv, no, "".join(parts), start, None, None, at))
-
+class Rope:
+    """Formatted turns of one conversation, from ``base`` on: a reader may let go of what it has read."""
+
+    def __init__(self, turns: list[str] | None = None):
+        self.base, self.turns = 0, turns or []
+
+    def __len__(self) -> int:
+        return self.base + len(self.turns)
+
+    def text(self, a: int, b: int) -> str:
+        if a < self.base:
+            raise ValueError("turns that were let go are asked for")
+        return "".join(self.turns[a - self.base : b - self.base])
+
+    def let_go(self, upto: int) -> None:
+        del self.turns[: max(0, upto - self.base)]
+        self.base = max(self.base, upto)
+
+
+@dataclass
+class Example:
+    """One example: all turns before a reply, and the reply; ``target`` is None where turns close a conversation.
+
+    The first ``n_context`` turns of the conversation's rope are this example's context, and ``head`` is
+    what stands before the target in the last turn.
+    """
+
+    conv: int | None
+    number: int
+    rope: Rope
+    n_context: int
+    head: str
+    target: str | None
+    closing: str
+
+    def context(self, since: int = 0) -> str:
+        """Formatted text before the target, from turn ``since`` on."""
+        return self.rope.text(since, self.n_context) + self.head
+
+
+def expand(turns: Iterator[tuple[int | None, str, str]]) -> Iterator[Example]:
+    """The examples of turns (conversation, role, text) that come conversation by conversation, in order."""
+    conv, begun, number, rope, open_ = None, False, 0, Rope(), 0
+    for c, role, text in turns:
+        if not begun or c != conv:
+            if open_:
+                yield Example(conv, number, rope, len(rope), "", None, "")
+            conv, begun, number, rope, open_ = c, True, 0, Rope(), 0
+        turn, lo, hi = format_turn(role, text)
+        if role == "assistant":
+            yield Example(conv, number, rope, len(rope), turn[:lo], turn[lo:hi], turn[hi:])
+            number, open_ = number + 1, 0
+        else:
+            open_ += 1
+        rope.turns.append(turn)
+        if open_ >= PIECE_TURNS:
+            yield Example(conv, number, rope, len(rope), "", None, "")
+            number, open_ = number + 1, 0
+    if open_:
+        yield Example(conv, number, rope, len(rope), "", None, "")
+
+
+def _turns(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[int | None, str, str]]:
     for pdf in batches:
         for c, role, text in zip(pdf["conv_id"], pdf["role"], pdf["text"], strict=True):
-            c = None if _null(c) else int(c)
-            if not begun or c != conv:
-                closing()
-                conv, begun, no, start, at, parts = c, True, 0, 0, 0, []
-            role, text = "" if _null(role) else role, "" if _null(text) else text
-            turn, lo, hi = format_turn(role, text)
-            parts.append(turn)
-            if role == "assistant":
-                out.append((conv, no, "".join(parts), start, at + lo, at + hi, at + len(turn)))
-                no, start, parts = no + 1, at + len(turn), []
-            elif len(parts) >= PIECE_TURNS:
-                out.append((conv, no, "".join(parts), start, None, None, at + len(turn)))
-                no, start, parts = no + 1, at + len(turn), []
-            at += len(turn)
-            if len(out) >= 2_000:
-                yield _frame(out, names)
-                out = []
-    closing()
-    yield _frame(out, names)
-
-
-def _frame(rows: list[tuple], names: list[str]) -> pd.DataFrame:
-    pdf = pd.DataFrame(rows, columns=names, dtype=object)
-    return pdf.astype({n: "Int64" for n in names if n != "segment"})
+            yield None if _null(c) else int(c), "" if _null(role) else role, "" if _null(text) else text
+
+
+def _framed(rows: Iterator[tuple], schema: str, size) -> Iterator[pd.DataFrame]:
+    """Frames of rows; ``size`` says how many characters a row holds."""
+    fields = [x.split() for x in schema.split(", ")]
+    out, held = [], 0
+
+    def frame() -> pd.DataFrame:
+        pdf = pd.DataFrame(out, columns=[n for n, _ in fields], dtype=object)
+        return pdf.astype({n: "Int64" for n, kind in fields if kind == "long"})
+
+    for row in rows:
+        out.append(row)
+        held += size(row) + 100
+        if held >= HELD_CHARS:
+            yield frame()
+            out, held = [], 0
+    yield frame()
+
+
+def _segments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rows() -> Iterator[tuple]:
+        conv, begun, seen, at, sha = None, False, 0, 0, hashlib.sha256()
+        for x in expand(_turns(batches)):
+            if not begun or x.conv != conv or not x.number:
+                conv, begun, seen, at, sha = x.conv, True, 0, 0, hashlib.sha256()
+            new = x.context(seen)
+            before = sha.copy()
+            before.update(new.encode("utf-8", "surrogatepass"))
+            start, whole = at, new + (x.target or "") + x.closing
+            lo, hi = (None, None) if x.target is None else (at + len(new), at + len(new) + len(x.target))
+            sha.update(whole.encode("utf-8", "surrogatepass"))
+            seen, at = x.n_context + (x.target is not None), at + len(whole)
+            x.rope.let_go(x.n_context)
+            yield x.conv, x.number, whole, start, lo, hi, at, before.hexdigest()
+
+    yield from _framed(rows(), EXAMPLES, lambda r: len(r[2]))
+
+
+def _full(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    rows = ((x.conv, x.number, x.context(), x.target, x.closing) for x in expand(_turns(batches)) if x.target is not None)
+    yield from _framed(rows, TEXTS, lambda r: len(r[2]) + len(r[3]))
 
 
 def in_order(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
@@ -116,58 +195,61 @@ def in_order(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str
 
 
 def prefix_targets(df: DataFrame, **columns: str) -> DataFrame:
-    """One row per example (``EXAMPLES``); rows of a conversation stay together and in order."""
-    return in_order(df, **columns).select("conv_id", "role", "text").mapInPandas(_examples, EXAMPLES)
+    """One row per example (``EXAMPLES``): what it adds to its conversation, where, and the digest of all before its target."""
+    return in_order(df, **columns).select("conv_id", "role", "text").mapInPandas(_segments, EXAMPLES)
 
 
-def materialise(examples: DataFrame) -> DataFrame:
-    """conv_id, example_no, context, target, closing: full texts, for examples with a target."""
-    w = Window.partitionBy("conv_id").orderBy("example_no")
-    whole = examples.withColumn("whole", F.concat_ws("", F.collect_list("segment").over(w.rowsBetween(Window.unboundedPreceding, 0))))
-    cut = lambda a, b: F.expr(f"substring(whole, cast({a} + 1 as int), cast({b} - {a} as int))")
-    return whole.filter(F.col("target_start").isNotNull()).select(
-        "conv_id", "example_no", F.expr("substring(whole, 1, cast(target_start as int))").alias("context"),
-        cut("target_start", "target_end").alias("target"), cut("target_end", "end").alias("closing"),
-    )
+def materialise(df: DataFrame, **columns: str) -> DataFrame:
+    """Full texts (``TEXTS``) of the examples with a target, each a row of its own."""
+    return in_order(df, **columns).select("conv_id", "role", "text").mapInPandas(_full, TEXTS)
 
 
 DIGESTS = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_examples long"
 
 
+def read_examples(examples: Iterator[Example]) -> Iterator[tuple]:
+    """Digests of each conversation (``DIGESTS``), from nothing but its examples.
+
+    Each example's context is read from where the one before it was read to; what was read before must
+    be the beginning of it.
+    """
+    conv, state, seen, last = None, None, 0, None
+
+    def close() -> tuple:
+        n, turns, loss_chars, loss, chars, count = state
+        return conv, n, turns.hexdigest(), loss_chars, loss.hexdigest(), chars, count
+
+    for x in examples:
+        if state is None or x.conv != conv or not x.number:
+            if state:
+                yield close()
+            conv, state, seen, last = x.conv, [0, hashlib.sha256(), 0, hashlib.sha256(), 0, 0], 0, None
+        if x.n_context < seen or last is not None and x.rope.text(seen - 1, seen) != last:
+            raise ValueError(f"example {x.number} of conversation {x.conv} does not begin with the turns before it")
+        text = x.context(seen) + (x.target or "") + x.closing
+        for role, said, _, _ in parse(text):
+            state[0] += 1
+            state[1].update(f"{role}\n{said}\n".encode())
+        if x.target is not None:
+            target = unescape(x.target)
+            state[2] += len(target)
+            state[3].update(target.encode())
+            state[5] += 1
+        state[4] += len(text)
+        seen = x.n_context + (x.target is not None)
+        last = x.head + x.target + x.closing if x.target is not None else x.rope.text(seen - 1, seen)
+        x.rope.let_go(seen - 1)
+    if state:
+        yield close()
+
+
 def _read_back(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Digests of each conversation, from nothing but its examples."""
-    names = [x.split()[0] for x in DIGESTS.split(", ")]
-    conv, state, out = None, None, []
+    yield from _framed(read_examples(expand(_turns(batches))), DIGESTS, lambda r: 0)
 
-    def close() -> None:
-        if state:
-            n, turns, loss_chars, loss, chars, examples = state
-            out.append((conv, n, turns.hexdigest(), loss_chars, loss.hexdigest(), chars, examples))
 
-    for pdf in batches:
-        for c, segment, start, t0, t1 in zip(pdf["conv_id"], pdf["segment"], pdf["segment_start"], pdf["target_start"], pdf["target_end"], strict=True):
-            c = None if _null(c) or c is pd.NA else int(c)
-            if state is None or c != conv:
-                close()
-                conv, state = c, [0, hashlib.sha256(), 0, hashlib.sha256(), 0, 0]
-            for role, text, _, _ in parse(segment):
-                state[0] += 1
-                state[1].update(f"{role}\n{text}\n".encode())
-            if not (_null(t0) or t0 is pd.NA):
-                target = unescape(segment[int(t0) - int(start) : int(t1) - int(start)])
-                state[2] += len(target)
-                state[3].update(target.encode())
-                state[5] += 1
-            state[4] += len(segment)
-        if len(out) >= 2_000:
-            yield pd.DataFrame(out, columns=names).astype({"conv_id": "Int64"})
-            out = []
-    close()
-    yield pd.DataFrame(out, columns=names).astype({"conv_id": "Int64"})
-
-
-def read_back(examples: DataFrame) -> DataFrame:
-    return examples.mapInPandas(_read_back, DIGESTS)
+def read_back(df: DataFrame, **columns: str) -> DataFrame:
+    """Digests (``DIGESTS``) of each conversation as its expanded examples have it."""
+    return in_order(df, **columns).select("conv_id", "role", "text").mapInPandas(_read_back, DIGESTS)
 
 
 def op8(conversations: DataFrame) -> DataFrame:
@@ -175,7 +257,7 @@ def op8(conversations: DataFrame) -> DataFrame:
     says = "</s>[INST] ok [/INST]"
     extra = conversations.sparkSession.createDataFrame([(-7, 0, "user", says), (-7, 1, "assistant", says)], "conv_id long, turn long, role string, text string")
     rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
-    return read_back(prefix_targets(rows.unionByName(extra)))
+    return read_back(rows.unionByName(extra))
 
 
 def _escaped_length(col: str) -> str:

@@ -4,20 +4,21 @@ For each host, pages that hold a line are divided by the host's pages; a line wh
 least ``ratio`` and which stands on at least ``min_pages`` pages of the host is boilerplate there and
 is dropped from every page of the host.  The same line may stay on another host.
 
-Only 64-bit line hashes are shuffled, one per page and distinct line, summed on the map side.  A
-host has at most (mean lines a page / ratio) boilerplate lines, so the per-host array that goes back
-to the pages is bounded whatever the host's size; texts are filtered row by row and never regrouped.
-Pages without a boilerplate host (the join's other side is small) are not shuffled as long as the
-array table stays under ``broadcast_rows``; beyond it the join is an ordinary one, which Spark may
-split where a host is hot.
+Only 64-bit line hashes are shuffled, one per page and distinct line, summed on the map side, and the
+lines to drop are written once.  A host has at most (mean lines a page / ratio) of them whatever its
+size, in ``SLOTS`` short lists by hash, so a line is looked up in one short list.  The table of hosts is
+broadcast while its lists have at most ``BROADCAST_BYTES`` (summed, not guessed from the number of hosts);
+beyond that the join is an ordinary one, which Spark may split where a host is hot.  Texts are
+filtered row by row and never regrouped.
 
 With ``distinct_texts`` a page is a distinct text of its host, in the count of a line and in the host's
 total alike: a group of exact copies is then one page, whose own lines are not taken for boilerplate
 just because it was copied; the copies are left to near dedup.  Without it each row is a page, which is
 what the query's SQL says.
 
-Defined results: a null text stays null, with 0 lines; a line without a word character is never
-dropped and never counted; a null host is a host of its own; repeated rows each count as a page unless ``distinct_texts`` is set;
+Defined results: a null text stays null, with 0 lines; a line of nothing but white space is never
+dropped and never counted; a line exactly at the ratio is dropped; a null host is a host of its own;
+repeated rows each count as a page unless ``distinct_texts`` is set; very long texts are split whole;
 an empty table gives an empty result; other columns pass through (the names ``_line_*`` are ours).
 """
 
@@ -26,9 +27,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weftline.scratch import Scratch
+
 #: Production parameters of the registered query and the pipeline's stage.
 RATIO, MIN_PAGES = 0.02, 5
-BROADCAST_ROWS = 100_000
+BROADCAST_BYTES, SLOTS = 32 << 20, 64
+#: Fixed value: white space of a line.
+WHITE = " \t\n\x0b\x0c\r"
 
 
 def url_host(url: Column) -> Column:
@@ -40,9 +45,13 @@ def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
+def _blank(line: Column) -> Column:
+    return F.length(F.trim(line, F.lit(WHITE))) == 0
+
+
 def _hashes(text: Column) -> Column:
     """Distinct hashes of a text's lines that hold something other than white space."""
-    full = F.filter(_lines(text), lambda x: F.length(F.trim(x)) > 0)
+    full = F.filter(_lines(text), lambda x: ~_blank(x))
     return F.array_distinct(F.transform(full, lambda x: F.xxhash64(x)))
 
 
@@ -61,23 +70,27 @@ def boilerplate(df: DataFrame, host_col: str, text_col: str, ratio: float = RATI
         pages.select("host", F.explode("hashes").alias("line_hash"))
         .groupBy("host", "line_hash").agg(F.count(F.lit(1)).alias("n_pages")).filter(F.col("n_pages") >= min_pages)
     )
-    if totals.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        totals = F.broadcast(totals)
     return counts.join(totals, F.col("host").eqNullSafe(F.col("of_host")), "inner").drop("of_host").filter(F.col("n_pages") >= F.lit(ratio) * F.col("host_pages"))
 
 
-def line_dedup(df: DataFrame, host_col: str = "source", text_col: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES, distinct_texts: bool = False) -> DataFrame:
+def lists_by_host(lines: DataFrame) -> DataFrame:
+    """(_line_host, _line_drop) with a host's hashes in ``SLOTS`` lists."""
+    hashes = F.collect_set("line_hash")
+    slots = F.transform(F.sequence(F.lit(0), F.lit(SLOTS - 1)), lambda i: F.filter("h", lambda x: F.pmod(x, F.lit(SLOTS)) == i))
+    return lines.groupBy("host").agg(hashes.alias("h")).select(F.col("host").alias("_line_host"), slots.alias("_line_drop"))
+
+
+def line_dedup(df: DataFrame, host_col: str = "source", text_col: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES, distinct_texts: bool = False, scratch: Scratch | None = None) -> DataFrame:
     """``df`` with boilerplate lines taken out of ``text_col``, plus ``_line_total`` and ``_line_dropped``."""
-    drop = (
-        boilerplate(df, host_col, text_col, ratio, min_pages, distinct_texts)
-        .groupBy("host").agg(F.collect_set("line_hash").alias("_line_drop"))
-        .withColumnRenamed("host", "_line_host")
-    )
-    if drop.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    scratch = scratch or Scratch(df.sparkSession, "lines")
+    gone = scratch.write(boilerplate(df, host_col, text_col, ratio, min_pages, distinct_texts).select("host", "line_hash"), "boilerplate")
+    size = gone.groupBy("host").agg((F.count(F.lit(1)) * 8 + SLOTS * 24 + F.coalesce(F.octet_length("host"), F.lit(0))).alias("b")).agg(F.sum("b")).first()[0] or 0
+    drop = lists_by_host(gone)
+    if size <= BROADCAST_BYTES:
         drop = F.broadcast(drop)
     out = df.join(drop, df[host_col].eqNullSafe(drop["_line_host"]), "left").drop("_line_host")
     lines = _lines(F.col(text_col))
-    kept = F.filter(lines, lambda x: ~F.array_contains(F.col("_line_drop"), F.xxhash64(x)) | (F.length(F.trim(x)) == 0))
+    kept = F.filter(lines, lambda x: ~F.array_contains(F.get("_line_drop", F.pmod(F.xxhash64(x), F.lit(SLOTS)).cast("int")), F.xxhash64(x)) | _blank(x))
     out = out.withColumn("_line_kept", F.when(F.col("_line_drop").isNull(), lines).otherwise(kept))
     return out.withColumns({
         text_col: F.array_join("_line_kept", "\n"),
@@ -95,7 +108,7 @@ ORACLE = f"""
 WITH d AS (SELECT row_number() OVER () AS rid, * FROM documents),
 x AS (SELECT rid, doc_id, source, generate_subscripts(ls, 1) AS i, unnest(ls) AS line FROM (SELECT *, string_split(text, chr(10)) AS ls FROM d)),
 h AS (SELECT source, count(*) AS n FROM d GROUP BY source),
-f AS (SELECT source, line, count(DISTINCT rid) AS c FROM x WHERE trim(line, ' ') <> '' GROUP BY source, line),
+f AS (SELECT source, line, count(DISTINCT rid) AS c FROM x WHERE trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) <> '' GROUP BY source, line),
 b AS (SELECT f.source, line FROM f JOIN h ON f.source IS NOT DISTINCT FROM h.source WHERE c >= {MIN_PAGES} AND c >= CAST({RATIO} AS DOUBLE) * n),
 k AS (SELECT x.*, b.line IS NOT NULL AS gone FROM x LEFT JOIN b ON x.source IS NOT DISTINCT FROM b.source AND x.line = b.line)
 SELECT d.doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_dropped, 0)::BIGINT AS n_dropped,

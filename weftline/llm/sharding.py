@@ -15,8 +15,8 @@ bins in which a cut can fall, because two bounds are proven first:
 * if it fits at C, whole groups fit at C plus the largest of the other groups.
 
 Defined results: a null text has size 1 (no bytes, plus 1), belongs to the group of nulls and has
-``text_crc32`` null; empty tables give no rows; repeated rows and repeated ids each take a slot of
-their own; with fewer groups than shards the last shards stay empty; other columns are not read.
+``text_crc32`` null; empty tables give no rows; repeated rows, repeated ids and null ids each take a slot of
+their own; very long texts count by their bytes; cuts with equal capacity fall as late as greedy filling puts them; with fewer groups than shards the last shards stay empty; other columns are not read.
 """
 
 from __future__ import annotations
@@ -167,7 +167,7 @@ def shard(df: DataFrame, n_shards: int = 8, id_col: str = "doc_id", text_col: st
             F.col(id_col).alias("doc_id"),
             (F.coalesce(F.octet_length(text_col), F.lit(0)) + 1).cast("long").alias("size"),
             F.crc32(F.col(text_col).cast("binary")).alias("text_crc32"),
-            order_key(F.col(text_col)).alias("key"),
+            order_key(F.col(text_col)).alias("key"), F.monotonically_increasing_id().alias("row"),
         ),
         "rows",
     )
@@ -177,13 +177,13 @@ def shard(df: DataFrame, n_shards: int = 8, id_col: str = "doc_id", text_col: st
     for k in cuts:
         number = number + (F.col("key") >= F.lit(k)).cast("int")
     n = rows.count()
-    # Slots: rows are dealt over bins by a hash of the id (never by the text, which may be hot);
-    # bins of a shard are numbered on, and rows are numbered within their bin.
+    # Slots: rows are dealt over bins by a hash of a number that the written table holds, never by the
+    # text or the id, which may be hot; bins of a shard are numbered on, and rows within their bin.
     n_bins = max(1, n // (n_shards * slot_rows))
-    placed = rows.withColumn("shard", number).withColumn("bin", F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(n_bins)).cast("int"))
+    placed = rows.withColumn("shard", number).withColumn("bin", F.pmod(F.xxhash64("row"), F.lit(n_bins)).cast("int"))
     counts = placed.groupBy("shard", "bin").agg(F.count(F.lit(1)).alias("n"))
     before = counts.select("shard", "bin", (F.sum("n").over(Window.partitionBy("shard").orderBy("bin")) - F.col("n")).alias("before"))
-    within = Window.partitionBy("shard", "bin").orderBy("doc_id", "key")
+    within = Window.partitionBy("shard", "bin").orderBy("doc_id", "key", "row")
     numbered = placed.withColumn("at", F.row_number().over(within))
     return numbered.join(before, ["shard", "bin"]).select(
         "doc_id", "size", "text_crc32", "shard", (F.col("before") + F.col("at") - 1).alias("slot")

@@ -4,10 +4,15 @@ Archives are plain WARC/1.1 files written by Spark's text writer (a record's las
 separator), so writing goes through the commit protocol and works on any store Spark can write to.
 Reading is by ``Content-Length``, never by searching for markers that a payload could contain.
 
-Index, two levels: capture lines sorted by the reversed-host key of their URL are cut into compressed
-blocks; a sparse directory holds the first and last key of each block and, above it, of each part of
-the sorted order.  A lookup searches the parts, then one part's directory, by bisection, opens only
-the blocks it names and reads the records by byte range through Hadoop's file system.
+Index, two levels: a scan of the archives reads headers and steps over payloads, and gives one line per
+capture, whose key is the reversed-host key of its URL and the page's id.  Lines sorted by key are cut into
+compressed blocks; a sparse directory holds the first and last key of each block and, above it, of each
+part of the sorted order.  A lookup searches the parts, then one part's directory, by bisection, opens
+only the blocks it names and reads the records by byte range.  Single lookups run on the driver
+(``CaptureIndex``); ``look_up`` resolves a table of keys on the executors, the keys of a part together, and
+``read_ranges`` reads what was found, file by file.  The registered query gets its rows that way.
+
+Executors read files through Arrow's file systems (local or mounted folders, HDFS, S3, GCS).
 
 Dedup: of records with equal payloads of at least ``MIN_REVISIT`` bytes the one with the smallest
 page_id is a response and the others are revisits that refer to it.  Only digests are grouped (summed
@@ -16,12 +21,15 @@ by a join that Spark may split where a digest is hot.
 
 Defined results: null html is an empty payload; a null page_id sorts last and is written without an
 id; rows that repeat the smallest page_id with the same payload are all responses; a null url is an
-empty URL; empty tables give an empty archive; columns other than page_id, url and html are not read.
+empty URL; very long pages are one record each, of which only one is held at a time; a URL captured very
+often is spread over blocks and parts by page; empty tables give an empty archive; columns other than
+page_id, url and html are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
+import itertools
 import json
 import re
 import zlib
@@ -29,9 +37,12 @@ from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
+from pyarrow import NativeFile
+from pyarrow import fs as arrow_fs
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from weftline.scratch import Scratch
 
@@ -40,6 +51,8 @@ DATE = "2024-01-01T00:00:00Z"
 RECORDS_PER_FILE = 4_000
 BLOCK_LINES = 3_000
 BROADCAST_ROWS = 100_000
+#: Bytes that a scan reads at once, and rows that are handed on at once.
+SCAN_BYTES, FRAME_ROWS = 1 << 20, 5_000
 #: Fixed value: the profile of revisits by digest in the WARC 1.1 standard.
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _SURT = re.compile(r"^(?:[a-z][a-z0-9+.-]*://)?(?:[^/?#@]*@)?([^/?#:]*)(?::(\d*))?(.*)$", re.IGNORECASE | re.DOTALL)
@@ -94,24 +107,48 @@ def write_archives(recs: DataFrame, path: str) -> None:
     recs.write.mode("overwrite").option("lineSep", "\r\n").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
 
 
-CAPTURES = (
-    "file string, offset long, length long, url string, page_id long, record_type string, refers_to long, "
-    "payload_bytes long, payload_digest string, intact boolean"
-)
+PLACES = "file string, offset long, length long, url string, page_id long, record_type string"
+RECORDS = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, intact boolean"
+
+
+def open_file(file: str) -> NativeFile:
+    """A file of any store that Arrow knows, for reads at any place."""
+    if file.startswith("file:"):
+        return arrow_fs.LocalFileSystem().open_input_file(re.sub(r"^file:/+", "/", file))
+    store, path = arrow_fs.FileSystem.from_uri(file)
+    return store.open_input_file(path)
+
 
+def _headers(head: bytes) -> dict[str, str]:
+    lines = head.decode("utf-8").split("\r\n")
+    if not lines[0].startswith("WARC/"):
+        raise ValueError(f"no record begins with {lines[0][:40]!r}")
+    return dict(x.split(": ", 1) if ": " in x else (x.rstrip(":"), "") for x in lines[1:])
 
-def parse_archive(data: bytes) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
-    """(offset, length, headers, block) of each record of an archive, by Content-Length."""
-    at = 0
-    while at < len(data):
-        end = data.index(b"\r\n\r\n", at)
-        lines = data[at:end].decode("utf-8").split("\r\n")
-        if not lines[0].startswith("WARC/"):
-            raise ValueError(f"no record at byte {at}")
-        headers = dict(x.split(": ", 1) if ": " in x else (x.rstrip(":"), "") for x in lines[1:])
-        size = int(headers["Content-Length"])
-        yield at, end + 4 + size + 4 - at, headers, data[end + 4 : end + 4 + size]
-        at = end + 4 + size + 4
+
+def scan(f: NativeFile) -> Iterator[tuple[int, int, dict[str, str]]]:
+    """(offset, length, headers) of each record of an archive; payloads are stepped over, so a file may be of any size."""
+    at, size, base, data = 0, f.size(), 0, b""
+    while at < size:
+        if at >= base + len(data):
+            base, data = at, b""
+        end = data.find(b"\r\n\r\n", at - base)
+        while end < 0:
+            data, base = data[at - base :] + f.read_at(SCAN_BYTES, base + len(data)), at
+            end = data.find(b"\r\n\r\n")
+            if end < 0 and base + len(data) >= size:
+                raise ValueError(f"a record at byte {at} has no end")
+        headers = _headers(data[at - base : end])
+        length = base + end + 4 + int(headers["Content-Length"]) + 4 - at
+        yield at, length, headers
+        at += length
+
+
+def parse_record(data: bytes) -> tuple[dict[str, str], bytes]:
+    """(headers, block) of the record that ``data`` begins with."""
+    end = data.index(b"\r\n\r\n")
+    headers = _headers(data[:end])
+    return headers, data[end + 4 : end + 4 + int(headers["Content-Length"])]
 
 
 def _urn(value: str | None) -> int | None:
@@ -119,29 +156,44 @@ def _urn(value: str | None) -> int | None:
     return int(m[1]) if m else None
 
 
-def _capture(file: str, offset: int, length: int, h: dict[str, str], block: bytes) -> tuple:
+def _record(h: dict[str, str], block: bytes) -> tuple:
+    """A row of ``RECORDS``."""
     head, _, payload = block.partition(b"\r\n\r\n")
     stated = int(re.search(rb"Content-Length: (\d+)", head)[1])
     digest = h["WARC-Payload-Digest"].removeprefix("sha256:")
+    page, url = _urn(h["WARC-Record-ID"]), h["WARC-Target-URI"]
     if h["WARC-Type"] == "response":
         read = hashlib.sha256(payload).hexdigest()
-        return file, offset, length, h["WARC-Target-URI"], _urn(h["WARC-Record-ID"]), "response", None, len(payload), read, read == digest and stated == len(payload)
-    return file, offset, length, h["WARC-Target-URI"], _urn(h["WARC-Record-ID"]), "revisit", _urn(h["WARC-Refers-To"]), stated, digest, True
+        return page, url, len(payload), read, "response", None, read == digest and stated == len(payload)
+    return page, url, stated, digest, "revisit", _urn(h["WARC-Refers-To"]), True
 
 
-def _parse_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    names = [x.split()[0] for x in CAPTURES.split(", ")]
-    ints = {n: "Int64" for n in ("page_id", "refers_to")}
-    for pdf in batches:
-        for file, data in zip(pdf["path"], pdf["content"], strict=True):
-            rows = [_capture(file, *x) for x in parse_archive(data)]
-            yield pd.DataFrame(rows, columns=names).astype(ints)
+def _frame(rows: list[tuple], schema: str) -> pd.DataFrame:
+    fields = [x.split() for x in schema.split(", ")]
+    pdf = pd.DataFrame(rows, columns=[n for n, _ in fields], dtype=object)
+    return pdf.astype({n: {"long": "Int64", "int": "Int32", "boolean": "boolean"}[k] for n, k in fields if k in ("long", "int", "boolean")})
 
 
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """One row per record of the archives below ``path``; an archive is read as a whole (its size is bounded)."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
-    return files.mapInPandas(_parse_all, CAPTURES)
+def _framed(rows: Iterator[tuple], schema: str) -> Iterator[pd.DataFrame]:
+    while some := list(itertools.islice(rows, FRAME_ROWS)):
+        yield _frame(some, schema)
+
+
+def _scan_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rows() -> Iterator[tuple]:
+        for pdf in batches:
+            for file in pdf["path"]:
+                with open_file(file) as f:
+                    for offset, length, h in scan(f):
+                        yield file, offset, length, h["WARC-Target-URI"], _urn(h["WARC-Record-ID"]), h["WARC-Type"]
+
+    yield from _framed(rows(), PLACES)
+
+
+def captures(spark: SparkSession, path: str) -> DataFrame:
+    """One row per record of the archives below ``path``, by a scan of their headers (files are dealt out one by one)."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "length")
+    return files.filter("length > 0").repartition("path").mapInPandas(_scan_all, PLACES)
 
 
 BLOCKS = "part int, block int, first_key string, last_key string, n long, data binary"
@@ -157,7 +209,7 @@ def _pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         for key, line in zip(pdf["key"], pdf["line"], strict=True):
             keys.append(key)
-            lines.append(f"{key} {line}")
+            lines.append(f"{key}\t{line}")
             if len(lines) >= BLOCK_LINES:
                 yield block()
                 number, lines, keys = number + 1, [], []
@@ -165,53 +217,117 @@ def _pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield block()
 
 
-def write_index(captures: DataFrame, path: str, parts: int | None = None) -> DataFrame:
-    """Sort captures by key and write compressed blocks with their directory columns."""
+@F.pandas_udf(T.StringType())
+def _surts(url: pd.Series) -> pd.Series:
+    return url.map(surt)
+
+
+def capture_key(url: Column, page_id: Column) -> Column:
+    """What captures are sorted and looked up by."""
+    return F.concat(F.regexp_replace(_surts(url), " ", "%20"), F.lit(" "), F.coalesce(page_id.cast("string"), F.lit("-")))
 
-    @F.pandas_udf("string")
-    def key_of(url: pd.Series) -> pd.Series:
-        return url.map(surt)
 
+def write_index(places: DataFrame, path: str, parts: int | None = None) -> DataFrame:
+    """Sort captures by key and write compressed blocks with their directory columns."""
     line = F.to_json(F.struct("url", "page_id", "file", "offset", "length", "record_type"))
-    rows = captures.select(F.regexp_replace(key_of("url"), " ", "%20").alias("key"), "file", "offset", line.alias("line"))
-    # Place in the archives breaks ties, so a URL captured very often is spread over parts.
+    rows = places.select(capture_key(F.col("url"), F.col("page_id")).alias("key"), "file", "offset", line.alias("line"))
     by = ("key", "file", "offset")
     ranged = rows.repartitionByRange(parts, *by) if parts else rows.repartitionByRange(*by)
     blocks = ranged.sortWithinPartitions(*by).select("key", "line").mapInPandas(_pack, BLOCKS)
     blocks.write.mode("overwrite").parquet(path)
-    return captures.sparkSession.read.schema(BLOCKS).parquet(path)
+    return places.sparkSession.read.schema(BLOCKS).parquet(path)
 
 
 ENTRIES = "key string, url string, page_id long, file string, offset long, length long, record_type string"
 
 
 def _unpack_block(data: bytes) -> list[tuple]:
+    """Capture lines of a block, in order of their keys."""
     out = []
     for line in zlib.decompress(data).decode("utf-8").split("\n"):
-        key, _, rest = line.partition(" ")
+        key, _, rest = line.partition("\t")
         x = json.loads(rest)
         out.append((key, x["url"], x.get("page_id"), x["file"], x["offset"], x["length"], x["record_type"]))
     return out
 
 
-def _unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        for data in pdf["data"]:
-            yield pd.DataFrame(_unpack_block(data), columns=[x.split()[0] for x in ENTRIES.split(", ")]).astype({"page_id": "Int64"})
+def covering(spans: list[tuple], low: str, high: str) -> list[tuple]:
+    """Spans (first, last, ...) that may hold a key from ``low`` to ``high``; spans are sorted and overlap only at their ends."""
+    return spans[bisect_left(spans, low, key=lambda x: x[1]) : bisect_right(spans, high, key=lambda x: x[0])]
+
+
+def part_spans(blocks: DataFrame) -> list[tuple[str, str, int]]:
+    """(first key, last key, part) of each part of the index: as many rows as it was written by tasks."""
+    found = blocks.groupBy("part").agg(F.min("first_key").alias("a"), F.max("last_key").alias("z")).collect()
+    return sorted((r.a, r.z, r.part) for r in found)
+
+
+def _look_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Entries of keys; the blocks of a part come before its keys, both in order."""
+
+    def rows() -> Iterator[tuple]:
+        part, directory, opened, lines = None, [], None, []
+        for pdf in batches:
+            for p, key, first, last, block, data in zip(pdf["part"], pdf["key"], pdf["first_key"], pdf["last_key"], pdf["block"], pdf["data"], strict=True):
+                if p != part:
+                    part, directory, opened = p, [], None
+                if key is None:
+                    directory.append((first, last, block, data))
+                    continue
+                for span in covering(directory, key, key):
+                    if opened != span[2]:
+                        opened, lines = span[2], _unpack_block(span[3])
+                    at = bisect_left(lines, key, key=lambda x: x[0])
+                    while at < len(lines) and lines[at][0] == key:
+                        yield lines[at]
+                        at += 1
+
+    yield from _framed(rows(), ENTRIES)
 
 
-def entries(blocks: DataFrame) -> DataFrame:
-    """All capture lines of an index."""
-    return blocks.select("data").mapInPandas(_unpack, ENTRIES)
+def look_up(blocks: DataFrame, keys: DataFrame) -> DataFrame:
+    """Capture entries of all keys of a table with one column ``key``."""
+    parts = part_spans(blocks)
+
+    @F.pandas_udf("array<int>")
+    def parts_of(key: pd.Series) -> pd.Series:
+        return key.map(lambda k: [p for _, _, p in covering(parts, k, k)])
+
+    asked = keys.distinct().select("key", F.explode(parts_of("key")).alias("part"))
+    directory = blocks.select("part", "block", "first_key", "last_key", "data", F.lit(None).cast("string").alias("key"))
+    both = directory.unionByName(asked, allowMissingColumns=True)
+    return both.repartition("part").sortWithinPartitions("part", F.col("key").isNotNull(), "block", "key").mapInPandas(_look_up, ENTRIES)
+
+
+def _read_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rows() -> Iterator[tuple]:
+        name, f = None, None
+        try:
+            for pdf in batches:
+                for file, offset, length in zip(pdf["file"], pdf["offset"], pdf["length"], strict=True):
+                    if file != name:
+                        if f:
+                            f.close()
+                        name, f = file, open_file(file)
+                    yield _record(*parse_record(f.read_at(int(length), int(offset))))
+        finally:
+            if f:
+                f.close()
+
+    yield from _framed(rows(), RECORDS)
+
+
+def read_ranges(found: DataFrame) -> DataFrame:
+    """The records of capture entries (file, offset, length), read by byte range, a file's in order."""
+    ranges = found.select("file", "offset", "length").repartition("file").sortWithinPartitions("file", "offset")
+    return ranges.mapInPandas(_read_all, RECORDS)
 
 
 class CaptureIndex:
-    """Lookups by URL: parts, then one part's directory, then blocks, then byte ranges."""
+    """Lookups by URL from the driver: parts, then one part's directory, then blocks, then byte ranges."""
 
     def __init__(self, blocks: DataFrame):
-        self.blocks = blocks
-        found = blocks.groupBy("part").agg(F.min("first_key").alias("a"), F.max("last_key").alias("z")).collect()
-        self.parts = sorted((r.a, r.z, r.part) for r in found)
+        self.blocks, self.parts = blocks, part_spans(blocks)
         self._directory: dict[int, list[tuple[str, str, int]]] = {}
 
     def directory(self, part: int) -> list[tuple[str, str, int]]:
@@ -221,28 +337,19 @@ class CaptureIndex:
             self._directory[part] = sorted((r.first_key, r.last_key, r.block) for r in rows)
         return self._directory[part]
 
-    @staticmethod
-    def _covering(spans: list[tuple], key: str) -> list[tuple]:
-        """Spans that hold the key; spans are sorted and overlap only at their ends."""
-        return spans[bisect_left([x[1] for x in spans], key) : bisect_right([x[0] for x in spans], key)]
-
-    def captures(self, url: str) -> list[tuple]:
-        """Capture entries of a URL."""
-        key, out = surt(url).replace(" ", "%20"), []
-        for _, _, part in self._covering(self.parts, key):
-            wanted = [b for _, _, b in self._covering(self.directory(part), key)]
-            if wanted:
-                for r in self.blocks.filter((F.col("part") == part) & F.col("block").isin(wanted)).select("data").collect():
-                    out += [x for x in _unpack_block(bytes(r.data)) if x[0] == key]
-        return sorted(out, key=lambda x: (x[3], x[4]))
-
-    def read(self, url: str) -> list[tuple[dict[str, str], bytes]]:
+    def captures(self, url: str) -> Iterator[tuple]:
+        """Capture entries of a URL, a block at a time."""
+        key = surt(url).replace(" ", "%20")
+        low, high = key + " ", key + "!"
+        for _, _, part in covering(self.parts, low, high):
+            for _, _, block in covering(self.directory(part), low, high):
+                data = self.blocks.filter((F.col("part") == part) & (F.col("block") == block)).select("data").first()[0]
+                yield from (x for x in _unpack_block(bytes(data)) if low <= x[0] < high)
+
+    def read(self, url: str) -> Iterator[tuple[dict[str, str], bytes]]:
         """(headers, block) of the URL's records, read by byte range."""
-        out = []
         for _, _, _, file, offset, length, _ in self.captures(url):
-            _, _, headers, block = next(parse_archive(read_range(self.blocks.sparkSession, file, offset, length)))
-            out.append((headers, block))
-        return out
+            yield parse_record(read_range(self.blocks.sparkSession, file, offset, length))
 
 
 def read_range(spark: SparkSession, file: str, offset: int, length: int) -> bytes:
@@ -257,21 +364,21 @@ def read_range(spark: SparkSession, file: str, offset: int, length: int) -> byte
         stream.close()
 
 
-def archive(pages: DataFrame, scratch: Scratch | None = None) -> tuple[DataFrame, DataFrame]:
-    """Write archives and their index; (captures as read back from the archives, index blocks)."""
+def archive(pages: DataFrame, scratch: Scratch | None = None, parts: int | None = None) -> DataFrame:
+    """Write archives and their index; the index's blocks."""
     spark = pages.sparkSession
     scratch = scratch or Scratch(spark, "warc")
     path = scratch.path("archives")
     write_archives(records(pages, scratch=scratch), path)
-    captures = scratch.write(read_archives(spark, path), "captures")
-    return captures, write_index(captures, scratch.path("index"))
+    # Written once, as sorting by ranges reads its input twice.
+    return write_index(scratch.write(captures(spark, path), "captures"), scratch.path("index"), parts)
 
 
 def op9(pages: DataFrame) -> DataFrame:
-    """The contract's columns: every capture that the index lists, as read back from its archive."""
-    captures, blocks = archive(pages)
-    listed = entries(blocks).select("file", "offset", "length")
-    return captures.join(listed, ["file", "offset", "length"]).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
+    """The contract's columns: each page is looked up in the index and its record read by byte range."""
+    blocks = archive(pages)
+    keys = pages.select(capture_key(_header(F.col("url")), F.col("page_id").cast("long")).alias("key"))
+    return read_ranges(look_up(blocks, keys)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
 
 
 ORACLE = f"""
