@@ -18,6 +18,8 @@ IAST_MARKS = r"[Ā-ſḀ-ỿ̀-ͯ]"
 DEVANAGARI = r"[ऀ-ॿ]"
 BENGALI = r"[ঀ-৿]"
 LATIN = r"[a-zA-Z]"
+#: Letters that make a line of verse transliteration; not the blocks of ``IAST_MARKS``.
+VERSE_MARKS = r"[āīūṛṝḷḹṃḥśṣñṅṭḍṇĀĪŪṚṜḶḸṂḤŚṢÑṄṬḌṆ]"
 IAST_LETTER = r"[a-zA-Zāīūṛṝḷḹṅñṭḍṇśṣṁṃḥ']"
 STRONG_ENGLISH = (
     "see", "cf", "editor", "translator", "translation", "chapter", "footnote", "endnote", "op", "trans", "vol",
@@ -49,13 +51,18 @@ def full_text(runs: Column) -> Column:
     return F.array_join(F.transform(runs, lambda r: r["text"]), "")
 
 
-def looks_like_iast(x: Column, composed: bool = False) -> Column:
-    """[C3] Not blank and with a letter or mark of the scholarly transliteration.
+def composed(x: Column) -> Column:
+    """Canonical composition of texts that have combining marks; others do not reach Python."""
+    return F.coalesce(nfc(F.when(x.rlike(r"\p{M}|[ᄀ-ᇿ]"), x)), x)
 
-    Composition matters only for input with separate marks, and those are in the class themselves, so
-    unless ``composed`` is asked for the test runs on the text as it is.
+
+def looks_like_iast(x: Column, compose: bool = True) -> Column:
+    """[C3] Not blank and, composed, with a letter or mark of the scholarly transliteration.
+
+    A letter and a separate mark that compose to a letter outside the class do not count; ``compose``
+    is left out only for texts that are composed already.
     """
-    x = nfc(x) if composed else x
+    x = composed(x) if compose else x
     return F.coalesce(x.rlike(IAST_MARKS), F.lit(False))
 
 
@@ -87,11 +94,11 @@ def language(x: Column, score_en: Column | None = None, score_sa: Column | None
     return F.when(score_en < score_sa, F.lit("en")).otherwise(F.lit("sa"))
 
 
-def looks_like_sanskrit(x: Column) -> Column:
+def looks_like_sanskrit(x: Column, compose: bool = True) -> Column:
     """[C5] Tests in order: blank, Devanagari, transliteration marks, no Latin letters, language."""
     return (
         F.when(x.isNull() | (strip(x) == ""), F.lit(False)).when(has_devanagari(x), F.lit(False))
-        .when(looks_like_iast(x), F.lit(True)).when(~has_latin(x), F.lit(False)).otherwise(language(x) == "sa")
+        .when(looks_like_iast(x, compose), F.lit(True)).when(~has_latin(x), F.lit(False)).otherwise(language(x) == "sa")
     )
 
 
@@ -102,17 +109,19 @@ def whole_tokens(x: Column) -> Column:
     return F.transform(F.filter(bare, lambda t: t.rlike("^[A-Za-z]+$")), lambda t: F.lower(t))
 
 
-def has_mixed_language(x: Column) -> Column:
+def has_mixed_language(x: Column, compose: bool = True) -> Column:
     """[C6] Transliteration with clear English in it.
 
     True for a label of one to four ASCII words before a colon at the start, one strong English word,
-    or two different weak ones; only whole tokens count.
+    or two different weak ones; only whole tokens count.  Tokens are looked at only where there is
+    transliteration at all.
     """
-    tokens = F.array_distinct(whole_tokens(x))
+    gate = looks_like_iast(x, compose)
+    tokens = F.array_distinct(whole_tokens(F.when(gate, x)))
     strong = F.arrays_overlap(tokens, F.array(*map(F.lit, STRONG_ENGLISH)))
     weak = F.size(F.array_intersect(tokens, F.array(*map(F.lit, WEAK_ENGLISH)))) >= 2
     label = x.rlike(rf"^{WHITE}*(?:[A-Za-z]+{WHITE}*){{1,4}}:")
-    return F.coalesce(looks_like_iast(x) & (label | strong | weak), F.lit(False))
+    return F.coalesce(F.when(gate, label | strong | weak), F.lit(False))
 
 
 def join_hyphens(x: Column) -> Column:
@@ -145,9 +154,9 @@ def matching_form(x: Column) -> Column:
     return x
 
 
-def clean_ocr(x: Column, compose: bool = False) -> Column:
-    """[C18] Rejoined line-end hyphens, single blanks, at most one empty line, no outer white space."""
-    x = nfc(x) if compose else x
+def clean_ocr(x: Column, compose: bool = True) -> Column:
+    """[C18] Composed; rejoined line-end hyphens, single blanks, at most one empty line, no outer white space."""
+    x = composed(x) if compose else x
     x = F.regexp_replace(x, r"-\n(?=[^\s\x1c-\x1f\x85\xa0])", "")
     x = F.regexp_replace(x, r"[ \t]+", " ")
     return strip(F.regexp_replace(x, r"\n{3,}", "\n\n"))
@@ -157,7 +166,7 @@ def line_script(x: Column) -> Column:
     """[C19] bengali, devanagari, iast, plain or other: the first that a line shows."""
     return (
         F.when(x.rlike(BENGALI), "bengali").when(x.rlike(DEVANAGARI), "devanagari")
-        .when(x.rlike(LATIN), F.when(x.rlike(IAST_MARKS), "iast").otherwise("plain")).otherwise("other")
+        .when(x.rlike(LATIN), F.when(x.rlike(VERSE_MARKS), "iast").otherwise("plain")).otherwise("other")
     )
 
 
@@ -220,6 +229,19 @@ def truncate(x: Column, n: int, more: str = "…") -> Column:
     return F.when(F.length(x) > n, F.concat(F.substring(x, 1, n), F.lit(more))).otherwise(x)
 
 
+def truncate_units(x: Column, n: int, more: str = "…") -> Column:
+    """[C29] The first n UTF-16 units, as a browser counts them, and ``more`` if any are cut; a pair that the cut would part goes whole."""
+    units = F.length(x) + F.length(F.regexp_replace(x, r"[^\x{10000}-\x{10FFFF}]", ""))
+    kept = F.aggregate(
+        F.split(x, ""), F.struct(F.lit(0).alias("n"), F.lit("").alias("t")),
+        lambda a, c: F.struct((a["n"] + F.when(c.rlike(r"[\x{10000}-\x{10FFFF}]"), 2).otherwise(1)).alias("n"), F.when(a["n"] + F.when(c.rlike(r"[\x{10000}-\x{10FFFF}]"), 2).otherwise(1) <= n, F.concat(a["t"], c)).otherwise(a["t"]).alias("t")),
+        lambda a: a["t"],
+    )
+    # Without pairs, characters and units are the same.
+    simple = units == F.length(x)
+    return F.when(units <= n, x).when(simple, F.concat(F.substring(x, 1, n), F.lit(more))).otherwise(F.concat(kept, F.lit(more)))
+
+
 def escape_html(x: Column) -> Column:
     """[C30]"""
     for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
@@ -278,3 +300,56 @@ def is_placeholder(x: Column, phrase: str) -> Column:
 def is_bracket_number(x: Column) -> Column:
     """[P4]"""
     return F.coalesce(strip(x).rlike(r"^\[[0-9A-Za-z\-–—]+\]$"), F.lit(False))
+
+
+def without_title_and_colophon(x: Column, title: str, colophon: str) -> Column:
+    """[C23] Without the first line that begins with ``title``, and without colophons and lone dandas; empty lines stay."""
+    kept = F.filter(F.split(x, "\n", -1), lambda t: (t == "") | ~(t.rlike(colophon) | t.rlike("^॥+\\s*$")))
+    first = F.array_position(F.transform(kept, lambda t: t.startswith(title)), True)
+    return F.array_join(F.when(first > 0, F.filter(kept, lambda t, i: i != first - 1)).otherwise(kept), "\n")
+
+
+#: Ordinal stems, 1 to 20, in ITRANS.
+ORDINALS = (
+    "prathama", "dvitIya", "tRRitIya", "chaturtha", "pa~nchama", "ShaShTha", "saptama", "aShTama", "navama", "dashama",
+    "ekAdasha", "dvAdasha", "trayodasha", "chaturdasha", "pa~nchadasha", "ShoDasha", "saptadasha", "aShTAdasha", "ekonaviMsha", "viMsha",
+)
+
+
+def ordinal_chapter(number: Column) -> Column:
+    """[C21] The ITRANS title of a chapter: an ordinal up to twenty, the number beyond, and the word for chapter."""
+    stem = F.coalesce(F.get(F.array(*map(F.lit, ORDINALS)), (number - 1).cast("int")), number.cast("string"))
+    return F.concat(stem, F.lit("o'dhyAyaH"))
+
+
+def is_separator(x: Column) -> Column:
+    """[P1] Empty paragraphs and end ornaments."""
+    return F.coalesce(strip(x), F.lit("")).isin("") | F.contains(x, F.lit("o)0(o"))
+
+
+def is_verse_end(x: Column) -> Column:
+    """[P11] A line that ends with a verse number between bars."""
+    return F.coalesce(x.rlike(r"\|\|\s*[0-9]+\s*\|\|\s*$"), F.lit(False))
+
+
+def entry_description(title_iast: Column, title_english: Column, work_iast: Column, author: Column, labels: Column) -> Column:
+    """[C39] What a page of an entry says of itself."""
+    name = F.when(F.coalesce(title_english, F.lit("")) != "", F.concat(title_iast, F.lit(" — "), title_english)).otherwise(title_iast)
+    return F.concat(name, F.lit(", from "), work_iast, F.lit(" by "), author, F.lit(", with commentaries by "), F.array_join(labels, ", "), F.lit("."))
+
+
+def work_description(iast: Column, devanagari: Column, english: Column, author: Column, n: Column) -> Column:
+    """[C39] What a page of a work says of itself."""
+    quoted = F.when(F.coalesce(english, F.lit("")) != "", F.concat(F.lit(', "'), english, F.lit('"'))).otherwise("")
+    plural = F.when(n == 1, "").otherwise("s")
+    return F.concat(iast, F.lit(" ("), devanagari, F.lit(")"), quoted, F.lit(" by "), author, F.lit(" — "), n.cast("string"), F.lit(" section"), plural, F.lit(" with historical commentaries."))
+
+
+def beside(path: Column, suffix: str) -> Column:
+    """[C40] The path of a file that goes with another: the last extension replaced; a leading dot is no extension."""
+    return F.concat(F.regexp_replace(path, r"(?<=[^/.])(\.[^./]*)$", ""), F.lit(suffix))
+
+
+def english_words() -> Column:
+    """[I2] All words that speak for English: the strong and the weak ones, each once."""
+    return F.array_union(F.array(*map(F.lit, STRONG_ENGLISH)), F.array(*map(F.lit, WEAK_ENGLISH)))

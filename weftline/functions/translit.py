@@ -1,7 +1,9 @@
 """Transliteration to Devanagari as native column expressions, plus a second one for cross-checks.
 
-A text is rewritten in steps that never look back: two-letter consonants, one-letter consonants, a
-virama after every consonant, then vowels (a sign after a virama, a letter elsewhere) and signs.
+Letters are first put into an alphabet of private-use characters, so that Devanagari that a text already
+has is never touched: the few of two letters by replacement, all others in one pass.  Two patterns then
+put a virama after consonants without a vowel and mark vowels without a consonant, and one last pass
+turns everything into Devanagari.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.functions.text import ASCII_DIGITS, DEVANAGARI_DIGITS, join_hyphens, straight_quotes, strip
+from weftline.functions.text import ASCII_DIGITS, DEVANAGARI_DIGITS, has_mixed_language, join_hyphens, looks_like_sanskrit, straight_quotes, strip
 
 # The letters of the scholarly scheme and of ITRANS.
 CONSONANTS = {
@@ -41,35 +43,37 @@ ITRANS_VOWELS = {
 ITRANS_SIGNS = {"M": "ं", ".m": "ं", "H": "ः", ".a": "ऽ", "||": "॥", "|": "।", "OM": "ॐ", "AUM": "ॐ", ".N": "ँ", ".h": VIRAMA}
 
 
+def _private(keys, start: int) -> dict[str, str]:
+    return {k: chr(start + i) for i, k in enumerate(keys)}
+
+
+_C, _V, _S = _private(CONSONANTS, 0xE000), _private(VOWELS, 0xE100), _private(SIGNS, 0xE200)
+_ALONE = "\ue300"
+_CLASS = {name: f"[{min(d.values())}-{max(d.values())}]" for name, d in (("c", _C), ("v", _V))}
+
+
 def iast_to_devanagari(x: Column) -> Column:
-    """[C9] A chain of replacements that stays inside generated code."""
+    """[C9] Native expressions; characters that are no part of the scheme stay as they are."""
     x = F.lower(x)
-    for a, b in CONSONANTS.items():
-        x = F.replace(x, F.lit(a), F.lit(b))
-    x = F.regexp_replace(x, "([क-ह])", f"$1{VIRAMA}")
-    for a, (_, sign) in VOWELS.items():
-        x = F.replace(x, F.lit(VIRAMA + a), F.lit(sign))
-    for a, (letter, _) in VOWELS.items():
-        x = F.replace(x, F.lit(a), F.lit(letter))
-    for a, b in SIGNS.items():
-        x = F.replace(x, F.lit(a), F.lit(b))
-    return F.translate(x, ASCII_DIGITS, DEVANAGARI_DIGITS)
-
-
-def iast_to_devanagari_sql(x: str) -> str:
-    """The same chain as DuckDB SQL, for oracles."""
-    q = lambda s: "'" + s.replace("'", "''") + "'"
-    x = f"lower({x})"
-    for a, b in CONSONANTS.items():
-        x = f"replace({x}, {q(a)}, {q(b)})"
-    x = f"regexp_replace({x}, '([क-ह])', '\\1{VIRAMA}', 'g')"
-    for a, (_, sign) in VOWELS.items():
-        x = f"replace({x}, {q(VIRAMA + a)}, {q(sign)})"
-    for a, (letter, _) in VOWELS.items():
-        x = f"replace({x}, {q(a)}, {q(letter)})"
-    for a, b in SIGNS.items():
-        x = f"replace({x}, {q(a)}, {q(b)})"
-    return f"translate({x}, '{ASCII_DIGITS}', '{DEVANAGARI_DIGITS}')"
+    letters = _C | _V | _S
+    for key in (k for k in letters if len(k) > 1):
+        x = F.replace(x, F.lit(key), F.lit(letters[key]))
+    single = [k for k in letters if len(k) == 1]
+    x = F.translate(x, "".join(single), "".join(letters[k] for k in single))
+    x = F.regexp_replace(x, f"(?<!{_CLASS['c']})({_CLASS['v']})", f"{_ALONE}$1")
+    x = F.regexp_replace(x, f"({_CLASS['c']})(?!{_CLASS['v']})", f"$1{VIRAMA}")
+    for key, (letter, _) in VOWELS.items():
+        x = F.replace(x, F.lit(_ALONE + _V[key]), F.lit(letter))
+    last = {_C[k]: v for k, v in CONSONANTS.items()} | {_S[k]: v for k, v in SIGNS.items()} | {_V[k]: sign for k, (_, sign) in VOWELS.items() if sign}
+    last |= dict(zip(ASCII_DIGITS, DEVANAGARI_DIGITS, strict=True))
+    # Letters without a counterpart are dropped: the vowel that a consonant has by itself.
+    return F.translate(x, "".join(last) + _V["a"], "".join(last.values()))
+
+
+def gated(x: Column, compose: bool = True) -> Column:
+    """[C13] The transliteration of what is Sanskrit and not mixed; null for everything else."""
+    fit = looks_like_sanskrit(x, compose) & ~has_mixed_language(x, compose)
+    return F.when(fit, iast_to_devanagari(straight_quotes(x)))
 
 
 def _scan(text: str, consonants: dict[str, str], vowels: dict[str, tuple[str, str]], signs: dict[str, str]) -> str:

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PREFIX = 12
@@ -16,71 +17,110 @@ def forward_match(groups: DataFrame, big: str, queries: str) -> DataFrame:
 
     ``queries`` is an ordered array of strings per row.  A query is sought whole; one longer than
     twelve characters that is not found is sought by its first twelve.  A find moves the cursor on by
-    half the query's length, at least one; ``match_length`` is the whole length either way.  A fold
-    over the array: sequential within a text, side by side across texts.
+    half the query's length, at least one; ``match_length`` is the whole length either way.  An empty or
+    null query is not found and leaves the cursor alone.  A fold over the array: sequential within a
+    text, side by side across texts.
     """
-    fold = f"""aggregate({queries},
-      named_struct('at', 1, 'out', cast(array() as array<struct<found:boolean,start:int,match_length:int>>)),
-      (acc, q) -> named_struct(
-        'at', case when locate(q, {big}, acc.at) > 0 then locate(q, {big}, acc.at) + greatest(1, cast(floor(length(q) / 2) as int))
-                   when length(q) > {PREFIX} and locate(substring(q, 1, {PREFIX}), {big}, acc.at) > 0
-                   then locate(substring(q, 1, {PREFIX}), {big}, acc.at) + greatest(1, cast(floor(length(q) / 2) as int)) else acc.at end,
-        'out', concat(acc.out, array(case when locate(q, {big}, acc.at) > 0 then named_struct('found', true, 'start', locate(q, {big}, acc.at) - 1, 'match_length', length(q))
-                   when length(q) > {PREFIX} and locate(substring(q, 1, {PREFIX}), {big}, acc.at) > 0
-                   then named_struct('found', true, 'start', locate(substring(q, 1, {PREFIX}), {big}, acc.at) - 1, 'match_length', length(q))
-                   else named_struct('found', false, 'start', cast(null as int), 'match_length', cast(null as int)) end))),
-      acc -> acc.out)"""
-    return groups.withColumn("matches", F.expr(fold))
+    none = F.struct(F.lit(False).alias("found"), F.lit(None).cast("int").alias("start"), F.lit(None).cast("int").alias("match_length"))
+    state = F.struct(F.lit(1).alias("at"), F.array().cast("array<struct<found:boolean,start:int,match_length:int>>").alias("out"))
+
+    def step(acc: Column, q: Column) -> Column:
+        # Each search is done once: a lambda over an array of one element names its result.
+        whole = F.when(F.length(q) > 0, F.call_function("locate", q, F.col(big), acc["at"]))
+        prefix = F.when(F.length(q) > PREFIX, F.call_function("locate", F.substring(q, 1, PREFIX), F.col(big), acc["at"]))
+        hit = F.coalesce(F.nullif(whole, F.lit(0)), F.nullif(prefix, F.lit(0)))
+        named = F.transform(F.array(hit), lambda h: F.struct(
+            F.when(h.isNotNull(), h + F.greatest(F.lit(1), F.floor(F.length(q) / 2).cast("int"))).otherwise(acc["at"]).alias("at"),
+            F.concat(acc["out"], F.array(F.when(h.isNotNull(), F.struct(F.lit(True).alias("found"), (h - 1).alias("start"), F.length(q).alias("match_length"))).otherwise(none))).alias("out"),
+        ))
+        return F.get(named, 0)
+
+    return groups.withColumn("matches", F.aggregate(queries, state, step, lambda acc: acc["out"]))
 
 
 class Sought:
-    """An ordered list of queries, sought as in ``forward_match``.
+    """A part of an ordered list of queries, sought as in ``forward_match``.
 
     No query is found, whole or by its prefix, in a text that lacks its first twelve characters, and
     one that is not found leaves the cursor alone; so a text is read once, and only queries whose first
     characters it holds are sought.
     """
 
-    def __init__(self, queries: list[str | None]):
-        self.queries, self.by_start = queries, defaultdict(list)
+    def __init__(self, queries: list[str | None], first: int = 0):
+        self.queries, self.first, self.by_start = queries, first, defaultdict(list)
         for k, q in enumerate(queries):
-            if q is not None:
+            if q:
                 self.by_start[q[:PREFIX]].append(k)
         self.short = [s for s in self.by_start if len(s) < PREFIX]
 
-    def finds(self, big: str | None) -> list[tuple[int, int, int]]:
-        """(position in the list, start, match_length) of the queries that are found."""
+    def finds(self, big: str | None, at: int = 0) -> tuple[int, list[tuple[int, int, int]]]:
+        """(cursor, (position in the list, start, match_length) of the queries that are found)."""
         if big is None:
-            return []
+            return at, []
         starts = {s for i in range(len(big) - PREFIX + 1) if (s := big[i : i + PREFIX]) in self.by_start}
         starts.update(s for s in self.short if s in big)
-        at, out = 0, []
+        out = []
         for k in sorted(k for s in starts for k in self.by_start[s]):
             q = self.queries[k]
             hit = big.find(q, at)
             if hit < 0 and len(q) > PREFIX:
                 hit = big.find(q[:PREFIX], at)
             if hit >= 0:
-                out.append((k, hit, len(q)))
+                out.append((self.first + k, hit, len(q)))
                 at = hit + max(1, len(q) // 2)
-        return out
+        return at, out
 
 
-def forward_match_all(texts: DataFrame, big: str, queries: list[str | None]) -> DataFrame:
-    """[E16] ``forward_match`` of one whole list in every text: ``texts`` with an array ``finds`` of what is found.
+#: Characters of queries that are sent to the workers at once.
+LIST_CHARS = 16_000_000
+FINDS = "cursor int, finds array<struct<pos:int,start:int,match_length:int>>"
 
-    The list is held by the driver and sent to each Python worker; texts are independent of one another.
-    """
-    sought = Sought(queries)
 
-    @F.pandas_udf("array<struct<pos:int,start:int,match_length:int>>")
-    def found(text: pd.Series) -> pd.Series:
-        return pd.Series([[{"pos": k, "start": a, "match_length": n} for k, a, n in sought.finds(x)] for x in text], dtype=object)
+def _parts(queries: Iterable[str | None]) -> Iterator[list[str | None]]:
+    part, size = [], 0
+    for q in queries:
+        part.append(q)
+        size += len(q or "")
+        if size >= LIST_CHARS:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
 
-    return texts.withColumn("finds", found(F.col(big)))
+
+def _finder(sought: Sought):
+    @F.pandas_udf(FINDS)
+    def found(text: pd.Series, cursor: pd.Series) -> pd.DataFrame:
+        rows = []
+        for x, at in zip(text, cursor.tolist(), strict=True):
+            at, hits = sought.finds(x, at)
+            rows.append((at, [{"pos": k, "start": a, "match_length": n} for k, a, n in hits]))
+        return pd.DataFrame(rows, columns=["cursor", "finds"])
+
+    return found
+
+
+def forward_match_all(texts: DataFrame, big: str, queries: Iterable[str | None]) -> DataFrame:
+    """[E16] ``forward_match`` of one whole list in every text: ``texts`` with an array ``finds`` of what is found.
+
+    The list is read in parts of bounded size, each sent to the workers once, and a text's cursor goes
+    from one part to the next; so neither the driver nor a worker holds a list of any length.
+    """
+    texts = texts.withColumns({"_cursor": F.lit(0), "finds": F.array().cast("array<struct<pos:int,start:int,match_length:int>>")})
+    first = 0
+    for part in _parts(queries):
+        found = _finder(Sought(part, first))
+        first += len(part)
+        texts = texts.withColumn("_f", found(F.col(big), F.col("_cursor"))).withColumns({"_cursor": F.col("_f.cursor"), "finds": F.concat("finds", "_f.finds")}).drop("_f")
+    return texts.drop("_cursor")
 
 
 def deficits(df: DataFrame, source_len: str, target_len: str, at_least: int = 60, ratio: float = 0.97) -> DataFrame:
     """[F8, P6] Rows whose target is shorter than its source by more than ``at_least`` characters and below ``ratio`` of it."""
     rows = df.withColumn("deficit", F.col(source_len) - F.col(target_len)).withColumn("ratio", F.when(F.col(source_len) != 0, F.col(target_len) / F.col(source_len)))
     return rows.filter((F.col(source_len) != 0) & (F.col("deficit") > at_least) & (F.col("ratio") < ratio))
+
+
+def range_lengths(points: DataFrame, keys: list[str], name: str, text: str, counts: Column, length: Column) -> DataFrame:
+    """Per range or section, the length of what counts: markers and placeholders count as nothing."""
+    return points.groupBy(*keys, name).agg(F.sum(F.when(counts, length).otherwise(0)).cast("long").alias("length"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from weftline.functions.text import DEVANAGARI_DIGITS, from_devanagari_digits
 
@@ -57,3 +58,57 @@ def two_hop(edges: DataFrame, near: str, middle: str) -> DataFrame:
 def devanagari_triple(a: Column, b: Column, c: Column) -> Column:
     """A reference text for three numbers."""
     return F.translate(F.concat_ws(".", a.cast("string"), b.cast("string"), c.cast("string")), "0123456789", DEVANAGARI_DIGITS)
+
+
+def with_mapped(cites: DataFrame, mapping: DataFrame, work: str) -> DataFrame:
+    """[G4] Citations, and for each target that some citation has, the section that the map gives it; the map makes no new targets.
+
+    ``cites`` has sutra_id, work, heading, file and section; ``mapping`` sutra_id, file, section, heading.
+    """
+    known = cites.select("sutra_id").distinct()
+    linked = mapping.join(known, "sutra_id", "left_semi").select("sutra_id", F.lit(work).alias("work"), "heading", "file", "section", F.lit(True).alias("mapped"))
+    return cites.select("sutra_id", "work", "heading", "file", "section", F.lit(False).alias("mapped")).unionByName(linked)
+
+
+def section_nodes(cites: DataFrame) -> DataFrame:
+    """[F10, G4] Per section: citations and distinct targets.  A cited section is its work and heading, a mapped one its file and place."""
+    key = F.when(F.col("mapped"), F.concat_ws("|", "work", "file", F.col("section").cast("string"))).otherwise(F.concat_ws("|", "work", "heading"))
+    return cites.withColumn("id", F.concat(F.lit("a:"), key)).groupBy("id", "work", "mapped").agg(
+        F.min("heading").alias("heading"), F.min(F.when(F.col("mapped"), F.col("file"))).alias("sort_file"), F.min(F.when(F.col("mapped"), F.col("section"))).alias("sort_section"),
+        F.count(F.lit(1)).alias("count"), F.count_distinct("sutra_id").alias("n_targets"),
+    )
+
+
+def in_sutra_order(rows: DataFrame) -> DataFrame:
+    """[H1] Sorted by chapter, quarter and number, as numbers."""
+    return rows.orderBy("adhyaya", "pada", "sutra")
+
+
+# Fixed value: how a heading states its number.
+STATED = r"अनुच्छेदः\s+(.+)$"
+
+
+def section_order(works: list[str]) -> list[Column]:
+    """[H2] What sections are sorted by: place of the work; mapped ones by file, as a reader sorts names, and place; of the others those
+    with a stated number by it, before those without, which go by heading."""
+    place = F.array_position(F.array(*map(F.lit, works)), F.col("work"))
+    number = from_devanagari_digits(F.regexp_extract("heading", STATED, 1))
+    unstated = (~F.col("heading").rlike(STATED)).cast("int")
+    return [place, F.collate("sort_file", "UNICODE"), F.col("sort_section"), F.when(F.col("sort_file").isNull(), unstated), F.when(F.col("sort_file").isNull(), number), F.collate("heading", "UNICODE")]
+
+
+def section_ranks(nodes: DataFrame, works: list[str]) -> DataFrame:
+    """[H2] Sections with their rank in their work's list."""
+    w = Window.partitionBy("work").orderBy(*section_order(works)[1:], "id")
+    return nodes.withColumn("rank", F.row_number().over(w).cast("long"))
+
+
+def adjacency(cites: DataFrame, of: str, to: str) -> DataFrame:
+    """[G11] Per node its neighbours, each once, in order."""
+    return cites.select(of, to).distinct().groupBy(of).agg(F.array_join(F.sort_array(F.collect_list(F.col(to).cast("string"))), " ").alias("neighbours"), F.count(F.lit(1)).alias("n"))
+
+
+def routes(entries: DataFrame, work: str, entry: str) -> DataFrame:
+    """[B12] Addresses of pages: one per entry below its work, and one per work."""
+    pages = entries.select(F.concat_ws("/", F.lit("granthas"), work, F.col(entry).cast("string")).alias("route"))
+    return pages.unionByName(entries.select(F.concat_ws("/", F.lit("granthas"), work).alias("route")).distinct())

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from weftline.functions.text import strip
+
 
 def _upto(keys: list[str], order: list[str]):
     return Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
@@ -99,27 +101,44 @@ def separator_chunks(df: DataFrame, keys: list[str], order: list[str], is_separa
     return rows.withColumn(out, F.dense_rank().over(Window.partitionBy(*keys).orderBy("_g")).cast("long")).drop("_g")
 
 
-def sections(rows: DataFrame, key: str, idx: str, line: str) -> DataFrame:
-    """[E12, E31] Two heading levels: section and sub-section numbers, each from 0, null in preambles."""
-    h2, h3 = F.col(line).rlike(r"^##\s+\S"), F.col(line).rlike(r"^###\s+\S")
+def sections(rows: DataFrame, key: str, idx: str, line: str, plain: bool = False) -> DataFrame:
+    """[E12, E31] Two heading levels: section and sub-section numbers, each from 0, null in preambles.
+
+    A heading is hashes, white space and what follows, trimmed, be it nothing; with ``plain``, hashes,
+    one blank and something.
+    """
+    h2, h3 = (F.col(line).rlike(rf"^{hashes} .") if plain else F.col(line).rlike(rf"^{hashes}\s") for hashes in ("##", "###"))
     rows = rows.withColumn("is_h2", h2).withColumn("is_h3", h3)
     rows = rows.withColumn("_s", F.sum(F.col("is_h2").cast("long")).over(_upto([key], [idx])))
     rows = rows.withColumn("section", F.when(F.col("_s") > 0, F.col("_s") - 1))
     rows = rows.withColumn("_t", F.sum(F.col("is_h3").cast("long")).over(_upto([key, "_s"], [idx])))
     rows = rows.withColumn("sub", F.when((F.col("_s") > 0) & (F.col("_t") > 0), F.col("_t") - 1))
-    title = F.when(F.col("is_h2"), F.regexp_replace(line, r"^##\s+", ""))
+    title = F.when(F.col("is_h2"), strip(F.regexp_replace(line, "^##", "")))
     return rows.withColumn("_h", title).withColumn("heading", F.last("_h", ignorenulls=True).over(_upto([key], [idx]))).drop("_s", "_t", "_h")
 
 
+def declared_mismatches(sections_: DataFrame, keys: list[str], order: list[str], declared: str) -> DataFrame:
+    """[E13] Sections numbered by position, where a heading declares another number."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return sections_.withColumn("number", F.row_number().over(w).cast("long")).filter(F.col(declared).isNotNull() & (F.col(declared) != F.col("number")))
+
+
+def marked_lines(rows: DataFrame, key: str, idx: str, line: str, pattern: str = r'<p class="sutra">(.*?)</p>') -> DataFrame:
+    """[J7] (key, idx, section, heading, text): the first marked element of each line, with the section that holds it; headings hold none."""
+    rows = sections(rows, key, idx, line).filter(~F.col("is_h2") & F.col(line).rlike(pattern))
+    return rows.select(key, idx, F.coalesce("section", F.lit(-1).cast("long")).alias("section"), "heading", strip(F.regexp_extract(line, pattern, 1)).alias("text"))
+
+
 def running_offsets(df: DataFrame, keys: list[str], order: list[str], text: Column) -> DataFrame:
     """[E14] (start, end) of each row's text in the texts of its key joined in order."""
     df = df.withColumn("_l", F.length(text).cast("long"))
     return df.withColumn("end", F.sum("_l").over(_upto(keys, order))).withColumn("start", F.col("end") - F.col("_l")).drop("_l")
 
 
-def next_start(df: DataFrame, keys: list[str], order: list[str], value: str, out: str = "range_end") -> DataFrame:
-    """[A11, E18] The next row's value: the open end of a range that begins here; null for the last."""
-    return df.withColumn(out, F.lead(value).over(Window.partitionBy(*keys).orderBy(*order)))
+def next_start(df: DataFrame, keys: list[str], order: list[str], value: str, out: str = "range_end", close: Column | None = None) -> DataFrame:
+    """[A11, E18] The next row's value: the open end of a range that begins here; ``close``, or null, for the last."""
+    after = F.lead(value).over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn(out, after if close is None else F.coalesce(after, close))
 
 
 def out_of_order(df: DataFrame, keys: list[str], order: list[str], value: str) -> DataFrame:
@@ -185,11 +204,28 @@ def segments(df: DataFrame, keys: list[str], order: list[str], is_end: Column, o
     return rows.withColumn("_t", F.sum("_e").over(w)).filter("_b < _t").withColumn(out, F.col("_b") + 1).drop("_e", "_b", "_t")
 
 
-def assign_quotas(items: DataFrame, quotas: DataFrame, keys: list[str], number: str, block: str, quota: str) -> DataFrame:
+def merged_units(items: DataFrame, keys: list[str], idx: str, groups: DataFrame, member: str, first: str) -> DataFrame:
+    """[E28] Items whose fixed group (``member``, ``first``) makes them one unit: (keys, unit, n_items), numbered from 1."""
+    rows = items.join(groups.select(F.col(member).alias(idx), F.col(first).alias("_first")), idx, "left")
+    units = rows.groupBy(*keys, F.coalesce("_first", F.col(idx)).alias("unit")).agg(F.count(F.lit(1)).alias("n_items"))
+    return units.withColumn("number", F.row_number().over(Window.partitionBy(*keys).orderBy("unit")).cast("long"))
+
+
+def checked_counts(units: DataFrame, quotas: DataFrame, keys: list[str], quota: str) -> DataFrame:
+    """[E28] The units, or an error, when run, if a key has more or fewer than its quotas say."""
+    have = units.groupBy(*keys).agg(F.count(F.lit(1)).alias("_have"))
+    want = quotas.groupBy(*keys).agg(F.sum(quota).alias("_want"))
+    sums = want.join(have, keys, "full").select(*keys, F.coalesce("_have", F.lit(0)).alias("_have"), F.coalesce("_want", F.lit(0)).alias("_want"))
+    fault = F.raise_error(F.concat(F.lit("expected "), F.col("_want"), F.lit(" units, got "), F.col("_have")))
+    return units.join(sums, keys, "right").filter(F.when(F.col("_have") != F.col("_want"), fault).otherwise(F.lit(True))).filter(F.col("unit").isNotNull()).drop("_have", "_want")
+
+
+def assign_quotas(items: DataFrame, quotas: DataFrame, keys: list[str], number: str, block: str, quota: str, excess: str = "raise") -> DataFrame:
     """[E27, E28] Give the items of each key, numbered from 1, to blocks in order, ``quota`` each.
 
-    Blocks left short at the end are tolerated; items beyond all quotas get block null.  The range
-    lookup is an as-of window over both tables, not a join on inequalities.
+    Blocks left short at the end are tolerated; items beyond all quotas are an error, when run, or get
+    block null if ``excess`` is ``null``.  The range lookup is an as-of window over both tables, not a
+    join on inequalities.
     """
     w = _upto(keys, [block])
     starts = quotas.withColumn("_at", F.sum(quota).over(w) - F.col(quota) + 1).filter(F.col(quota) > 0)
@@ -198,7 +234,8 @@ def assign_quotas(items: DataFrame, quotas: DataFrame, keys: list[str], number:
     rows = marks.unionByName(items.withColumn("_kind", F.lit(1)), allowMissingColumns=True)
     rows = rows.withColumn(block, F.last("_block", ignorenulls=True).over(_upto(keys, [number, "_kind"]))).filter("_kind = 1").drop("_kind", "_block")
     rows = rows.join(last, keys, "left")
-    return rows.withColumn(block, F.when(F.col(number) <= F.col("_all"), F.col(block))).drop("_all")
+    beyond = F.lit(None) if excess == "null" else F.raise_error(F.concat(F.lit("more items than quotas: "), F.col(number)))
+    return rows.withColumn(block, F.when(F.col(number) <= F.coalesce("_all", F.lit(0)), F.col(block)).otherwise(beyond)).drop("_all")
 
 
 def slice_ranges(points: DataFrame, ranges: DataFrame, keys: list[str], at: str, start: str, name: str) -> DataFrame:
@@ -244,16 +281,24 @@ def numbered_items(df: DataFrame, keys: list[str], order: list[str], is_chapter:
 def next_run(df: DataFrame, keys: list[str], idx: str, is_marker: Column, in_run: Column, is_blank: Column, reach: int = 400, most: int = 6) -> DataFrame:
     """[E29] For each marker the first run of rows after it within ``reach`` rows, blanks ignored, at most ``most`` rows: their idx values.
 
-    The frame is bounded, so a row holds at most ``reach`` flags whatever the sequence's length.
+    Windows number the rows that are not blank and the runs among them, so only runs, ``most`` rows each at
+    most, are gathered, and a marker finds the next one by a look ahead; no row holds its whole reach.
+    A run that is open at the marker counts from its first row after the marker.
     """
     w = Window.partitionBy(*keys).orderBy(idx)
-    rows = df.withColumn("_f", F.collect_list(F.struct(F.col(idx).alias("i"), in_run.alias("r"), is_blank.alias("b"))).over(w.rowsBetween(1, reach - 1))).filter(is_marker)
-    full = F.filter("_f", lambda x: ~x["b"])
-    rows = rows.withColumn("_f", full).withColumn("_a", F.array_position(F.transform("_f", lambda x: x["r"]), True))
-    tail = F.when(F.col("_a") > 0, F.expr(f"slice(_f, cast(_a as int), {most})")).otherwise(F.slice("_f", 1, 0))
-    rows = rows.withColumn("_f", tail).withColumn("_z", F.array_position(F.transform("_f", lambda x: x["r"]), False))
-    run = F.when(F.col("_z") > 0, F.expr("slice(_f, 1, cast(_z as int) - 1)")).otherwise(F.col("_f"))
-    return rows.withColumn("run", F.transform(run, lambda x: x["i"])).drop("_f", "_a", "_z")
+    rows = df.withColumn("_at", F.row_number().over(w)).withColumn("_m", is_marker).withColumn("_r", in_run).withColumn("_b", is_blank)
+    full = rows.filter(~F.col("_b"))
+    wf = Window.partitionBy(*keys).orderBy("_at")
+    # Ahead of each row in a run: the rows of it that follow, by the frame of ``most`` rows that are not blank.
+    ahead = full.withColumn("_f", F.collect_list(F.struct(F.col("_at").alias("p"), F.col(idx).alias("i"), F.col("_r").alias("r"))).over(wf.rowsBetween(0, most - 1))).filter("_r")
+    stop = F.array_position(F.transform("_f", lambda x: x["r"]), False)
+    run = F.when(stop > 0, F.filter("_f", lambda x, i: i < stop - 1)).otherwise(F.col("_f"))
+    starts = ahead.select(*keys, "_at", run.alias("_run"))
+    both = rows.select(*[c for c in df.columns], "_at", "_m").join(starts, [*keys, "_at"], "left")
+    after = F.first("_run", ignorenulls=True).over(Window.partitionBy(*keys).orderBy("_at").rowsBetween(1, reach - 1))
+    found = both.withColumn("_next", after).filter("_m")
+    near = F.filter(F.coalesce("_next", F.array().cast("array<struct<p:int,i:bigint,r:boolean>>")), lambda x: x["p"] < F.col("_at") + reach)
+    return found.withColumn("run", F.transform(near, lambda x: x["i"])).drop("_at", "_m", "_run", "_next")
 
 
 def longest_prefix(candidates: DataFrame, known: DataFrame, keys: list[str], parts: str, text: str) -> DataFrame:
@@ -268,3 +313,9 @@ def by_category(entries: DataFrame, work: str, category: str, order: list[str],
     first = first_per_key(entries, [work], order)
     place = F.array_position(F.array(*map(F.lit, ranking)), F.col(category)) - 1
     return first.withColumn("place", F.coalesce(place, F.lit(-1)).cast("long"))
+
+
+def in_shelf_order(works: DataFrame, sequence: str, work: str) -> DataFrame:
+    """[F16, H6] Works of :func:`by_category` with their rank on the shelf of their category: by sequence (none as 0), then name."""
+    w = Window.partitionBy("place").orderBy(F.coalesce(sequence, F.lit(0)), work)
+    return works.withColumn("rank", F.row_number().over(w).cast("long"))

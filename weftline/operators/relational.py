@@ -36,6 +36,41 @@ def append_new(prior: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def convert_distinct(df: DataFrame, text: str, convert: Column, out: str) -> DataFrame:
-    """[K6] Convert each distinct text once and join the results back."""
-    once = df.select(text).distinct().withColumn(out, convert)
-    return df.join(once, text, "left")
+    """[K6] Convert each distinct text once and join the results back, by 128 bits that stand for a text; null gives null."""
+    key = F.md5(F.col(text))
+    once = df.filter(F.col(text).isNotNull()).groupBy(key.alias("_key")).agg(F.first(text).alias(text)).select("_key", convert.alias(out))
+    return df.withColumn("_key", key).join(once, "_key", "left").drop("_key")
+
+
+def intersect(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """[I6] Keys that both sides have, once each."""
+    return left.select(*keys).distinct().join(right.select(*keys).distinct(), keys, "left_semi")
+
+
+def matched_sections(matches: DataFrame, sections: DataFrame, number: str) -> DataFrame:
+    """[G6] Matches with the section of their number; a match without one is dropped."""
+    return matches.join(sections, number)
+
+
+def match_report(matches: DataFrame, number: str, found: str) -> DataFrame:
+    """One row: how many were sought and found, and the numbers of those that were not, in order."""
+    missing = F.array_sort(F.collect_list(F.when(~F.col(found), F.col(number))))
+    return matches.agg(F.count(F.lit(1)).alias("sought"), F.count_if(found).alias("matched"), F.count_if(~F.col(found)).alias("missing"), missing.alias("not_found"))
+
+
+def first_rows(df: DataFrame, order: list[str], n: int) -> DataFrame:
+    """[H4] The first n rows of a report, by a top-n that sorts no more than that."""
+    return df.orderBy(*order).limit(n)
+
+
+def without_value(df: DataFrame, column: str, value: str) -> DataFrame:
+    """[P7] Rows that a decision looks at: all but those of one work; rows without a work stay."""
+    return df.filter(~F.col(column).eqNullSafe(F.lit(value)))
+
+
+def within(df: DataFrame, column: str, ranges: list[tuple[int, int]]) -> DataFrame:
+    """[P8] Rows whose index lies in one of a few fixed half-open ranges."""
+    inside = F.lit(False)
+    for a, b in ranges:
+        inside = inside | ((F.col(column) >= a) & (F.col(column) < b))
+    return df.filter(inside)

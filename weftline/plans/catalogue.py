@@ -51,18 +51,21 @@ def iast_text() -> F.Column:
     return F.translate("text", ACCENTS, LETTERS)
 
 
+# Letters inside and outside the class of verse lines: ō and š are outside, ñ is inside.
+VERSE_TO = "āōšśñṣ"
 SCRIPT_SQL = """CASE WHEN regexp_matches(line, '[ঀ-৿]') THEN 'bengali' WHEN regexp_matches(line, '[ऀ-ॿ]') THEN 'devanagari'
-  WHEN regexp_matches(line, '[a-zA-Z]') THEN CASE WHEN regexp_matches(line, '[Ā-ſḀ-ỿ̀-ͯ]') THEN 'iast' ELSE 'plain' END ELSE 'other' END"""
+  WHEN regexp_matches(line, '[a-zA-Z]') THEN CASE WHEN regexp_matches(line, '[āīūṛṝḷḹṃḥśṣñṅṭḍṇĀĪŪṚṜḶḸṂḤŚṢÑṄṬḌṆ]') THEN 'iast' ELSE 'plain' END ELSE 'other' END"""
 
 
-@query(f"""WITH {LINES}, a AS (SELECT *, {SCRIPT_SQL.replace('line,', f"translate(line, '{ACCENTS}', '{LETTERS}'),")} AS s FROM lines),
+@query(f"""WITH {LINES}, a AS (SELECT *, {SCRIPT_SQL} AS s FROM (SELECT doc_id, idx, translate(line, 'éèêçàù', '{VERSE_TO}') AS line FROM lines) WHERE trim(line) <> ''),
 b AS (SELECT *, coalesce(last_value(CASE WHEN s <> 'other' THEN s END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY idx), 'other') AS tag FROM a),
 c AS (SELECT *, CASE WHEN lag(tag) OVER w IS DISTINCT FROM tag AND row_number() OVER w > 1 THEN 1 ELSE 0 END AS new FROM b WINDOW w AS (PARTITION BY doc_id ORDER BY idx)),
 d AS (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY idx) AS block FROM c)
 SELECT doc_id, block::BIGINT AS block, tag, min(idx)::INT AS start, max(idx)::INT AS "end", count(*)::BIGINT AS n FROM d GROUP BY doc_id, block, tag""")
 def line_script_blocks(spark, sf_dir):
-    """Blocks of lines of one script."""
-    rows = doc_lines(spark, sf_dir).withColumn("tag", X.line_script(F.translate("line", ACCENTS, LETTERS)))
+    """Blocks of lines of one script; blank lines are none."""
+    rows = doc_lines(spark, sf_dir).filter(F.trim("line") != "")
+    rows = rows.withColumn("tag", X.line_script(F.translate("line", "éèêçàù", VERSE_TO)))
     return ordered.folded_blocks(rows, ["doc_id"], "idx", "tag")
 
 
@@ -70,7 +73,7 @@ def line_script_blocks(spark, sf_dir):
 b AS (SELECT *, sum(new) OVER (PARTITION BY conv_id ORDER BY turn) AS block FROM a)
 SELECT conv_id, block::BIGINT AS block, role, min(turn) AS start, max(turn) AS "end", string_agg(text, chr(10) ORDER BY turn) AS text FROM b GROUP BY conv_id, block, role""")
 def conversation_islands(spark, sf_dir):
-    """Consecutive turns of one role, texts joined."""
+    """Consecutive turns of one role, texts joined."""
     return ordered.blocks(t(spark, sf_dir, "conversations"), ["conv_id"], "turn", "role", "text")
 
 
@@ -89,10 +92,11 @@ def tag_groups_in_order(spark, sf_dir):
     return ordered.tag_groups(t(spark, sf_dir, "conversations"), ["conv_id"], "turn", "role", "text")
 
 
-@query(r"""SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(text, 'er ', 'er-' || chr(10)), '-\n(\S)', '\1', 'g'), '[ \t]+', ' ', 'g'), '\n{3,}', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g') AS clean FROM documents""")
+@query(r"""SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(nfc_normalize(replace(replace(text, 'er ', 'er-' || chr(10)), 'é', 'e' || chr(769))), '-\n(\S)', '\1', 'g'), '[ \t]+', ' ', 'g'), '\n{3,}', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g') AS clean FROM documents""")
 def ocr_normalize(spark, sf_dir):
-    """Line-end hyphens, put in after each 'er', are joined again."""
-    return t(spark, sf_dir, "documents").select("doc_id", X.clean_ocr(F.replace("text", F.lit("er "), F.lit("er-\n"))).alias("clean"))
+    """Line-end hyphens, put in after each 'er', are joined again, and letters taken apart are composed."""
+    text = F.replace(F.replace("text", F.lit("er "), F.lit("er-\n")), F.lit("é"), F.lit("e\u0301"))
+    return t(spark, sf_dir, "documents").select("doc_id", X.clean_ocr(text).alias("clean"))
 
 
 @query("""WITH m AS (SELECT avg(n_chars) AS mean_length FROM documents)
@@ -106,24 +110,50 @@ def page_quality(spark, sf_dir):
 @query("""WITH m AS (SELECT avg(n_chars) AS mean_length FROM documents)
 SELECT count(*)::BIGINT AS total, count_if(n_chars < 20 OR n_chars < 0.3::DOUBLE * mean_length)::BIGINT AS flagged, count_if(n_chars < 20)::BIGINT AS near_empty FROM documents, m""")
 def page_report(spark, sf_dir):
-    """Totals of the page check."""
+    """totals of the page check."""
     rows = qc.page_status(t(spark, sf_dir, "documents"), F.col("n_chars"))
     return rows.agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("status") == "flagged").alias("flagged"), F.count_if(F.col("reason") == "near-empty").alias("near_empty"))
 
 
-DEV_SQL = translit.iast_to_devanagari_sql(IAST_SQL)
+# The scheme as its tables have it, in the order of the alphabet, for the oracle alone.
+_PAIRS = {
+    "c": ("k kh g gh ṅ c ch j jh ñ ṭ ṭh ḍ ḍh ṇ t th d dh n p ph b bh m y r l v ś ṣ s h", "क ख ग घ ङ च छ ज झ ञ ट ठ ड ढ ण त थ द ध न प फ ब भ म य र ल व श ष स ह"),
+    "v": ("a ā i ī u ū ṛ ṝ ḷ ḹ e ai o au", "अ आ इ ई उ ऊ ऋ ॠ ऌ ॡ ए ऐ ओ औ"),
+    "m": ("ā i ī u ū ṛ ṝ ḷ ḹ e ai o au", "ा ि ी ु ू ृ ॄ ॢ ॣ े ै ो ौ"),
+    "s": ("ṃ ṁ ḥ '' || | 0 1 2 3 4 5 6 7 8 9", "ं ं ः ऽ ॥ । ० १ २ ३ ४ ५ ६ ७ ८ ९"),
+}
+_MAPS = {k: "MAP {" + ", ".join(f"'{x}': '{y}'" for x, y in zip(a.split(), b.split(), strict=True)) + "}" for k, (a, b) in _PAIRS.items()}
+_CONSONANT = "kh|gh|ch|jh|ṭh|ḍh|th|dh|ph|bh|[kgṅcjñṭḍṇtdnpbmyrlvśṣsh]"
+
+
+def dev_sql(x: str) -> str:
+    """Transliteration as DuckDB SQL: syllables are found and looked up, one by one."""
+    head = f"regexp_extract(u, '^(?:{_CONSONANT})')"
+    rest = f"substr(u, length({head}) + 1)"
+    unit = f"""CASE WHEN {head} <> '' THEN {_MAPS["c"]}[{head}] || CASE {rest} WHEN '' THEN '्' WHEN 'a' THEN '' ELSE {_MAPS["m"]}[{rest}] END
+      ELSE coalesce({_MAPS["v"]}[u], {_MAPS["s"]}[u], u) END"""
+    return f"array_to_string(list_transform(regexp_extract_all(lower({x}), '(?:{_CONSONANT})(?:ai|au|[aāiīuūṛṝḷḹeo])?|ai|au|\\|\\||(?s:.)'), lambda u: {unit}), '')"
+
+
+# Devanagari is put into the texts, which must stay as it is.
+MIXED_SCRIPT_SQL = f"replace({IAST_SQL}, 'que', 'कृष्ण')"
+DEV_SQL = dev_sql(MIXED_SCRIPT_SQL)
+
+
+def mixed_script_text() -> F.Column:
+    return F.replace(iast_text(), F.lit("que"), F.lit("कृष्ण"))
 
 
 @query(f"SELECT doc_id, {DEV_SQL} AS devanagari FROM documents")
 def translit_iast(spark, sf_dir):
     """Transliteration as native expressions."""
-    return t(spark, sf_dir, "documents").select("doc_id", translit.iast_to_devanagari(iast_text()).alias("devanagari"))
+    return t(spark, sf_dir, "documents").select("doc_id", translit.iast_to_devanagari(mixed_script_text()).alias("devanagari"))
 
 
 @query(f"""SELECT doc_id, length(regexp_replace(regexp_replace(regexp_replace({DEV_SQL}, '\\[[^\\]]*\\]', '', 'g'), '\\([^)]*\\)', '', 'g'), '[^ऀ-ॿ]', '', 'g'))::BIGINT AS n FROM documents""")
 def match_normalize_len(spark, sf_dir):
-    """Length of the bare form used for matching."""
-    return t(spark, sf_dir, "documents").select("doc_id", F.length(X.matching_form(translit.iast_to_devanagari(iast_text()))).cast("long").alias("n"))
+    """C17: length of the bare form used for matching."""
+    return t(spark, sf_dir, "documents").select("doc_id", F.length(X.matching_form(translit.iast_to_devanagari(mixed_script_text()))).cast("long").alias("n"))
 
 
 @query(f"""WITH {LINES} SELECT doc_id, idx, (sum(length(line)) OVER w)::BIGINT AS "end", ((sum(length(line)) OVER w) - length(line))::BIGINT AS start FROM lines WINDOW w AS (PARTITION BY doc_id ORDER BY idx)""")
@@ -152,7 +182,8 @@ def digit_and_quote_maps(spark, sf_dir):
 
 
 _lists = lambda words: "[" + ", ".join(f"'{w}'" for w in words) + "]"
-MIXED_SQL = f"""WITH {LINES}, l AS (SELECT doc_id, idx, translate(line, '{ACCENTS}', '{LETTERS}') AS line FROM lines),
+# One letter is taken apart; composed, it is no letter of the scheme.
+MIXED_SQL = f"""WITH {LINES}, l AS (SELECT doc_id, idx, nfc_normalize(translate(replace(line, 'è', 'e' || chr(768)), 'éêçàùñ', 'āūśṣṛṇ')) AS line FROM lines),
 k AS (SELECT *, list_distinct(list_transform(list_filter(list_transform(regexp_split_to_array(line, '\\s+'), lambda x: replace(replace(trim(x, '|()[]{{}}.,;:!?"''’‘'), '-', ''), '''', '')),
   lambda x: regexp_full_match(x, '[A-Za-z]+')), lambda x: lower(x))) AS toks, regexp_matches(line, '[Ā-ſḀ-ỿ̀-ͯ]') AS iast FROM l),
 m AS (SELECT *, iast AND (regexp_matches(line, '^\\s*(?:[A-Za-z]+\\s*){{1,4}}:') OR len(list_intersect(toks, {_lists(X.STRONG_ENGLISH)})) > 0
@@ -160,19 +191,26 @@ m AS (SELECT *, iast AND (regexp_matches(line, '^\\s*(?:[A-Za-z]+\\s*){{1,4}}:')
 """
 
 
+def apart_lines(spark, sf_dir) -> DataFrame:
+    """Lines of the documents with letters of the scheme and one that is taken apart; texts are composed before they are split."""
+    docs = t(spark, sf_dir, "documents")
+    apart = F.translate(F.replace("text", F.lit("è"), F.lit("e\u0300")), "éêçàùñ", "āūśṣṛṇ")
+    return ordered.lines(docs.withColumn("text", X.composed(apart)), "doc_id", "text")
+
+
 @query(MIXED_SQL + "SELECT doc_id, idx, iast, mixed FROM m")
 def mixed_language(spark, sf_dir):
     """Lines with transliteration, and with English in it."""
-    rows = doc_lines(spark, sf_dir).withColumn("line", F.translate("line", ACCENTS, LETTERS))
-    return rows.select("doc_id", "idx", X.looks_like_iast(F.col("line")).alias("iast"), X.has_mixed_language(F.col("line")).alias("mixed"))
+    line = F.col("line")
+    return apart_lines(spark, sf_dir).select("doc_id", "idx", X.looks_like_iast(line, False).alias("iast"), X.has_mixed_language(line, False).alias("mixed"))
 
 
 @query(MIXED_SQL + """SELECT CASE WHEN NOT iast THEN 'skipped' WHEN mixed THEN 'mixed' ELSE 'converted' END AS disposition, count(*)::BIGINT AS n, count(DISTINCT doc_id)::BIGINT AS docs FROM m GROUP BY 1""")
 def dispositions(spark, sf_dir):
     """F4, C5 without its classifier: lines by what happens to them."""
-    line = F.translate("line", ACCENTS, LETTERS)
-    kind = F.when(~X.looks_like_iast(line), "skipped").when(X.has_mixed_language(line), "mixed").otherwise("converted")
-    return doc_lines(spark, sf_dir).groupBy(kind.alias("disposition")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("doc_id").alias("docs"))
+    line = F.col("line")
+    kind = F.when(~X.looks_like_iast(line, False), "skipped").when(X.has_mixed_language(line, False), "mixed").otherwise("converted")
+    return apart_lines(spark, sf_dir).groupBy(kind.alias("disposition")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("doc_id").alias("docs"))
 
 
 @query(f"""WITH d AS (SELECT text, {DEV_SQL} AS dev FROM documents)
@@ -180,7 +218,7 @@ SELECT count(text)::BIGINT AS n_in, count(dev)::BIGINT AS n_out, count_if(regexp
 def sanity_report(spark, sf_dir):
     """Inputs against outputs."""
     d = t(spark, sf_dir, "documents")
-    return qc.sanity(d, F.col("text"), translit.iast_to_devanagari(iast_text()))
+    return qc.sanity(d, F.col("text"), translit.iast_to_devanagari(mixed_script_text()))
 
 
 EV = "e AS (SELECT *, CASE WHEN event_id % 7 = 0 THEN event_type END AS mark FROM events)"
@@ -209,7 +247,7 @@ def carry_forward(spark, sf_dir):
 
 @query("""SELECT event_id, coalesce(lead(event_id) OVER w, -1) AS next_id, coalesce(lag(event_id) OVER w, -1) AS prev_id FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
 def next_start_range(spark, sf_dir):
-    """Neighbours in a user's events."""
+    """Neighbours in a user's events."""
     rows = ordered.next_start(t(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"], "event_id", "next_id")
     return ordered.neighbours(rows, ["user_id"], ["ts", "event_id"], "event_id").select("event_id", F.coalesce("next_id", F.lit(-1).cast("long")).alias("next_id"), F.coalesce("prev", F.lit(-1).cast("long")).alias("prev_id"))
 
@@ -246,11 +284,11 @@ def closed_segments(spark, sf_dir):
 s AS (SELECT *, sum(quota) OVER (PARTITION BY k ORDER BY block) AS hi FROM q), i AS (SELECT l_orderkey AS k, l_linenumber AS n FROM lineitem)
 SELECT i.k, i.n::BIGINT AS n, coalesce(s.block, -1) AS block FROM i LEFT JOIN s ON i.k = s.k AND i.n > s.hi - s.quota AND i.n <= s.hi""")
 def quota_assignment(spark, sf_dir):
-    """Lines of an order dealt to blocks of 2, 1 and 2."""
+    """Lines of an order dealt to blocks of 2, 1 and 2; those beyond are marked, not refused."""
     orders = t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"))
     quotas = orders.select("k", F.inline(F.array(*[F.struct(F.lit(b).alias("block"), F.lit(q).alias("quota")) for b, q in ((1, 2), (2, 1), (3, 2))])))
     items = t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").cast("long").alias("n"))
-    return ordered.assign_quotas(items, quotas, ["k"], "n", "block", "quota").select("k", "n", F.coalesce("block", F.lit(-1)).alias("block"))
+    return ordered.assign_quotas(items, quotas, ["k"], "n", "block", "quota", excess="null").select("k", "n", F.coalesce("block", F.lit(-1)).alias("block"))
 
 
 @query("""WITH g AS (SELECT user_id, event_type, sum(length(props)) AS total, min(event_id) AS first FROM events GROUP BY ALL),
@@ -264,7 +302,7 @@ def dominant_value(spark, sf_dir):
 a AS (SELECT *, last_value(mark IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS r FROM m)
 SELECT user_id, coalesce(r, -1) AS range_id, count(*)::BIGINT AS n, sum(event_id)::BIGINT AS total FROM a GROUP BY ALL""")
 def range_slices(spark, sf_dir):
-    """Events in half-open ranges, by an as-of window."""
+    """Events in half-open ranges, by an as-of window."""
     e = t(spark, sf_dir, "events").select("user_id", "event_id", "event_type")
     ranges = e.filter((F.col("event_type") == "login") | (F.col("event_id") % 11 == 0)).select("user_id", F.col("event_id").alias("from"), F.col("event_id").alias("range_id"))
     rows = ordered.slice_ranges(e, ranges, ["user_id"], "event_id", "from", "range_id")
@@ -274,7 +312,7 @@ def range_slices(spark, sf_dir):
 @query("""WITH p AS (SELECT l_orderkey AS k, sum(l_quantity) AS a, sum(CASE WHEN l_linenumber > 1 THEN l_quantity ELSE 0 END) AS b FROM lineitem GROUP BY 1)
 SELECT k, a, b, a - b AS deficit, b / a AS ratio FROM p WHERE a <> 0 AND a - b > 20 AND b / a < 0.97::DOUBLE""")
 def deficit_qc(spark, sf_dir):
-    """Orders whose first line is much of the whole."""
+    """Orders whose first line is much of the whole."""
     rows = t(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(F.sum("l_quantity").alias("a"), F.sum(F.when(F.col("l_linenumber") > 1, F.col("l_quantity")).otherwise(0)).alias("b"))
     return align.deficits(rows, "a", "b", 20).select("k", "a", "b", "deficit", "ratio")
 
@@ -318,11 +356,25 @@ def limit_then_resume(spark, sf_dir):
     return relational.todo(t(spark, sf_dir, "documents").select("doc_id"), t(spark, sf_dir, "labels"), ["doc_id"], 100)
 
 
-@query(r"""WITH a AS (SELECT page_id, regexp_extract_all(html, '(?is)<a\b[^>]*\bhref\s*=\s*"([^"]*)"[^>]*>(.*?)</a>', 1) AS h, regexp_extract_all(html, '(?is)<a\b[^>]*\bhref\s*=\s*"([^"]*)"[^>]*>(.*?)</a>', 2) AS l FROM pages)
-SELECT page_id, (unnest(range(0, len(h))))::INT AS pos, unnest(h) AS href, trim(regexp_replace(unnest(l), '<[^>]*>', '', 'g')) AS label FROM a""")
+_ANCHOR = """'(?is)<a\\b[^>]*?\\bhref\\s*=\\s*(?:"([^"]*)"|''([^'']*)''|([^\\s"''>]+))[^>]*>(.*?)</a>'"""
+# Every second page quotes its addresses with single quotes, every third not at all, and labels get a reference.
+_HTML = """replace(CASE page_id % 3 WHEN 1 THEN regexp_replace(html, 'href="([^"]*)"', 'href=''\\1''', 'g') WHEN 2 THEN regexp_replace(html, 'href="([^"]*)"', 'href=\\1', 'g') ELSE html END, '</a>', ' <i> &amp; </i></a>')"""
+
+
+def linked_pages(spark, sf_dir) -> DataFrame:
+    single = F.regexp_replace("html", 'href="([^"]*)"', "href='$1'")
+    bare = F.regexp_replace("html", 'href="([^"]*)"', "href=$1")
+    page = F.when(F.col("page_id") % 3 == 1, single).when(F.col("page_id") % 3 == 2, bare).otherwise(F.col("html"))
+    return t(spark, sf_dir, "pages").withColumn("html", F.replace(page, F.lit("</a>"), F.lit(" <i> &amp; </i></a>")))
+
+
+@query(f"""WITH p AS (SELECT page_id, {_HTML} AS html FROM pages),
+a AS (SELECT page_id, {", ".join(f"regexp_extract_all(html, {_ANCHOR}, {k}) AS g{k}" for k in (1, 2, 3, 4))} FROM p),
+u AS (SELECT page_id, (unnest(range(0, len(g4))))::INT AS pos, concat(unnest(g1), unnest(g2), unnest(g3)) AS href, unnest(g4) AS label FROM a)
+SELECT page_id, pos, replace(href, '&amp;', '&') AS href, replace(array_to_string(list_transform(regexp_split_to_array(label, '<[^>]*>'), lambda x: trim(x)), ''), '&amp;', '&') AS label FROM u""")
 def toc_links(spark, sf_dir):
-    """Anchors of pages in order."""
-    return html.links(t(spark, sf_dir, "pages"), ["page_id"], "html")
+    """Anchors of pages in order, however their addresses are quoted."""
+    return html.links(linked_pages(spark, sf_dir), ["page_id"], "html")
 
 
 CITES = """c AS (SELECT l_orderkey, l_linenumber, l_suppkey, (l_partkey % 4 + 1) AS a, (l_suppkey % 4 + 1) AS p, (l_partkey % 60) AS s, CASE WHEN l_partkey % 3 = 0 THEN 'वे.सू.' ELSE 'ब्र.सू.' END AS abbrev FROM lineitem WHERE l_partkey % 5 <> 0)"""
@@ -391,17 +443,24 @@ def last_wins(spark, sf_dir):
     return ordered.last_wins(t(spark, sf_dir, "part"), ["p_brand"], "p_partkey").select("p_brand", "p_partkey", "p_name")
 
 
-HEADED = f"""{LINES}, h AS (SELECT doc_id, idx, CASE WHEN idx % 6 = 2 THEN '## ' || left(line, 12) WHEN idx % 6 IN (0, 4) THEN '### ' || left(line, 8) ELSE line END AS line FROM lines),
-s AS (SELECT *, regexp_matches(line, '^##\\s+\\S') AS h2, regexp_matches(line, '^###\\s+\\S') AS h3 FROM h),
+# Headings that are padded, empty and without a blank are among them.
+HEADED = f"""{LINES}, h AS (SELECT doc_id, idx, CASE WHEN idx % 12 = 8 THEN '##  ' WHEN idx % 12 = 10 THEN '##' || left(line, 5) WHEN idx % 6 = 2 THEN '##   ' || left(line, 12) || '  ' WHEN idx % 6 IN (0, 4) THEN '### ' || left(line, 8) ELSE line END AS line FROM lines),
+s AS (SELECT *, regexp_matches(line, '^##\\s+') AS h2, regexp_matches(line, '^###\\s+') AS h3 FROM h),
 g AS (SELECT *, sum(h2::INT) OVER (PARTITION BY doc_id ORDER BY idx) AS sn FROM s), u AS (SELECT *, sum(h3::INT) OVER (PARTITION BY doc_id, sn ORDER BY idx) AS tn FROM g)"""
 
 
 @query(f"""WITH {HEADED} SELECT doc_id, idx, (CASE WHEN sn > 0 THEN sn - 1 ELSE -1 END)::BIGINT AS section, (CASE WHEN sn > 0 AND tn > 0 THEN tn - 1 ELSE -1 END)::BIGINT AS sub,
-last_value(CASE WHEN h2 THEN regexp_replace(line, '^##\\s+', '') END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY idx) AS heading FROM u""")
+last_value(CASE WHEN h2 THEN trim(regexp_replace(line, '^##\\s+', '')) END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY idx) AS heading FROM u""")
 def sections_hierarchy(spark, sf_dir):
     """Two heading levels over lines."""
-    head = F.when(F.col("idx") % 6 == 2, F.concat(F.lit("## "), F.substring("line", 1, 12))).when((F.col("idx") % 6).isin(0, 4), F.concat(F.lit("### "), F.substring("line", 1, 8))).otherwise(F.col("line"))
-    return ordered.sections(doc_lines(spark, sf_dir).withColumn("line", head), "doc_id", "idx", "line").fillna(-1, ["section", "sub"]).select("doc_id", "idx", "section", "sub", "heading")
+    return ordered.sections(headed_lines(spark, sf_dir), "doc_id", "idx", "line").fillna(-1, ["section", "sub"]).select("doc_id", "idx", "section", "sub", "heading")
+
+
+def headed_lines(spark, sf_dir) -> DataFrame:
+    at, start = F.col("idx"), lambda n: F.substring("line", 1, n)
+    head = F.when(at % 12 == 8, F.lit("##  ")).when(at % 12 == 10, F.concat(F.lit("##"), start(5))).when(at % 6 == 2, F.concat(F.lit("##   "), start(12), F.lit("  ")))
+    head = head.when((at % 6).isin(0, 4), F.concat(F.lit("### "), start(8))).otherwise(F.col("line"))
+    return doc_lines(spark, sf_dir).withColumn("line", head)
 
 
 @query(f"""WITH {LINES}, a AS (SELECT *, idx % 5 = 1 AS s, idx % 5 = 3 AS e FROM lines),
@@ -426,7 +485,7 @@ def dehyphenate(spark, sf_dir):
 @query(f"""WITH {LINES}, a AS (SELECT *, lead(line) OVER (PARTITION BY doc_id ORDER BY idx) AS nx FROM lines)
 SELECT doc_id, idx, (unnest(CASE WHEN ends_with(line, '.') AND trim(nx) <> '' THEN [0, 1] ELSE [0] END))::INT AS sub, unnest(CASE WHEN ends_with(line, '.') AND trim(nx) <> '' THEN [line, ''] ELSE [line] END) AS line FROM a""")
 def verse_breaks(spark, sf_dir):
-    """An empty line after lines that end with a full stop."""
+    """An empty line after lines that end with a full stop."""
     return ordered.verse_breaks(doc_lines(spark, sf_dir), ["doc_id"], "idx", "line", F.col("line").endswith("."))
 
 
@@ -472,7 +531,7 @@ def grouped_entries(spark, sf_dir):
 SELECT p_partkey, trim(regexp_replace(regexp_replace(x, '^\s*\([0-9]+\)\s*', ''), '\s+[0-9]+\s*$', '')) AS title,
   trim(regexp_replace(regexp_replace(x, '^[^\p{L}\p{M}\p{N}_]+', ''), '\s*\*\([^)]*\)\*\s*$', '')) AS label FROM a""")
 def titles_and_labels(spark, sf_dir):
-    """Titles and labels without their ornaments."""
+    """Titles and labels without their ornaments."""
     p = t(spark, sf_dir, "part")
     x = F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit("("), "p_size", F.lit(") "), "p_name", F.lit(" "), "p_size")).otherwise(F.concat(F.lit("🔷 "), "p_name", F.lit(" *("), "p_brand", F.lit(")*")))
     return p.select("p_partkey", X.chapter_title(x).alias("title"), X.clean_label(x).alias("label"))
@@ -505,7 +564,7 @@ def numbered_items(spark, sf_dir):
 @query("""SELECT p_brand, p_partkey, place FROM (SELECT p_brand, p_partkey, (coalesce(list_position(['3', '1'], (p_size % 4)::VARCHAR), 0) - 1)::BIGINT AS place,
 row_number() OVER (PARTITION BY p_brand ORDER BY p_size, p_partkey) AS n FROM part) WHERE n = 1""")
 def works_by_category(spark, sf_dir):
-    """F16, H2: the first entry of each work with its category's place in a custom order."""
+    """F16: the first entry of each work with its category's place in a custom order."""
     parts = t(spark, sf_dir, "part").withColumn("category", (F.col("p_size") % 4).cast("string"))
     return ordered.by_category(parts, "p_brand", "category", ["p_size", "p_partkey"], ["3", "1"]).select("p_brand", "p_partkey", "place")
 
@@ -539,16 +598,25 @@ def longest_prefix(spark, sf_dir):
     return ordered.longest_prefix(n.select(F.col("n_nationkey").alias("k"), F.array("n_name", F.lit("x"), F.lit("y")).alias("parts")), known, ["k"], "parts", "text")
 
 
-@query()
+@query(f"""WITH RECURSIVE i AS (SELECT row_number() OVER (ORDER BY item_id, text) - 1 AS pos, text AS q FROM benchmark),
+f AS (SELECT doc_id, text, -1::BIGINT AS pos, 1::BIGINT AS cur, 0::BIGINT AS hit, 0::BIGINT AS n FROM documents WHERE text IS NOT NULL
+  UNION ALL SELECT doc_id, text, pos, CASE WHEN hit > 0 THEN hit + greatest(1, n // 2) ELSE cur END AS cur, hit, n FROM (
+    SELECT f.doc_id, f.text, i.pos, f.cur, length(q) AS n, CASE WHEN coalesce(q, '') = '' THEN 0 WHEN contains(substr(f.text, f.cur), q) THEN instr(substr(f.text, f.cur), q) + f.cur - 1
+      WHEN length(q) > {align.PREFIX} AND contains(substr(f.text, f.cur), left(q, {align.PREFIX})) THEN instr(substr(f.text, f.cur), left(q, {align.PREFIX})) + f.cur - 1 ELSE 0 END AS hit
+    FROM f JOIN i ON i.pos = f.pos + 1))
+SELECT doc_id, pos::INT AS pos, (hit - 1)::INT AS start, n::INT AS match_length FROM f WHERE hit > 0""")
 def forward_match(spark, sf_dir):
-    """Whole benchmark items sought in order in each document (the item list is held by the driver; tested against a loop)."""
-    items = [r["text"] for r in t(spark, sf_dir, "benchmark").select("item_id", "text").orderBy("item_id", "text").collect()]
+    """Whole benchmark items sought in order in each document; the list of items is read in parts of bounded size."""
+    items = (r["text"] for r in t(spark, sf_dir, "benchmark").select("item_id", "text").orderBy("item_id", "text").toLocalIterator())
     rows = align.forward_match_all(t(spark, sf_dir, "documents").select("doc_id", "text"), "text", items)
     return rows.select("doc_id", F.explode("finds").alias("m")).select("doc_id", "m.pos", "m.start", "m.match_length")
 
 
-@query()
+_READY = f"""replace(regexp_replace(regexp_replace(replace(replace({MIXED_SCRIPT_SQL}, ' ', '-'), '.', '’'), '({HYPHEN_CLASS})-({HYPHEN_CLASS})', '\\1\\2', 'g'), '({HYPHEN_CLASS})-({HYPHEN_CLASS})', '\\1\\2', 'g'), '’', '''')"""
+
+
+@query(f"SELECT doc_id, {dev_sql(_READY)} AS first, {dev_sql(_READY)} AS second, true AS agree, {dev_sql(_READY)} AS chosen FROM documents")
 def translit_cross_check(spark, sf_dir):
-    """Both transliterations, counted where they agree."""
-    d = t(spark, sf_dir, "documents").select(translit.cross_checked(iast_text()).alias("c"))
-    return d.agg(F.count(F.lit(1)).alias("n"), F.count_if("c.agree").alias("agree"))
+    """Both transliterations of prepared text, whether they agree, and the first, which is always chosen."""
+    x = F.replace(F.replace(mixed_script_text(), F.lit(" "), F.lit("-")), F.lit("."), F.lit("’"))
+    return t(spark, sf_dir, "documents").select("doc_id", translit.cross_checked(x).alias("c")).select("doc_id", "c.first", "c.second", "c.agree", "c.chosen")

@@ -132,27 +132,54 @@ def _run(r) -> dict:
     return {"text": text, "bold": _flag(props, "b"), "italic": _flag(props, "i"), "underline": _flag(props, "u"), "size": float(size) / 2 if size else None, "font": get("rFonts", "ascii"), "color": get("color")}
 
 
+_R = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
+
+
+def _related(z: zipfile.ZipFile) -> dict[str, str]:
+    """Parts that the main document refers to, by id."""
+    name = "word/_rels/document.xml.rels"
+    if name not in z.namelist():
+        return {}
+    return {r.get("Id"): "word/" + r.get("Target").removeprefix("/word/") for r in ElementTree.fromstring(z.read(name))}
+
+
 def docx_paragraphs(data: bytes) -> Iterator[tuple[str, list[dict]]]:
-    """[A4, A5] (part, runs) in the fixed order: body, tables with nested cells, headers and footers, foot- and endnotes."""
+    """[A4, A5] (part, runs) in the fixed order: body, tables with nested cells, headers and footers, foot- and endnotes.
+
+    Headers and footers go section by section: the usual, the first page's and the even pages' header and
+    footer, each with its tables.  A section without one of its own repeats the section's before; where
+    there is none either, an empty paragraph stands for it, so that positions agree with other readers.
+    """
     with zipfile.ZipFile(io.BytesIO(data)) as z:
-        names = z.namelist()
+        names, related = z.namelist(), _related(z)
         body = ElementTree.fromstring(z.read("word/document.xml")).find(_W + "body")
 
         def own(parent, part: str):
             for p in parent.findall(_W + "p"):
                 yield part, [_run(r) for r in p.iter(_W + "r")]
 
-        def cells(parent):
+        def cells(parent, part: str):
             for table in parent.findall(_W + "tbl"):
                 for cell in table.iterfind(f"{_W}tr/{_W}tc"):
-                    yield from own(cell, "table")
-                    yield from cells(cell)
+                    yield from own(cell, part)
+                    yield from cells(cell, part)
 
         yield from own(body, "body")
-        yield from cells(body)
-        for kind in ("header", "footer"):
-            for name in sorted(n for n in names if re.fullmatch(rf"word/{kind}\d*\.xml", n)):
-                yield from own(ElementTree.fromstring(z.read(name)), kind)
+        yield from cells(body, "table")
+        current: dict[tuple[str, str], str] = {}
+        for section in body.iter(_W + "sectPr"):
+            for kind in ("header", "footer"):
+                for ref in section.findall(f"{_W}{kind}Reference"):
+                    current[kind, ref.get(_W + "type")] = related.get(ref.get(_R + "id"), "")
+            for page in ("default", "first", "even"):
+                for kind in ("header", "footer"):
+                    name = current.get((kind, page))
+                    if name in names:
+                        root = ElementTree.fromstring(z.read(name))
+                        yield from own(root, kind)
+                        yield from cells(root, kind)
+                    else:
+                        yield kind, []
         for kind in ("footnote", "endnote"):
             if f"word/{kind}s.xml" in names:
                 for note in ElementTree.fromstring(z.read(f"word/{kind}s.xml")).findall(_W + kind):
@@ -219,4 +246,34 @@ def rendered(df: DataFrame, keys: list[str], idx: str, kind: str, text: str) ->
     return one.groupBy(*keys).agg(F.regexp_replace(body, r"\n{3,}", "\n\n").alias("markdown"))
 
 
-__all__ = ["append_log", "docx_paragraphs", "parse_header", "read_docx", "read_entries", "read_pages", "read_slices", "read_verses", "rendered", "rewritten", "without_frontmatter", "write_chapters"]
+def quoted(x: Column) -> Column:
+    """A string as a header writes it."""
+    return F.concat(F.lit('"'), F.replace(x, F.lit('"'), F.lit("'")), F.lit('"'))
+
+
+def with_header(body: Column, fields: list[tuple[str, Column]]) -> Column:
+    """[B6] A file of an entry: a header of fields in order, of which ``a.b`` is the part b of a, and a body."""
+    lines, open_ = [F.lit("---")], None
+    for name, value in fields:
+        group, _, part = name.rpartition(".")
+        if group and group != open_:
+            lines.append(F.lit(f"{group}:"))
+        open_ = group
+        lines.append(F.concat(F.lit(f"  {part}: " if group else f"{name}: "), value))
+    return F.concat(F.array_join(F.array(*lines, F.lit("---")), "\n"), F.lit("\n"), body)
+
+
+def write_map(df: DataFrame, path: str, tsv: bool = False) -> None:
+    """[B11] A map of rows as JSON lines, or as tab-separated values without a header."""
+    if tsv:
+        df.write.mode("overwrite").option("sep", "\t").option("escape", '"').csv(path)
+    else:
+        df.write.mode("overwrite").json(path)
+
+
+def as_json(*columns: Column | str) -> Column:
+    """[B13] A node as JSON text; fields that are null are left out."""
+    return F.to_json(F.struct(*columns))
+
+
+__all__ = ["append_log", "as_json", "docx_paragraphs", "parse_header", "read_docx", "read_entries", "read_pages", "read_slices", "read_verses", "quoted", "rendered", "rewritten", "with_header", "without_frontmatter", "write_chapters", "write_map"]
