@@ -10,7 +10,7 @@ from weftline.functions import text as X
 from weftline.functions import translit
 from weftline.operators import align, graph, ordered, qc, relational
 from weftline.plans import catalogue
-from weftline.sources import files, html
+from weftline.sources import files, html, ocr, stores
 from weftline.streaming import incremental
 
 
@@ -21,32 +21,41 @@ def values(spark, rows, column, schema="x string"):
 def test_gates(spark):
     mixed = ["footnote body: nandīśvareśvara iti smṛtaḥ", "yogeśas prakaṭin he'no", "cit ātmā", "[page 6] ātmā", "[page 6] [ibid.] ātmā", "no marks the of and", "see ātmā", None]
     assert values(spark, mixed, X.has_mixed_language) == [True, False, False, False, True, False, True, False]
-    assert values(spark, ["kṛṣṇa", "ñ only", "", None, "plain"], X.looks_like_iast) == [True, False, False, False, False]
+    apart = ["kṛṣṇa", "ñ only", "", None, "plain", "cafe\u0301 the of", "kr\u0323", "na\u0304da", "\u0301 alone"]
+    assert values(spark, apart, X.looks_like_iast) == [True, False, False, False, False, False, True, True, True]
+    assert values(spark, ["cafe\u0301 the of", "na\u0304da the of"], X.has_mixed_language) == [False, True]
     assert values(spark, ["kṛṣṇa", "कृष्ण ā", "12 34", " ", "nimittam api", "this is the text of the page", None], X.looks_like_sanskrit) == [True, False, False, False, True, False, False]
 
 
 def test_transliteration(spark):
-    pairs = {"te'tisudhā": "तेऽतिसुधा", "śrīkṛṣṇa": "श्रीकृष्ण", "śrīlarūpasanātanau": "श्रीलरूपसनातनौ", "hds": "ह्द्स्", "aitareya | 12": "ऐतरेय । १२"}
+    pairs = {"कृष्ण rāma": "कृष्ण राम", "कa ओka": "कअ ओक", "|| 1 || kh": "॥ १ ॥ ख्", "aiauā": "ऐऔआ", "te'tisudhā": "तेऽतिसुधा", "śrīkṛṣṇa": "श्रीकृष्ण", "śrīlarūpasanātanau": "श्रीलरूपसनातनौ", "hds": "ह्द्स्", "aitareya | 12": "ऐतरेय । १२"}
     assert values(spark, list(pairs), translit.iast_to_devanagari) == list(pairs.values())
     assert values(spark, list(pairs), translit.iast_by_scan) == list(pairs.values())
     assert values(spark, ["śrī-kṛṣṇa te’ti", "a-1", "a - b"], lambda x: X.straight_quotes(X.join_hyphens(x))) == ["śrīkṛṣṇa te'ti", "a-1", "a - b"]
     got = spark.createDataFrame([("śrī-kṛṣṇa",), (None,)], "x string").select(translit.cross_checked(F.col("x")).alias("c")).collect()
     assert got[0].c.chosen == "श्रीकृष्ण" and got[0].c.agree
     assert values(spark, ["shrIkR^iShNa", "namaH", "om .n"], translit.itrans_to_devanagari) == ["श्रीकृष्ण", "नमः", "ओम् .न्"]
+    gated = ["kṛṣṇa’ḥ", "see kṛṣṇa", "this is the text of the page", "कृ", "", None]
+    assert values(spark, gated, translit.gated) == ["कृष्णऽः", None, None, None, None, None]
+    assert values(spark, ["prathamao'dhyAyaH"], translit.itrans_to_devanagari) == ["प्रथमओ'ध्यायः"]
     assert values(spark, ["rc and hds: x"], translit.repaired) == ["rāmapada caṭṭopādhyāya and bhāgavata-bhāṣyam (haridāsa śāstrī): x"]
 
 
 def test_scalar_text(spark):
-    assert values(spark, ["a-\nb  c\n\n\n\nd\t ", " x "], X.clean_ocr) == ["ab c\n\nd", "x"]
+    assert values(spark, ["a-\nb  c\n\n\n\nd\t ", " x ", "e\u0301"], X.clean_ocr) == ["ab c\n\nd", "x", "é"]
     assert values(spark, ["**शीर्ष**\n> क *ख* [1] (x) ग-घ।"], X.matching_form) == ["कखगघ।"]
     assert values(spark, ["१२", "x", None], X.from_devanagari_digits) == [12, None, None]
-    assert values(spark, ["অ x", "अ", "kṛ", "k", "12"], X.line_script) == ["bengali", "devanagari", "iast", "plain", "other"]
+    assert values(spark, ["অ x", "अ", "kṛ", "k", "12", "ñ", "mañ", "mō", "š", "ő x"], X.line_script) == ["bengali", "devanagari", "iast", "plain", "other", "other", "iast", "plain", "other", "plain"]
     assert values(spark, ["a\n|| 12 ||\nb", "(1)"], X.without_marker_lines) == ["a\nb", ""]
     assert values(spark, ["a\n---\nb"], X.without_rules) == ["a\nb"]
     assert values(spark, ["(3) title 7", "x"], X.chapter_title) == ["title", "x"]
     assert values(spark, ["🔷 सर्व-संवादिनी *(जीव)*", "🔶 बलदेवः"], X.clean_label) == ["सर्व-संवादिनी", "बलदेवः"]
     assert values(spark, ["---\na: 1\n---\nbody", "body"], X.without_frontmatter) == ["body", "body"]
     assert values(spark, ["abcd", "ab"], lambda x: X.truncate(x, 3)) == ["abc…", "ab"]
+    assert values(spark, ["a😀b😀c", "a😀", None], lambda x: X.truncate_units(x, 3)) == ["a😀…", "a😀", None]
+    assert values(spark, ["t 1\nइति x समाप्तम्\n\n॥\nt 2", "x"], lambda x: X.without_title_and_colophon(x, "t", "^इति")) == ["\nt 2", "x"]
+    assert values(spark, [" ", "a o)0(o", "a", None], X.is_separator) == [True, True, False, True]
+    assert values(spark, ["d/a.b.docx", ".docx", "d.d/f"], lambda x: X.beside(x, ".r.csv")) == ["d/a.b.r.csv", ".docx.r.csv", "d.d/f.r.csv"]
     assert values(spark, ["[12a]", "[x y]", None], X.is_bracket_number) == [True, False, False]
     assert values(spark, ["label : missing", "missing", "not missing it"], lambda x: X.is_placeholder(x, "missing")) == [True, True, False]
     assert values(spark, ["é"], X.nfc) == ["é"]
@@ -84,6 +93,9 @@ def test_ordered(spark):
     assert column(ordered.join_continued(df, ["k"], "idx", "line", "\\-"), "line", "n_lines") == [("abcde", 3), ("f", 1)]
     df = seq(spark, ["s", "in", "e", "out", "s", "open"], "line")
     assert column(ordered.open_spans(df, ["k"], "idx", F.col("line") == "s", F.col("line") == "e", "line").withColumnRenamed("start", "idx"), "idx", "end", "text") == [(0, 2, "s in e")]
+    df = seq(spark, ["## ", "##", "##   B  ", "### ", "x"], "line")
+    assert column(ordered.sections(df, "k", "idx", "line"), "section", "sub", "heading") == [(0, None, ""), (0, None, ""), (1, None, "B"), (1, 0, "B"), (1, 0, "B")]
+    assert column(ordered.sections(df, "k", "idx", "line", plain=True), "section", "sub") == [(None, None), (None, None), (0, None), (0, None), (0, None)]
     df = seq(spark, ["pre", "### early", "## A", "### a", "x", "##no", "## B"], "line")
     assert column(ordered.sections(df, "k", "idx", "line"), "section", "sub", "heading") == [(None, None, None)] * 2 + [(0, None, "A"), (0, 0, "A"), (0, 0, "A"), (0, 0, "A"), (1, None, "B")]
 
@@ -91,7 +103,19 @@ def test_ordered(spark):
 def test_quotas_and_slices(spark):
     items = spark.createDataFrame([(1, n) for n in range(1, 7)], "k long, n long")
     quotas = spark.createDataFrame([(1, 10, 2), (1, 20, 0), (1, 30, 3)], "k long, block long, quota long")
-    assert [r.block for r in ordered.assign_quotas(items, quotas, ["k"], "n", "block", "quota").orderBy("n").collect()] == [10, 10, 30, 30, 30, None]
+    assert [r.block for r in ordered.assign_quotas(items, quotas, ["k"], "n", "block", "quota", excess="null").orderBy("n").collect()] == [10, 10, 30, 30, 30, None]
+    with pytest.raises(Exception, match="more items than quotas: 6"):
+        ordered.assign_quotas(items, quotas, ["k"], "n", "block", "quota").collect()
+    assert ordered.assign_quotas(items.filter("n < 5"), quotas, ["k"], "n", "block", "quota").count() == 4
+    units = ordered.merged_units(items, ["k"], "n", spark.createDataFrame([(2, 2), (3, 2)], "m long, f long"), "m", "f")
+    assert [(r.unit, r.n_items, r.number) for r in units.orderBy("unit").collect()] == [(1, 1, 1), (2, 2, 2), (4, 1, 3), (5, 1, 4), (6, 1, 5)]
+    assert ordered.checked_counts(units, quotas, ["k"], "quota").count() == 5
+    with pytest.raises(Exception, match="expected 5 units, got 4"):
+        ordered.checked_counts(units.filter("unit < 6"), quotas, ["k"], "quota").collect()
+    with pytest.raises(Exception, match="expected 5 units, got 0"):
+        ordered.checked_counts(units.filter("unit > 6"), quotas, ["k"], "quota").collect()
+    stated = spark.createDataFrame([(1, 1, 1), (1, 2, None), (1, 3, 4)], "k long, i long, d long")
+    assert [(r.i, r.number) for r in ordered.declared_mismatches(stated, ["k"], ["i"], "d").collect()] == [(3, 3)]
     ranges = spark.createDataFrame([(1, 2, "a"), (1, 5, "b")], "k long, s long, name string")
     assert [r.name for r in ordered.slice_ranges(items, ranges, ["k"], "n", "s", "name").orderBy("n").collect()] == [None, "a", "a", "a", "b", "b"]
     df = spark.createDataFrame([(1, 0, "red", 2), (1, 1, "blue", 1), (1, 2, "blue", 1), (2, 0, "x", 0)], "k long, i long, c string, w long")
@@ -101,8 +125,8 @@ def test_quotas_and_slices(spark):
 def match_by_loop(big, queries):
     at, out = 0, []
     for q in queries:
-        hit = big.find(q, at)
-        if hit < 0 and len(q) > 12:
+        hit = big.find(q, at) if q else -1
+        if hit < 0 and q and len(q) > 12:
             hit = big.find(q[:12], at)
         if hit < 0:
             out.append((False, None, None))
@@ -120,22 +144,25 @@ def test_forward_match_equals_a_loop(spark):
     for _ in range(60):
         big = "".join(r.choice("ab") for _ in range(80))
         cases.append((big, [big[i : i + r.randint(1, 20)] + r.choice(["", "x"]) for i in sorted(r.randint(0, 70) for _ in range(6))]))
+        cases[-1][1][2:2] = ["", None][: r.randint(0, 2)]
     df = spark.createDataFrame(cases, "big string, queries array<string>")
     got = align.forward_match(df, "big", "queries").collect()
     assert [[tuple(m) for m in g.matches] for g in got] == [match_by_loop(b, q) for b, q in cases]
 
 
-def test_forward_match_of_one_list_equals_a_loop(spark):
+def test_forward_match_of_one_list_equals_a_loop(spark, monkeypatch):
     import random
 
     r = random.Random(2)
     word = lambda: "".join(r.choice("ab") for _ in range(r.randint(0, 30)))
-    queries = [word() for _ in range(40)] + [None]
+    queries = [word() for _ in range(40)] + [None, ""]
     texts = ["".join(r.choice("ab") for _ in range(400)) for _ in range(30)] + ["", "ab", None]
-    got = align.forward_match_all(spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "k long, big string"), "big", queries).collect()
-    for row in got:
-        expected = match_by_loop(row.big, [q if q is not None else "#" for q in queries]) if row.big is not None else []
-        assert [tuple(m) for m in row.finds] == [(k, a, n) for k, (found, a, n) in enumerate(expected) if found]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "k long, big string")
+    for chars in (align.LIST_CHARS, 60):  # a small bound deals the list out in parts
+        monkeypatch.setattr(align, "LIST_CHARS", chars)
+        for row in align.forward_match_all(df, "big", iter(queries)).collect():
+            expected = match_by_loop(row.big, queries) if row.big is not None else []
+            assert [tuple(m) for m in row.finds] == [(k, a, n) for k, (found, a, n) in enumerate(expected) if found]
 
 
 def test_forward_match_query_seeks_whole_items(spark, tmp_path):
@@ -230,14 +257,51 @@ def test_relational(spark):
 
 
 def test_html(spark):
-    page = '<p><a class="x" href="b2.html">Book 2 - two</a><A HREF="v"><b>Verse</b> 3.4</A><a href="w">Verse 1.2.3</a><a href="z">other</a></p><article><h1>T</h1><script>x</script><p>body</p></article>'
+    page = '<p><a class="x" href="b2.html">Book 2 - two</a><A HREF=\'v?a=1&amp;b\'><b>Verse </b> 3.4</A><a href=w>Verse \t1.2.3</a><a href="z">other &lt;</a><a name="n">none</a></p><article><h1>T</h1><script>x</script><p>body</p></article>'
     rows = html.links(spark.createDataFrame([(1, page)], "k long, html string"), ["k"], "html")
-    assert [(r.pos, r.href, r.label) for r in rows.orderBy("pos").collect()] == [(0, "b2.html", "Book 2 - two"), (1, "v", "Verse 3.4"), (2, "w", "Verse 1.2.3"), (3, "z", "other")]
-    assert [r.book for r in html.books(rows).collect()] == [2]
-    assert sorted((r.book, r.chapter, r.verse) for r in html.verses(rows, F.lit(9)).collect()) == [(1, 2, 3), (9, 3, 4)]
+    assert [(r.pos, r.href, r.label) for r in rows.orderBy("pos").collect()] == [(0, "b2.html", "Book 2 - two"), (1, "v?a=1&b", "Verse3.4"), (2, "w", "Verse \t1.2.3"), (3, "z", "other <")]
+    base = F.lit("https://h.org/a/b.html")
+    assert [(r.book, r.url) for r in html.books(rows, base).collect()] == [(2, "https://h.org/a/b2.html")]
+    spaced = rows.withColumn("label", F.replace("label", F.lit("Verse3"), F.lit("Verse 3")))
+    assert sorted((r.book, r.chapter, r.verse, r.url) for r in html.verses(spaced, F.lit(9), base).collect()) == [(1, 2, 3, "https://h.org/a/w"), (9, 3, 4, "https://h.org/a/v?a=1&b")]
     assert values(spark, [page, "<p>none</p>"], lambda x: html.element_text(x, "article")) == ["T\nbody", None]
 
 
+def test_quoted_verses():
+    label = "<p>English translation</p>"
+    assert html.quoted_verse(f"<blockquote>a<br>b <i>c</i></blockquote>{label}") == ("a\nb\nc", None)
+    assert html.quoted_verse(f"<blockquote>out</blockquote><div id=scontent><p><blockquote>in</blockquote></div>{label}") == ("in", html.NO_LABEL)
+    assert html.quoted_verse(f"<blockquote>out</blockquote><div id=scontent>x</div>{label}") == (None, html.NO_QUOTE)
+    assert html.quoted_verse("<blockquote> </blockquote>") == (None, html.EMPTY_QUOTE) and html.quoted_verse(None) == (None, html.NO_QUOTE)
+
+
+def test_engines_by_name(spark):
+    ocr.register("loud", lambda: lambda image, lang: f"{lang}:{image.decode().upper()}")
+    df = spark.createDataFrame([(1, bytearray(b"ab")), (2, None)], "page long, image binary")
+    assert [(r.page, r.ocr_engine, r.raw_text) for r in ocr.recognized(df, "page", "image", "loud", "ben").orderBy("page").collect()] == [(1, "loud", "ben:AB"), (2, "loud", None)]
+    with pytest.raises(ValueError, match="unknown engine 'none'.*loud"):
+        ocr.recognized(df, "page", "image", "none", "ben")
+
+
+def test_reports_and_sets(spark):
+    df = spark.createDataFrame([(3, False), (1, True), (2, False)], "n long, found boolean")
+    assert tuple(relational.match_report(df, "n", "found").first()) == (3, 1, 2, [2, 3])
+    assert [r.n for r in relational.first_rows(df, ["n"], 2).collect()] == [1, 2]
+    assert sorted(r.n for r in relational.within(df, "n", [(0, 2), (3, 9)]).collect()) == [1, 3]
+    assert relational.intersect(df, df.filter("n > 1").unionByName(df), ["n"]).count() == 3
+    works = spark.createDataFrame([("a",), (None,), ("b",)], "w string")
+    assert relational.without_value(works, "w", "a").count() == 2
+
+
+def test_map_adds_no_targets(spark):
+    cites = spark.createDataFrame([("1.1.1", "A", "h"), ("1.1.1", "A", "h"), ("1.1.2", "A", "अनुच्छेदः २"), ("1.1.3", "A", "अनुच्छेदः १०")], "sutra_id string, work string, heading string").withColumns({"file": F.lit(None).cast("string"), "section": F.lit(None).cast("long")})
+    mapping = spark.createDataFrame([("1.1.1", "f-1", 4, "g"), ("9.9.9", "f-1", 5, "g")], "sutra_id string, file string, section long, heading string")
+    both = graph.with_mapped(cites, mapping, "G")
+    nodes = graph.section_ranks(graph.section_nodes(both), ["A", "G"])
+    assert [(r.id, r["count"], r.n_targets) for r in nodes.orderBy("work", "rank").collect()] == [("a:A|अनुच्छेदः २", 1, 1), ("a:A|अनुच्छेदः १०", 1, 1), ("a:A|h", 2, 1), ("a:G|f-1|4", 1, 1)]
+    assert {r.sutra_id: (r.neighbours, r.n) for r in graph.adjacency(both, "sutra_id", "work").collect()}["1.1.1"] == ("A G", 2)
+
+
 HEADER = """---
 title:
   devanagari: "क"
@@ -282,6 +346,8 @@ def test_sources_and_sinks(spark, tmp_path):
         z.writestr("word/footnotes.xml", f"<w:footnotes {ns}><w:footnote w:type='separator'>{para('no')}</w:footnote><w:footnote>{para('note')}</w:footnote></w:footnotes>")
     got = files.read_docx(spark, str(tmp_path / "d.docx")).collect()
     assert [(r.para_idx, r.part, r.runs[0].text) for r in got] == [(0, "body", "one"), (1, "body", "two"), (2, "table", "cell"), (3, "footnote", "note")] and got[0].runs[0].bold
+    assert stores.write_files(spark.createDataFrame([("a", "x"), ("b", "é")], "n string, c string"), f"file://{tmp_path}/named", "n", "c") == 2
+    assert (tmp_path / "named/b").read_text() == "é"
     (tmp_path / "p").mkdir()
     for i in (1, 2, 3):
         (tmp_path / f"p/page_{i:04}.json").write_text(json.dumps({"page": i, "raw_text": "t"}))

@@ -380,7 +380,7 @@ def toc_links(spark, sf_dir):
 CITES = """c AS (SELECT l_orderkey, l_linenumber, l_suppkey, (l_partkey % 4 + 1) AS a, (l_suppkey % 4 + 1) AS p, (l_partkey % 60) AS s, CASE WHEN l_partkey % 3 = 0 THEN 'वे.सू.' ELSE 'ब्र.सू.' END AS abbrev FROM lineitem WHERE l_partkey % 5 <> 0)"""
 
 
-def _citation_lines(spark, sf_dir):
+def citation_lines(spark, sf_dir):
     """References written into lines, so that the pattern has something to find."""
     rows = t(spark, sf_dir, "lineitem")
     abbrev = F.when(F.col("l_partkey") % 3 == 0, "वे.सू.").otherwise("ब्र.सू.")
@@ -392,14 +392,14 @@ def _citation_lines(spark, sf_dir):
 @query(f"WITH {CITES} SELECT l_orderkey, l_linenumber, abbrev, a::BIGINT AS adhyaya, p::BIGINT AS pada, s::BIGINT AS sutra, concat_ws('.', a, p, s) AS sutra_id FROM c")
 def citation_edges(spark, sf_dir):
     """References in lines of all works; ``citation_edges_of_works`` has P5."""
-    return graph.citations(_citation_lines(spark, sf_dir)).select("l_orderkey", "l_linenumber", "abbrev", "adhyaya", "pada", "sutra", "sutra_id")
+    return graph.citations(citation_lines(spark, sf_dir)).select("l_orderkey", "l_linenumber", "abbrev", "adhyaya", "pada", "sutra", "sutra_id")
 
 
 @query()
 def citation_edges_of_works(spark, sf_dir):
     """References in lines of the works in the allow-list; two of six made-up works are not in it (tested on the golden rows)."""
     slugs = F.array(*map(F.lit, (*graph.WORKS, "govinda-bhashya", "stavamala")))
-    rows = _citation_lines(spark, sf_dir).withColumn("work", F.get(slugs, (F.col("l_suppkey") % 6).cast("int")))
+    rows = citation_lines(spark, sf_dir).withColumn("work", F.get(slugs, (F.col("l_suppkey") % 6).cast("int")))
     return graph.citations(graph.of_works(rows, "work")).select("l_orderkey", "l_linenumber", "work", "abbrev", "adhyaya", "pada", "sutra", "sutra_id")
 
 
@@ -408,13 +408,13 @@ f AS (SELECT sutra_id, abbrev, min((l_orderkey, l_linenumber)) AS pos, count(*)
 SELECT sutra_id, sum(n)::BIGINT AS citation_count, count(*)::BIGINT AS n_sources, string_agg(abbrev, ',' ORDER BY pos, abbrev) AS sources, CASE WHEN count(*) > 1 THEN 'both' ELSE 'single' END AS kind FROM f GROUP BY sutra_id""")
 def citation_nodes(spark, sf_dir):
     """per target, counts and sources in order of first mention."""
-    return graph.target_nodes(graph.citations(_citation_lines(spark, sf_dir)), "sutra_id", "abbrev", ["l_orderkey", "l_linenumber"])
+    return graph.target_nodes(graph.citations(citation_lines(spark, sf_dir)), "sutra_id", "abbrev", ["l_orderkey", "l_linenumber"])
 
 
 @query(f"WITH {CITES} SELECT l_suppkey, count(*)::BIGINT AS citation_count, count(DISTINCT concat_ws('.', a, p, s))::BIGINT AS n_targets FROM c GROUP BY 1")
 def citation_sources(spark, sf_dir):
     """per source, citations and distinct targets."""
-    return graph.source_nodes(graph.citations(_citation_lines(spark, sf_dir)), ["l_suppkey"], "sutra_id")
+    return graph.source_nodes(graph.citations(citation_lines(spark, sf_dir)), ["l_suppkey"], "sutra_id")
 
 
 @query("""WITH p AS (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem), z AS (SELECT l_partkey, count(*) AS size FROM p GROUP BY 1)
