@@ -2,6 +2,13 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all rows that its predecessor kept.  All stages
 but the last return the columns of ``documents``; the last returns ids and digests of the tokens.
+
+Defined results, stage by stage: a null or empty text is scored like any other and goes if it is
+rejected; a null text has no lines and stays null; rows without an id or a text are no near duplicates
+and stay, equal rows are one document, and of a class the least id stays; null texts hold no benchmark
+item; null texts encode to nothing.  Scores exactly at the cutoff, and lines and items exactly at their
+ratio, count as reaching it.  Very long texts are worked on whole.  Empty tables give empty tables, and
+other columns, whatever their names, come through all stages but the last.
 """
 
 from __future__ import annotations
@@ -56,8 +63,12 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on ``documents``, each written as Parquet and read again as the next one's input."""
     scratch = Scratch(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = None
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
             docs = scratch.write(docs, name.replace(" ", "-"))
+            if before is not None:
+                scratch.drop(before)
+            before = docs
     return docs
