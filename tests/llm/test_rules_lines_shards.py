@@ -122,6 +122,48 @@ def test_shards_slots_and_groups(spark):
     assert [r["size"] for r in sharding.op6(spark.createDataFrame([(1, None, "", "")], DOC)).collect()] == [1]
 
 
+def test_greatest_shard_against_brute_force(spark):
+    """The query's shards hold whole groups of equal texts in one order, and none can be smaller at its greatest."""
+    r = random.Random(8)
+    rows = [(i if i % 9 else None, r.choice([None, "same " * 300, f"t{i % 50}" * r.randint(1, 40)]), "a", "") for i in range(700)]
+    got = sharding.op6(spark.createDataFrame(rows, DOC).repartition(3)).collect()
+    key = {t: k for t, k in spark.createDataFrame(rows, DOC).select("text", sharding.order_key(F.col("text"))).distinct().collect()}
+    sizes = {}
+    for _, t, _, _ in rows:
+        sizes[key[t]] = sizes.get(key[t], 0) + len((t or "").encode()) + 1
+    loads = [sum(x["size"] for x in got if x.shard == s) for s in range(8)]
+    assert max(loads) == sharding.minimax([sizes[k] for k in sorted(sizes)], 8)[0] and sum(loads) == sum(sizes.values())
+    by_text = {}
+    for x in got:
+        by_text.setdefault((x.text_crc32, x["size"]), set()).add(x.shard)
+    assert all(len(s) == 1 for s in by_text.values())
+    for s in range(8):
+        assert sorted(x.slot for x in got if x.shard == s) == list(range(sum(x.shard == s for x in got)))
+
+
+def test_lines_at_the_ratio_repeats_and_long_lists(spark, monkeypatch):
+    """At the ratio a line goes; white space stays; repeated rows count each; both ways of joining give the same."""
+    rows = [(i, ("menu\n" if i < 5 else "") + f"own {i}\n\t\n \x0b" + "\nword " * 3, "a" if i % 2 else None, "") for i in range(10)] + [(0, "menu\nown 0", None, "")] * 2
+    rows += [(50, "word\n" * 50_000, "b", "")]
+    docs = spark.createDataFrame(rows, DOC)
+    want = None
+    for limit in (line_dedup.BROADCAST_BYTES, -1):
+        monkeypatch.setattr(line_dedup, "BROADCAST_BYTES", limit)
+        got = sorted((x.doc_id, x.text, x._line_dropped) for x in line_dedup.line_dedup(docs, ratio=0.4, min_pages=2).collect())
+        want = want or got
+        assert got == want
+    by = {d: t for d, t, _ in got}
+    assert "menu" not in by[0] and "menu" not in by[1] and "\t" in by[1] and by[50].count("word") == 50_000
+    assert sum(1 for d, _, _ in got if d == 0) == 3
+
+
+def test_rule_ensemble_on_odd_tables(spark):
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    assert rule_ensemble.op5(spark.createDataFrame([], DOC), labels).count() == 0
+    rows = [(1, "a b", "", "")] * 3 + [(None, None, "", ""), (2, "w " * 300_000, "", "")]
+    assert [x.score for x in rule_ensemble.op5(spark.createDataFrame(rows, DOC), labels).collect()].count(None) == 0
+
+
 def test_rule_ensemble_learns_and_compiles(spark):
     r = random.Random(5)
     good = lambda: " ".join("".join(r.choice("abcdefgh") for _ in range(5)) for _ in range(80)) + "."

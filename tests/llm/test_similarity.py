@@ -304,3 +304,46 @@ def test_pipeline_against_brute_force(spark, tmp_path):
     got = {x.doc_id: x.ids_sha256 for x in corpus_pipeline.run(spark, str(tmp_path)).collect()}
     assert set(got) == left == set(range(40))
     assert got == {x.doc_id: x.ids_sha256 for x in bpe.op2(cleaned).collect() if x.doc_id in left}
+
+
+def test_pipeline_stages_on_odd_rows(spark, tmp_path):
+    """Nulls, empty and repeated rows, empty tables, and columns whose names other code uses."""
+    r = random.Random(10)
+    a, b = text(r, 80), text(r, 80)
+    item = text(r, 12)
+    rows = [(1, a), (1, a), (2, edited(r, a, 1)), (3, None), (4, ""), (5, ""), (None, b), (None, None), (6, b), (6, item + " " + text(r, 40)), (7, "one two"), (8, "x" * 300_000 + " y")]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, score double, class_id long, host string, key binary, item long, node long"
+    frame_of = lambda rows: spark.createDataFrame([(d, t, None, None if d == 4 else "s", len(t or ""), 0.1, 1, "h", b"k", 2, 3) for d, t in rows], schema)
+    spark.createDataFrame([(1, 1, 0), (None, 1, 0), (2, None, None)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, item, "clash"), (2, None, ""), (None, "", "")], "item_id long, text string, doc_id string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for given in (rows, []):
+        docs = frame_of(given)
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, docs, str(tmp_path))
+            assert out.columns == docs.columns and out.schema.simpleString() == docs.schema.simpleString(), name
+            docs = Scratch(spark, "test").write(out, "stage")
+        left = sorted(((x.doc_id, (x.text or "")[:20]) for x in docs.collect()), key=str)
+        if given:
+            assert left == sorted([(1, a[:20]), (3, ""), (4, ""), (None, b[:20]), (None, ""), (6, b[:20]), (7, "one two"), (8, "x" * 20)], key=str)
+        got = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path))
+        assert got.count() == len(left) and got.columns[:4] == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+
+
+def test_size_classes_decide_what_is_verified(spark, monkeypatch):
+    """A leak is found in the class of its item; with that class's index gone, or its bounds wrong, it is not."""
+    r = random.Random(7)
+    items = [(1, text(r, 8)), (2, text(r, 30)), (3, text(r, 120))]
+    docs = frame(spark, [(10 + i, text(r, 20) + " " + t) for i, t in items])
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    sizes = decontaminate.size_classes
+    for inline in (50_000, 0):
+        monkeypatch.setattr(decontaminate, "MAX_INLINE", inline)
+        found = lambda: {(x.doc_id, x.item_id) for x in decontaminate.leaks(docs, bench).collect()}
+        monkeypatch.setattr(decontaminate, "size_classes", sizes)
+        assert found() == {(11, 1), (12, 2), (13, 3)}
+        wrong = lambda index: [type(x)(**(x.asDict() | ({"top": -(1 << 63)} if x["class"] == 4 else {}))) for x in sizes(index)]
+        monkeypatch.setattr(decontaminate, "size_classes", wrong)
+        assert found() == {(11, 1), (13, 3)}
+        wrong = lambda index: [type(x)(**(x.asDict() | ({"least": 10**6} if x["class"] == 6 else {}))) for x in sizes(index)]
+        monkeypatch.setattr(decontaminate, "size_classes", wrong)
+        assert found() == {(11, 1), (12, 2)}

@@ -1,4 +1,5 @@
 import hashlib
+import os
 import random
 import re
 
@@ -66,6 +67,23 @@ def test_bpe_frames(spark, vocabulary):
     assert bpe.op2(spark.createDataFrame([], DOC)).count() == 0
 
 
+SMALL = "/root/testdata/sf0.001/documents.parquet"
+
+
+@pytest.mark.skipif(not os.path.exists(SMALL), reason="the driver's tables are not here")
+def test_queries_on_documents_equal_the_library_and_the_patterns(spark, vocabulary, crf):
+    theirs = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(vocabulary), special_tokens={})
+    docs = spark.read.parquet(SMALL)
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    ids = {d: theirs.encode_ordinary(t) for d, t in texts.items()}
+    got = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in bpe.op2(docs).collect()}
+    assert got == {d: (len(x), hashlib.sha256(np.asarray(x, "<u4").tobytes()).hexdigest(), hashlib.sha256(texts[d].encode()).hexdigest()) for d, x in ids.items()}
+    for r in pii.find(docs, crf).collect():
+        plain = plain_spans(texts[r.doc_id])
+        assert r.base_sha256 == hashlib.sha256(pii.joined(plain).encode()).hexdigest() and (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(sum(s[0] == k for s in plain) for k in pii.KINDS)
+        assert set(pii.joined(plain).split(",")) <= set(r.spans.split(",")) and r.n_spans == len(plain) + r.n_added
+
+
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
 
