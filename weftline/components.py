@@ -39,13 +39,12 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     seen, size = None, now.count()
     while True:
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = scratch.write(_least(both), "least")
-        large = scratch.write(_with_least(both.filter("v >= u"), least, size).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
+        large = scratch.write(_with_least(both.filter("v >= u"), _least(both), size).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
         small = large.filter("v <= u")
-        lesser = scratch.write(_least(small), "lesser")
+        lesser = _least(small)
         out = _with_least(small, lesser, size).select(F.col("v").alias("u"), F.col("m").alias("v")).union(lesser.select("u", F.col("m").alias("v"))).distinct()
         after = scratch.write(out, "edges")
-        scratch.drop(least, large, lesser)
+        scratch.drop(large)
         # Two numbers say whether the edge set changed: its size and the sum of its hashes.
         mark = tuple(after.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         scratch.drop(now)

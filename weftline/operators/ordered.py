@@ -117,6 +117,22 @@ def sections(rows: DataFrame, key: str, idx: str, line: str, plain: bool = False
     return rows.withColumn("_h", title).withColumn("heading", F.last("_h", ignorenulls=True).over(_upto([key], [idx]))).drop("_s", "_t", "_h")
 
 
+def contents(rows: DataFrame, key: str, idx: str, line: str) -> DataFrame:
+    """[J8] (key, contents): the tree of a text's headings, sections with their sub-sections in order."""
+    heads = sections(rows, key, idx, line).filter(F.col("section").isNotNull() & (F.col("is_h2") | F.col("is_h3")))
+    text = strip(F.regexp_replace(line, "^#+", ""))
+    subs = F.array_sort(F.collect_list(F.when(F.col("is_h3"), F.struct("sub", text.alias("heading")))))
+    one = heads.groupBy(key, "section").agg(F.max(F.when(F.col("is_h2"), text)).alias("heading"), subs.alias("subs"))
+    return one.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("section", "heading", "subs"))).alias("contents"))
+
+
+def contents_rows(tree: DataFrame, key: str) -> DataFrame:
+    """[J8] A row per section (sub null) and per sub-section, as a table of contents shows them."""
+    sections_ = tree.select(key, F.explode("contents").alias("s"))
+    below = sections_.select(key, "s.section", F.explode("s.subs").alias("b")).select(key, "section", "b.sub", "b.heading")
+    return sections_.select(key, "s.section", F.lit(None).cast("long").alias("sub"), "s.heading").unionByName(below)
+
+
 def declared_mismatches(sections_: DataFrame, keys: list[str], order: list[str], declared: str) -> DataFrame:
     """[E13] Sections numbered by position, where a heading declares another number."""
     w = Window.partitionBy(*keys).orderBy(*order)

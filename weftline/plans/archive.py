@@ -447,6 +447,16 @@ def plain_sections(spark, sf_dir):
     return rows.select("doc_id", "idx", "section", "sub", "heading")
 
 
+_TREE = HEADED_PLAIN.replace("starts_with(line, '## ') AND length(line) > 3", "regexp_matches(line, '^##\\s')").replace("starts_with(line, '### ') AND length(line) > 4", "regexp_matches(line, '^###\\s')")
+
+
+@query(f"WITH {_TREE} SELECT doc_id, (sn - 1)::BIGINT AS section, (CASE WHEN h3 THEN tn - 1 ELSE -1 END)::BIGINT AS sub, trim(ltrim(line, '#')) AS heading FROM u WHERE sn > 0 AND (h2 OR h3)")
+def contents_rows(spark, sf_dir):
+    """Tables of contents as trees, and their rows."""
+    tree = ordered.contents(headed_lines(spark, sf_dir), "doc_id", "idx", "line")
+    return ordered.contents_rows(tree, "doc_id").fillna(-1, ["sub"])
+
+
 @query(f"""WITH {LINES}, a AS (SELECT doc_id, idx, CASE idx % 7 WHEN 3 THEN '## ' || left(line, 6) WHEN 5 THEN 'x <p class="sutra"> ' || left(line, 9) || ' </p> <p class="sutra">2</p>' ELSE line END AS line, idx % 7 = 3 AS h FROM lines),
 b AS (SELECT *, sum(h::INT) OVER (PARTITION BY doc_id ORDER BY idx) - 1 AS section, last_value(CASE WHEN h THEN trim(substr(line, 4)) END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY idx) AS heading FROM a)
 SELECT doc_id, idx, section::BIGINT AS section, heading, trim(regexp_extract(line, '<p class="sutra">(.*?)</p>', 1)) AS text FROM b WHERE idx % 7 = 5""")
