@@ -141,11 +141,12 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` without the documents that an item leaks into."""
-    bad = leaks(docs, items, id_col, text_col, threshold=threshold).select(F.col("doc_id").alias("_leaked")).distinct()
+    """``docs`` without the documents that an item leaks into; an id that repeats with several texts is as many documents."""
+    named = docs.select(F.struct(F.col(id_col).alias("id"), F.md5(text_col).alias("key")).alias("_named"), F.col(text_col).alias("_of"))
+    bad = leaks(named, items, "_named", "_of", threshold=threshold).select(F.col("doc_id.id").alias("_leaked"), F.col("doc_id.key").alias("_key")).distinct()
     if bad.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         bad = F.broadcast(bad)
-    return docs.join(bad, docs[id_col].eqNullSafe(F.col("_leaked")), "left_anti")
+    return docs.join(bad, docs[id_col].eqNullSafe(F.col("_leaked")) & (F.md5(docs[text_col]) == F.col("_key")), "left_anti")
 
 
 def op7(docs: DataFrame, items: DataFrame) -> DataFrame:

@@ -480,18 +480,19 @@ class _Run:
             sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.bit_and("used").alias("used")).filter("n > 1")
             live = self.scratch.write(rows.drop("used").join(sizes, "bucket"), "live")
             if company is None:
-                company = live.groupBy("node").agg(F.sum("n").alias("company"))
+                company = self.scratch.write(live.groupBy("node").agg(F.sum("n").alias("company")), "company")
             small = live.filter(F.col("n") <= BUCKET).join(self.sketches.select("node", "sketch"), "node").select("bucket", "node", "sketch")
             found = small.repartition("bucket").sortWithinPartitions("bucket", "node").mapInPandas(_forest, EDGES)
             hot = live.filter(F.col("n") > BUCKET).select("bucket", "node", "used")
             if hot.isEmpty():
                 found = self.scratch.write(found.distinct(), "coarse")
+                self.scratch.drop(live)
                 return (found if edges is None else edges.union(found)), company
             led = hot.join(company, "node")
             leaders = led.groupBy("bucket").agg(F.max(F.struct("company", (-F.col("node")).alias("minus"))).alias("top")).select("bucket", (-F.col("top.minus")).alias("leader"))
             leaders = leaders.join(self.sketches.select(F.col("node").alias("leader"), F.col("sketch").alias("of_leader")), "leader")
-            hot = hot.join(self.sketches.select("node", "sketch"), "node").join(leaders, "bucket").filter("node <> leader")
-            hot = self.scratch.write(hot.select("bucket", "node", "leader", "used", sketch_similarity("sketch", "of_leader").alias("s")), "hot")
+            met = hot.join(self.sketches.select("node", "sketch"), "node").join(leaders, "bucket").filter("node <> leader")
+            hot = self.scratch.write(met.select("bucket", "node", "leader", "used", sketch_similarity("sketch", "of_leader").alias("s")), "hot")
             star = hot.filter(F.col("s") >= F.lit(JOINED)).select(F.col("node").alias("u"), F.col("leader").alias("v"))
             found = self.scratch.write(found.union(star).distinct(), "coarse")
             edges = found if edges is None else edges.union(found)
@@ -499,13 +500,14 @@ class _Run:
             apart = hot.filter(F.col("s") < F.lit(JOINED)).select("bucket").distinct()
             on = hot.filter(F.col("s") < F.lit(ONWARD)).select("bucket", "node", "used").join(apart, "bucket", "left_semi")
             split = on.join(bands, "node").filter(F.expr("(used & shiftleft(1L, band)) = 0"))
-            split = self.scratch.write(split, "split")
+            split = split_ = self.scratch.write(split, "split")
             # Bands in which all of a bucket's members agree tell nothing more; they count as used.
             agreed = split.groupBy("bucket", "band").agg(F.min("value").alias("a"), F.max("value").alias("z"))
             agreed = agreed.filter("a = z").groupBy("bucket").agg(F.bit_or(bit).alias("agreed"))
             split = split.join(_bounded(agreed), "bucket", "left").withColumn("used", F.expr("used | coalesce(agreed, 0L)")).filter("(used & shiftleft(1L, band)) = 0")
             named = F.col("bucket").bitwiseXOR(F.xxhash64("value")).alias("bucket")
             rows = self.scratch.write(split.select("node", named, F.expr("used | shiftleft(1L, band)").alias("used")).groupBy("node", "bucket").agg(F.bit_and("used").alias("used")), "rows")
+            self.scratch.drop(live, hot, split_)
 
     def blocks_of(self, size: str, chars: str) -> Column:
         """In how many blocks of bounded size so many texts of so many characters go."""

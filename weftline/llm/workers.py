@@ -7,7 +7,6 @@ memory that the allocator holds on to) counts against every later stage of the e
 from __future__ import annotations
 
 import ctypes
-import ctypes.util
 import gc
 from collections.abc import Callable, Iterator
 
@@ -25,9 +24,9 @@ def give_back() -> None:
     """Return freed memory to the system."""
     gc.collect()
     pa.default_memory_pool().release_unused()
-    libc = ctypes.util.find_library("c")
-    if libc and hasattr(trim := ctypes.CDLL(libc), "malloc_trim"):
-        trim.malloc_trim(0)
+    process = ctypes.CDLL(None)
+    if hasattr(process, "malloc_trim"):
+        process.malloc_trim(0)
 
 
 def text_udf(schema: str, close: Callable[[], None] | None = None):
