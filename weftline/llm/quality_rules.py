@@ -89,22 +89,24 @@ def passes(policy: Iterable[str], bits: str | Column = "fail_bits", rules: Itera
     return bits.bitwiseAND(F.lit(mask(policy, rules)).cast("long")) == 0
 
 
+def cases(policies: dict[str, tuple[str, ...]] = POLICIES, rules: Iterable[Rule] = RULES) -> list[tuple[str, str, int]]:
+    """(policy, rule left out or "", mask): each policy whole, and without each of its rules."""
+    out = []
+    for version, names in policies.items():
+        out += [(version, without, mask([x for x in names if x != without], rules)) for without in ("", *names)]
+    return out
+
+
 def ablations(led: DataFrame, policies: dict[str, tuple[str, ...]] = POLICIES, rules: Iterable[Rule] = RULES) -> DataFrame:
-    """For each policy, and each policy without one of its rules: documents kept.
+    """For each policy, and each policy without one of its rules: documents kept, of how many.
 
     The ledger is first reduced to counts per distinct ``fail_bits`` (at most 2^rules rows whatever
     the corpus), then every mask is tested against those counts.
     """
-    spark = led.sparkSession
     bits = led.groupBy("fail_bits").agg(F.count(F.lit(1)).alias("n"))
-    cases = []
-    for version, names in policies.items():
-        cases.append((version, "", mask(names, rules)))
-        cases += [(version, name, mask([x for x in names if x != name], rules)) for name in names]
-    masks = spark.createDataFrame(cases, "policy string, without string, mask long")
-    hit = F.when(F.col("fail_bits").bitwiseAND(F.col("mask")) == 0, F.col("n")).otherwise(F.lit(0).cast("long"))
-    # A fixed handful of masks against counts per bit pattern.
-    return bits.select("*", F.explode(F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in zip(("policy", "without", "mask"), x, strict=True)]) for x in cases])).alias("case")).select("fail_bits", "n", "case.*").groupBy("policy", "without").agg(F.sum(hit).alias("kept"), F.sum("n").alias("total")) if cases else masks.select("policy", "without")
+    tested = F.array(*[F.struct(F.lit(p).alias("policy"), F.lit(w).alias("without"), F.lit(m).cast("long").alias("mask")) for p, w, m in cases(policies, rules)])
+    kept = F.when(F.col("fail_bits").bitwiseAND(F.col("mask")) == 0, F.col("n")).otherwise(0)
+    return bits.select("*", F.inline(tested)).groupBy("policy", "without").agg(F.sum(kept).alias("kept"), F.sum("n").alias("total"))
 
 
 def rule_counts(led: DataFrame, rules: Iterable[Rule] = RULES) -> DataFrame:
@@ -143,3 +145,7 @@ b AS (SELECT *, ((n_words < 50)::INT + 2 * (100 * n_repeat_words > 50 * n_words)
   + 64 * (2 * up > al)::INT + 128 * (10 * al < 6 * word_chars)::INT)::BIGINT AS fail_bits FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fail_bits & 3) <> 0 AS base_failed, fail_bits = 0 AS kept, fail_bits FROM b
 """
+
+_CASES = ", ".join(f"('{p}', '{w}', {m})" for p, w, m in cases())
+ABLATIONS = f"""WITH led AS ({ORACLE}) SELECT policy, without, (count(*) FILTER (fail_bits & mask = 0))::BIGINT AS kept, count(*)::BIGINT AS total
+FROM led, (VALUES {_CASES}) c(policy, without, mask) GROUP BY policy, without"""

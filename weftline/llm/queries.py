@@ -51,16 +51,22 @@ def op10_line_dedup(spark, sf_dir):
     return line_dedup.op10(table(spark, sf_dir, "documents"))
 
 
+def quality_ablations(spark, sf_dir):
+    """What each policy of op1 keeps, whole and without each of its rules, from the ledger's bits."""
+    return quality_rules.ablations(quality_rules.ledger(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_rules, op2_byte_bpe, op3_near_dedup, op4_pii, op5_quality_classifier, op6_sharding, op7_decontamination,
-        op8_chat_formatting, op9_warc, op10_line_dedup,
+        op8_chat_formatting, op9_warc, op10_line_dedup, quality_ablations,
     )
 }
 #: Queries that SQL can express; the others are tested against brute force.
 ORACLE_SQL = {
     "op1_quality_rules": quality_rules.ORACLE,
+    "quality_ablations": quality_rules.ABLATIONS,
     "op7_decontamination": decontaminate.ORACLE,
     "op8_chat_formatting": chat.ORACLE,
     "op9_warc": warc.ORACLE,
