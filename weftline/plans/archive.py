@@ -232,7 +232,7 @@ def map_files(spark, sf_dir):
     return back.unionByName(spark.read.schema(schema).option("sep", "\t").csv(b).withColumn("kind", F.lit("tsv")))
 
 
-@query("""SELECT s_suppkey, to_json({'id': 's:' || s_suppkey, 'label': s_name, 'n': s_nationkey}) AS node FROM supplier""")
+@query("""SELECT s_suppkey, to_json({'id': 's:' || s_suppkey, 'label': s_name, 'n': s_nationkey})::VARCHAR AS node FROM supplier""")
 def graph_json(spark, sf_dir):
     """Nodes as JSON text."""
     return t(spark, sf_dir, "supplier").select("s_suppkey", files.as_json(F.concat(F.lit("s:"), "s_suppkey").alias("id"), F.col("s_name").alias("label"), F.col("s_nationkey").alias("n")).alias("node"))
