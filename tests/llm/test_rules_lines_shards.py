@@ -157,6 +157,35 @@ def test_lines_at_the_ratio_repeats_and_long_lists(spark, monkeypatch):
     assert sum(1 for d, _, _ in got if d == 0) == 3
 
 
+def test_lasso_is_optimal():
+    """The conditions of the optimum, from the loss alone: no slope at the intercept, slopes of the penalty's size at weights, smaller ones at none."""
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    z = rng.normal(size=(400, 12))
+    y = (rng.random(400) < 1 / (1 + np.exp(-(2 * z[:, 0] - z[:, 1] + 0.5)))).astype(float)
+    w, b = rule_ensemble.lasso(z, y, 0.03, 3_000)
+    r = 1 / (1 + np.exp(-(z @ w + b))) - y
+    slope, on = z.T @ r / len(y), np.abs(w) > 1e-9
+    assert abs(r.mean()) < 1e-5 and on.sum() < 12 and w[0] > 0 > w[1]
+    assert np.allclose(slope[on], -0.03 * np.sign(w[on]), atol=1e-5) and (np.abs(slope[~on]) <= 0.03 + 1e-5).all()
+
+
+def test_rules_are_paths_and_cover_their_rows():
+    """Every rule is a path of a tree: its terms are cuts of the statistics, and deeper rules hold on fewer rows."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(500, len(rule_ensemble.NAMES)))
+    y = ((x[:, 0] > 0) & (x[:, 1] < 0.5)).astype(float)
+    model = rule_ensemble.fit(x, y)
+    assert model.rules and all(1 <= len(terms) <= 6 for terms, _ in model.rules)
+    p = model.score(x)
+    assert ((p > 0.5) == (y > 0)).mean() > 0.95
+    for terms, _ in model.rules:
+        assert rule_ensemble._holds(terms, x).sum() == np.logical_and.reduce([(x[:, t.stat] > t.at) == t.above for t in terms]).sum() > 0
+
+
 def test_rule_ensemble_on_odd_tables(spark):
     labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
     assert rule_ensemble.op5(spark.createDataFrame([], DOC), labels).count() == 0

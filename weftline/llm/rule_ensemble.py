@@ -144,6 +144,22 @@ def _simplify(terms: tuple[Term, ...]) -> tuple[Term, ...]:
     return tuple(Term(s, a, v) for (s, a), v in sorted(tight.items()))
 
 
+def lasso(z: np.ndarray, y: np.ndarray, penalty: float, steps: int) -> tuple[np.ndarray, float]:
+    """Weights and intercept of logistic regression with an absolute penalty on weights, by accelerated proximal gradient."""
+    start = float(np.log(y.mean() / (1 - y.mean())))
+    w, v, b, vb, t = np.zeros(z.shape[1]), np.zeros(z.shape[1]), start, start, 1.0
+    bound = 0.25 * np.linalg.norm(z, 2) ** 2 / len(y) + 0.25
+    for _ in range(steps):
+        r = 1 / (1 + np.exp(-(z @ v + vb))) - y
+        new = v - z.T @ r / len(y) / bound
+        new = np.sign(new) * np.maximum(np.abs(new) - penalty / bound, 0)
+        nb = vb - r.mean() / bound
+        nt = (1 + np.sqrt(1 + 4 * t * t)) / 2
+        v, vb = new + (t - 1) / nt * (new - w), nb + (t - 1) / nt * (nb - b)
+        w, b, t = new, nb, nt
+    return w, float(b)
+
+
 def fit(x: np.ndarray, y: np.ndarray, n_trees: int = 40, depth: int = 3, rate: float = 0.2, penalty: float = 2e-3, steps: int = 600) -> Model:
     """Rules from boosted trees, weights from lasso logistic regression (accelerated proximal gradient)."""
     ones = float(y.mean()) if len(y) else 0.5
@@ -174,18 +190,9 @@ def fit(x: np.ndarray, y: np.ndarray, n_trees: int = 40, depth: int = 3, rate: f
     scale = np.where(scale < 0.02, 1.0, scale)
     scale[len(rules) :] /= 0.4
     z = (design - mean) / scale
-    w, v, b, vb, t = np.zeros(z.shape[1]), np.zeros(z.shape[1]), np.log(ones / (1 - ones)), np.log(ones / (1 - ones)), 1.0
-    bound = 0.25 * np.linalg.norm(z, 2) ** 2 / len(y) + 0.25
-    for _ in range(steps):
-        r = 1 / (1 + np.exp(-(z @ v + vb))) - y
-        new = v - z.T @ r / len(y) / bound
-        new = np.sign(new) * np.maximum(np.abs(new) - penalty / bound, 0)
-        nb = vb - r.mean() / bound
-        nt = (1 + np.sqrt(1 + 4 * t * t)) / 2
-        v, vb = new + (t - 1) / nt * (new - w), nb + (t - 1) / nt * (nb - b)
-        w, b, t = new, nb, nt
+    w, b = lasso(z, y, penalty, steps)
     w = w / scale
-    bias = float(b - w @ mean)
+    bias = b - float(w @ mean)
     n = len(rules)
     kept = [(rules[i], float(w[i])) for i in range(n) if abs(w[i]) > 1e-9]
     linear = [(j, float(low[j]), float(high[j]), float(w[n + j])) for j in range(x.shape[1]) if abs(w[n + j]) > 1e-9]

@@ -38,13 +38,13 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyarrow import NativeFile
-from pyarrow import fs as arrow_fs
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weftline.scratch import Scratch
+from weftline.sources.stores import open_file
 
 MIN_REVISIT = 100
 DATE = "2024-01-01T00:00:00Z"
@@ -111,14 +111,6 @@ PLACES = "file string, offset long, length long, url string, page_id long, recor
 RECORDS = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, intact boolean"
 
 
-def open_file(file: str) -> NativeFile:
-    """A file of any store that Arrow knows, for reads at any place."""
-    if file.startswith("file:"):
-        return arrow_fs.LocalFileSystem().open_input_file(re.sub(r"^file:/+", "/", file))
-    store, path = arrow_fs.FileSystem.from_uri(file)
-    return store.open_input_file(path)
-
-
 def _headers(head: bytes) -> dict[str, str]:
     lines = head.decode("utf-8").split("\r\n")
     if not lines[0].startswith("WARC/"):
