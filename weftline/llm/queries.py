@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weftline.llm import bpe, chat, decontaminate, line_dedup, minhash_dedup, pii, quality_rules, rule_ensemble, sharding, warc
+from weftline.llm import bpe, centroids, chat, decontaminate, line_dedup, minhash_dedup, pii, quality_rules, repair, rule_ensemble, sharding, suffix_dedup, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,6 +51,18 @@ def op10_line_dedup(spark, sf_dir):
     return line_dedup.op10(table(spark, sf_dir, "documents"))
 
 
+def op11_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.op11(table(spark, sf_dir, "documents"))
+
+
+def op12_structure_repair(spark, sf_dir):
+    return repair.op12(table(spark, sf_dir, "conversations"))
+
+
+def op13_centroid_clustering(spark, sf_dir):
+    return centroids.op13(table(spark, sf_dir, "embeddings"))
+
+
 def quality_ablations(spark, sf_dir):
     """What each policy of op1 keeps, whole and without each of its rules, from the ledger's bits."""
     return quality_rules.ablations(quality_rules.ledger(table(spark, sf_dir, "documents")))
@@ -60,7 +72,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_rules, op2_byte_bpe, op3_near_dedup, op4_pii, op5_quality_classifier, op6_sharding, op7_decontamination,
-        op8_chat_formatting, op9_warc, op10_line_dedup, quality_ablations,
+        op8_chat_formatting, op9_warc, op10_line_dedup, op11_suffix_dedup, op12_structure_repair, op13_centroid_clustering, quality_ablations,
     )
 }
 #: Queries that SQL can express; the others are tested against brute force.
