@@ -180,7 +180,7 @@ def test_heavy_shingles_are_counted_exactly(spark, monkeypatch):
     df = collections.Counter(h for d in shingles.shingles([t for _, t in rows]) for h in d[0].tolist())
     n = sum(t is not None for _, t in rows)
     keys, weights = minhash_dedup.heavy_shingles(frame(spark, rows).repartition(4), "text")
-    floor = max(0.01 * n, 20)
+    floor = 0.01 * n
     assert set(keys.tolist()) == {h for h, c in df.items() if c >= floor} and ((weights >= 0.5) & (weights <= 1)).all()
 
 
@@ -306,14 +306,18 @@ def test_pipeline_against_brute_force(spark, tmp_path):
     assert got == {x.doc_id: x.ids_sha256 for x in bpe.op2(cleaned).collect() if x.doc_id in left}
 
 
+#: Names that the stages use, or have used, for columns of their own.
+OWN = ("_id", "_key", "_stat", "_score", "_leaked", "_line_kept", "_line_total", "_line_dropped", "_line_drop", "_line_host", "_row", "_words", "_hashes", "_stays", "row", "clean", "kept", "of", "id", "bands", "sketch")
+
+
 def test_pipeline_stages_on_odd_rows(spark, tmp_path):
     """Nulls, empty and repeated rows, empty tables, and columns whose names other code uses."""
     r = random.Random(10)
     a, b = text(r, 80), text(r, 80)
     item = text(r, 12)
     rows = [(1, a), (1, a), (2, edited(r, a, 1)), (3, None), (4, ""), (5, ""), (None, b), (None, None), (6, b), (6, item + " " + text(r, 40)), (7, "one two"), (8, "x" * 300_000 + " y")]
-    schema = "doc_id long, text string, lang string, source string, n_chars long, score double, class_id long, host string, key binary, item long, node long"
-    frame_of = lambda rows: spark.createDataFrame([(d, t, None, None if d == 4 else "s", len(t or ""), 0.1, 1, "h", b"k", 2, 3) for d, t in rows], schema)
+    schema = "doc_id long, text string, lang string, source string, n_chars long, score double, class_id long, host string, key binary, item long, node long, " + ", ".join(f"{c} string" for c in OWN)
+    frame_of = lambda rows: spark.createDataFrame([(d, t, None, None if d == 4 else "s", len(t or ""), 0.1, 1, "h", b"k", 2, 3, *OWN) for d, t in rows], schema)
     spark.createDataFrame([(1, 1, 0), (None, 1, 0), (2, None, None)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     spark.createDataFrame([(1, item, "clash"), (2, None, ""), (None, "", "")], "item_id long, text string, doc_id string").write.parquet(f"{tmp_path}/benchmark.parquet")
     for given in (rows, []):
@@ -321,6 +325,7 @@ def test_pipeline_stages_on_odd_rows(spark, tmp_path):
         for name, stage in corpus_pipeline.STAGES[:-1]:
             out = stage(spark, docs, str(tmp_path))
             assert out.columns == docs.columns and out.schema.simpleString() == docs.schema.simpleString(), name
+            assert {tuple(x[c] for c in OWN) for x in out.collect()} <= {OWN}, name
             docs = Scratch(spark, "test").write(out, "stage")
         left = sorted(((x.doc_id, (x.text or "")[:20]) for x in docs.collect()), key=str)
         if given:

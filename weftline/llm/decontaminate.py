@@ -21,7 +21,8 @@ Defined results: a text with one to four words has one shingle, all its words, a
 length are searched among the documents' word runs of the same length; null or empty items and texts
 have no shingles and never leak; repeated rows are found each; items with equal texts are found each;
 an item exactly at the threshold leaks; very long texts are searched whole; empty tables give no rows;
-other columns of documents are not read by the search.
+other columns of documents are not read by the search, and :func:`decontaminate` carries them, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
+from weftline.llm.rows import packed
 from weftline.scratch import Scratch
 
 WIDTH, THRESHOLD = 5, 0.8
@@ -140,13 +142,14 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     )
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, scratch: Scratch | None = None) -> DataFrame:
     """``docs`` without the documents that an item leaks into; an id that repeats with several texts is as many documents."""
-    named = docs.select(F.struct(F.col(id_col).alias("id"), F.md5(text_col).alias("key")).alias("_named"), F.col(text_col).alias("_of"))
-    bad = leaks(named, items, "_named", "_of", threshold=threshold).select(F.col("doc_id.id").alias("_leaked"), F.col("doc_id.key").alias("_key")).distinct()
-    if bad.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        bad = F.broadcast(bad)
-    return docs.join(bad, docs[id_col].eqNullSafe(F.col("_leaked")) & (F.md5(docs[text_col]) == F.col("_key")), "left_anti")
+    scratch = scratch or Scratch(docs.sparkSession, "items")
+    rows = packed(docs, of=F.struct(F.col(id_col).alias("id"), F.md5(text_col).alias("key")), text=F.col(text_col))
+    bad = leaks(rows.select("of", "text"), items, "of", "text", threshold=threshold, scratch=scratch)
+    bad = scratch.write(bad.select(F.col("doc_id.id").alias("id"), F.col("doc_id.key").alias("key")).distinct(), "leaked")
+    few = F.broadcast(bad) if bad.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else bad
+    return rows.join(few, F.col("of.id").eqNullSafe(F.col("id")) & (F.col("of.key") == F.col("key")), "left_anti").select("row.*")
 
 
 def op7(docs: DataFrame, items: DataFrame) -> DataFrame:

@@ -1,8 +1,9 @@
 """Site-relative line dedup: drop lines that too large a share of a host's pages carry.
 
 For each host, pages that hold a line are divided by the host's pages; a line whose ratio is at
-least ``ratio`` and which stands on at least ``min_pages`` pages of the host is boilerplate there and
-is dropped from every page of the host.  The same line may stay on another host.
+least ``ratio`` is boilerplate there and is dropped from every page of the host.  The same line may stay on
+another host.  One rule holds at all sizes: the ratio decides, with a floor of ``MIN_PAGES`` = 2 pages, as a line
+on a single page repeats nowhere.
 
 Only 64-bit line hashes are shuffled, one per page and distinct line, summed on the map side, and the
 lines to drop are written once.  A host has at most (mean lines a page / ratio) of them whatever its
@@ -19,7 +20,8 @@ what the query's SQL says.
 Defined results: a null text stays null, with 0 lines; a line of nothing but white space is never
 dropped and never counted; a line exactly at the ratio is dropped; a null host is a host of its own;
 repeated rows each count as a page unless ``distinct_texts`` is set; very long texts are split whole;
-an empty table gives an empty result; other columns pass through (the names ``_line_*`` are ours).
+an empty table gives an empty result; other columns pass through, whatever their names (but :func:`line_dedup`
+puts its counts into ``_line_total`` and ``_line_dropped``, in place of columns of that name).
 """
 
 from __future__ import annotations
@@ -27,10 +29,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weftline.llm.rows import packed, replaced
 from weftline.scratch import Scratch
 
 #: Production parameters of the registered query and the pipeline's stage.
-RATIO, MIN_PAGES = 0.02, 5
+RATIO, MIN_PAGES = 0.02, 2
 BROADCAST_BYTES, SLOTS = 32 << 20, 64
 #: Fixed value: white space of a line.
 WHITE = " \t\n\x0b\x0c\r"
@@ -80,28 +83,39 @@ def lists_by_host(lines: DataFrame) -> DataFrame:
     return lines.groupBy("host").agg(hashes.alias("h")).select(F.col("host").alias("_line_host"), slots.alias("_line_drop"))
 
 
-def line_dedup(df: DataFrame, host_col: str = "source", text_col: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES, distinct_texts: bool = False, scratch: Scratch | None = None) -> DataFrame:
-    """``df`` with boilerplate lines taken out of ``text_col``, plus ``_line_total`` and ``_line_dropped``."""
+def cleaned(df: DataFrame, host_col: str = "source", text_col: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES, distinct_texts: bool = False, scratch: Scratch | None = None) -> DataFrame:
+    """(row, clean, n_lines, n_dropped): each row of ``df`` as a struct, and its text without boilerplate lines."""
     scratch = scratch or Scratch(df.sparkSession, "lines")
     gone = scratch.write(boilerplate(df, host_col, text_col, ratio, min_pages, distinct_texts).select("host", "line_hash"), "boilerplate")
     size = gone.groupBy("host").agg((F.count(F.lit(1)) * 8 + SLOTS * 24 + F.coalesce(F.octet_length("host"), F.lit(0))).alias("b")).agg(F.sum("b")).first()[0] or 0
     drop = lists_by_host(gone)
     if size <= BROADCAST_BYTES:
         drop = F.broadcast(drop)
-    out = df.join(drop, df[host_col].eqNullSafe(drop["_line_host"]), "left").drop("_line_host")
-    lines = _lines(F.col(text_col))
+    out = packed(df, host=F.col(host_col), text=F.col(text_col))
+    out = out.join(drop, F.col("host").eqNullSafe(F.col("_line_host")), "left")
+    lines = _lines(F.col("text"))
     kept = F.filter(lines, lambda x: ~F.array_contains(F.get("_line_drop", F.pmod(F.xxhash64(x), F.lit(SLOTS)).cast("int")), F.xxhash64(x)) | _blank(x))
-    out = out.withColumn("_line_kept", F.when(F.col("_line_drop").isNull(), lines).otherwise(kept))
-    return out.withColumns({
-        text_col: F.array_join("_line_kept", "\n"),
-        "_line_total": F.coalesce(F.size(lines), F.lit(0)).cast("long"),
-        "_line_dropped": F.coalesce(F.size(lines) - F.size("_line_kept"), F.lit(0)).cast("long"),
-    }).drop("_line_drop", "_line_kept")
+    out = out.withColumn("kept", F.when(F.col("_line_drop").isNull(), lines).otherwise(kept))
+    total = F.coalesce(F.size(lines), F.lit(0)).cast("long")
+    return out.select("row", F.array_join("kept", "\n").alias("clean"), total.alias("n_lines"), F.coalesce(F.size(lines) - F.size("kept"), F.lit(0)).cast("long").alias("n_dropped"))
+
+
+def drop_lines(df: DataFrame, host_col: str = "source", text_col: str = "text", **how) -> DataFrame:
+    """``df`` with boilerplate lines taken out of ``text_col``."""
+    out = cleaned(df, host_col, text_col, **how)
+    return out.select(*replaced(out, text_col, F.col("clean")))
+
+
+def line_dedup(df: DataFrame, host_col: str = "source", text_col: str = "text", **how) -> DataFrame:
+    """The same, plus the counts ``_line_total`` and ``_line_dropped``."""
+    out = cleaned(df.drop("_line_total", "_line_dropped"), host_col, text_col, **how)
+    return out.select(*replaced(out, text_col, F.col("clean")), F.col("n_lines").alias("_line_total"), F.col("n_dropped").alias("_line_dropped"))
 
 
 def op10(df: DataFrame) -> DataFrame:
     """Per document: doc_id, n_lines, n_dropped and the text that stays (host = source)."""
-    return line_dedup(df).select("doc_id", F.col("_line_total").alias("n_lines"), F.col("_line_dropped").alias("n_dropped"), F.col("text").alias("clean_text"))
+    out = cleaned(df.select("doc_id", "source", "text"))
+    return out.select(F.col("row.doc_id").alias("doc_id"), "n_lines", "n_dropped", F.col("clean").alias("clean_text"))
 
 
 ORACLE = f"""

@@ -2,9 +2,9 @@
 
 Documents are weighted sets of five-word shingles; two are linked where their weighted Jaccard
 similarity (sum of lesser weights over sum of greater ones) is at least 0.8, and classes are the
-connected components of the links.  A weight is occurrences times idf.  The idf is 1 for shingles in
-less than a share ``HEAVY`` of the documents (or 20 of them) and falls with the logarithm of the
-document frequency to 1/2 for one that all documents have:
+connected components of the links.  A weight is occurrences times idf.  The idf depends on the share of the
+documents that have a shingle alone, whatever their number: it is 1 below the share ``HEAVY`` and falls
+with the logarithm of the share to 1/2 for a shingle that all documents have:
 
 * the shingles whose idf is below 1 are few whatever the corpus: at most (mean shingles a document /
   HEAVY) of them can exist, so their table is broadcast with a proven bound;
@@ -36,7 +36,8 @@ From buckets to classes, in two steps that never spell out the pairs of a group:
 Defined results: equal texts are one class; null texts and texts without words are alone, except
 that equal ones of the latter are one class; a null id has class null; an id that repeats with different
 texts is in the least of their classes; ties for leader go to the smaller number; very long texts are
-hashed whole, in parts; empty tables give empty results; other columns are not read, so names cannot clash.
+hashed whole, in parts; empty tables give empty results; other columns are not read by the search, and
+:func:`keep_one` carries them, whatever their names, in one struct.
 """
 
 from __future__ import annotations
@@ -50,6 +51,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weftline.components import components
+from weftline.llm.rows import packed
 from weftline.llm.shingles import shingles
 from weftline.llm.wordstats import in_chunks, mix
 from weftline.llm.workers import give_back, text_udf
@@ -59,7 +61,7 @@ WIDTH, SIMILARITY = 5, 0.8
 BANDS, ROWS = 24, 4
 SAMPLES = BANDS * ROWS
 #: Share of documents from which a shingle counts as heavy, and counters of a summary.
-HEAVY, HEAVY_LEAST, COUNTERS = 0.01, 20, 1 << 17
+HEAVY, COUNTERS = 0.01, 1 << 17
 #: Sketch similarity below which a pair cannot be a link but for a chance of 3e-4.
 MAYBE = 0.66
 #: For hot buckets: members this similar to the leader are joined with it; the less similar ones (overlapping) go on.
@@ -76,10 +78,9 @@ _A = _SEED.integers(0, 1 << 63, SAMPLES, np.uint64) * np.uint64(2) + np.uint64(1
 _B = _SEED.integers(0, 1 << 63, SAMPLES, np.uint64)
 
 
-def idf(df: np.ndarray, n: int, least: float) -> np.ndarray:
-    """1 below ``least`` documents, then down to 1/2 at ``n`` documents."""
-    span = np.log(max(n / least, 1.0 + 1e-9))
-    return 1 - 0.5 * np.clip(np.log(np.maximum(df, least) / least) / span, 0, 1)
+def idf(share: np.ndarray, heavy: float = HEAVY) -> np.ndarray:
+    """1 below the share ``heavy`` of the documents, then down to 1/2 for all of them."""
+    return 1 - 0.5 * np.clip(np.log(np.maximum(share, heavy) / heavy) / np.log(1 / heavy), 0, 1)
 
 
 def weighted(doc: tuple[np.ndarray, np.ndarray], heavy: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -215,19 +216,18 @@ def _counts(text_col: str, wanted: np.ndarray):
     return run
 
 
-def heavy_shingles(docs: DataFrame, text_col: str, heavy: float = HEAVY, least: int = HEAVY_LEAST) -> tuple[np.ndarray, np.ndarray]:
+def heavy_shingles(docs: DataFrame, text_col: str, heavy: float = HEAVY) -> tuple[np.ndarray, np.ndarray]:
     """(shingles, idf) of all shingles in at least ``heavy`` of the documents, sorted by shingle."""
     texts = docs.select(text_col).filter(F.col(text_col).isNotNull())
     n = texts.count()
-    floor = max(heavy * n, least)
+    floor = heavy * n
     none = np.zeros(0, np.uint64), np.zeros(0)
-    if n < least:
-        return none
     counters = COUNTERS
     while True:
         sums = texts.mapInPandas(_summaries(text_col, counters), SUMMARY).groupBy("h").agg(F.sum("n").alias("n"))
         # Exact: what a summary lost is at most its loss.  The filter leaves at most
-        # shingles / (floor - loss) rows, a number that does not grow with the corpus.
+        # shingles / (floor - loss) rows, a number that does not grow with the corpus; below 1 / ``heavy``
+        # documents nothing may be lost and every shingle counts as heavy.
         rows = sums.filter(F.col("h").isNull() | (F.col("n") >= F.lit(floor / 2))).collect()
         lost = next((r.n for r in rows if r.h is None), 0)
         if lost <= floor / 2:
@@ -239,7 +239,7 @@ def heavy_shingles(docs: DataFrame, text_col: str, heavy: float = HEAVY, least:
     got = texts.mapInPandas(_counts(text_col, wanted), SUMMARY).groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") >= floor).collect()
     keys = np.array([r.h for r in got], np.int64).view(np.uint64)
     order = np.argsort(keys)
-    return keys[order], idf(np.array([r.n for r in got], float)[order], n, floor)
+    return keys[order], idf(np.array([r.n for r in got], float)[order] / n, heavy)
 
 
 # --- signatures, pairs, links ----------------------------------------------------------------------
@@ -600,7 +600,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sc
     """``docs`` with one document of each class: the one with the least id.
 
     Rows without an id or a text stay.  Rows that agree in id and text are one document, of which the
-    least row (by the other columns) stays; an id that repeats with several texts is as many documents.
+    least row (as JSON, so columns of any kind do) stays; an id that repeats with several texts is as many documents.
     """
     scratch = scratch or Scratch(docs.sparkSession, "dedup")
     run = _Run(docs, id_col, text_col, scratch)
@@ -608,16 +608,15 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sc
     # Of a class, the text whose first id is the class's; of several with that id, the least key.
     stays = of.filter("first_id = class_id").groupBy("comp", "class_id").agg(F.min("key").alias("_stays")).select(F.col("_stays").alias("key"), F.col("class_id").alias("doc_id"))
     keep = run.ids.join(stays, ["key", "doc_id"], "left_semi")
-    drop = scratch.write(run.ids.join(stays, ["key", "doc_id"], "left_anti").distinct().select(F.col("doc_id").alias("_id"), F.col("key").alias("_key")), "drop")
-    repeats = scratch.write(keep.groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("doc_id").alias("_id"), F.col("key").alias("_key")), "repeats")
-    same = (docs[id_col].cast("long") == F.col("_id")) & (_key(docs[text_col]) == F.col("_key"))
-    out = docs.join(_bounded(drop), same, "left_anti")
+    drop = scratch.write(run.ids.join(stays, ["key", "doc_id"], "left_anti").distinct().select("doc_id", "key"), "drop")
+    repeats = scratch.write(keep.groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id", "key"), "repeats")
+    rows = packed(docs, doc_id=F.col(id_col).cast("long"), key=_key(F.col(text_col)))
+    out = rows.join(_bounded(drop), ["doc_id", "key"], "left_anti")
     if repeats.isEmpty():
-        return out
-    same = (out[id_col].cast("long") == F.col("_id")) & (_key(out[text_col]) == F.col("_key"))
-    alone = out.join(_bounded(repeats), same, "left_anti")
-    least = out.join(_bounded(repeats), same).groupBy("_id", "_key").agg(F.min(F.struct(*docs.columns)).alias("_row")).select("_row.*")
-    return alone.unionByName(least)
+        return out.select("row.*")
+    alone = out.join(_bounded(repeats), ["doc_id", "key"], "left_anti").select("row.*")
+    least = out.join(_bounded(repeats), ["doc_id", "key"]).groupBy("doc_id", "key").agg(F.min_by("row", F.to_json("row")).alias("row"))
+    return alone.unionByName(least.select("row.*"))
 
 
 def op3(docs: DataFrame) -> DataFrame:

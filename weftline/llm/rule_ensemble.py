@@ -11,9 +11,11 @@ labels, languages and sources are never statistics.
 
 Defined results: a null or empty text has all statistics 0 and gets a score like any other; null
 labels and labels other than 0 and 1 are not learnt from; with one class only, or without labelled
-rows, the score is the share of ones (0.5 without rows); a repeated labelled id counts once per pair
-of rows; ties in a split go to the first statistic and least threshold; empty tables give no rows;
-other columns pass through ``scored`` under their names (``_stat`` and ``score`` are ours).
+rows, the score is the share of ones (0.5 without rows); two rows of both classes are enough to learn from,
+and a leaf holds five rows or more, so below ten rows there are no rules and the clipped statistics alone
+carry weight; a repeated labelled id counts once per pair of rows; ties in a split go to the first statistic
+and least threshold; empty tables give no rows; other columns pass through ``scored`` and ``keep_good``,
+whatever their names (a column called ``out_col`` is replaced).
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftline.llm import quality_rules
+from weftline.llm.rows import packed
 
 MAX_TRAIN = 20_000
 CUTOFF = 0.3
@@ -163,7 +166,7 @@ def lasso(z: np.ndarray, y: np.ndarray, penalty: float, steps: int) -> tuple[np.
 def fit(x: np.ndarray, y: np.ndarray, n_trees: int = 40, depth: int = 3, rate: float = 0.2, penalty: float = 2e-3, steps: int = 600) -> Model:
     """Rules from boosted trees, weights from lasso logistic regression (accelerated proximal gradient)."""
     ones = float(y.mean()) if len(y) else 0.5
-    if len(y) < 20 or ones in (0.0, 1.0):
+    if ones in (0.0, 1.0) or not len(y):
         return Model(float(np.log((ones + 1e-3) / (1 - ones + 1e-3))), [], [])
     cuts = []
     for j in range(x.shape[1]):
@@ -220,12 +223,14 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def scored(docs: DataFrame, model: Model, text_col: str = "text", out_col: str = "score") -> DataFrame:
     """``docs`` with the score in ``out_col``."""
-    return with_statistics(docs, text_col).withColumn(out_col, model.column()).drop("_stat")
+    rows = with_statistics(packed(docs, text=F.col(text_col))).select("row", model.column().alias("score"))
+    return rows.select(*[F.col("row").getField(c).alias(c) for c in docs.columns if c != out_col], F.col("score").alias(out_col))
 
 
 def keep_good(docs: DataFrame, model: Model, text_col: str = "text", cutoff: float = CUTOFF) -> DataFrame:
     """The rows of ``docs`` that score at least ``cutoff``."""
-    return scored(docs, model, text_col, "_score").filter(F.col("_score") >= cutoff).drop("_score")
+    rows = with_statistics(packed(docs, text=F.col(text_col))).select("row", model.column().alias("score"))
+    return rows.filter(F.col("score") >= cutoff).select("row.*")
 
 
 def op5(docs: DataFrame, labels: DataFrame) -> DataFrame:
