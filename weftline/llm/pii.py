@@ -107,9 +107,10 @@ _SAME = re.compile(r"(.)\1+", re.DOTALL)
 
 
 def shape(token: str) -> str:
-    """Runs of digits, capitals and small letters as 9, A and a; a form of more than ten runs is one class with others that begin alike."""
+    """Runs of digits, capitals and small letters as 9, A and a; of more than ten runs those beyond are told apart by a hash of 64 values."""
     classes = "".join("9" if c in "0123456789" else "A" if c.isupper() else "a" if c.isalpha() else c for c in token)
-    return _SAME.sub(r"\1", classes)[:10]
+    runs = _SAME.sub(r"\1", classes)
+    return runs if len(runs) <= 10 else f"{runs[:10]}{_number(runs[10:]) % 64}"
 
 
 def _bucket(n: int) -> int:
@@ -265,16 +266,22 @@ class Tagger:
         """Drop what is kept between batches."""
         self._forms: dict[Form, int] = {}
         self._tokens: dict[str, int] = {}
-        self._rows: list[tuple] = []
+        self._tables: list[np.ndarray] = []
         self._numbers(EDGE)
 
     def _numbers(self, f: Form) -> int:
         k = self._forms.get(f)
         if k is None:
-            k = self._forms[f] = len(self._rows)
+            k = self._forms[f] = len(self._forms)
             emit = self.crf.emit
             beside = [np.stack([emit[_with(side, d, f)] for d in range(10)]) for side in "pn"]
-            self._rows.append((emit[_own(f)].sum(0), emit[_beside("p", f)].sum(0), emit[_beside("n", f)].sum(0), *beside, f[1]))
+            row = emit[_own(f)].sum(0), emit[_beside("p", f)].sum(0), emit[_beside("n", f)].sum(0), *beside, np.int64(f[1])
+            if not self._tables or k == len(self._tables[0]):
+                # Room for twice as many forms: each row is copied once on average.
+                old = self._tables or [np.empty((0, *x.shape), x.dtype) for x in row]
+                self._tables = [np.concatenate((t, np.empty((max(64, k), *x.shape), x.dtype))) for t, x in zip(old, row, strict=True)]
+            for table, x in zip(self._tables, row, strict=True):
+                table[k] = x
         return k
 
     def emissions(self, tokens: list[str], bounds: list[int]) -> np.ndarray:
@@ -289,7 +296,7 @@ class Tagger:
                 if len(token) <= 64:
                     known[token] = k
             ids[i] = k
-        own, left, right, with_left, with_right, digits = (np.array(x) for x in zip(*self._rows, strict=True))
+        own, left, right, with_left, with_right, digits = self._tables
         before, after = np.concatenate(([0], ids[:-1])), np.concatenate((ids[1:], [0]))
         edges = np.array(bounds)
         before[edges[:-1][edges[:-1] < len(ids)]] = 0
