@@ -28,8 +28,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the boilerplate lines of their source; exact copies count as one page, a document left without lines stays, empty."""
-    out = line_dedup.line_dedup(docs, distinct_texts=True)
-    return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    return line_dedup.drop_lines(docs, distinct_texts=True).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
