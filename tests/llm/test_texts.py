@@ -167,22 +167,73 @@ def test_long_runs_are_tagged_whole_at_every_shift(crf):
     assert {len(pii.added_spans([f"{'so it is ' * k}{run}"], [[]], tagger)[0]) for k in range(100)} == {90}
 
 
-#: Written by hand; none comes from the generator's rules.
+#: Written by hand; what the base patterns find counts for nothing here.
 UNSEEN = {
-    "phone": ["ring (212) 555 0187 after noon", "my cell is 415-555-0133, thanks", "Fax: (030) 901820-44", "dial 020 7946 0958 now", "mobile 0171 5550199 or write", "Tel (808) 555-0142.", "reach us on 303.555.0175 daily", "phone: (0221) 555 0123"],
-    "email": ["write to jane.doe (at) mail.example (dot) org today", "contact bob [at] example [dot] com please", "send it to sam_k (at) host (dot) net.", "mail info [at] shop [dot] org,"],
+    "phone": [
+        "mobile 0171 5550199 or write",
+        "ring (212) 555 0187 after noon",
+        "my cell is 415-555-0133, thanks",
+        "Fax: (030) 901820-44",
+        "dial 020 7946 0958 now",
+        "Tel (808) 555-0142.",
+        "reach us on 303.555.0175 daily",
+        "phone: (0221) 555 0123",
+        "You can call 617 555 0119 until six.",
+        "Office 212-555-0164 is closed today",
+        "her number was 0161 496 0345 then",
+        "text me at (646) 555-0110!",
+        "Telefon 089 5550 1234, bitte",
+        "tel. 01 23 45 67 89 le matin",
+        "hotline 800-555-0199 is free",
+    ],
+    "email": [
+        "write to jane.doe (at) mail.example (dot) org today",
+        "contact bob [at] example [dot] com please",
+        "send it to sam_k (at) host (dot) net.",
+        "mail info [at] shop [dot] org,",
+        "reach me: ana.lopez (at) correo (dot) es or call",
+        "questions to help (at) service.example (dot) com",
+        "my address is k.smith [at] uni [dot] edu now",
+        "please mail the.team (at) group (dot) org soon",
+        "ask editor [at] paper.example [dot] net;",
+        "write sales (at) store (dot) com for prices",
+    ],
+    "card": [
+        "paid with 4111.1111.1111.1111 last week",
+        "the card 4111  1111  1111  1111 was charged",
+        "Visa 5500_0000_0000_0004 expired",
+        "her card: 4012/8888/8888/1881 is lost",
+        "card no. 3400.000000.00009 was used",
+    ],
+    "ip": [
+        "the host 192.168.001.010 is down",
+        "server at 10.0.0.7:8080 answered",
+        "from ip 172.16.254.1, port 80",
+        "ping 8.8.8.8.",
+        "host 203.0.113.45/24 is up",
+        "ip=198.51.100.23;",
+    ],
 }
+CLEAN = [
+    "the year 1999 was good, and 12 of them", "chapter 3 on page 45 of volume 2", "at noon the dot moved to x", "in 2024-10-12 we saw 3 500 birds", "order 123456 has 3 items",
+    "between 1914 and 1918 some 10 000 000 fell", "version 2.10.3.4000 of the tool", "from 10:30 to 12:45 on 3 May 2021", "the code 1234567812345678 is no card", "ISBN 978 3 16 148410 0 is a book",
+    "it costs 1,299.00 at the shop", "meet at the dot com boom", "room 301, floor 12, block 4", "1 2 3 4 5 6 7 8 9 and on", "scores 21 14 35 28 in four games",
+]
 
 
-def test_recall_on_forms_that_the_generator_lacks(crf):
-    tagger, found, total = pii.Tagger(crf), 0, 0
+def test_recall_on_sentences_written_by_hand(crf):
+    """Of personal data that the base patterns miss, in forms with other signs, words and orders than the generator's sentences, nine of ten are found; nothing in clean ones."""
+    tagger, found, total, missed = pii.Tagger(crf), 0, 0, []
     for kind, texts in UNSEEN.items():
         for text in texts:
+            base = pii.base_spans(text)
+            if any(k == kind for k, _, _ in base):
+                continue
             total += 1
-            found += any(k == kind for k, _, _ in pii.added_spans([text], [pii.base_spans(text)], tagger)[0])
-    clean = ["the year 1999 was good, and 12 of them", "chapter 3 on page 45 of volume 2", "at noon the dot moved to x", "in 2024-10-12 we saw 3 500 birds", "order 123456 has 3 items"]
-    assert found >= 0.7 * total, (found, total)
-    assert not any(pii.added_spans(clean, [pii.base_spans(t) for t in clean], tagger))
+            hit = any(k == kind for k, _, _ in pii.added_spans([text], [base], tagger)[0])
+            found, missed = found + hit, missed + [text] * (not hit)
+    assert total >= 30 and found >= 0.9 * total, missed
+    assert not any(pii.added_spans(CLEAN, [pii.base_spans(t) for t in CLEAN], tagger))
 
 
 def test_addresses_and_long_tokens():
