@@ -19,7 +19,7 @@ DEVANAGARI = r"[ऀ-ॿ]"
 BENGALI = r"[ঀ-৿]"
 LATIN = r"[a-zA-Z]"
 #: Letters that make a line of verse transliteration; not the blocks of ``IAST_MARKS``.
-VERSE_MARKS = r"[āīūṛṝḷḹṃḥśṣñṅṭḍṇĀĪŪṚṜḶḸṂḤŚṢÑṄṬḌṆ]"
+VERSE_MARKS = "āīūṛṝḷḹṃḥśṣñṅṭḍṇĀĪŪṚṜḶḸṂḤŚṢÑṄṬḌṆ"
 IAST_LETTER = r"[a-zA-Zāīūṛṝḷḹṅñṭḍṇśṣṁṃḥ']"
 STRONG_ENGLISH = (
     "see", "cf", "editor", "translator", "translation", "chapter", "footnote", "endnote", "op", "trans", "vol",
@@ -37,7 +37,7 @@ WHITE = r"[\s\x1c-\x1f\x85\xa0]"
 
 def strip(x: Column) -> Column:
     """Without white space of any kind at both ends."""
-    return F.regexp_replace(x, rf"^{WHITE}+|{WHITE}+$", "")
+    return F.trim(x, F.lit(" \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0"))
 
 
 @F.pandas_udf(T.StringType())
@@ -51,9 +51,16 @@ def full_text(runs: Column) -> Column:
     return F.array_join(F.transform(runs, lambda r: r["text"]), "")
 
 
+#: Ranges that hold all characters but marks that decompose for good.
+APART = (
+    r"[\u0374\u037E\u0387\u0958-\u095F\u09DC-\u09DF\u0A33-\u0A5E\u0B5C\u0B5D\u0F43-\u0F69\u1100-\u11FF\u1F71-\u1FFD\u2000\u2001\u2126-\u212B"
+    r"\u2329\u232A\u2ADC\uF900-\uFB4E\x{1D15E}-\x{1D1C0}\x{2F800}-\x{2FA1F}]"
+)
+
+
 def composed(x: Column) -> Column:
-    """Canonical composition of texts that have combining marks; others do not reach Python."""
-    return F.coalesce(nfc(F.when(x.rlike(r"\p{M}|[ᄀ-ᇿ]"), x)), x)
+    """Canonical composition of texts that may need it; others, which one range of a pattern tells for most, do not reach Python."""
+    return F.coalesce(nfc(F.when(x.rlike(r"[\u0300-\x{10FFFF}]") & (x.rlike(r"\p{M}|[ᄀ-ᇿ]") | x.rlike(APART)), x)), x)
 
 
 def looks_like_iast(x: Column, compose: bool = True) -> Column:
@@ -166,7 +173,7 @@ def line_script(x: Column) -> Column:
     """[C19] bengali, devanagari, iast, plain or other: the first that a line shows."""
     return (
         F.when(x.rlike(BENGALI), "bengali").when(x.rlike(DEVANAGARI), "devanagari")
-        .when(x.rlike(LATIN), F.when(x.rlike(VERSE_MARKS), "iast").otherwise("plain")).otherwise("other")
+        .when(x.rlike(LATIN), F.when(F.length(F.translate(x, VERSE_MARKS, "")) < F.length(x), "iast").otherwise("plain")).otherwise("other")
     )
 
 
@@ -209,9 +216,9 @@ def without_verse_numbers(x: Column) -> Column:
 
 
 def clean_label(x: Column) -> Column:
-    """[C26] Without leading signs such as emoji, and without a trailing note in italics and brackets."""
+    """[C26] Without leading signs such as emoji, and without a trailing note between asterisks, from the first asterisk of the line that one closes at the end."""
     x = F.regexp_replace(x, r"^[^\p{L}\p{M}\p{N}_]+", "")
-    return strip(F.regexp_replace(x, r"\s*\*\([^)]*\)\*\s*$", ""))
+    return strip(F.regexp_replace(x, r"\s*\*.*\*\s*$", ""))
 
 
 def short_heading(x: Column, prefix: str, alias: str) -> Column:

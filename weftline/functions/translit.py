@@ -1,9 +1,9 @@
 """Transliteration to Devanagari as native column expressions, plus a second one for cross-checks.
 
-Letters are first put into an alphabet of private-use characters, so that Devanagari that a text already
-has is never touched: the few of two letters by replacement, all others in one pass.  Two patterns then
-put a virama after consonants without a vowel and mark vowels without a consonant, and one last pass
-turns everything into Devanagari.
+Each consonant becomes its letter and a private-use mark, a mark with a vowel becomes the vowel's sign, and
+what is left, vowels without a consonant and marks without a vowel, is turned into letters and viramas in
+one last pass.  These are replacements of fixed strings, which cost a fraction of patterns; the mark is of
+private use, so that Devanagari that a text already has is never touched.
 """
 
 from __future__ import annotations
@@ -43,31 +43,26 @@ ITRANS_VOWELS = {
 ITRANS_SIGNS = {"M": "ं", ".m": "ं", "H": "ः", ".a": "ऽ", "||": "॥", "|": "।", "OM": "ॐ", "AUM": "ॐ", ".N": "ँ", ".h": VIRAMA}
 
 
-def _private(keys, start: int) -> dict[str, str]:
-    return {k: chr(start + i) for i, k in enumerate(keys)}
-
-
-_C, _V, _S = _private(CONSONANTS, 0xE000), _private(VOWELS, 0xE100), _private(SIGNS, 0xE200)
-_ALONE = "\ue300"
-_CLASS = {name: f"[{min(d.values())}-{max(d.values())}]" for name, d in (("c", _C), ("v", _V))}
+#: Stands after a consonant until it is known whether a vowel follows; no text has it.
+_OPEN = "\ue400"
 
 
 def iast_to_devanagari(x: Column) -> Column:
     """[C9] Native expressions; characters that are no part of the scheme stay as they are."""
     x = F.lower(x)
-    letters = _C | _V | _S
-    for key in (k for k in letters if len(k) > 1):
-        x = F.replace(x, F.lit(key), F.lit(letters[key]))
-    single = [k for k in letters if len(k) == 1]
-    x = F.translate(x, "".join(single), "".join(letters[k] for k in single))
-    x = F.regexp_replace(x, f"(?<!{_CLASS['c']})({_CLASS['v']})", f"{_ALONE}$1")
-    x = F.regexp_replace(x, f"({_CLASS['c']})(?!{_CLASS['v']})", f"$1{VIRAMA}")
-    for key, (letter, _) in VOWELS.items():
-        x = F.replace(x, F.lit(_ALONE + _V[key]), F.lit(letter))
-    last = {_C[k]: v for k, v in CONSONANTS.items()} | {_S[k]: v for k, v in SIGNS.items()} | {_V[k]: sign for k, (_, sign) in VOWELS.items() if sign}
-    last |= dict(zip(ASCII_DIGITS, DEVANAGARI_DIGITS, strict=True))
-    # Letters without a counterpart are dropped: the vowel that a consonant has by itself.
-    return F.translate(x, "".join(last) + _V["a"], "".join(last.values()))
+
+    def put(x: Column, pairs: dict[str, str]) -> Column:
+        for key, to in pairs.items():
+            x = F.replace(x, F.lit(key), F.lit(to))
+        return x
+
+    # The scheme's tables have longer keys first.
+    x = put(x, {k: v + _OPEN for k, v in CONSONANTS.items()})
+    x = put(x, {_OPEN + k: sign for k, (_, sign) in VOWELS.items()})
+    rest = {k: letter for k, (letter, _) in VOWELS.items()} | SIGNS | {_OPEN: VIRAMA} | dict(zip(ASCII_DIGITS, DEVANAGARI_DIGITS, strict=True))
+    x = put(x, {k: v for k, v in rest.items() if len(k) > 1})
+    single = {k: v for k, v in rest.items() if len(k) == 1}
+    return F.translate(x, "".join(single), "".join(single.values()))
 
 
 def gated(x: Column, compose: bool = True) -> Column:

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
 
+import ahocorasick
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weftline.scratch import Scratch
+
 PREFIX = 12
 
 
@@ -39,32 +44,38 @@ def forward_match(groups: DataFrame, big: str, queries: str) -> DataFrame:
 
 
 class Sought:
-    """A part of an ordered list of queries, sought as in ``forward_match``.
+    """A part of an ordered list of queries, sought as in ``forward_match``, by an automaton.
 
     No query is found, whole or by its prefix, in a text that lacks its first twelve characters, and
-    one that is not found leaves the cursor alone; so a text is read once, and only queries whose first
-    characters it holds are sought.
+    one that is not found leaves the cursor alone.  So the first characters of all queries make one
+    Aho-Corasick automaton, a text is read by it once, and the queries whose first characters it has met are
+    folded in the order of the list, each from the places that were met.
     """
 
     def __init__(self, queries: list[str | None], first: int = 0):
         self.queries, self.first, self.by_start = queries, first, defaultdict(list)
+        self.automaton = ahocorasick.Automaton()
         for k, q in enumerate(queries):
             if q:
                 self.by_start[q[:PREFIX]].append(k)
-        self.short = [s for s in self.by_start if len(s) < PREFIX]
+        for start in self.by_start:
+            self.automaton.add_word(start, start)
+        if self.by_start:
+            self.automaton.make_automaton()
 
     def finds(self, big: str | None, at: int = 0) -> tuple[int, list[tuple[int, int, int]]]:
         """(cursor, (position in the list, start, match_length) of the queries that are found)."""
-        if big is None:
+        if not big or not self.by_start:
             return at, []
-        starts = {s for i in range(len(big) - PREFIX + 1) if (s := big[i : i + PREFIX]) in self.by_start}
-        starts.update(s for s in self.short if s in big)
+        places: dict[str, list[int]] = defaultdict(list)
+        for end, start in self.automaton.iter(big):
+            places[start].append(end + 1 - len(start))
         out = []
-        for k in sorted(k for s in starts for k in self.by_start[s]):
+        for k in sorted(k for start in places for k in self.by_start[start]):
             q = self.queries[k]
-            hit = big.find(q, at)
-            if hit < 0 and len(q) > PREFIX:
-                hit = big.find(q[:PREFIX], at)
+            ahead = places[q[:PREFIX]]
+            ahead = ahead[bisect_left(ahead, at) :]
+            hit = next((p for p in ahead if big.startswith(q, p)), ahead[0] if ahead and len(q) > PREFIX else -1)
             if hit >= 0:
                 out.append((self.first + k, hit, len(q)))
                 at = hit + max(1, len(q) // 2)
@@ -88,31 +99,51 @@ def _parts(queries: Iterable[str | None]) -> Iterator[list[str | None]]:
         yield part
 
 
-def _finder(sought: Sought):
+def _finder(shared: Broadcast):
     @F.pandas_udf(FINDS)
-    def found(text: pd.Series, cursor: pd.Series) -> pd.DataFrame:
-        rows = []
-        for x, at in zip(text, cursor.tolist(), strict=True):
-            at, hits = sought.finds(x, at)
-            rows.append((at, [{"pos": k, "start": a, "match_length": n} for k, a, n in hits]))
-        return pd.DataFrame(rows, columns=["cursor", "finds"])
+    def found(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        sought = Sought(*shared.value)  # once a task
+        for text, cursor in batches:
+            rows = []
+            for x, at in zip(text, cursor.tolist(), strict=True):
+                at, hits = sought.finds(x, at)
+                rows.append((at, [{"pos": k, "start": a, "match_length": n} for k, a, n in hits]))
+            yield pd.DataFrame(rows, columns=["cursor", "finds"])
 
     return found
 
 
-def forward_match_all(texts: DataFrame, big: str, queries: Iterable[str | None]) -> DataFrame:
-    """[E16] ``forward_match`` of one whole list in every text: ``texts`` with an array ``finds`` of what is found.
+def forward_match_all(texts: DataFrame, big: str, queries: Iterable[str | None], scratch: Scratch | None = None) -> DataFrame:
+    """[E16] ``forward_match`` of one whole list in every text: the other columns of ``texts``, pos, start and match_length per find.
 
-    The list is read in parts of bounded size, each sent to the workers once, and a text's cursor goes
-    from one part to the next; so neither the driver nor a worker holds a list of any length.
+    The list is read in parts of bounded size.  A list of one part is sought in one pass.  Of a longer one each
+    part is sent to the workers, sought, and its finds and the texts' cursors are written before the next part
+    is read; so no plan, worker or driver holds more than a part.
     """
-    texts = texts.withColumns({"_cursor": F.lit(0), "finds": F.array().cast("array<struct<pos:int,start:int,match_length:int>>")})
-    first = 0
-    for part in _parts(queries):
-        found = _finder(Sought(part, first))
+    spark = texts.sparkSession
+    rest, parts = [c for c in texts.columns if c != big], _parts(queries)
+    part, following = next(parts, []), next(parts, None)
+    hit = lambda rows: rows.select(*rest, F.explode("_f.finds").alias("_m")).select(*rest, "_m.pos", "_m.start", "_m.match_length")
+    if following is None:
+        found = _finder(spark.sparkContext.broadcast((part, 0)))
+        return hit(texts.withColumn("_f", found(F.col(big), F.lit(0))))
+    scratch = scratch or Scratch(spark, "forward")
+    numbered = scratch.write(texts.withColumn("_row", F.monotonically_increasing_id()), "texts")
+    cursors, first, out = None, 0, []
+    while part:
+        rows = numbered.withColumn("_cursor", F.lit(0)) if cursors is None else numbered.join(cursors, "_row", "left").withColumn("_cursor", F.coalesce("_cursor", F.lit(0)))
+        shared = spark.sparkContext.broadcast((part, first))
+        found = scratch.write(rows.withColumn("_f", _finder(shared)(F.col(big), F.col("_cursor"))).drop(big, "_cursor"), "finds")
+        shared.unpersist()
+        # Texts whose cursor still stands at the start need no row.
+        cursors = found.select("_row", F.col("_f.cursor").alias("_cursor")).filter("_cursor > 0")
+        out.append(hit(found))
         first += len(part)
-        texts = texts.withColumn("_f", found(F.col(big), F.col("_cursor"))).withColumns({"_cursor": F.col("_f.cursor"), "finds": F.concat("finds", "_f.finds")}).drop("_f")
-    return texts.drop("_cursor")
+        part, following = following or [], next(parts, None)
+    whole = out[0]
+    for more in out[1:]:
+        whole = whole.unionByName(more)
+    return whole
 
 
 def deficits(df: DataFrame, source_len: str, target_len: str, at_least: int = 60, ratio: float = 0.97) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from weftline.functions.text import strip
+from weftline.scratch import Scratch
 
 
 def _upto(keys: list[str], order: list[str]):
@@ -57,11 +58,12 @@ def tag_groups(df: DataFrame, keys: list[str], idx: str, tag: str, text: str) ->
     return grouped.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy("first_idx")).cast("long"))
 
 
-def folded_blocks(df: DataFrame, keys: list[str], idx: str, tag: str, other: str = "other") -> DataFrame:
-    """[E4] Blocks of equal tags where rows tagged ``other`` belong to the block before them."""
+def folded_blocks(df: DataFrame, keys: list[str], idx: str, tag: str, other: str = "other", text: str | None = None) -> DataFrame:
+    """[E4] Blocks of equal tags where rows tagged ``other`` belong to the block before them; with their texts, joined by line feeds, if asked for."""
     rows = merge_into_context(df, keys, [idx], tag, other, other, "_tag")
+    joined = [F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(idx, text))), lambda r: r[text]), "\n").alias("text")] if text else []
     return islands(rows, keys, [idx], "_tag").groupBy(*keys, "block", F.col("_tag").alias("tag")).agg(
-        F.min(idx).alias("start"), F.max(idx).alias("end"), F.count(F.lit(1)).alias("n")
+        F.min(idx).alias("start"), F.max(idx).alias("end"), F.count(F.lit(1)).alias("n"), *joined
     )
 
 
@@ -95,8 +97,14 @@ def without_repeats(df: DataFrame, keys: list[str], order: list[str], value: str
     return df.withColumn("_p", F.lag(value).over(w)).withColumn("_k", F.row_number().over(w)).filter((F.col("_k") == 1) | ~F.col(value).eqNullSafe(F.col("_p"))).drop("_p", "_k")
 
 
-def separator_chunks(df: DataFrame, keys: list[str], order: list[str], is_separator: Column, out: str = "chunk") -> DataFrame:
-    """[E11] Number, from 1, the runs of rows between separators that are not empty; separators go."""
+def separator_chunks(df: DataFrame, keys: list[str], order: list[str], is_separator: Column, out: str = "chunk", heading: Column | None = None, first: str = "first_heading") -> DataFrame:
+    """[E11] Number, from 1, the runs of rows between separators that are not empty; separators go.
+
+    ``heading``, if given, is one of a key's whole text; it goes to the rows of the key's first chunk, as ``first``.
+    """
+    if heading is not None:
+        rows = separator_chunks(df.withColumn("_h", heading), keys, order, is_separator, out)
+        return rows.withColumn(first, F.when(F.col(out) == 1, F.col("_h"))).drop("_h")
     rows = df.withColumn("_s", is_separator.cast("int")).withColumn("_g", F.sum("_s").over(_upto(keys, order))).filter("_s = 0").drop("_s")
     return rows.withColumn(out, F.dense_rank().over(Window.partitionBy(*keys).orderBy("_g")).cast("long")).drop("_g")
 
@@ -133,6 +141,20 @@ def contents_rows(tree: DataFrame, key: str) -> DataFrame:
     return sections_.select(key, "s.section", F.lit(None).cast("long").alias("sub"), "s.heading").unionByName(below)
 
 
+def declared_warnings(files: DataFrame, file: str, order: list[str], title: str, declared: str) -> DataFrame:
+    """[E13] Sections counted on over ordered files: (number, warning) where a heading declares another number.
+
+    Sections of a file are counted in its own task; the counts of files, one row each, give each file its first
+    number, so no window spans more than a file.  A null declared number is none.
+    """
+    place = F.row_number().over(Window.partitionBy(file).orderBy(*order)).cast("long")
+    rows = files.withColumn("_at", place)
+    before = running_total(rows.groupBy(file).agg(F.count(F.lit(1)).alias("_n")), [file], "_n", "_before")
+    rows = rows.join(before.select(file, "_before"), file).withColumn("number", F.col("_before") + F.col("_at"))
+    said = F.concat(F.col(file), F.lit(": heading '"), F.col(title), F.lit("' declares अनुच्छेदः "), F.col(declared).cast("string"), F.lit(" but positional count is "), F.col("number").cast("string"))
+    return rows.filter(F.col(declared).isNotNull() & (F.col(declared) != F.col("number"))).select(file, "number", said.alias("warning"))
+
+
 def declared_mismatches(sections_: DataFrame, keys: list[str], order: list[str], declared: str) -> DataFrame:
     """[E13] Sections numbered by position, where a heading declares another number."""
     w = Window.partitionBy(*keys).orderBy(*order)
@@ -271,21 +293,33 @@ def dominant(df: DataFrame, keys: list[str], value: str, weight: Column, order:
     return df.select(*keys).distinct().join(best, keys, "left").select(*keys, F.coalesce(f"b.{value}", F.lit(default)).alias(value), F.coalesce("b.total", F.lit(0)).alias("total"))
 
 
-def pick_blocks(blocks_: DataFrame, keys: list[str], block: str, tag: str, main: str, second: str, rest: str) -> DataFrame:
-    """[E5] Per key: the first ``main`` block, the first ``second`` block after it, and of the later ``rest`` blocks all but the last.
+# Why a row of blocks is left for review.
+NO_MAIN = "missing bengali or devanagari block"
+NO_LATIN = "no latin (IAST) block found after devanagari"
+ONE_LATIN = "only one latin block -- can't distinguish IAST from plain transliteration"
+EMPTY_AFTER = "empty bengali or iast after marker-stripping"
+
+
+def pick_blocks(blocks_: DataFrame, keys: list[str], block: str, tag: str, text: str, main: str = "bengali", second: str = "devanagari", rest: tuple[str, ...] = ("iast", "plain")) -> DataFrame:
+    """[E5, C20] Per key: the text of the first ``main`` block, and of the ``rest`` blocks after the first ``second`` block after it all but the last.
 
-    ``reason`` names what is missing; it is null where all three are there.
+    Blocks are as :func:`blocks` gives them, in order of ``block``.  ``reason`` says what a row lacks: the first two
+    blocks, any later block of the rest, a second one, or anything but marker lines; its texts are null then.
     """
     w = Window.partitionBy(*keys)
     rows = blocks_.withColumn("_main", F.min(F.when(F.col(tag) == main, F.col(block))).over(w))
     rows = rows.withColumn("_second", F.min(F.when((F.col(tag) == second) & (F.col(block) > F.col("_main")), F.col(block))).over(w))
-    later = (F.col(tag) == rest) & (F.col(block) > F.col("_second"))
-    rows = rows.withColumn("_last", F.max(F.when(later, F.col(block))).over(w))
+    later = F.coalesce(F.col(tag).isin(*rest) & (F.col(block) > F.col("_second")), F.lit(False))
+    kept = F.array_sort(F.collect_list(F.when(later, F.struct(F.col(block).alias("b"), F.col(text).alias("t")))))
     got = rows.groupBy(*keys).agg(
-        F.first("_main").alias("main_block"), F.first("_second").alias("second_block"), F.count_if(later & (F.col(block) < F.col("_last"))).alias("n_rest")
+        F.first("_second").alias("_second"), F.max(F.when(F.col(block) == F.col("_main"), F.col(text))).alias("_m"), kept.alias("_k"),
     )
-    reason = F.when(F.col("main_block").isNull(), f"no {main} block").when(F.col("second_block").isNull(), f"no {second} block").when(F.col("n_rest") == 0, f"no {rest} block")
-    return got.withColumn("reason", reason)
+    clean = lambda x: F.array_join(F.filter(F.split(x, "\n", -1), lambda t: ~t.rlike(r"^[|()0-9\s]+$")), "\n")
+    got = got.withColumns({"main": clean(F.col("_m")), "rest": clean(F.array_join(F.transform(F.slice("_k", 1, F.greatest(F.size("_k") - 1, F.lit(0))), lambda r: r["t"]), "\n"))})
+    reason = F.when(F.col("_second").isNull(), NO_MAIN).when(F.size("_k") == 0, NO_LATIN).when(F.size("_k") == 1, ONE_LATIN)
+    reason = reason.when((strip(F.col("main")) == "") | (strip(F.col("rest")) == ""), EMPTY_AFTER)
+    fits = reason.isNull()
+    return got.select(*keys, F.when(fits, F.col("main")).alias("main"), F.when(fits, F.col("rest")).alias("rest"), reason.alias("reason"))
 
 
 def numbered_items(df: DataFrame, keys: list[str], order: list[str], is_chapter: Column, is_section: Column, text: Column) -> DataFrame:
@@ -333,7 +367,40 @@ def by_category(entries: DataFrame, work: str, category: str, order: list[str],
     return first.withColumn("place", F.coalesce(place, F.lit(-1)).cast("long"))
 
 
+def running_total(df: DataFrame, order: list[Column | str], value: str, out: str) -> DataFrame:
+    """The sum of ``value`` over all rows before each row in a global order, without a window over the whole table.
+
+    Rows are dealt out by range and sorted within their parts; the sums of parts, one row each, give each
+    part its start, and a window per part does the rest.  The parts' table is of as many rows as there are
+    parts, so it is broadcast.  Rows that tie in ``order`` may stand either way; give an order without ties.
+    """
+    scratch = Scratch(df.sparkSession, "order")
+    names = [f"_o{i}" for i in range(len(order))]
+    keyed = df.withColumns({n: F.col(o) if isinstance(o, str) else o for n, o in zip(names, order, strict=True)})
+    # Written with the number of its part, so that parts stay what they are in both uses.
+    parts = scratch.write(keyed.repartitionByRange(*names).withColumn("_part", F.spark_partition_id()), "parts")
+    sums = parts.groupBy("_part").agg(F.sum(value).alias("_s"))
+    starts = sums.withColumn("_start", F.coalesce(F.sum("_s").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_part", "_start")
+    within = Window.partitionBy("_part").orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)
+    rows = parts.withColumn("_w", F.coalesce(F.sum(value).over(within), F.lit(0))).join(F.broadcast(starts), "_part")
+    return rows.withColumn(out, (F.col("_start") + F.col("_w")).cast("long")).drop("_part", "_start", "_w", *names)
+
+
+def global_rank(df: DataFrame, order: list[Column | str], out: str = "rank") -> DataFrame:
+    """[H2, H6] Rows numbered from 1 in a global order; see :func:`running_total`."""
+    return running_total(df.withColumn("_one", F.lit(1).cast("long")), order, "_one", out).withColumn(out, F.col(out) + 1).drop("_one")
+
+
+def rank_within(df: DataFrame, keys: list[str], rank: str, out: str) -> DataFrame:
+    """Places from 1 within a key, from a global rank that is sorted by the key first: one aggregate, no window over a key."""
+    first = df.groupBy(*keys).agg(F.min(rank).alias("_first"))
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    return df.join(first.withColumnsRenamed({k: f"_{k}" for k in keys}), same).withColumn(out, F.col(rank) - F.col("_first") + 1).drop("_first", *[f"_{k}" for k in keys])
+
+
 def in_shelf_order(works: DataFrame, sequence: str, work: str) -> DataFrame:
-    """[F16, H6] Works of :func:`by_category` with their rank on the shelf of their category: by sequence (none as 0), then name."""
-    w = Window.partitionBy("place").orderBy(F.coalesce(sequence, F.lit(0)), work)
-    return works.withColumn("rank", F.row_number().over(w).cast("long"))
+    """[F16, H6] Works of :func:`by_category` with their rank in the order of all shelves and on the shelf of their category: by sequence (none as 0), then name."""
+    rows = global_rank(works, ["place", F.coalesce(sequence, F.lit(0)), work], "overall")
+    return rank_within(rows, ["place"], "overall", "rank")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weftline.operators.ordered import global_rank
+
 
 def zip_positions(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """[G1] One-to-one join on positions; an error, when run, if a position is missing on one side."""
@@ -52,10 +54,18 @@ def matched_sections(matches: DataFrame, sections: DataFrame, number: str) -> Da
     return matches.join(sections, number)
 
 
-def match_report(matches: DataFrame, number: str, found: str) -> DataFrame:
-    """One row: how many were sought and found, and the numbers of those that were not, in order."""
-    missing = F.array_sort(F.collect_list(F.when(~F.col(found), F.col(number))))
-    return matches.agg(F.count(F.lit(1)).alias("sought"), F.count_if(found).alias("matched"), F.count_if(~F.col(found)).alias("missing"), missing.alias("not_found"))
+def match_counts(matches: DataFrame, found: str) -> DataFrame:
+    """One row: how many were sought, found and not found."""
+    return matches.agg(F.count(F.lit(1)).alias("sought"), F.count_if(found).alias("matched"), F.count_if(~F.col(found)).alias("missing"))
+
+
+def report_pages(rows: DataFrame, order: list[str], page_rows: int = 20) -> DataFrame:
+    """[F18, H4] Rows of a report in a global order, with their place from 1 and the page from 1 that shows them.
+
+    A reader filters on the page; no row holds the whole list, and no task sorts it.
+    """
+    ranked = global_rank(rows, list(order), "place")
+    return ranked.withColumn("page", F.floor((F.col("place") - 1) / page_rows).cast("long") + 1)
 
 
 def first_rows(df: DataFrame, order: list[str], n: int) -> DataFrame:

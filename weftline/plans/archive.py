@@ -481,11 +481,15 @@ def section_lengths(spark, sf_dir):
 # --- joins, sets, reports --------------------------------------------------------------------------
 
 
-@query("""SELECT count(*)::BIGINT AS sought, count_if(p_size % 3 > 0)::BIGINT AS matched, count_if(p_size % 3 = 0)::BIGINT AS missing, string_agg(p_partkey::VARCHAR, ',' ORDER BY p_partkey) FILTER (p_size % 3 = 0) AS not_found FROM part""")
+@query("""SELECT 0::BIGINT AS place, 0::BIGINT AS page, NULL::INT AS p_partkey, count(*)::BIGINT AS sought, count_if(p_size % 3 > 0)::BIGINT AS matched, count_if(p_size % 3 = 0)::BIGINT AS missing FROM part
+UNION ALL SELECT k, (k - 1) // 20 + 1, p_partkey, NULL, NULL, NULL FROM (SELECT p_partkey, row_number() OVER (ORDER BY p_partkey) AS k FROM part WHERE p_size % 3 = 0)""")
 def match_summary(spark, sf_dir):
-    """matches counted, and what was not found."""
-    rows = relational.match_report(t(spark, sf_dir, "part").withColumn("found", F.col("p_size") % 3 > 0), "p_partkey", "found")
-    return rows.withColumn("not_found", F.array_join(F.transform("not_found", lambda x: x.cast("string")), ","))
+    """Matches counted in one row, place 0, and what was not found in rows, in order, twenty to a page."""
+    rows = t(spark, sf_dir, "part").withColumn("found", F.col("p_size") % 3 > 0)
+    none = F.lit(None).cast("long")
+    counts = relational.match_counts(rows, "found").select(none.cast("int").alias("p_partkey"), F.lit(0).cast("long").alias("place"), F.lit(0).cast("long").alias("page"), "sought", "matched", "missing")
+    pages = relational.report_pages(rows.filter(~F.col("found")).select("p_partkey"), ["p_partkey"])
+    return counts.unionByName(pages.select("p_partkey", "place", "page", none.alias("sought"), none.alias("matched"), none.alias("missing")))
 
 
 @query("SELECT p_partkey, p_name FROM part WHERE p_size % 3 > 0 ORDER BY p_partkey LIMIT 10")
@@ -516,34 +520,110 @@ def counts_without_work(spark, sf_dir):
 
 
 @query("""WITH f AS (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY p_size, p_partkey) AS n FROM part), w AS (SELECT p_brand, p_partkey, CASE p_size % 4 WHEN 3 THEN 0 WHEN 1 THEN 1 ELSE -1 END AS place, p_size FROM f WHERE n = 1)
-SELECT p_brand, place::BIGINT AS place, row_number() OVER (PARTITION BY place ORDER BY p_size, p_brand) AS rank FROM w""")
+SELECT p_brand, place::BIGINT AS place, row_number() OVER (PARTITION BY place ORDER BY p_size, p_brand) AS rank, row_number() OVER (ORDER BY place, p_size, p_brand) AS overall FROM w""")
 def shelves(spark, sf_dir):
-    """F16, H6: works on the shelves of their categories, in order."""
+    """F16, H6: works on the shelves of their categories, in order, over all shelves and on each."""
     parts = t(spark, sf_dir, "part").withColumn("category", (F.col("p_size") % 4).cast("string"))
     works = ordered.by_category(parts, "p_brand", "category", ["p_size", "p_partkey"], ["3", "1"])
-    return ordered.in_shelf_order(works, "p_size", "p_brand").select("p_brand", "place", "rank")
+    return ordered.in_shelf_order(works, "p_size", "p_brand").select("p_brand", "place", "rank", "overall")
 
 
 WORK_NAMES = ["तत्त्वसन्दर्भः", "भागवतसन्दर्भः", "गोविन्दभाष्यम्"]
-GRAPH_SQL = MAP_SQL + """, c AS (SELECT concat_ws('.', l_partkey % 4 + 1, l_suppkey % 4 + 1, l_partkey % 60) AS sutra_id, CASE WHEN l_suppkey % 2 = 0 THEN 'तत्त्वसन्दर्भः' ELSE 'भागवतसन्दर्भः' END AS work,
-  CASE WHEN l_orderkey % 4 = 0 THEN 'plain ' || chr((97 + l_orderkey % 9)::INT) ELSE 'अनुच्छेदः ' || translate((l_orderkey % 30)::VARCHAR, '0123456789', '०१२३४५६७८९') END AS heading FROM lineitem WHERE l_partkey % 5 <> 0),
-e AS (SELECT sutra_id, work, heading, NULL::VARCHAR AS file, NULL::BIGINT AS section, false AS mapped FROM c UNION ALL SELECT sutra_id, 'गोविन्दभाष्यम्', heading, file, section, true FROM m WHERE sutra_id IN (SELECT sutra_id FROM c)),
-n AS (SELECT 'a:' || CASE WHEN mapped THEN concat_ws('|', work, file, section) ELSE work || '|' || heading END AS id, work, min(heading) AS heading, min(file) AS sort_file, min(section) AS sort_section, count(*) AS count, count(DISTINCT sutra_id) AS n_targets FROM e GROUP BY 1, 2, mapped)"""
+# Some citations stand before the first heading, and some under a heading that has an alias.
+GRAPH_SQL = MAP_SQL + f""", c AS (SELECT concat_ws('.', l_partkey % 4 + 1, l_suppkey % 4 + 1, l_partkey % 60) AS sutra_id, CASE WHEN l_suppkey % 2 = 0 THEN 'तत्त्वसन्दर्भः' ELSE 'भागवतसन्दर्भः' END AS work,
+  CASE WHEN l_orderkey % 11 = 0 THEN '?' WHEN l_orderkey % 13 = 0 THEN '{graph.ALIAS[1]}' WHEN l_orderkey % 4 = 0 THEN 'plain ' || chr((97 + l_orderkey % 9)::INT) ELSE 'अनुच्छेदः ' || translate((l_orderkey % 30)::VARCHAR, '0123456789', '०१२३४५६७८९') END AS heading,
+  CASE WHEN l_partkey % 3 = 0 THEN 'वे.सू.' ELSE 'ब्र.सू.' END || ' ' || translate(concat_ws('.', l_partkey % 4 + 1, l_suppkey % 4 + 1, l_partkey % 60), '0123456789', '०१२३४५६७८९') AS raw,
+  'entry-' || (l_orderkey % 50) AS file, CASE WHEN l_orderkey % 11 = 0 THEN -1 ELSE l_orderkey % 30 END AS section, l_orderkey AS o, l_linenumber AS l FROM lineitem WHERE l_partkey % 5 <> 0),
+e AS (SELECT sutra_id, work, heading, raw, 'x [' || raw || '] y' AS context, '/granthas/w' || CASE WHEN work = 'तत्त्वसन्दर्भः' THEN 0 ELSE 1 END || '/' || file || '/#section-' || section AS href, file, section, o, l, false AS mapped, 'a:' || work || '|' || heading AS id FROM c
+  UNION ALL SELECT sutra_id, 'गोविन्दभाष्यम्', heading, '', '{graph.MAPPED_CONTEXT}', '/granthas/govinda-bhashya/' || file || '/#section-' || section, file, section, NULL, NULL, true, 'a:गोविन्दभाष्यम्|' || file || '|' || section FROM m WHERE sutra_id IN (SELECT sutra_id FROM c)),
+p AS (SELECT id, work, mapped, sutra_id, min((o, l, file, section)) AS first, count(*) AS n FROM e GROUP BY id, work, mapped, sutra_id),
+n AS (SELECT id, work, min(heading) AS heading, min(file) FILTER (mapped) AS sort_file, min(section) FILTER (mapped) AS sort_section, count(*) AS count, count(DISTINCT sutra_id) AS n_targets, arg_min(href, (coalesce(o, 0), coalesce(l, 0), file, section)) AS href FROM e GROUP BY id, work, mapped)"""
 
 
 def citations_and_map(spark, sf_dir) -> DataFrame:
+    """The citations of the graph, written once, as most queries read them more than once."""
     key = F.col("l_orderkey")
-    heading = F.when(key % 4 == 0, F.concat(F.lit("plain "), F.char(F.lit(97) + key % 9))).otherwise(F.concat(F.lit("अनुच्छेदः "), X.to_devanagari_digits(key % 30)))
-    work = F.when(F.col("l_suppkey") % 2 == 0, WORK_NAMES[0]).otherwise(WORK_NAMES[1])
-    cites = graph.citations(citation_lines(spark, sf_dir)).select("sutra_id", work.alias("work"), heading.alias("heading"), F.lit(None).cast("string").alias("file"), F.lit(None).cast("long").alias("section"))
-    return graph.with_mapped(cites, sutra_map(spark, sf_dir), WORK_NAMES[2])
+    heading = F.when(key % 11 == 0, F.lit(None)).when(key % 13 == 0, F.concat(F.lit(graph.ALIAS[0]), F.lit(" x"))).when(key % 4 == 0, F.concat(F.lit("plain "), F.char(F.lit(97) + key % 9)))
+    heading = heading.otherwise(F.concat(F.lit("अनुच्छेदः "), X.to_devanagari_digits(key % 30)))
+    even = F.col("l_suppkey") % 2 == 0
+    cites = graph.citations(citation_lines(spark, sf_dir)).select(
+        "sutra_id", "cite", "line", F.when(even, WORK_NAMES[0]).otherwise(WORK_NAMES[1]).alias("work"), F.when(even, "w0").otherwise("w1").alias("slug"), heading.alias("heading"),
+        F.concat(F.lit("entry-"), key % 50).alias("file"), F.when(key % 11 > 0, key % 30).alias("section"), F.struct("l_orderkey", "l_linenumber").alias("at"),
+    )
+    return Scratch(spark, "graph").write(graph.with_mapped(graph.cited(cites), sutra_map(spark, sf_dir), WORK_NAMES[2], "govinda-bhashya"), "cites")
+
+
+_SECTION_ORDER = """list_position(['तत्त्वसन्दर्भः', 'भागवतसन्दर्भः', 'गोविन्दभाष्यम्'], work), sort_file NULLS FIRST, sort_section NULLS FIRST,
+  CASE WHEN sort_file IS NULL THEN heading NOT LIKE 'अनुच्छेदः %' END NULLS FIRST, CASE WHEN sort_file IS NULL THEN TRY_CAST(translate(replace(heading, 'अनुच्छेदः ', ''), '०१२३४५६७८९', '0123456789') AS BIGINT) END NULLS FIRST, heading, id"""
 
 
-@query(f"""WITH {GRAPH_SQL} SELECT id, work, heading, count::BIGINT AS count, n_targets::BIGINT AS n_targets,
-  row_number() OVER (PARTITION BY work ORDER BY sort_file, sort_section, heading NOT LIKE 'अनुच्छेदः %', TRY_CAST(translate(replace(heading, 'अनुच्छेदः ', ''), '०१२३४५६७८९', '0123456789') AS BIGINT), heading) AS rank FROM n""")
+@query(f"""WITH {GRAPH_SQL} SELECT id, work, heading, count::BIGINT AS count, n_targets::BIGINT AS n_targets, href,
+  row_number() OVER (ORDER BY {_SECTION_ORDER}) AS overall, row_number() OVER (PARTITION BY work ORDER BY {_SECTION_ORDER}) AS rank FROM n""")
 def graph_sections(spark, sf_dir):
-    """Sections of citations, and of a map that makes no new targets, in the order of the site."""
-    return graph.section_ranks(graph.section_nodes(citations_and_map(spark, sf_dir)), WORK_NAMES).select("id", "work", "heading", "count", "n_targets", "rank")
+    """Sections of citations, and of a map that makes no new targets, with the address of the first mention, in the order of the site, over all works and within each."""
+    return graph.section_ranks(graph.section_nodes(citations_and_map(spark, sf_dir)), WORK_NAMES).select("id", "work", "heading", "count", "n_targets", "href", "overall", "rank")
+
+
+@query(f"""WITH {GRAPH_SQL} SELECT id, string_agg(sutra_id, ' ' ORDER BY coalesce(first[1], 0), coalesce(first[2], 0), first[3], first[4], sutra_id) AS sutra_ids FROM p GROUP BY id""")
+def section_targets(spark, sf_dir):
+    """the targets of each section in order of first mention."""
+    return graph.section_nodes(citations_and_map(spark, sf_dir)).select("id", F.array_join("sutra_ids", " ").alias("sutra_ids"))
+
+
+@query(f"""WITH {GRAPH_SQL} SELECT sutra_id, row_number() OVER (PARTITION BY sutra_id ORDER BY mapped, o, l, file, section, href, raw) - 1 AS place, work, heading, raw, context, href FROM e""")
+def citations_of_sutras(spark, sf_dir):
+    """every citation of a target in order, with its text, its line and its address."""
+    return graph.sutra_cites(citations_and_map(spark, sf_dir))
+
+
+@query(f"""WITH {GRAPH_SQL} SELECT sutra_id, count(*) FILTER (NOT mapped)::BIGINT AS count, count(DISTINCT work) FILTER (NOT mapped)::BIGINT AS n_works, CASE WHEN count(DISTINCT work) FILTER (NOT mapped) > 1 THEN 'both' ELSE 'single' END AS kind,
+  CASE WHEN count(*) FILTER (NOT mapped) > 1 THEN '×' || count(*) FILTER (NOT mapped) END AS label, bool_or(mapped) AS ring FROM e GROUP BY sutra_id""")
+def sutra_classes(spark, sf_dir):
+    """targets by how many works they are linked with, and their labels."""
+    return graph.linked_with(citations_and_map(spark, sf_dir))
+
+
+_ADJACENT = """x AS (SELECT 's:' || sutra_id AS s, id AS a, work AS w FROM e), g AS (SELECT DISTINCT kind, node, neighbour FROM (
+  SELECT 'sutra-section' AS kind, s AS node, a AS neighbour FROM x UNION ALL SELECT 'sutra-work', s, w FROM x UNION ALL SELECT 'section-sutra', a, s FROM x UNION ALL SELECT 'section-work', a, w FROM x UNION ALL SELECT 'work-sutra', w, s FROM x UNION ALL SELECT 'work-section', w, a FROM x))"""
+
+
+@query(f"""WITH {GRAPH_SQL}, {_ADJACENT}, d AS (SELECT kind, node, count(*) AS degree FROM g GROUP BY kind, node)
+SELECT kind, node, (sum(degree) OVER (ORDER BY kind, node) - degree)::BIGINT AS "offset", degree FROM d""")
+def graph_offsets(spark, sf_dir):
+    """Compressed adjacency of sutras, sections and works in all directions: where a node's neighbours begin and how many they are."""
+    return graph.compressed(graph.graph_edges(citations_and_map(spark, sf_dir)))[0]
+
+
+@query(f"""WITH {GRAPH_SQL}, {_ADJACENT} SELECT row_number() OVER (ORDER BY kind, node, neighbour) - 1 AS place, kind, node, neighbour FROM g""")
+def graph_neighbours(spark, sf_dir):
+    """The neighbours that the offsets point to."""
+    return graph.compressed(graph.graph_edges(citations_and_map(spark, sf_dir)))[1]
+
+
+@query(f"""WITH {GRAPH_SQL} SELECT id, 'section' AS kind, to_json({{'id': id, 'work': work, 'heading': heading, 'count': count, 'href': href}})::VARCHAR AS json FROM n
+UNION ALL SELECT 's:' || sutra_id, 'sutra', to_json({{'id': 's:' || sutra_id, 'label': translate(sutra_id, '0123456789', '०१२३४५६७८९'), 'class': CASE WHEN count(DISTINCT work) FILTER (NOT mapped) > 1 THEN 'both' ELSE 'single' END, 'count': count(*) FILTER (NOT mapped), 'ring': bool_or(mapped)}})::VARCHAR FROM e GROUP BY sutra_id
+UNION ALL SELECT DISTINCT id || ' s:' || sutra_id, 'edge', to_json({{'from': id, 'to': 's:' || sutra_id}})::VARCHAR FROM e""")
+def graph_document(spark, sf_dir):
+    """The graph as lines of JSON, nodes with counts and first addresses, and edges."""
+    return graph.graph_document(citations_and_map(spark, sf_dir))
+
+
+# Margins, rows and gaps of the drawing.
+TOP, SECTION_ROW, SECTION_GAP, SUTRA_ROW, SUTRA_GAP, BAND_HEAD = 64, 30, 26, 24, 30, 26
+
+
+@query(f"""WITH {GRAPH_SQL}, s AS (SELECT id, row_number() OVER (ORDER BY {_SECTION_ORDER}) AS r, dense_rank() OVER (ORDER BY list_position(['तत्त्वसन्दर्भः', 'भागवतसन्दर्भः', 'गोविन्दभाष्यम्'], work)) AS g FROM n),
+v AS (SELECT DISTINCT sutra_id, split_part(sutra_id, '.', 1)::INT AS a, split_part(sutra_id, '.', 2)::INT AS p, split_part(sutra_id, '.', 3)::INT AS z FROM e),
+w AS (SELECT sutra_id, row_number() OVER (ORDER BY a, p, z) AS r, dense_rank() OVER (ORDER BY a) AS g FROM v)
+SELECT id, ({TOP} + (r - 1) * {SECTION_ROW} + (g - 1) * {SECTION_GAP})::BIGINT AS y FROM s UNION ALL SELECT 's:' || sutra_id, ({TOP} + (r - 1) * {SUTRA_ROW} + (g - 1) * {SUTRA_GAP} + g * {BAND_HEAD})::BIGINT FROM w""")
+def graph_layout(spark, sf_dir):
+    """Places of sections and verses in their columns, with gaps between works and chapters."""
+    cites = citations_and_map(spark, sf_dir)
+    order = graph.section_order(WORK_NAMES)
+    sections = graph.layout(graph.section_nodes(cites), order[:1], [*order[1:], "id"], TOP, SECTION_ROW, SECTION_GAP).select("id", "y")
+    part = lambda k: F.split_part("sutra_id", F.lit("."), F.lit(k)).cast("int")
+    verses = cites.select("sutra_id").distinct().withColumns({"adhyaya": part(1), "pada": part(2), "sutra": part(3)})
+    return sections.unionByName(graph.layout(verses, ["adhyaya"], ["pada", "sutra"], TOP, SUTRA_ROW, SUTRA_GAP, BAND_HEAD).select(F.concat(F.lit("s:"), "sutra_id").alias("id"), "y"))
 
 
 @query(f"WITH {GRAPH_SQL} SELECT DISTINCT sutra_id, split_part(sutra_id, '.', 1)::BIGINT AS adhyaya, split_part(sutra_id, '.', 2)::BIGINT AS pada, split_part(sutra_id, '.', 3)::BIGINT AS sutra FROM e")

@@ -395,9 +395,10 @@ def citation_edges(spark, sf_dir):
     return graph.citations(citation_lines(spark, sf_dir)).select("l_orderkey", "l_linenumber", "abbrev", "adhyaya", "pada", "sutra", "sutra_id")
 
 
-@query()
+@query(f"""WITH {CITES} SELECT l_orderkey, l_linenumber, w AS work, abbrev, a::BIGINT AS adhyaya, p::BIGINT AS pada, s::BIGINT AS sutra, concat_ws('.', a, p, s) AS sutra_id
+FROM (SELECT *, ['tattva-sandarbha', 'bhagavat-sandarbha', 'paramatma-sandarbha', 'krishna-sandarbha', 'govinda-bhashya', 'stavamala'][l_suppkey % 6 + 1] AS w FROM c) WHERE w NOT IN ('govinda-bhashya', 'stavamala')""")
 def citation_edges_of_works(spark, sf_dir):
-    """References in lines of the works in the allow-list; two of six made-up works are not in it (tested on the golden rows)."""
+    """References in lines of the works in the allow-list; two of six made-up works are not in it."""
     slugs = F.array(*map(F.lit, (*graph.WORKS, "govinda-bhashya", "stavamala")))
     rows = citation_lines(spark, sf_dir).withColumn("work", F.get(slugs, (F.col("l_suppkey") % 6).cast("int")))
     return graph.citations(graph.of_works(rows, "work")).select("l_orderkey", "l_linenumber", "work", "abbrev", "adhyaya", "pada", "sutra", "sutra_id")
@@ -507,11 +508,23 @@ def line_cleanup(spark, sf_dir):
     return t(spark, sf_dir, "documents").select("doc_id", F.size(ls).cast("long").alias("n"), F.array_join(F.transform(ls, lambda x: F.substring(x, 1, 20)), "|").alias("heads"))
 
 
-@query()
+# Every few lines of a text become a line that must go, or one that looks like it and must stay.
+_GOING = ("|| 1.2 ||", " 12. label of a topic", "( 1.2 )", "prathamo'dhyāyaḥ", "Dvitīyaḥ  pādaḥ", "---", "@12", "(39]", "|| 3 ||")
+_STAYING = ("|| 1.2 || tail", "12 no dot", "prathamaḥ x", "@1x", "(39] and more", "a 12. label")
+
+
+@query(rf"""WITH {LINES}, a AS (SELECT doc_id, idx, CASE WHEN idx % 3 = 1 THEN [{', '.join("'" + x.replace("'", "''") + "'" for x in _GOING)}][(idx // 3 + doc_id) % {len(_GOING)} + 1] WHEN idx % 7 = 2 THEN [{', '.join(f"'{x}'" for x in _STAYING)}][(idx // 7 + doc_id) % {len(_STAYING)} + 1] ELSE line END AS line FROM lines),
+k AS (SELECT *, trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13) || chr(160)) AS x FROM a WHERE NOT regexp_full_match(line, '[|()0-9\s]+') AND NOT regexp_full_match(line, '\s*-{{3,}}\s*')),
+g AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY idx) AS clean FROM k WHERE NOT (regexp_full_match(x, '\|\|\s*[0-9.]+\s*\|\|') OR regexp_full_match(x, '[0-9]+\.\s*.+') OR regexp_full_match(x, '\(\s*[0-9.]+\s*\)') OR regexp_full_match(x, '@[0-9]+') OR regexp_full_match(x, '[(\[][0-9]+[)\]]')
+  OR length(x) < 70 AND (regexp_matches(lower(x), '^(prathamo|dvitīyo|tṛtīyo|caturtho)[''’]?dhyāy') OR regexp_matches(lower(x), '^(prathamaḥ|dvitīyaḥ|tṛtīyaḥ|caturthaḥ)\s*pādaḥ'))) GROUP BY doc_id)
+SELECT doc_id, coalesce(clean, '') AS clean FROM documents LEFT JOIN g USING (doc_id)""")
 def line_cleanup_whole(spark, sf_dir):
-    """Marker, rule, section and stray lines dropped; the whole cleaned text (no SQL; tested on fixed lines)."""
-    clean = X.without_section_lines(X.without_rules(X.without_marker_lines(F.col("text"))))
-    return t(spark, sf_dir, "documents").select("doc_id", clean.alias("clean"))
+    """Marker, rule, section and stray lines, put into the texts with others like them, dropped; the whole cleaned text."""
+    at, doc = F.col("idx"), F.col("doc_id")
+    pick = lambda of, every: F.get(F.array(*map(F.lit, of)), ((F.floor(at / every) + doc) % len(of)).cast("int"))
+    line = F.when(at % 3 == 1, pick(_GOING, 3)).when(at % 7 == 2, pick(_STAYING, 7)).otherwise(F.col("line"))
+    texts = doc_lines(spark, sf_dir).withColumn("line", line).groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("idx", "line"))), lambda r: r["line"]), "\n").alias("text"))
+    return texts.select("doc_id", X.without_section_lines(X.without_rules(X.without_marker_lines(F.col("text")))).alias("clean"))
 
 
 @query("""SELECT doc_id, replace(replace(replace(replace(CASE WHEN length(text) > 220 THEN left(text, 220) || '…' ELSE text END, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;') AS shown FROM documents""")
@@ -527,27 +540,43 @@ def grouped_entries(spark, sf_dir):
     return t(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.array_join(F.transform(entries, lambda r: r["o_orderkey"].cast("string")), ",").alias("orders"), F.count(F.lit(1)).alias("n"), F.sum(F.round(F.col("o_totalprice") * 100).cast("long")).alias("cents"))
 
 
-@query(r"""WITH a AS (SELECT *, CASE WHEN p_partkey % 2 = 0 THEN '(' || p_size || ') ' || p_name || ' ' || p_size ELSE '🔷 ' || p_name || ' *(' || p_brand || ')*' END AS x FROM part)
+@query(r"""WITH a AS (SELECT *, CASE WHEN p_partkey % 2 = 0 THEN '(' || p_size || ') ' || p_name || ' ' || p_size WHEN p_partkey % 4 = 1 THEN '🔷 ' || p_name || ' *' || p_brand || '*' ELSE '🔷 ' || p_name || ' *(' || p_brand || ')*' END AS x FROM part)
 SELECT p_partkey, trim(regexp_replace(regexp_replace(x, '^\s*\([0-9]+\)\s*', ''), '\s+[0-9]+\s*$', '')) AS title,
-  trim(regexp_replace(regexp_replace(x, '^[^\p{L}\p{M}\p{N}_]+', ''), '\s*\*\([^)]*\)\*\s*$', '')) AS label FROM a""")
+  trim(regexp_replace(regexp_replace(x, '^[^\p{L}\p{M}\p{N}_]+', ''), '\s*\*.*\*\s*$', '')) AS label FROM a""")
 def titles_and_labels(spark, sf_dir):
     """Titles and labels without their ornaments."""
     p = t(spark, sf_dir, "part")
-    x = F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit("("), "p_size", F.lit(") "), "p_name", F.lit(" "), "p_size")).otherwise(F.concat(F.lit("🔷 "), "p_name", F.lit(" *("), "p_brand", F.lit(")*")))
+    key = F.col("p_partkey")
+    x = F.when(key % 2 == 0, F.concat(F.lit("("), "p_size", F.lit(") "), "p_name", F.lit(" "), "p_size")).when(key % 4 == 1, F.concat(F.lit("🔷 "), "p_name", F.lit(" *"), "p_brand", F.lit("*")))
+    x = x.otherwise(F.concat(F.lit("🔷 "), "p_name", F.lit(" *("), "p_brand", F.lit(")*")))
     return p.select("p_partkey", X.chapter_title(x).alias("title"), X.clean_label(x).alias("label"))
 
 
-@query("""WITH a AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS block FROM events),
-m AS (SELECT *, min(CASE WHEN event_type = 'view' THEN block END) OVER (PARTITION BY user_id) AS mb FROM a),
-s AS (SELECT *, min(CASE WHEN event_type = 'click' AND block > mb THEN block END) OVER (PARTITION BY user_id) AS sb FROM m),
-l AS (SELECT *, max(CASE WHEN event_type = 'purchase' AND block > sb THEN block END) OVER (PARTITION BY user_id) AS lb FROM s)
-SELECT user_id, coalesce(first(mb), -1)::BIGINT AS main_block, coalesce(first(sb), -1)::BIGINT AS second_block, count_if(event_type = 'purchase' AND block > sb AND block < lb)::BIGINT AS n_rest,
-CASE WHEN first(mb) IS NULL THEN 'no view block' WHEN first(sb) IS NULL THEN 'no click block' WHEN count_if(event_type = 'purchase' AND block > sb AND block < lb) = 0 THEN 'no purchase block' END AS reason FROM l GROUP BY user_id""")
+# Lines of a text take scripts in turn, so that texts of different lengths have all the faults there are.
+_SCRIPTS_SQL = f"""{LINES}, a AS (SELECT doc_id, idx, CASE idx % 11 WHEN 1 THEN CASE WHEN doc_id % 3 = 0 THEN '|| ' || idx || ' || অ' ELSE 'অ ' || line END WHEN 2 THEN '(12)' WHEN 3 THEN 'अ ' || line WHEN 4 THEN 'अ' WHEN 5 THEN 'ā ' || line WHEN 6 THEN CASE WHEN doc_id % 5 = 0 THEN 'अ' ELSE 'a ' || line END
+  WHEN 7 THEN '|| 3 ||' ELSE CASE WHEN doc_id % 7 = 0 THEN 'অ' ELSE line END END AS line FROM lines WHERE idx < 11),
+s AS (SELECT *, {SCRIPT_SQL} AS s FROM a WHERE trim(line) <> '')"""
+
+
+@query(rf"""WITH {_SCRIPTS_SQL}, b AS (SELECT *, coalesce(last_value(CASE WHEN s <> 'other' THEN s END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY idx), 'other') AS tag FROM s),
+c AS (SELECT *, CASE WHEN lag(tag) OVER w IS DISTINCT FROM tag THEN 1 ELSE 0 END AS new FROM b WINDOW w AS (PARTITION BY doc_id ORDER BY idx)),
+k AS (SELECT doc_id, g, tag, string_agg(line, chr(10) ORDER BY idx) AS text FROM (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY idx) AS g FROM c) GROUP BY doc_id, g, tag),
+f AS (SELECT *, min(g) FILTER (tag = 'bengali') OVER (PARTITION BY doc_id) AS m FROM k), h AS (SELECT *, min(g) FILTER (tag = 'devanagari' AND g > m) OVER (PARTITION BY doc_id) AS d FROM f),
+l AS (SELECT *, max(g) FILTER (tag IN ('iast', 'plain') AND g > d) OVER (PARTITION BY doc_id) AS z FROM h),
+r AS (SELECT doc_id, first(d) AS d, max(text) FILTER (g = m) AS main, string_agg(text, chr(10) ORDER BY g) FILTER (tag IN ('iast', 'plain') AND g > d AND g < z) AS rest, count(*) FILTER (tag IN ('iast', 'plain') AND g > d) AS n FROM l GROUP BY doc_id),
+x AS (SELECT doc_id, d, n, array_to_string(list_filter(string_split(main, chr(10)), lambda x: NOT regexp_full_match(x, '[|()0-9\s]+')), chr(10)) AS main, array_to_string(list_filter(string_split(coalesce(rest, ''), chr(10)), lambda x: NOT regexp_full_match(x, '[|()0-9\s]+')), chr(10)) AS rest FROM r),
+y AS (SELECT *, CASE WHEN d IS NULL THEN 'missing bengali or devanagari block' WHEN n = 0 THEN 'no latin (IAST) block found after devanagari' WHEN n = 1 THEN 'only one latin block -- can''t distinguish IAST from plain transliteration'
+  WHEN trim(main) = '' OR trim(rest) = '' THEN 'empty bengali or iast after marker-stripping' END AS reason FROM x)
+SELECT doc_id, CASE WHEN reason IS NULL THEN main END AS main, CASE WHEN reason IS NULL THEN rest END AS rest, reason FROM y""")
 def pick_blocks(spark, sf_dir):
-    """E5: first view, first click after it, purchases after that but the last, with reasons."""
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    rows = t(spark, sf_dir, "events").withColumn("block", (F.row_number().over(w) - 1).cast("long"))
-    return ordered.pick_blocks(rows, ["user_id"], "block", "event_type", "view", "click", "purchase").fillna(-1, ["main_block", "second_block"])
+    """Of blocks of one script, the first Bengali one and the Latin ones after the first Devanagari one but the last, without marker lines, or why not."""
+    at, doc, line = F.col("idx") % 11, F.col("doc_id"), F.col("line")
+    bengali = F.when(doc % 3 == 0, F.concat(F.lit("|| "), "idx", F.lit(" || অ"))).otherwise(F.concat(F.lit("অ "), line))
+    made = F.when(at == 1, bengali).when(at == 2, "(12)").when(at == 3, F.concat(F.lit("अ "), line)).when(at == 4, "अ").when(at == 5, F.concat(F.lit("ā "), line))
+    made = made.when(at == 6, F.when(doc % 5 == 0, "अ").otherwise(F.concat(F.lit("a "), line))).when(at == 7, "|| 3 ||").otherwise(F.when(doc % 7 == 0, "অ").otherwise(line))
+    rows = doc_lines(spark, sf_dir).filter("idx < 11").withColumn("line", made).filter(F.trim("line") != "")
+    blocks = ordered.folded_blocks(rows.withColumn("tag", X.line_script(F.col("line"))), ["doc_id"], "idx", "tag", text="line")
+    return ordered.pick_blocks(blocks, ["doc_id"], "block", "tag", "text")
 
 
 @query("""WITH a AS (SELECT *, event_id % 13 = 0 AS c, event_id % 13 <> 0 AND event_type = 'view' AS s FROM events),
@@ -581,11 +610,15 @@ def next_runs(spark, sf_dir):
     return rows.select("event_id", F.size("run").cast("long").alias("n_run"), F.coalesce(F.get("run", 0), F.lit(-1)).alias("first_run"))
 
 
-@query()
+@query("""WITH n AS (SELECT *, event_type = 'purchase' AS m, value > 30 AS r, event_id % 5 = 0 AS b, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS k FROM events),
+f AS (SELECT x.event_id AS mark, y.event_id AS i, y.r, row_number() OVER (PARTITION BY x.event_id ORDER BY y.k) AS p FROM n x JOIN n y ON x.user_id = y.user_id AND y.k > x.k AND y.k < x.k + 400 WHERE x.m AND NOT y.b),
+s AS (SELECT mark, min(CASE WHEN r THEN p END) AS a FROM f GROUP BY mark),
+z AS (SELECT f.mark, a, coalesce(min(CASE WHEN NOT r AND p > a THEN p END), 1000000) AS z FROM f JOIN s ON f.mark = s.mark GROUP BY f.mark, a)
+SELECT n.event_id, count(f.i)::BIGINT AS n_run, coalesce(string_agg(f.i::VARCHAR, ' ' ORDER BY f.p), '') AS run FROM n LEFT JOIN z ON n.event_id = z.mark LEFT JOIN f ON f.mark = z.mark AND f.p >= z.a AND f.p < z.z AND f.p < z.a + 6 WHERE n.m GROUP BY n.event_id""")
 def next_runs_whole(spark, sf_dir):
-    """After each purchase the next run of high values within 400 events, six at most (no SQL; tested against a loop)."""
+    """After each purchase the next run of high values within 400 events, six at most."""
     rows = ordered.next_run(t(spark, sf_dir, "events"), ["user_id"], "event_id", F.col("event_type") == "purchase", F.col("value") > 30, F.col("event_id") % 5 == 0)
-    return rows.select("event_id", F.size("run").cast("long").alias("n_run"), F.col("run"))
+    return rows.select("event_id", F.size("run").cast("long").alias("n_run"), F.array_join(F.transform("run", lambda x: x.cast("string")), " ").alias("run"))
 
 
 @query("""WITH k AS (SELECT n_nationkey AS id, n_name AS text FROM nation UNION ALL SELECT 100 + n_nationkey, n_name || ' x' FROM nation WHERE n_nationkey % 2 = 0),
@@ -608,15 +641,16 @@ SELECT doc_id, pos::INT AS pos, (hit - 1)::INT AS start, n::INT AS match_length
 def forward_match(spark, sf_dir):
     """Whole benchmark items sought in order in each document; the list of items is read in parts of bounded size."""
     items = (r["text"] for r in t(spark, sf_dir, "benchmark").select("item_id", "text").orderBy("item_id", "text").toLocalIterator())
-    rows = align.forward_match_all(t(spark, sf_dir, "documents").select("doc_id", "text"), "text", items)
-    return rows.select("doc_id", F.explode("finds").alias("m")).select("doc_id", "m.pos", "m.start", "m.match_length")
+    return align.forward_match_all(t(spark, sf_dir, "documents").select("doc_id", "text"), "text", items)
 
 
 _READY = f"""replace(regexp_replace(regexp_replace(replace(replace({MIXED_SCRIPT_SQL}, ' ', '-'), '.', '’'), '({HYPHEN_CLASS})-({HYPHEN_CLASS})', '\\1\\2', 'g'), '({HYPHEN_CLASS})-({HYPHEN_CLASS})', '\\1\\2', 'g'), '’', '''')"""
 
 
-@query(f"SELECT doc_id, {dev_sql(_READY)} AS first, {dev_sql(_READY)} AS second, true AS agree, {dev_sql(_READY)} AS chosen FROM documents")
+# The first engine's mark of private use, put into every fourth text, is a letter to the second: the two must differ there.
+@query(f"SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 'क् ' ELSE '' END || d AS first, CASE WHEN doc_id % 4 = 0 THEN 'क्' || chr(58368) || 'अ ' ELSE '' END || d AS second, doc_id % 4 <> 0 AS agree, CASE WHEN doc_id % 4 = 0 THEN 'क् ' ELSE '' END || d AS chosen FROM (SELECT doc_id, {dev_sql(_READY)} AS d FROM documents)")
 def translit_cross_check(spark, sf_dir):
     """Both transliterations of prepared text, whether they agree, and the first, which is always chosen."""
     x = F.replace(F.replace(mixed_script_text(), F.lit(" "), F.lit("-")), F.lit("."), F.lit("’"))
+    x = F.when(F.col("doc_id") % 4 == 0, F.concat(F.lit("k\ue400a "), x)).otherwise(x)
     return t(spark, sf_dir, "documents").select("doc_id", translit.cross_checked(x).alias("c")).select("doc_id", "c.first", "c.second", "c.agree", "c.chosen")
