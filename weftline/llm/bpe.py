@@ -369,7 +369,7 @@ def encode(df: DataFrame, vocabulary: bytes, pattern: str, text_col: str = "text
     @text_udf("array<int>", _forget)
     def ids(texts: list) -> pd.Series:
         t = tokenizer(shared.value, pattern)
-        return pd.Series([np.frombuffer(t.encode_packed(x), "<u4").astype(np.int32) for x in texts])
+        return pd.Series([np.frombuffer(t.encode_packed(x), "<u4").astype(np.int32) for x in texts], dtype=object)
 
     return df.withColumn(out_col, ids(F.col(text_col)))
 
@@ -381,7 +381,7 @@ def decode(df: DataFrame, vocabulary: bytes, pattern: str, ids_col: str = "ids",
     @text_udf("string", _forget)
     def texts(ids: list) -> pd.Series:
         t = tokenizer(shared.value, pattern)
-        return pd.Series([t.decode([] if x is None else x.tolist()) for x in ids])
+        return pd.Series([t.decode(x or []) for x in ids], dtype=object)
 
     return df.withColumn(out_col, texts(F.col(ids_col)))
 

@@ -12,11 +12,12 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import _parse_datatype_string
 
-from weftline.llm.wordstats import in_chunks
-
-#: Characters of text that are worked on at once.
+#: Bytes of text that are worked on at once.
 CHUNK_CHARS = 2_000_000
 
 
@@ -29,29 +30,48 @@ def give_back() -> None:
         process.malloc_trim(0)
 
 
+def _slices(texts: pa.Array, most: int) -> Iterator[pa.Array]:
+    """Parts of an array of texts (or lists) of about ``most`` bytes (or items); at least one row each."""
+    length = pc.list_value_length if pa.types.is_nested(texts.type) else pc.binary_length
+    sizes = pc.fill_null(length(texts), 0).to_numpy(zero_copy_only=False)
+    start = held = 0
+    for i, size in enumerate(sizes.tolist()):
+        if i > start and held + size > most:
+            yield texts.slice(start, i - start)
+            start, held = i, 0
+        held += size
+    if start < len(texts):
+        yield texts.slice(start)
+
+
 def text_udf(schema: str, close: Callable[[], None] | None = None):
     """A vectorised UDF of one text column from a function of a list of texts to a frame or series.
 
-    The function gets texts of about ``CHUNK_CHARS`` characters at a time (at least one text), and at
-    a task's end ``close`` is called and memory goes back to the system.
+    The function gets texts of about ``CHUNK_CHARS`` bytes at a time (at least one text), taken from the Arrow
+    batch as they are needed, so that no second copy of a batch is made; at a task's end ``close`` is called
+    and memory goes back to the system.
     """
 
     def make(f: Callable[[list], pd.DataFrame | pd.Series]):
         struct = "," in schema or " " in schema.split("<")[0]
+        kind = to_arrow_type(_parse_datatype_string(schema))
+
+        def packed(out: pd.DataFrame | pd.Series) -> pa.Array:
+            if not struct:
+                return pa.Array.from_pandas(out, type=kind)
+            return pa.StructArray.from_arrays([pa.Array.from_pandas(out[x.name], type=x.type) for x in kind], fields=list(kind))
 
-        def run(batches: Iterator[pd.Series]) -> Iterator:
+        def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             try:
                 for batch in batches:
-                    texts = batch.tolist()
-                    del batch
-                    for s in in_chunks(texts, CHUNK_CHARS):
-                        yield f(texts[s])
+                    for part in _slices(batch, CHUNK_CHARS):
+                        yield packed(f(part.to_pylist()))
             finally:
                 if close:
                     close()
                 give_back()
 
-        run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame if struct else pd.Series]}
-        return F.pandas_udf(run, schema)
+        run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+        return F.arrow_udf(run, schema)
 
     return make
