@@ -4,11 +4,11 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
+from weftline.functions import charmodel, translit
 from weftline.functions import text as X
-from weftline.functions import translit
 from weftline.operators import align, graph, ordered, qc, relational
 from weftline.plans import catalogue
-from weftline.sources import files, html, ocr, stores
+from weftline.sources import files, formats, html, ocr, robots, stores
 from weftline.streaming import incremental
 
 
@@ -373,7 +373,7 @@ def test_sources_and_sinks(spark, tmp_path):
     (tmp_path / "md").mkdir()
     (tmp_path / "md/a.md").write_text(HEADER)
     row = files.read_entries(spark, str(tmp_path / "md")).collect()[0]
-    assert (row.entry_id, row.title.devanagari, row.sequence, row.corpusName.note, row.availableScripts) == ("a", "क", 2.0, "folded text", ["devanagari", "iast"])
+    assert (row.entry_id, row.title.devanagari, row.sequence, row.corpusName.note, row.availableScripts) == ("a", "क", 2.0, "folded text\n", ["devanagari", "iast"])
     assert [c.label for c in row.commentaries] == ["एक", "द्वि"] and row.body == "## Head\nbody\n"
     (tmp_path / "md/bad.md").write_text("no header")
     with pytest.raises(Exception, match="lacks"):
@@ -402,14 +402,193 @@ def test_sources_and_sinks(spark, tmp_path):
     assert not files.append_log(parts.limit(0), str(tmp_path / "log")) and files.append_log(parts, str(tmp_path / "log"))
 
 
-def test_resumed_stream_equals_batch(spark, tmp_path):
+def test_a_run_stopped_inside_a_batch_stays_exact(spark, tmp_path):
     rows = spark.range(100).select(F.col("id"), (F.col("id") % 3).alias("kind"))
-    rows.filter("id < 60").coalesce(1).write.parquet(str(tmp_path / "in"))
-    run = lambda: incremental.resume(spark, str(tmp_path / "in"), rows.schema, lambda s: s.withColumn("twice", F.col("id") * 2), str(tmp_path / "out"), str(tmp_path / "cp"))
-    assert run() == 60 and run() == 0
-    rows.filter("id >= 60").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-    assert run() == 40
-    assert sorted(r.twice for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [2 * i for i in range(100)]
-    q = incremental.running_counts(spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in")), F.col("kind"), str(tmp_path / "cp2"), "counts")
-    q.awaitTermination()
-    assert {r.kind: r.n for r in spark.table("counts").collect()} == {0: 34, 1: 33, 2: 33}
+    incremental.stage_rows(rows.filter("id < 60"), ["id"], str(tmp_path / "in"), every=10)
+    schema = spark.read.parquet(str(tmp_path / "in")).schema
+    assert schema.names == ["id", "kind", "position"]
+    files = [sorted(r.position for r in spark.read.parquet(f).collect()) for f in spark.read.parquet(str(tmp_path / "in")).inputFiles()]
+    assert all(len(f) <= 10 and f == list(range(f[0], f[0] + len(f))) for f in files) and sum(map(len, files)) == 60
+    run, calls = incremental.Run(spark, str(tmp_path / "run")), []
+
+    def stops(batch):
+        calls.append(1)
+        out = batch.withColumn("twice", F.col("id") * 2)
+        # The second batch fails in its tasks, the third after some of its rows are written.
+        return out.withColumn("twice", F.when(F.col("id") >= 0, F.raise_error(F.lit("stopped inside")).cast("long"))) if len(calls) == 2 else out
+
+    with pytest.raises(Exception, match="stopped inside"):
+        run.resume(str(tmp_path / "in"), schema, stops, F.col("kind"), files_per_batch=2)
+    before = run.processed()
+    assert 0 < before < 60 and len(calls) == 2
+    assert run.resume(str(tmp_path / "in"), schema, stops, F.col("kind"), files_per_batch=2) == 60 - before and run.resume(str(tmp_path / "in"), schema, stops, F.col("kind")) == 0
+    incremental.stage_rows(rows.filter("id >= 60"), ["id"], str(tmp_path / "in"), every=1)
+    assert run.resume(str(tmp_path / "in"), schema, stops, F.col("kind"), files_per_batch=2) == 40
+    assert sorted(r.twice for r in run.rows("twice long").collect()) == [2 * i for i in range(100)]
+    assert {r.kind: r.n for r in run.totals().collect()} == {"0": 34, "1": 33, "2": 33}
+
+
+def test_counts_of_a_batch_that_was_committed_twice_are_those_of_one(spark, tmp_path):
+    """Rows written and counts not: the batch is done again under its number, and nothing counts twice."""
+    spark.range(10).coalesce(1).write.parquet(str(tmp_path / "in"))
+    run, schema = incremental.Run(spark, str(tmp_path / "run")), spark.range(1).schema
+    spark.range(7).write.parquet(str(tmp_path / "run/rows/batch=0"))  # left by a run that died between the two
+    assert run.resume(str(tmp_path / "in"), schema, lambda b: b) == 10 and run.rows("id long").count() == 10 and run.processed() == 10
+
+
+def test_more_than_a_hundred_batches(spark, tmp_path):
+    """A stream's own record of progress ends at a hundred batches; the counts do not."""
+    spark.range(101).coalesce(1).write.option("maxRecordsPerFile", 1).parquet(str(tmp_path / "in"))
+    run = incremental.Run(spark, str(tmp_path / "run"))
+    assert run.resume(str(tmp_path / "in"), spark.range(1).schema, lambda b: b) == 101 and run.counts().select("batch").distinct().count() == 101
+
+
+def test_memo_converts_only_new_texts(spark, tmp_path):
+    memo = incremental.Memo(spark, str(tmp_path / "memo"))
+    first = spark.createDataFrame([(1, "a"), (2, "a"), (3, None), (4, "b")], "k long, x string")
+    got, n = memo.convert(first, "x", F.upper, "y", run=1)
+    assert n == 2 and {r.k: r.y for r in got.collect()} == {1: "A", 2: "A", 3: None, 4: "B"}
+    second = spark.createDataFrame([(1, "a"), (5, "c"), (6, "c")], "k long, x string")
+    got, n = memo.convert(second, "x", F.upper, "y", run=2)
+    assert n == 1 and {r.k: (r.y, r.y_run) for r in got.collect()} == {1: ("A", 1), 5: ("C", 2), 6: ("C", 2)}
+    assert memo.convert(second, "x", F.upper, "y", run=3)[1] == 0
+
+
+HARD = """# a comment first
+title: {devanagari: "क, \\"ख\\" \\u0915", iast: 'it''s', english: a b} # note
+work:
+    devanagari: "x # no"   # yes
+    iast: a:b#c
+workSlug: kha-1
+
+sequence: 2
+corpusName:
+  note: >
+    folded
+    text
+
+    next
+  iast: |-
+    l1
+      l2
+commentaries:
+- id: one
+  label: "a: b"
+-   {id: two, label: [x, 'y, z'], note: ~}
+availableScripts: [a, "b, c", [d, {e: f}], ]
+"quoted key": null
+empty:
+"""
+
+
+def test_headers():
+    got = files.parse_header(HARD)
+    assert got["title"] == {"devanagari": 'क, "ख" क', "iast": "it's", "english": "a b"} and got["work"] == {"devanagari": "x # no", "iast": "a:b#c"}
+    assert got["corpusName"] == {"note": "folded text\nnext\n", "iast": "l1\n  l2"} and got["commentaries"] == [{"id": "one", "label": "a: b"}, {"id": "two", "label": ["x", "y, z"], "note": None}]
+    assert got["availableScripts"] == ["a", "b, c", ["d", {"e": "f"}]] and got["quoted key"] is None and got["empty"] is None and got["sequence"] == "2"
+    assert files.parse_header("") == {} == files.parse_header("# nothing\n")
+    for wrong in ('a: "open', "a: [b", "a: 'x' y", "just text"):
+        with pytest.raises(ValueError):
+            files.parse_header(wrong)
+
+
+def test_quoted_values_come_back(spark):
+    odd = ['say "x"', "back\\slash", "a # b: c", "line\nfeed\ttab", "'", "", "{[,]}"]
+    assert [files.parse_header(f"k: {q}")["k"] for q in values(spark, odd, files.quoted)] == odd
+
+
+def test_data_sources_push_their_filters(spark, tmp_path):
+    for i in range(4):
+        (tmp_path / f"e{i}.md").write_text(HEADER.replace("workSlug: kha-1", f"workSlug: kha-{i % 2}"))
+    (tmp_path / ".hidden.md").write_text("no")
+    formats.register(spark)
+    rows = spark.read.format("weft-entries").load(str(tmp_path))
+    assert rows.count() == 4 == files.read_entries(spark, str(tmp_path)).count()
+    assert sorted(map(str, rows.collect())) == sorted(map(str, files.read_entries(spark, str(tmp_path)).collect()))
+    assert [r.entry_id for r in rows.filter("workSlug = 'kha-1'").orderBy("entry_id").collect()] == ["e1", "e3"]
+    reader = formats._Entries({"path": str(tmp_path)})
+    assert list(reader.pushFilters([formats.EqualTo(("workSlug",), "kha-1"), formats.EqualTo(("author",), "x")])) == [formats.EqualTo(("author",), "x")]
+    assert [r[0] for p in reader.partitions() for r in reader.read(p)] == ["e1", "e3"]
+    (tmp_path / "bad.md").write_text("no header")
+    with pytest.raises(Exception, match="lacks"):
+        spark.read.format("weft-entries").load(str(tmp_path)).collect()
+    assert spark.read.format("weft-entries").option("strict", "false").load(str(tmp_path)).count() == 5
+    from weftline.plans.archive import _docx
+
+    (tmp_path / "d.docx").write_bytes(_docx("w"))
+    docs, plain = spark.read.format("weft-docx").load(str(tmp_path)), files.read_docx(spark, str(tmp_path))
+    mine = [(r.para_idx, r.part, [x.text for x in r.runs]) for r in docs.orderBy("para_idx").collect()]
+    assert mine == [(r.para_idx, r.part, [x.text for x in r.runs]) for r in plain.orderBy("para_idx").collect()]
+    assert [r.para_idx for r in docs.filter("part = 'table'").orderBy("para_idx").collect()] == [2, 3, 4]
+    reader = formats._Docx({"path": str(tmp_path)})
+    assert not list(reader.pushFilters([formats.In(("part",), ("table", "body"))])) and [p.part for p in reader.partitions()] == ["body", "table"]
+
+
+def test_rules_of_hosts(spark):
+    rules = [("h.org", "*", "disallow", "/a"), ("H.org", "*", "allow", "/a/b"), ("h.org", "*", "disallow", "/*.pdf$"), ("h.org", "*", "crawl-delay", "3"), ("g.org", "*", "disallow", "/"), ("g.org", "Weftline", "disallow", ""), ("tie.org", "*", "allow", "/x"), ("tie.org", "*", "disallow", "/x"), ("q.org", "*", "disallow", "/p?(.)")]
+    cases = {"https://h.org/": True, "http://u@H.org:80/a/c": False, "https://h.org/a/b/c": True, "https://h.org/z.pdf": False, "https://h.org/z.pdf?x": True, "https://h.org": True, "https://g.org/any": True, "https://free.org/x": True, "https://tie.org/x": True, "https://q.org/p?(.)1": False, "https://q.org/pp.1": True, None: False, "nothing": False}
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(cases)], "page_id long, url string")
+    table = spark.createDataFrame(rules, "host string, agent string, rule string, path string")
+    gated = robots.gate(pages, table)
+    assert {r.url: r.allowed for r in gated.collect()} == cases and {r.delay for r in gated.filter("host = 'h.org'").collect()} == {3.0}
+    assert robots.gate(pages, table.limit(0)).filter("allowed").count() == 11
+    many = spark.createDataFrame([(i, f"https://h{i % 3}.org/{i // 6}") for i in range(60)], "page_id long, url string").repartition(4)
+    plans = [sorted((r.page_id, r.at) for r in robots.schedule(robots.gate(many, table), "page_id").collect()) for _ in range(2)]
+    assert plans[0] == plans[1] and len(plans[0]) == 60
+    for h in range(3):
+        at = [a for i, a in plans[0] if i % 3 == h]
+        assert at[0] == 0 and all(1 <= b - a <= 2 for a, b in zip(at, at[1:], strict=False)) and len({round(b - a, 3) for a, b in zip(at, at[1:], strict=False)}) > 3
+
+
+def test_learnt_languages(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("lang IN ('en', 'fr') AND length(text) >= 40")
+    model = charmodel.train(docs.filter("doc_id % 5 <> 0"), "text", "lang").cache()
+    held = docs.filter("doc_id % 5 = 0")
+    got = {r.doc_id: r.lang for r in charmodel.classified(held, "doc_id", "text", model, "en", "fr").collect()}
+    truth = {r.doc_id: r.lang for r in held.select("doc_id", "lang").collect()}
+    right = sum(got[i] == x for i, x in truth.items()) / len(truth)
+    assert len(truth) > 60 and right >= 0.9, right
+    odd = spark.createDataFrame([(1, None), (2, "12 34"), (3, ""), (4, "the " * 50_000)], "k long, t string")
+    costs = {r.k: (r.en, r.fr) for r in charmodel.costs(odd, "k", "t", model, ["en", "fr"]).collect()}
+    assert costs[1] == costs[2] == costs[3] == (0.0, 0.0) and costs[4][0] > 0 and len(costs) == 4
+    assert charmodel.classified(odd.filter("k < 4"), "k", "t", model, "en", "fr").filter("lang = 'fr'").count() == 3
+    model.unpersist()
+
+
+def bare(x):
+    import re
+
+    x = re.sub(r"\A\s*\*\*[^\n*]+\*\*\s*\n", "", x)
+    for pattern in (r"(?m)^\s*>+\s*", r"[*_]", r"\[[^\]]*\]", r"\([^)]*\)", "[^\u0900-\u097f]"):
+        x = re.sub(pattern, "", x)
+    return x
+
+
+def test_missing_content_equals_a_loop(spark):
+    import random
+
+    r = random.Random(6)
+    word = lambda n: "".join(r.choice("कखगघङ ") for _ in range(n))
+    paragraphs, sections, want = [], [], {}
+    for doc in range(25):
+        lines, parts = [], []
+        for number in range(1, r.randint(2, 8)):
+            root, notes = word(r.randint(0, 40)), [word(r.randint(0, 90)) for _ in range(r.randint(0, 4))]
+            lines += [root, "[12]", "न व्याख्यातम्", *notes, r.choice(["", "x: न व्याख्यातम्"])]
+            kept = [n for n in notes if r.random() < 0.6] + r.choice([[], ["_न व्याख्यातम्_"]])
+            parts.append((number, root if r.random() < 0.85 else word(30), kept))
+        paragraphs += [(doc, i, x) for i, x in enumerate(lines)]
+        sections += [(doc, *p) for p in parts]
+        big, offsets = "".join(map(bare, lines)), []
+        for i, x in enumerate(lines):
+            offsets += [i] * len(bare(x))
+        found = [(n, offsets[at]) for (n, _, _), (ok, at, _) in zip(parts, match_by_loop(big, [bare(p[1]) for p in parts]), strict=True) if ok]
+        for k, (n, start) in enumerate(found):
+            end = found[k + 1][1] if k + 1 < len(found) else len(lines)
+            skip = lambda x: x.strip() == "[12]" or x.strip().removeprefix("x: ") == "न व्याख्यातम्"
+            source = sum(len(bare(x)) for x in lines[start:end] if not skip(x))
+            target = len(bare(parts[n - 1][1])) + sum(len(bare(x)) for x in parts[n - 1][2] if x != "_न व्याख्यातम्_")
+            if source and source - target > 60 and target / source < 0.97:
+                want[doc, n] = (start, source, target)
+    got = align.missing_content(spark.createDataFrame(paragraphs, "doc long, i int, line string"), spark.createDataFrame(sections, "doc long, number long, root string, notes array<string>"), "doc", "i", "line", "number", "root", "notes", "न व्याख्यातम्")
+    assert {(x.doc, x.number): (x.start, x.source_length, x.target_length) for x in got.collect()} == want and len(want) > 10

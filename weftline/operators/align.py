@@ -12,6 +12,8 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weftline.functions.text import is_bracket_number, is_placeholder, matching_form
+from weftline.operators.ordered import running_offsets, slice_ranges
 from weftline.scratch import Scratch
 
 PREFIX = 12
@@ -152,6 +154,34 @@ def deficits(df: DataFrame, source_len: str, target_len: str, at_least: int = 60
     return rows.filter((F.col(source_len) != 0) & (F.col("deficit") > at_least) & (F.col("ratio") < ratio))
 
 
+def missing_content(paragraphs: DataFrame, sections: DataFrame, key: str, idx: str, text: str, number: str, root: str, notes: str, placeholder: str, at_least: int = 60, ratio: float = 0.97) -> DataFrame:
+    """[C17, E14-E16, E18, F6-F8, P6, G6] Sections of a setting that lack much of what the source has in their range.
+
+    ``paragraphs`` has key, idx and text of sources; ``sections`` key, number, root (text) and notes (array of texts) of
+    the other setting.  The roots are sought in order in the source's bare text; a range goes from the paragraph
+    of a find to that of the next; its length is that of its paragraphs' bare texts, but for lone numbers in
+    brackets and placeholders, a section's that of its root and notes but for placeholders.  Returns key,
+    number, start, source_length, target_length, deficit and ratio.
+    """
+    bare = paragraphs.withColumns({"_bare": matching_form(F.col(text)), "_count": ~is_bracket_number(F.col(text)) & ~is_placeholder(F.trim(F.col(text)), placeholder)})
+    placed = running_offsets(bare, [key], [idx], F.col("_bare"))
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(idx, "_bare"))), lambda r: r["_bare"]), "")
+    wanted = F.array_sort(F.collect_list(F.struct(F.col(number).alias("number"), matching_form(F.col(root)).alias("q"))))
+    groups = placed.groupBy(key).agg(joined.alias("_big")).join(sections.groupBy(key).agg(wanted.alias("_wanted")), key)
+    found = forward_match(groups.withColumn("_queries", F.transform("_wanted", lambda w: w["q"])), "_big", "_queries")
+    finds = found.select(key, F.inline(F.transform(F.arrays_zip("_wanted", "matches"), lambda m: F.struct(m["_wanted"]["number"].alias(number), m["matches"]["start"].cast("long").alias("_at"))))).filter("_at IS NOT NULL")
+    # A place between paragraphs belongs to the later one: paragraphs without a bare text hold no place.
+    starts = slice_ranges(finds, placed.filter("end > start").select(key, "start", F.col(idx).cast("long").alias("_para")), [key], "_at", "start", "_para")
+    # Of finds in one paragraph the last has the range; the others have none and are left out.
+    ranges = starts.groupBy(key, "_para").agg(F.max(number).alias(number))
+    inside = slice_ranges(bare.withColumn("_i", F.col(idx).cast("long")), ranges, [key], "_i", "_para", number).filter(F.col(number).isNotNull())
+    lengths = range_lengths(inside, [key], number, "_bare", F.col("_count"), F.length("_bare")).withColumnRenamed("length", "source_length")
+    own = F.aggregate(F.filter(notes, lambda x: ~is_placeholder(F.trim(x), f"_?{placeholder}_?")), F.lit(0), lambda n, x: n + F.length(matching_form(x)))
+    other = sections.select(key, number, (F.length(matching_form(F.col(root))) + own).cast("long").alias("target_length"))
+    both = lengths.join(other, [key, number]).join(ranges.withColumnRenamed("_para", "start"), [key, number])
+    return deficits(both, "source_length", "target_length", at_least, ratio).select(key, number, "start", "source_length", "target_length", "deficit", "ratio")
+
+
 def range_lengths(points: DataFrame, keys: list[str], name: str, text: str, counts: Column, length: Column) -> DataFrame:
     """Per range or section, the length of what counts: markers and placeholders count as nothing."""
     return points.groupBy(*keys, name).agg(F.sum(F.when(counts, length).otherwise(0)).cast("long").alias("length"))

@@ -10,15 +10,16 @@ from __future__ import annotations
 import io
 import zipfile
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weftline.functions import charmodel, translit
 from weftline.functions import text as X
-from weftline.functions import translit
 from weftline.operators import align, graph, ordered, relational
-from weftline.plans.catalogue import LINES, MIXED_SQL, ORACLE_SQL, QUERIES, apart_lines, citation_lines, dev_sql, doc_lines, headed_lines, query, t
+from weftline.plans.catalogue import HEADED, LINES, MIXED_SQL, ORACLE_SQL, QUERIES, apart_lines, citation_lines, dev_sql, doc_lines, headed_lines, query, t
 from weftline.scratch import Scratch
-from weftline.sources import files, html, ocr, stores
+from weftline.sources import files, formats, html, ocr, robots, stores
 from weftline.streaming import incremental
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
@@ -642,27 +643,168 @@ def works_of_sutras(spark, sf_dir):
 # --- resumable runs --------------------------------------------------------------------------------
 
 
+class Stopped(Exception):
+    """A run that was stopped inside a batch."""
+
+
+def interrupted(spark, rows: DataFrame, order: list[str], name: str, transform, kind=None, every: int = 2_000) -> incremental.Run:
+    """A run over rows in order that is stopped inside its second batch, goes on, is given more rows, and has nothing left at last."""
+    source, run = folder(spark, f"{name}-in"), incremental.Run(spark, folder(spark, name))
+    half = F.col(order[0]) % 2 == 0
+    incremental.stage_rows(rows.filter(half), order, source, every)
+    schema, seen = spark.read.parquet(source).schema, []
+
+    def stops(batch: DataFrame) -> DataFrame:
+        seen.append(1)
+        if len(seen) == 2:
+            raise Stopped
+        return transform(batch)
+
+    try:
+        run.resume(source, schema, stops, kind)
+    except Exception as e:
+        if "Stopped" not in str(e):
+            raise
+    run.resume(source, schema, transform, kind, files_per_batch=4)
+    incremental.stage_rows(rows.filter(~half), order, source, every)
+    run.resume(source, schema, transform, kind, files_per_batch=4)
+    if run.resume(source, schema, transform, kind):
+        raise ValueError("a finished run has nothing left")
+    return run
+
+
 @query("SELECT event_id, user_id * 2 AS twice FROM events")
 def resumed_run(spark, sf_dir):
-    """K1, K4: a stream that is stopped half way, started again and once more with nothing left; its rows, each once."""
-    e, source, sink, position = t(spark, sf_dir, "events").select("event_id", "user_id"), folder(spark, "in"), folder(spark, "out"), folder(spark, "position")
+    """K1, K4: a run that is stopped inside a batch and goes on from it; its rows, each once."""
     progress = incremental.Progress()
     spark.streams.addListener(progress)
     try:
-        for part in ("event_id % 2 = 0", "event_id % 2 = 1", None):
-            if part:
-                e.filter(part).write.mode("append").parquet(source)
-            incremental.resume(spark, source, e.schema, lambda s: s.select("event_id", (F.col("user_id") * 2).alias("twice")), sink, position, files_per_batch=2)
+        run = interrupted(spark, t(spark, sf_dir, "events").select("event_id", "user_id"), ["event_id"], "resumed", lambda b: b.select("event_id", (F.col("user_id") * 2).alias("twice")))
     finally:
         spark.streams.removeListener(progress)
-    return spark.read.schema("event_id long, twice long").parquet(sink)
+    return run.rows("event_id long, twice long")
 
 
 @query("SELECT event_type AS kind, count(*)::BIGINT AS n FROM events GROUP BY 1")
 def running_totals(spark, sf_dir):
-    """Counters per kind that go on from where an earlier run left them."""
-    e, source, position = t(spark, sf_dir, "events").select("event_id", "event_type"), folder(spark, "in"), folder(spark, "position")
-    for part in ("event_id % 3 = 0", "event_id % 3 > 0"):
-        e.filter(part).write.mode("append").parquet(source)
-        incremental.running_counts(spark.readStream.schema(e.schema).parquet(source), F.col("event_type"), position, "running_totals").awaitTermination()
-    return spark.table("running_totals")
+    """Counters per kind in a table, exact over a run that was stopped inside a batch."""
+    return interrupted(spark, t(spark, sf_dir, "events").select("event_id", "event_type"), ["event_id"], "totals", lambda b: b.select("event_id", "event_type"), F.col("event_type")).totals()
+
+
+@query(f"""WITH {LINES}, f AS (SELECT DISTINCT line FROM lines WHERE doc_id % 2 = 0)
+SELECT doc_id, idx, {dev_sql('lines.line')} AS converted, CASE WHEN f.line IS NULL THEN 2 ELSE 1 END::BIGINT AS converted_run FROM lines LEFT JOIN f ON lines.line = f.line""")
+def memoised_lines(spark, sf_dir):
+    """K6: lines converted over two runs with one memo: the second converts only lines that the first has not met, and says so."""
+    memo, rows = incremental.Memo(spark, folder(spark, "memo")), doc_lines(spark, sf_dir)
+    memo.convert(rows.filter("doc_id % 2 = 0"), "line", translit.iast_to_devanagari, "converted", run=1)
+    return memo.convert(rows, "line", translit.iast_to_devanagari, "converted", run=2)[0].select("doc_id", "idx", "converted", "converted_run")
+
+
+# --- data sources, fetching and learnt scorers -----------------------------------------------------
+
+
+@query("""SELECT 'nation-' || n_nationkey AS entry_id, n_name || ' "' || n_nationkey || '", #1 \\' AS devanagari, r_name AS work, lower(r_name) AS slug, n_nationkey::DOUBLE AS sequence, ['a, b', 'c'] AS scripts,
+  '# ' || n_name AS body FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name IN ('ASIA', 'AFRICA')""")
+def entry_source(spark, sf_dir):
+    """Entries as a data source, with quotes, backslashes and commas in their headers, of two works by a filter that is pushed down."""
+    n = t(spark, sf_dir, "nation").join(F.broadcast(t(spark, sf_dir, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
+    title = F.concat("n_name", F.lit(' "'), "n_nationkey", F.lit('", #1 \\'))
+    head = [("title.devanagari", files.quoted(title)), ("work.devanagari", F.concat("r_name", F.lit("  # a note"))), ("workSlug", F.concat(F.lit("'"), F.lower("r_name"), F.lit("'"))), ("sequence", F.col("n_nationkey").cast("string"))]
+    head += [("availableScripts", F.lit('["a, b", c]')), ("commentaries", F.lit("[{id: x, label: 'it''s'}]"))]
+    root = folder(spark, "entries")
+    stores.write_files(n.select(F.concat(F.lit("nation-"), "n_nationkey", F.lit(".md")).alias("name"), files.with_header(F.concat(F.lit("# "), "n_name"), head).alias("content")), root, "name", "content")
+    formats.register(spark)
+    rows = spark.read.format("weft-entries").load(root).filter(F.col("workSlug").isin("asia", "africa"))
+    return rows.select("entry_id", F.col("title.devanagari").alias("devanagari"), F.col("work.devanagari").alias("work"), F.col("workSlug").alias("slug"), "sequence", F.col("availableScripts").alias("scripts"), "body")
+
+
+@query("""SELECT 's' || s_suppkey AS name, i::INT AS para_idx, part, CASE WHEN i = 0 THEN s_name ELSE w END AS text FROM supplier, (VALUES (0, 'body', ''), (2, 'table', 'cell'), (12, 'footnote', 'note')) v(i, part, w) WHERE s_suppkey % 3 > 0""")
+def document_parts(spark, sf_dir):
+    """Word-processor files, one for each supplier, made by tasks, and some of their parts read as a data source that parses no other."""
+
+    @F.pandas_udf("binary")
+    def made(names: pd.Series) -> pd.Series:
+        return names.map(_docx)
+
+    root = folder(spark, "docx")
+    some = t(spark, sf_dir, "supplier").filter("s_suppkey % 3 > 0")
+    stores.write_files(some.select(F.concat(F.lit("s"), "s_suppkey", F.lit(".docx")).alias("name"), made(F.col("s_name")).alias("content")), root, "name", "content")
+    formats.register(spark)
+    rows = spark.read.format("weft-docx").load(root).filter(F.col("part").isin("body", "table", "footnote")).filter("para_idx IN (0, 2, 12)")
+    return rows.select(F.regexp_extract("path", r"([^/]+)\.docx$", 1).alias("name"), "para_idx", "part", F.regexp_replace(X.full_text(F.col("runs")), "-one$", "").alias("text"))
+
+
+_GATE_SQL = """p AS (SELECT page_id, url, lower(regexp_extract(url, '^[a-z]+://([^/:?#]+)', 1)) AS host, CASE WHEN regexp_extract(url, '^[a-z]+://[^/?#]+([^#]*)', 1) = '' THEN '/' ELSE regexp_extract(url, '^[a-z]+://[^/?#]+([^#]*)', 1) END AS path FROM pages),
+r AS (SELECT DISTINCT host, unnest(['disallow', 'allow', 'disallow']) AS rule, unnest([left(path, 2), left(path, 4), left(path, 6)]) AS path FROM p WHERE page_id % 4 = 0),
+h AS (SELECT p.page_id, arg_max(r.rule = 'allow', length(r.path) * 2 + (r.rule = 'allow')::INT) AS allow FROM p JOIN r ON p.host = r.host AND starts_with(p.path, r.path) GROUP BY p.page_id)"""
+
+
+@query(f"WITH {_GATE_SQL} SELECT page_id, host, coalesce(allow, true) AS allowed FROM p LEFT JOIN h USING (page_id)")
+def fetch_gate(spark, sf_dir):
+    """Pages that the rules of their hosts allow; the longest path that fits decides."""
+    return robots.gate(t(spark, sf_dir, "pages"), host_rules(spark, sf_dir)).select("page_id", "host", "allowed")
+
+
+def host_rules(spark, sf_dir) -> DataFrame:
+    """Rules made from some pages' addresses: a refusal, a leave within it, and a refusal within that."""
+    host, path = robots.host_and_path(F.col("url"))
+    some = t(spark, sf_dir, "pages").filter("page_id % 4 = 0").select(host.alias("host"), path.alias("p"))
+    rules = F.array(*[F.struct(F.lit(rule).alias("rule"), F.left("p", F.lit(n)).alias("path")) for rule, n in (("disallow", 2), ("allow", 4), ("disallow", 6))])
+    return some.select("host", F.lit("*").alias("agent"), F.inline(rules)).distinct()
+
+
+@query(f"WITH {_GATE_SQL}, a AS (SELECT page_id, host FROM p LEFT JOIN h USING (page_id) WHERE coalesce(allow, true)) SELECT page_id, host, ((row_number() OVER (PARTITION BY host ORDER BY page_id) - 1) * 1.0)::DOUBLE AS at FROM a")
+def fetch_schedule(spark, sf_dir):
+    """Seconds at which allowed pages may be fetched, a second between two of a host (without the random part, which tests cover)."""
+    return robots.schedule(robots.gate(t(spark, sf_dir, "pages"), host_rules(spark, sf_dir)), "page_id", jitter=0).select("page_id", "host", "at")
+
+
+_LEARN_SQL = """WITH x AS (SELECT doc_id, lang, '  ' || trim(regexp_replace(lower(text), '[^\\p{L}\\p{M}]+', ' ', 'g')) || ' ' AS t FROM documents WHERE lang IN ('en', 'de')),
+g AS (SELECT doc_id, lang, substr(t, unnest(range(1, length(t) - 1)), 3) AS gram FROM x WHERE length(t) > 3), n AS (SELECT lang, gram, count(*) AS n FROM g WHERE doc_id % 5 <> 0 GROUP BY ALL),
+w AS (SELECT lang, left(gram, 2) AS two, sum(n) AS of FROM n GROUP BY ALL), v AS (SELECT count(DISTINCT substr(gram, 3, 1)) AS v FROM n),
+c AS (SELECT l.lang, m.gram, -ln((coalesce(n.n, 0) + 0.1::DOUBLE) / (coalesce(w.of, 0) + 0.1::DOUBLE * v)) AS cost FROM (SELECT DISTINCT gram FROM n) m CROSS JOIN (SELECT DISTINCT lang FROM n) l CROSS JOIN v
+  LEFT JOIN n ON n.lang = l.lang AND n.gram = m.gram LEFT JOIN w ON w.lang = l.lang AND w.two = left(m.gram, 2)),
+s AS (SELECT g.doc_id, sum(c.cost) FILTER (c.lang = 'en') AS en, sum(c.cost) FILTER (c.lang = 'de') AS de FROM g JOIN c ON c.gram = g.gram GROUP BY g.doc_id)"""
+
+
+def learnt(spark, sf_dir) -> DataFrame:
+    docs = t(spark, sf_dir, "documents").filter(F.col("lang").isin("en", "de"))
+    model = Scratch(spark, "languages").write(charmodel.train(docs.filter("doc_id % 5 <> 0"), "text", "lang"), "model")
+    return charmodel.classified(docs, "doc_id", "text", model, "en", "de")
+
+
+@query(_LEARN_SQL + " SELECT doc_id, CASE WHEN coalesce(en, 0) < coalesce(de, 0) THEN 'en' ELSE 'de' END AS lang FROM x LEFT JOIN s USING (doc_id)")
+def learned_languages(spark, sf_dir):
+    """C2 with learnt scorers: of two languages that of less cost, learnt from four fifths of the documents."""
+    return learnt(spark, sf_dir)
+
+
+@query(f"""WITH {HEADED}, f AS (SELECT doc_id, idx, row_number() OVER (PARTITION BY doc_id ORDER BY idx) AS i, trim(regexp_replace(line, '^##\\s+', '')) AS title, CASE WHEN idx % 6 = 2 THEN (doc_id + idx) % 40 END AS declared FROM s WHERE h2),
+q AS (SELECT *, row_number() OVER (ORDER BY lpad(doc_id::VARCHAR, 9, '0'), i) AS number FROM f)
+SELECT 'part-' || lpad(doc_id::VARCHAR, 9, '0') || '.md' AS file, number, 'part-' || lpad(doc_id::VARCHAR, 9, '0') || '.md: heading ''' || title || ''' declares अनुच्छेदः ' || declared || ' but positional count is ' || number AS warning
+FROM q WHERE declared IS NOT NULL AND declared <> number""")
+def section_warnings(spark, sf_dir):
+    """Sections counted on over files in order, with a warning where a heading declares another number."""
+    rows = ordered.sections(headed_lines(spark, sf_dir), "doc_id", "idx", "line").filter("is_h2")
+    name = F.concat(F.lit("part-"), F.lpad(F.col("doc_id").cast("string"), 9, "0"), F.lit(".md"))
+    rows = rows.select(name.alias("file"), "idx", "heading", F.when(F.col("idx") % 6 == 2, (F.col("doc_id") + F.col("idx")) % 40).alias("declared"))
+    return ordered.declared_warnings(rows, "file", ["idx"], "heading", "declared")
+
+
+@query(f"""WITH {LINES}, a AS (SELECT doc_id, idx, line, idx % 5 = 3 AS s, sum((idx % 5 = 3)::INT) OVER (PARTITION BY doc_id ORDER BY idx) AS g FROM lines),
+b AS (SELECT doc_id, idx, dense_rank() OVER (PARTITION BY doc_id ORDER BY g) AS chunk FROM a WHERE NOT s) SELECT doc_id, idx, chunk, CASE WHEN chunk = 1 THEN 'पादः ' || doc_id END AS heading FROM b""")
+def headed_chunks(spark, sf_dir):
+    """Chunks between separators, the first of each with the heading of the whole."""
+    rows = ordered.separator_chunks(doc_lines(spark, sf_dir), ["doc_id"], ["idx"], F.col("idx") % 5 == 3, heading=F.concat(F.lit("पादः "), F.col("doc_id")), first="heading")
+    return rows.select("doc_id", "idx", "chunk", "heading")
+
+
+@query()
+def missing_content(spark, sf_dir):
+    """Sections, of six lines each and of some documents without the last two, against their documents (tested against a loop)."""
+    rows = doc_lines(spark, sf_dir).withColumn("line", translit.iast_to_devanagari(F.when(F.col("idx") % 8 == 7, "[12]").otherwise(F.col("line"))))
+    rows = Scratch(spark, "missing").write(rows, "lines")
+    at, some = F.col("idx") % 6, F.col("doc_id") % 3 == 0
+    notes = F.array_sort(F.collect_list(F.when((at > 0) & ((at < 4) | ~some), F.struct("idx", "line"))))
+    sections = rows.groupBy("doc_id", (F.floor(F.col("idx") / 6) + 1).alias("number")).agg(F.max(F.when(at == 0, F.col("line"))).alias("root"), F.transform(notes, lambda r: r["line"]).alias("notes"))
+    return align.missing_content(rows, sections, "doc_id", "idx", "line", "number", "root", "notes", "न व्याख्यातम्")

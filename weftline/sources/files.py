@@ -9,7 +9,7 @@ from __future__ import annotations
 import io
 import re
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.functions.text import without_frontmatter
+from weftline.scratch import Scratch
 
 SCRIPTS = "struct<devanagari:string,iast:string,english:string>"
 #: The record of a corpus entry.
@@ -30,55 +31,184 @@ RUN = "struct<text:string,bold:boolean,italic:boolean,underline:boolean,size:dou
 PARAGRAPH = f"path string, para_idx int, part string, runs array<{RUN}>"
 
 
-def _scalar(x: str):
-    x = x.strip()
-    if len(x) >= 2 and x[0] == x[-1] and x[0] in "'\"":
-        return x[1:-1]
-    return x or None
+_ESCAPES = {"n": "\n", "t": "\t", "r": "\r", "0": "\0", "a": "\a", "b": "\b", "e": "\x1b", "f": "\f", "v": "\v", "/": "/", "\\": "\\", '"': '"', " ": " ", "_": "\xa0"}
+_ESCAPED = re.compile(r"\\(?:x([0-9A-Fa-f]{2})|u([0-9A-Fa-f]{4})|U([0-9A-Fa-f]{8})|(.))", re.DOTALL)
+
+
+class _Flow:
+    """Values written on one line: plain, quoted with escapes, lists in brackets and maps in braces, comments after a blank and ``#``."""
+
+    def __init__(self, text: str):
+        self.text, self.at = text, 0
+
+    def _skip(self) -> None:
+        while self.at < len(self.text) and self.text[self.at] in " \t":
+            self.at += 1
+        if self.text.startswith("#", self.at) and (not self.at or self.text[self.at - 1] in " \t"):
+            self.at = len(self.text)
+
+    def whole(self):
+        """The value of the whole line."""
+        found = self.value("")
+        self._skip()
+        if self.at < len(self.text):
+            raise ValueError(f"unexpected {self.text[self.at :]!r} after a value")
+        return found
+
+    def value(self, ends: str):
+        self._skip()
+        first = self.text[self.at : self.at + 1]
+        if first == '"':
+            return self._double()
+        if first == "'":
+            return self._single()
+        if first == "[":
+            return self._items("]", lambda: self.value(",]"))
+        if first == "{":
+            return dict(self._items("}", self._pair))
+        return self._plain(ends)
+
+    def _double(self) -> str:
+        m = re.compile(r'"((?:[^"\\]|\\.)*)"', re.DOTALL).match(self.text, self.at)
+        if not m:
+            raise ValueError(f"unclosed quote in {self.text!r}")
+        self.at = m.end()
+        return _ESCAPED.sub(lambda e: chr(int(e[1] or e[2] or e[3], 16)) if e[1] or e[2] or e[3] else _ESCAPES.get(e[4], e[4]), m[1])
+
+    def _single(self) -> str:
+        m = re.compile(r"'((?:[^']|'')*)'").match(self.text, self.at)
+        if not m:
+            raise ValueError(f"unclosed quote in {self.text!r}")
+        self.at = m.end()
+        return m[1].replace("''", "'")
+
+    def _plain(self, ends: str) -> str | None:
+        start = self.at
+        while self.at < len(self.text) and self.text[self.at] not in ends and not (self.text[self.at] == "#" and self.text[self.at - 1] in " \t"):
+            if ends and self.text[self.at] == ":" and self.text[self.at + 1 : self.at + 2] in ("", " ", ",", "}", "]"):
+                break
+            self.at += 1
+        found = self.text[start : self.at].strip()
+        return None if found in ("", "~", "null") else found
+
+    def _items(self, end: str, item: Callable) -> list:
+        out, self.at = [], self.at + 1
+        while True:
+            self._skip()
+            if self.at >= len(self.text):
+                raise ValueError(f"unclosed {end} in {self.text!r}")
+            if self.text[self.at] == end:
+                self.at += 1
+                return out
+            out.append(item())
+            self._skip()
+            if self.text.startswith(",", self.at):
+                self.at += 1
+
+    def _pair(self) -> tuple:
+        key = self.value(",}")
+        self._skip()
+        if not self.text.startswith(":", self.at):
+            return key, None
+        self.at += 1
+        return key, self.value(",}")
+
+
+_KEY = re.compile(r"""("(?:[^"\\]|\\.)*"|'(?:[^']|'')*'|[^\s"'#\[\]{},&*!|>%@`-][^#:]*?|-[^\s#:][^#:]*?)\s*:(?=\s|$)""")
 
 
 def parse_header(text: str) -> dict:
-    """The subset of YAML that headers use: nested maps, lists of maps or scalars, flow lists, folded scalars."""
-    rows = [(len(x) - len(x.lstrip()), x.strip()) for x in text.split("\n") if x.strip() and not x.lstrip().startswith("#")]
+    """[A1] The YAML of headers: nested maps, lists of maps or scalars, values on one line (:class:`_Flow`), folded and literal blocks, comments."""
+    rows = [(len(x) - len(x.lstrip(" ")), x.rstrip()) for x in text.split("\n")]
     at = 0
 
-    def value(indent: int, rest: str):
+    def blank(i: int) -> bool:
+        return not rows[i][1].strip() or rows[i][1].lstrip().startswith("#")
+
+    def skip() -> None:
+        nonlocal at
+        while at < len(rows) and blank(at):
+            at += 1
+
+    def lines_of(indent: int, style: str) -> str:
+        """A literal or folded block: lines deeper than ``indent``, at the depth of the first."""
         nonlocal at
-        if rest in (">", "|", ">-", "|-"):
-            parts = []
-            while at < len(rows) and rows[at][0] > indent:
-                parts.append(rows[at][1])
-                at += 1
-            return ("\n" if rest[0] == "|" else " ").join(parts)
-        if rest.startswith("[") and rest.endswith("]"):
-            return [_scalar(x) for x in rest[1:-1].split(",") if x.strip()]
-        if rest:
-            return _scalar(rest)
-        if at < len(rows) and (rows[at][0] > indent or rows[at][0] == indent and rows[at][1].startswith("- ")):
+        parts, depth = [], None
+        while at < len(rows) and (not rows[at][1].strip() or rows[at][0] > indent):
+            if depth is None and rows[at][1].strip():
+                depth = rows[at][0]
+            parts.append(rows[at][1][depth or 0 :])
+            at += 1
+        tail = len(parts)
+        while parts and not parts[-1].strip():
+            parts.pop()
+        if style[0] == "|":
+            out = "\n".join(parts)
+        else:
+            out = re.sub(r"(?<=[^\n])\n(?=[^\n ])", " ", "\n".join(parts))
+            out = re.sub(r"\n(\n+)", r"\1", out)
+        return out + ("" if style.endswith("-") or not out else "\n" if not style.endswith("+") else "\n" * (1 + tail - len(parts)))
+
+    def value(indent: int, rest: str):
+        if re.fullmatch(r"[|>][+-]?(\s+#.*)?", rest):
+            return lines_of(indent, rest.split()[0])
+        if rest and not rest.startswith("#"):
+            return _Flow(rest).whole()
+        skip()
+        if at < len(rows) and (rows[at][0] > indent or rows[at][0] == indent and is_item(at)):
             return block(rows[at][0])
         return None
 
+    def is_item(i: int) -> bool:
+        return rows[i][1].lstrip() == "-" or rows[i][1].lstrip().startswith("- ")
+
     def block(indent: int):
         nonlocal at
-        if rows[at][1].startswith("- "):
+        if is_item(at):
             out = []
-            while at < len(rows) and rows[at][0] == indent and rows[at][1].startswith("- "):
-                item = rows[at][1][2:]
-                if re.match(r"[\w-]+:(\s|$)", item):
-                    rows[at] = (indent + 2, item)
-                    out.append(block(indent + 2))
+            while at < len(rows) and rows[at][0] == indent and is_item(at):
+                rest = rows[at][1].lstrip()[1:]
+                inner = indent + 1 + len(rest) - len(rest.lstrip(" "))
+                rest = rest.strip()
+                if _KEY.match(rest):
+                    rows[at] = (inner, " " * inner + rest)
+                    out.append(block(inner))
                 else:
                     at += 1
-                    out.append(_scalar(item))
+                    out.append(value(indent, rest))
+                skip()
             return out
         found = {}
-        while at < len(rows) and rows[at][0] == indent and not rows[at][1].startswith("- "):
-            key, _, rest = rows[at][1].partition(":")
+        while at < len(rows) and rows[at][0] == indent and not is_item(at):
+            line = rows[at][1].strip()
+            m = _KEY.match(line)
+            if not m:
+                raise ValueError(f"no key in {line!r}")
             at += 1
-            found[key.strip()] = value(indent, rest.strip())
+            found[_Flow(m[1]).whole()] = value(indent, line[m.end() :].strip())
+            skip()
         return found
 
-    return block(rows[0][0]) if rows else {}
+    skip()
+    return block(rows[at][0]) if at < len(rows) else {}
+
+
+def entry_of(entry_id: str, text: str, strict: bool = True) -> dict:
+    """[A1] One entry from its file's text: the validated header and the body as it is."""
+    parts = re.split(r"^---[ \t]*$\n?", text, maxsplit=2, flags=re.MULTILINE)
+    head, body = (parse_header(parts[1]), parts[2]) if len(parts) == 3 and not parts[0].strip() else ({}, text)
+    missing = [k for k in REQUIRED if head.get(k) is None]
+    if strict and missing:
+        raise ValueError(f"{entry_id}: the header lacks {', '.join(missing)}")
+    row = {k: ({n: (head.get(k) or {}).get(n) for n in ("devanagari", "iast", "note" if k == "corpusName" else "english")} if head.get(k) else None) for k in ("title", "work", "corpusName")}
+    row |= {k: head.get(k) for k in ("workSlug", "partOf", "author", "authorGroup", "goswami", "category", "availableScripts")}
+    row |= {"entry_id": entry_id, "body": body, "sequence": None if head.get("sequence") is None else float(head["sequence"])}
+    row["commentaries"] = None if head.get("commentaries") is None else [{n: c.get(n) for n in ("id", "label", "labelIast", "commentator", "note")} for c in head["commentaries"]]
+    return row
+
+
+#: Names of the columns of an entry, in order.
+ENTRY_COLUMNS = ("entry_id", "title", "work", "corpusName", "workSlug", "partOf", "sequence", "author", "authorGroup", "goswami", "category", "commentaries", "availableScripts", "body")
 
 
 def read_entries(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
@@ -87,21 +217,8 @@ def read_entries(spark: SparkSession, path: str, strict: bool = True) -> DataFra
     rows = files.select(F.regexp_extract(F.input_file_name(), r"([^/]+)\.md$", 1).alias("entry_id"), "value")
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        fields = ("title", "work", "corpusName")
         for pdf in batches:
-            out = []
-            for entry_id, text in zip(pdf["entry_id"], pdf["value"], strict=True):
-                parts = re.split(r"^---\s*$\n?", text, maxsplit=2, flags=re.MULTILINE)
-                head, body = (parse_header(parts[1]), parts[2]) if len(parts) == 3 and not parts[0].strip() else ({}, text)
-                missing = [k for k in REQUIRED if head.get(k) is None]
-                if strict and missing:
-                    raise ValueError(f"{entry_id}: the header lacks {', '.join(missing)}")
-                row = {k: ({n: (head.get(k) or {}).get(n) for n in ("devanagari", "iast", "note" if k == "corpusName" else "english")} if head.get(k) else None) for k in fields}
-                row |= {k: head.get(k) for k in ("workSlug", "partOf", "author", "authorGroup", "goswami", "category", "availableScripts")}
-                row |= {"entry_id": entry_id, "body": body, "sequence": None if head.get("sequence") is None else float(head["sequence"])}
-                row["commentaries"] = None if head.get("commentaries") is None else [{n: c.get(n) for n in ("id", "label", "labelIast", "commentator", "note")} for c in head["commentaries"]]
-                out.append(row)
-            yield pd.DataFrame(out, columns=[f.strip().split(" ")[0] for f in ("entry_id ", *fields, "workSlug", "partOf", "sequence", "author", "authorGroup", "goswami", "category", "commentaries", "availableScripts", "body")])
+            yield pd.DataFrame([entry_of(i, x, strict) for i, x in zip(pdf["entry_id"], pdf["value"], strict=True)], columns=list(ENTRY_COLUMNS))
 
     return rows.mapInPandas(parse, ENTRY)
 
@@ -143,20 +260,21 @@ def _related(z: zipfile.ZipFile) -> dict[str, str]:
     return {r.get("Id"): "word/" + r.get("Target").removeprefix("/word/") for r in ElementTree.fromstring(z.read(name))}
 
 
-def docx_paragraphs(data: bytes) -> Iterator[tuple[str, list[dict]]]:
+def docx_paragraphs(data: bytes | io.IOBase, parts: set[str] | None = None) -> Iterator[tuple[str, list[dict]]]:
     """[A4, A5] (part, runs) in the fixed order: body, tables with nested cells, headers and footers, foot- and endnotes.
 
     Headers and footers go section by section: the usual, the first page's and the even pages' header and
     footer, each with its tables.  A section without one of its own repeats the section's before; where
-    there is none either, an empty paragraph stands for it, so that positions agree with other readers.
+    there is none either, an empty paragraph stands for it, so that positions agree with other readers.  With
+    ``parts`` the runs of other parts are not read: their paragraphs have none, but keep their positions.
     """
-    with zipfile.ZipFile(io.BytesIO(data)) as z:
+    with zipfile.ZipFile(io.BytesIO(data) if isinstance(data, bytes | bytearray) else data) as z:
         names, related = z.namelist(), _related(z)
         body = ElementTree.fromstring(z.read("word/document.xml")).find(_W + "body")
 
         def own(parent, part: str):
             for p in parent.findall(_W + "p"):
-                yield part, [_run(r) for r in p.iter(_W + "r")]
+                yield part, [_run(r) for r in p.iter(_W + "r")] if parts is None or part in parts else []
 
         def cells(parent, part: str):
             for table in parent.findall(_W + "tbl"):
@@ -218,11 +336,17 @@ def rewritten(runs: Column, text: Column) -> Column:
 
 
 def append_log(df: DataFrame, path: str) -> bool:
-    """[B2, B4] Append review rows as CSV with a header; nothing is written where there is nothing to review."""
-    if df.isEmpty():
-        return False
-    df.write.mode("append").option("header", True).csv(path)
-    return True
+    """[B2, B4] Append review rows as CSV with a header; nothing is written where there is nothing to review.
+
+    The rows are made once, into the shared folder, where they are counted before they are appended.
+    """
+    scratch = Scratch(df.sparkSession, "log")
+    rows = scratch.write(df, "rows")
+    some = not rows.isEmpty()
+    if some:
+        rows.write.mode("append").option("header", True).csv(path)
+    scratch.drop(rows)
+    return some
 
 
 def write_chapters(df: DataFrame, keys: list[str], idx: str, body: str, path: str) -> None:
@@ -247,8 +371,10 @@ def rendered(df: DataFrame, keys: list[str], idx: str, kind: str, text: str) ->
 
 
 def quoted(x: Column) -> Column:
-    """A string as a header writes it."""
-    return F.concat(F.lit('"'), F.replace(x, F.lit('"'), F.lit("'")), F.lit('"'))
+    """A string as a header writes it: quoted, with backslashes, quotes and line ends escaped."""
+    for plain, escaped in (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+        x = F.replace(x, F.lit(plain), F.lit(escaped))
+    return F.concat(F.lit('"'), x, F.lit('"'))
 
 
 def with_header(body: Column, fields: list[tuple[str, Column]]) -> Column:
