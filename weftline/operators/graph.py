@@ -210,6 +210,20 @@ def adjacency(cites: DataFrame, of: str, to: str) -> DataFrame:
     return cites.select(of, to).distinct().groupBy(of).agg(F.array_join(F.sort_array(F.collect_list(F.col(to).cast("string"))), " ").alias("neighbours"), F.count(F.lit(1)).alias("n"))
 
 
+def sutra_routes(cites: DataFrame) -> DataFrame:
+    """[B12, E19] Address of each verse's page, with those of the verses before and after it in the graph.
+
+    Neighbours are joined by rank, so that no window orders all verses in one task.
+    """
+    part = lambda k: F.split_part("sutra_id", F.lit("."), F.lit(k)).cast("int")
+    verses = cites.select("sutra_id").distinct().withColumns({"adhyaya": part(1), "pada": part(2), "sutra": part(3)})
+    ranked = global_rank(verses, ["adhyaya", "pada", "sutra"], "rank").select("sutra_id", "rank")
+    route = lambda x: F.concat(F.lit("vedanta-sutra-graph/sutra/"), x, F.lit("/"))
+    beside = lambda step, name: ranked.select((F.col("rank") + step).alias("rank"), route(F.col("sutra_id")).alias(name))
+    rows = ranked.join(beside(1, "previous"), "rank", "left").join(beside(-1, "next"), "rank", "left")
+    return rows.select("sutra_id", route(F.col("sutra_id")).alias("route"), "previous", "next")
+
+
 def routes(entries: DataFrame, work: str, entry: str) -> DataFrame:
     """[B12] Addresses of pages: one per entry below its work, and one per work."""
     pages = entries.select(F.concat_ws("/", F.lit("granthas"), work, F.col(entry).cast("string")).alias("route"))

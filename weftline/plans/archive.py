@@ -808,3 +808,16 @@ def missing_content(spark, sf_dir):
     notes = F.array_sort(F.collect_list(F.when((at > 0) & ((at < 4) | ~some), F.struct("idx", "line"))))
     sections = rows.groupBy("doc_id", (F.floor(F.col("idx") / 6) + 1).alias("number")).agg(F.max(F.when(at == 0, F.col("line"))).alias("root"), F.transform(notes, lambda r: r["line"]).alias("notes"))
     return align.missing_content(rows, sections, "doc_id", "idx", "line", "number", "root", "notes", "न व्याख्यातम्")
+
+
+@query(f"""WITH {GRAPH_SQL}, v AS (SELECT DISTINCT sutra_id, 'vedanta-sutra-graph/sutra/' || sutra_id || '/' AS route, split_part(sutra_id, '.', 1)::INT AS a, split_part(sutra_id, '.', 2)::INT AS p, split_part(sutra_id, '.', 3)::INT AS z FROM e)
+SELECT sutra_id, route, lag(route) OVER (ORDER BY a, p, z) AS previous, lead(route) OVER (ORDER BY a, p, z) AS next FROM v""")
+def verse_routes(spark, sf_dir):
+    """A page for each verse of the graph, and those before and after it."""
+    return graph.sutra_routes(citations_and_map(spark, sf_dir))
+
+
+@query("SELECT doc_id, CASE WHEN length(text) > 600 THEN left(text, 600) || '...' ELSE text END AS shown FROM documents")
+def review_excerpts(spark, sf_dir):
+    """Texts for review, six hundred characters and three dots."""
+    return t(spark, sf_dir, "documents").select("doc_id", X.truncate(F.col("text"), 600, "...").alias("shown"))

@@ -50,10 +50,11 @@ def links(df: DataFrame, keys: list[str], html: str) -> DataFrame:
 
     A label is the pieces of text between tags, each without outer white space, put together.
     """
-    group = lambda k: F.regexp_extract_all(html, F.lit(ANCHOR), F.lit(k)).alias(f"g{k}")
-    rows = df.select(*keys, F.posexplode(F.arrays_zip(*[group(k) for k in (1, 2, 3, 4)])).alias("pos", "a"))
-    pieces = F.transform(F.split("a.g4", "<[^>]*>", -1), strip)
-    return rows.select(*keys, "pos", decoded(F.concat("a.g1", "a.g2", "a.g3")).alias("href"), decoded(F.array_join(pieces, "")).alias("label"))
+    # A page is searched once, for whole anchors; their parts are taken from each.
+    rows = df.select(*keys, F.posexplode(F.regexp_extract_all(html, F.lit(ANCHOR), F.lit(0))).alias("pos", "_a"))
+    part = lambda k: F.regexp_extract("_a", ANCHOR, k)
+    rows = rows.select(*keys, "pos", F.concat(part(1), part(2), part(3)).alias("_h"), F.split(part(4), "<[^>]*>", -1).alias("_l"))
+    return rows.select(*keys, "pos", decoded(F.col("_h")).alias("href"), decoded(F.array_join(F.transform("_l", strip), "")).alias("label"))
 
 
 def books(rows: DataFrame, base: Column) -> DataFrame:
