@@ -1,14 +1,14 @@
 """Transliteration to Devanagari as native column expressions, plus a second one for cross-checks.
 
-Each consonant becomes its letter and a private-use mark, a mark with a vowel becomes the vowel's sign, and
-what is left, vowels without a consonant and marks without a vowel, is turned into letters and viramas in
-one last pass.  These are replacements of fixed strings, which cost a fraction of patterns; the mark is of
-private use, so that Devanagari that a text already has is never touched.
+All letters of the scheme are first put into ASCII, those that are none or have two characters as capitals, of
+which a text in small letters has none.  Two patterns mark vowels without a consonant and consonants
+without a vowel, and one pass turns everything into Devanagari; what a text already has of it is never touched.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -43,26 +43,30 @@ ITRANS_VOWELS = {
 ITRANS_SIGNS = {"M": "ं", ".m": "ं", "H": "ः", ".a": "ऽ", "||": "॥", "|": "।", "OM": "ॐ", "AUM": "ॐ", ".N": "ँ", ".h": VIRAMA}
 
 
-#: Stands after a consonant until it is known whether a vowel follows; no text has it.
-_OPEN = "\ue400"
+#: Capitals, which no text has once it is in small letters, for letters of two characters and for those that are no ASCII:
+#: the patterns' classes are then all ASCII, which Java looks up in a bit set and not one by one.
+_SHORT = dict(zip([k for k in (*CONSONANTS, *VOWELS) if not (len(k) == 1 and k.isascii())], "KGCJQXTDPBNMLOWSREAUIFHVYZ", strict=True))
+#: Marks of private use: a consonant without a vowel and a vowel without a consonant.
+_BARE, _ALONE = "\ue400", "\ue401"
 
 
 def iast_to_devanagari(x: Column) -> Column:
     """[C9] Native expressions; characters that are no part of the scheme stay as they are."""
     x = F.lower(x)
-
-    def put(x: Column, pairs: dict[str, str]) -> Column:
-        for key, to in pairs.items():
+    for key, to in {**_SHORT, "||": SIGNS["||"]}.items():
+        if len(key) > 1:
             x = F.replace(x, F.lit(key), F.lit(to))
-        return x
-
-    # The scheme's tables have longer keys first.
-    x = put(x, {k: v + _OPEN for k, v in CONSONANTS.items()})
-    x = put(x, {_OPEN + k: sign for k, (_, sign) in VOWELS.items()})
-    rest = {k: letter for k, (letter, _) in VOWELS.items()} | SIGNS | {_OPEN: VIRAMA} | dict(zip(ASCII_DIGITS, DEVANAGARI_DIGITS, strict=True))
-    x = put(x, {k: v for k, v in rest.items() if len(k) > 1})
-    single = {k: v for k, v in rest.items() if len(k) == 1}
-    return F.translate(x, "".join(single), "".join(single.values()))
+    single = {k: to for k, to in _SHORT.items() if len(k) == 1}
+    x = F.translate(x, "".join(single), "".join(single.values()))
+    consonants, vowels = ({_SHORT.get(k, k): v for k, v in d.items()} for d in (CONSONANTS, VOWELS))
+    c, v = f"[{''.join(consonants)}]", f"[{''.join(vowels)}]"
+    x = F.regexp_replace(x, f"(?<!{c}){v}", f"{_ALONE}$0")
+    x = F.regexp_replace(x, f"{c}(?!{v})", f"$0{_BARE}")
+    for key, (letter, _) in vowels.items():
+        x = F.replace(x, F.lit(_ALONE + key), F.lit(letter))
+    last = consonants | {k: sign for k, (_, sign) in vowels.items() if sign} | {k: s for k, s in SIGNS.items() if len(k) == 1} | {_BARE: VIRAMA} | dict(zip(ASCII_DIGITS, DEVANAGARI_DIGITS, strict=True))
+    # A letter without a counterpart is dropped: the vowel that a consonant has by itself.
+    return F.translate(x, "".join(last) + "a", "".join(last.values()))
 
 
 def gated(x: Column, compose: bool = True) -> Column:
@@ -106,10 +110,10 @@ def itrans_to_devanagari(x: pd.Series) -> pd.Series:
     return x.map(lambda s: None if s is None else _scan(s, ITRANS_CONSONANTS, ITRANS_VOWELS, ITRANS_SIGNS))
 
 
-def cross_checked(x: Column) -> Column:
-    """[C11] Struct of the chosen output, whether both agree but for outer white space, and both outputs."""
+def cross_checked(x: Column, second: Callable[[Column], Column] = iast_by_scan) -> Column:
+    """[C11] Struct of the chosen output, whether both agree but for outer white space, and both outputs; ``second`` is any other implementation."""
     ready = straight_quotes(join_hyphens(x))
-    a, b = iast_to_devanagari(ready), iast_by_scan(ready)
+    a, b = iast_to_devanagari(ready), second(ready)
     return F.struct(a.alias("chosen"), (strip(a) == strip(b)).alias("agree"), a.alias("first"), b.alias("second"))
 
 

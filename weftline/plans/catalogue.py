@@ -647,10 +647,12 @@ def forward_match(spark, sf_dir):
 _READY = f"""replace(regexp_replace(regexp_replace(replace(replace({MIXED_SCRIPT_SQL}, ' ', '-'), '.', '’'), '({HYPHEN_CLASS})-({HYPHEN_CLASS})', '\\1\\2', 'g'), '({HYPHEN_CLASS})-({HYPHEN_CLASS})', '\\1\\2', 'g'), '’', '''')"""
 
 
-# The first engine's mark of private use, put into every fourth text, is a letter to the second: the two must differ there.
-@query(f"SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 'क् ' ELSE '' END || d AS first, CASE WHEN doc_id % 4 = 0 THEN 'क्' || chr(58368) || 'अ ' ELSE '' END || d AS second, doc_id % 4 <> 0 AS agree, CASE WHEN doc_id % 4 = 0 THEN 'क् ' ELSE '' END || d AS chosen FROM (SELECT doc_id, {dev_sql(_READY)} AS d FROM documents)")
+@query(f"""SELECT doc_id, d AS first, CASE WHEN doc_id % 4 = 0 THEN '।' || d WHEN doc_id % 4 = 1 THEN ' ' || d ELSE d END AS second, doc_id % 4 > 0 AS agree, d AS chosen FROM (SELECT doc_id, {dev_sql(_READY)} AS d FROM documents)""")
 def translit_cross_check(spark, sf_dir):
-    """Both transliterations of prepared text, whether they agree, and the first, which is always chosen."""
+    """Both transliterations of prepared text, whether they agree, and the first, which is always chosen.
+
+    The second is spoilt for two texts of four, by a sign and by outer white space, of which only the sign is a disagreement.
+    """
     x = F.replace(F.replace(mixed_script_text(), F.lit(" "), F.lit("-")), F.lit("."), F.lit("’"))
-    x = F.when(F.col("doc_id") % 4 == 0, F.concat(F.lit("k\ue400a "), x)).otherwise(x)
-    return t(spark, sf_dir, "documents").select("doc_id", translit.cross_checked(x).alias("c")).select("doc_id", "c.first", "c.second", "c.agree", "c.chosen")
+    spoilt = lambda ready: F.concat(F.when(F.col("doc_id") % 4 == 0, "।").when(F.col("doc_id") % 4 == 1, " ").otherwise(""), translit.iast_by_scan(ready))
+    return t(spark, sf_dir, "documents").select("doc_id", translit.cross_checked(x, spoilt).alias("c")).select("doc_id", "c.first", "c.second", "c.agree", "c.chosen")
