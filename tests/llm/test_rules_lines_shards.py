@@ -186,6 +186,18 @@ def test_rules_are_paths_and_cover_their_rows():
         assert rule_ensemble._holds(terms, x).sum() == np.logical_and.reduce([(x[:, t.stat] > t.at) == t.above for t in terms]).sum() > 0
 
 
+@pytest.mark.parametrize("n", [2, 6, 19, 20, 21])
+def test_few_rows_are_learnt_from_by_the_same_rule(n):
+    """No number of rows switches learning off: the score separates the two classes of a clear table of any size."""
+    import numpy as np
+
+    x = np.random.default_rng(n).normal(size=(n, len(rule_ensemble.NAMES)))
+    y = (np.arange(n) % 2).astype(float)
+    x[:, 0] += 10 * y
+    p = rule_ensemble.fit(x, y).score(x)
+    assert p[y > 0].min() > 0.5 > p[y == 0].max()
+
+
 def test_rule_ensemble_on_odd_tables(spark):
     labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
     assert rule_ensemble.op5(spark.createDataFrame([], DOC), labels).count() == 0

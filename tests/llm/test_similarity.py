@@ -246,6 +246,27 @@ def test_recall_against_all_pairs_on_documents(spark):
     assert len(wrong) <= 0.001 * len(rows)
 
 
+@pytest.mark.skipif(not os.path.exists(SF), reason="the driver's tables are not here")
+@pytest.mark.parametrize("law", ["share", "usual"])
+def test_bands_find_the_links_of_either_idf(spark, law):
+    """The signatures' recall against all links that a law itself makes: that of the operator and the usual ln((1 + n) / (1 + df)) + 1."""
+    docs = shingles.shingles([x.text for x in spark.read.parquet(SF.replace("sf0.01", "sf0.1")).select("text").distinct().collect()])
+    df = collections.Counter(h for d in docs for h in d[0].tolist())
+    n = len(docs)
+    of = (lambda c: minhash_dedup.idf(c / n)) if law == "share" else (lambda c: np.log((1 + n) / (1 + c)) + 1)
+    sets = [(h, tf * of(np.array([df[x] for x in h.tolist()], float))) for h, tf in docs]
+    postings = minhash_dedup.Postings(sets)
+    links = [(i, j) for i, s in enumerate(sets) if len(s[0]) for j in np.flatnonzero(postings.similarities(s) >= 0.8 - 1e-9).tolist() if i < j]
+    # Links are few in this table; all of them count.
+    bands = {i: minhash_dedup.band_values(minhash_dedup.signature(*sets[i])) for i in {x for pair in links for x in pair}}
+    assert len(links) > 10 and sum((bands[i] == bands[j]).any() for i, j in links) >= 0.9 * len(links)
+
+
+def test_idf_depends_on_the_share_alone():
+    share = np.array([0.001, 0.01, 0.1, 0.5, 1.0])
+    assert np.allclose(minhash_dedup.idf(share), [1, 1, 0.75, 1 - 0.5 * np.log(50) / np.log(100), 0.5])
+
+
 def leaks_by_force(docs, items, t=0.8):
     out = set()
     grams = lambda w, n: {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}
