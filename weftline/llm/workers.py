@@ -21,6 +21,22 @@ from pyspark.sql.types import _parse_datatype_string
 CHUNK_CHARS = 2_000_000
 
 
+def _frugal() -> None:
+    """Large blocks, Arrow's included, come from the system one by one and go back when they are freed.
+
+    Without this a worker keeps what its largest batch took, beside its next stage's own needs.
+    """
+    process = ctypes.CDLL(None)
+    if hasattr(process, "mallopt"):
+        m_mmap_threshold, m_arena_max = -3, -8
+        process.mallopt(m_mmap_threshold, 1 << 17)
+        process.mallopt(m_arena_max, 1)
+    pa.set_memory_pool(pa.system_memory_pool())
+
+
+_frugal()
+
+
 def give_back() -> None:
     """Return freed memory to the system."""
     gc.collect()
