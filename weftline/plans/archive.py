@@ -727,7 +727,8 @@ def document_parts(spark, sf_dir):
         return names.map(_docx)
 
     root = folder(spark, "docx")
-    some = t(spark, sf_dir, "supplier").filter("s_suppkey % 3 > 0")
+    # A file's rows are few bytes, so Spark reads them in few tasks; files are made in more.
+    some = t(spark, sf_dir, "supplier").filter("s_suppkey % 3 > 0").repartition(spark.sparkContext.defaultParallelism * 2, "s_suppkey")
     stores.write_files(some.select(F.concat(F.lit("s"), "s_suppkey", F.lit(".docx")).alias("name"), made(F.col("s_name")).alias("content")), root, "name", "content")
     formats.register(spark)
     rows = spark.read.format("weft-docx").load(root).filter(F.col("part").isin("body", "table", "footnote")).filter("para_idx IN (0, 2, 12)")

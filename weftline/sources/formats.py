@@ -1,8 +1,8 @@
 """[A1, A2, A4-A6] Corpora as data sources of Spark: ``spark.read.format("weft-entries" | "weft-docx").load(path)``.
 
-A partition is a file or, for word-processor files, a file and one of its parts; filters on the work and on the
-part are pushed down: files are still listed, but rows of other works are dropped where they are read, and other
-parts are never parsed.  Files are listed and opened through Arrow's file systems, as in ``stores``; where only
+A partition is a run of files, ``FILES`` at most, so tasks are few where files are many, or, for word-processor files,
+such a run and one of their parts; filters on the work and on the part are pushed down: files are still listed, but
+rows of other works are dropped where they are read, and other parts are never parsed.  Files are listed and opened through Arrow's file systems, as in ``stores``; where only
 Spark knows a store, the readers in ``files`` do the same through Spark's own sources.
 
 Defined results: files without a header fail, or give nulls with the option ``strict`` set to false; a folder
@@ -22,6 +22,8 @@ from weftline.sources.stores import located, open_file
 
 #: The parts of a word-processor file, in order.
 PARTS = ("body", "table", "header", "footer", "footnote", "endnote")
+#: Files of one partition at most; a listing of fewer than ``PARTITIONS`` times as many is dealt out to that many.
+FILES, PARTITIONS = 1_024, 12
 
 
 def listed(path: str, ending: str) -> list[str]:
@@ -34,10 +36,16 @@ def listed(path: str, ending: str) -> list[str]:
     return sorted(prefix + n for n in names)
 
 
-class _File(InputPartition):
-    def __init__(self, uri: str, part: str | None = None):
-        super().__init__((uri, part))
-        self.uri, self.part = uri, part
+class _Files(InputPartition):
+    def __init__(self, uris: list[str], part: str | None = None):
+        super().__init__((tuple(uris), part))
+        self.uris, self.part = uris, part
+
+
+def _dealt(uris: list[str], part: str | None = None) -> list[InputPartition]:
+    """Runs of files in order."""
+    size = min(FILES, -(-len(uris) // PARTITIONS) or 1)
+    return [_Files(uris[i : i + size], part) for i in range(0, len(uris), size)]
 
 
 def _wanted(filters: list[Filter], column: str) -> tuple[set | None, list[Filter]]:
@@ -61,14 +69,15 @@ class _Entries(DataSourceReader):
         yield from rest
 
     def partitions(self) -> list[InputPartition]:
-        return [_File(u) for u in listed(self.path, ".md")]
+        return _dealt(listed(self.path, ".md"))
 
-    def read(self, partition: _File) -> Iterator[tuple]:
-        with open_file(partition.uri) as f:
-            text = f.read().decode("utf-8")
-        row = files.entry_of(partition.uri.rpartition("/")[2].removesuffix(".md"), text, self.strict)
-        if self.works is None or row["workSlug"] in self.works:
-            yield tuple(row[c] for c in files.ENTRY_COLUMNS)
+    def read(self, partition: _Files) -> Iterator[tuple]:
+        for uri in partition.uris:
+            with open_file(uri) as f:
+                text = f.read().decode("utf-8")
+            row = files.entry_of(uri.rpartition("/")[2].removesuffix(".md"), text, self.strict)
+            if self.works is None or row["workSlug"] in self.works:
+                yield tuple(row[c] for c in files.ENTRY_COLUMNS)
 
 
 class EntrySource(DataSource):
@@ -94,13 +103,15 @@ class _Docx(DataSourceReader):
         yield from rest
 
     def partitions(self) -> list[InputPartition]:
-        return [_File(u, p) for u in listed(self.path, ".docx") for p in PARTS if self.parts is None or p in self.parts]
-
-    def read(self, partition: _File) -> Iterator[tuple]:
-        with open_file(partition.uri) as f:
-            for i, (part, runs) in enumerate(files.docx_paragraphs(f, {partition.part})):
-                if part == partition.part:
-                    yield partition.uri, i, part, [tuple(r.values()) for r in runs]
+        uris = listed(self.path, ".docx")
+        return [run for p in PARTS if self.parts is None or p in self.parts for run in _dealt(uris, p)]
+
+    def read(self, partition: _Files) -> Iterator[tuple]:
+        for uri in partition.uris:
+            with open_file(uri) as f:
+                for i, (part, runs) in enumerate(files.docx_paragraphs(f, {partition.part})):
+                    if part == partition.part:
+                        yield uri, i, part, [tuple(r.values()) for r in runs]
 
 
 class DocxSource(DataSource):
