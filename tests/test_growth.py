@@ -14,3 +14,29 @@ def test_many_files_make_few_partitions(spark, tmp_path):
     assert rows.rdd.getNumPartitions() <= 2 * formats.PARTITIONS
     got = {(r.path.rpartition("/")[2], r.para_idx, r.part) for r in rows.select("path", "para_idx", "part").collect()}
     assert got == {(f"d{i:03d}.docx", k, p) for i in range(300) for k, p in ((0, "body"), (1, "body"), (12, "footnote"))}
+
+
+def test_batches_do_not_grow_with_the_rows(spark):
+    import os
+
+    from weftline.plans import archive
+
+    rows = spark.range(4_000).withColumnRenamed("id", "event_id")
+    run = archive.interrupted(spark, rows, ["event_id"], "growth", lambda b: b, every=10)
+    assert sorted(r.event_id for r in run.rows("event_id long").collect()) == list(range(4_000))
+    assert len(os.listdir(f"{run.root.removeprefix('file://')}/counts")) <= 2 * archive.BATCHES + 4
+
+
+def test_rare_pieces_make_no_states():
+    from weftline.llm import bpe
+
+    ranks = {bytes([b]): b for b in range(256)} | {w: 256 + i for i, w in enumerate([b"ab", b"bc", b"abc", b"cd", b"abcd", b"da"])}
+    fst = bpe.Transducer(ranks)
+    pieces = [b"xabcda", b"abcdab", b"dabcbc", b"bcdabcd", b"cdcda"]
+    for _ in range(4):  # walked first, then by states
+        states = len(fst._states)
+        got = [fst.encode(p) for p in pieces]
+        assert got == [[ranks[t] for t in bpe.merge(p, ranks)] for p in pieces]
+        if states == 1:
+            assert len(fst._states) == 1
+    assert len(fst._states) > 1

@@ -643,14 +643,23 @@ def works_of_sutras(spark, sf_dir):
 # --- resumable runs --------------------------------------------------------------------------------
 
 
+#: Files of a batch, and about how many batches each half of a large table makes.
+BATCH_FILES, BATCHES = 16, 6
+
+
 class Stopped(Exception):
     """A run that was stopped inside a batch."""
 
 
 def interrupted(spark, rows: DataFrame, order: list[str], name: str, transform, kind=None, every: int = 2_000) -> incremental.Run:
-    """A run over rows in order that is stopped inside its second batch, goes on, is given more rows, and has nothing left at last."""
+    """A run over rows in order that is stopped inside its second batch, goes on, is given more rows, and has nothing left at last.
+
+    Files are larger where rows are more, and a batch is a share of them, so batches, each with its own commit and its
+    own look at the folder, stay the same in number.
+    """
     source, run = folder(spark, f"{name}-in"), incremental.Run(spark, folder(spark, name))
     half = F.col(order[0]) % 2 == 0
+    every = max(every, -(-rows.count() // (BATCHES * BATCH_FILES * 2)))
     incremental.stage_rows(rows.filter(half), order, source, every)
     schema, seen = spark.read.parquet(source).schema, []
 
@@ -665,9 +674,9 @@ def interrupted(spark, rows: DataFrame, order: list[str], name: str, transform,
     except Exception as e:
         if "Stopped" not in str(e):
             raise
-    run.resume(source, schema, transform, kind, files_per_batch=4)
+    run.resume(source, schema, transform, kind, files_per_batch=BATCH_FILES)
     incremental.stage_rows(rows.filter(~half), order, source, every)
-    run.resume(source, schema, transform, kind, files_per_batch=4)
+    run.resume(source, schema, transform, kind, files_per_batch=BATCH_FILES)
     if run.resume(source, schema, transform, kind):
         raise ValueError("a finished run has nothing left")
     return run
