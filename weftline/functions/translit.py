@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -75,39 +76,61 @@ def gated(x: Column, compose: bool = True) -> Column:
     return F.when(fit, iast_to_devanagari(straight_quotes(x)))
 
 
-def _scan(text: str, consonants: dict[str, str], vowels: dict[str, tuple[str, str]], signs: dict[str, str]) -> str:
-    """Longest match from the left, with a pending virama after each consonant."""
-    keys = sorted([*consonants, *vowels, *signs], key=lambda k: (-len(k), k))
-    out: list[str] = []
-    open_ = False
-    at = 0
-    pattern = re.compile("|".join(map(re.escape, keys)))
-    while at < len(text):
-        m = pattern.match(text, at)
-        piece = m[0] if m else text[at]
-        at += len(piece)
-        if m and piece in consonants:
-            out.append((VIRAMA if open_ else "") + consonants[piece])
-            open_ = True
-        elif m and piece in vowels:
-            out.append(vowels[piece][1] if open_ else vowels[piece][0])
-            open_ = False
-        else:
-            out.append((VIRAMA if open_ else "") + (signs[piece] if m else DEVANAGARI_DIGITS[ord(piece) - 48] if piece in ASCII_DIGITS else piece))
-            open_ = False
-    return "".join(out) + (VIRAMA if open_ else "")
+#: Words of at most so many characters are kept, and how many of them.
+KEPT_CHARS, KEPT_WORDS = 64, 50_000
+
+
+class _Scan:
+    """Longest match from the left, with a pending virama after each consonant.
+
+    No key has white space, so a word's output depends on the word alone: each is scanned once while it is kept.
+    """
+
+    def __init__(self, consonants: dict[str, str], vowels: dict[str, tuple[str, str]], signs: dict[str, str]):
+        keys = sorted([*consonants, *vowels, *signs], key=lambda k: (-len(k), k))
+        self.pattern = re.compile("|".join([*map(re.escape, keys), "."]), re.DOTALL)
+        plain = dict(zip(ASCII_DIGITS, DEVANAGARI_DIGITS, strict=True)) | signs | {k: alone for k, (alone, _) in vowels.items()}
+        self.alone, self.signs, self.consonants = plain, {k: sign for k, (_, sign) in vowels.items() if k not in consonants}, consonants
+        self.kept = lru_cache(KEPT_WORDS)(self.word)
+
+    def word(self, word: str) -> str:
+        out: list[str] = []
+        open_ = False
+        for piece in self.pattern.findall(word):
+            letter = self.consonants.get(piece)
+            sign = self.signs.get(piece) if open_ and letter is None else None
+            if open_ and sign is None:
+                out.append(VIRAMA)
+            out.append(letter or (self.alone.get(piece, piece) if sign is None else sign))
+            open_ = letter is not None
+        return "".join(out) + (VIRAMA if open_ else "")
+
+    def __call__(self, text: str) -> str:
+        return "".join([self.kept(w) if len(w) <= KEPT_CHARS else self.word(w) for w in _WORDS.findall(text)])
+
+
+_WORDS = re.compile(r"\s+|\S+")
+_IAST, _ITRANS = _Scan(CONSONANTS, VOWELS, SIGNS), _Scan(ITRANS_CONSONANTS, ITRANS_VOWELS, ITRANS_SIGNS)
+
+
+def scanned_iast(text: str) -> str:
+    return _IAST(text.lower())
+
+
+def scanned_itrans(text: str) -> str:
+    return _ITRANS(text)
 
 
 @F.pandas_udf(T.StringType())
 def iast_by_scan(x: pd.Series) -> pd.Series:
     """[C10] A second implementation, by scanning; for cross-checks and not for the hot path."""
-    return x.map(lambda s: None if s is None else _scan(s.lower(), CONSONANTS, VOWELS, SIGNS))
+    return x.map(lambda s: None if s is None else scanned_iast(s))
 
 
 @F.pandas_udf(T.StringType())
 def itrans_to_devanagari(x: pd.Series) -> pd.Series:
     """[C12] ITRANS, longest match first; a dot that begins no sign stays a dot."""
-    return x.map(lambda s: None if s is None else _scan(s, ITRANS_CONSONANTS, ITRANS_VOWELS, ITRANS_SIGNS))
+    return x.map(lambda s: None if s is None else scanned_itrans(s))
 
 
 def cross_checked(x: Column, second: Callable[[Column], Column] = iast_by_scan) -> Column:
