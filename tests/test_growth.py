@@ -33,10 +33,26 @@ def test_rare_pieces_make_no_states():
     ranks = {bytes([b]): b for b in range(256)} | {w: 256 + i for i, w in enumerate([b"ab", b"bc", b"abc", b"cd", b"abcd", b"da"])}
     fst = bpe.Transducer(ranks)
     pieces = [b"xabcda", b"abcdab", b"dabcbc", b"bcdabcd", b"cdcda"]
-    for _ in range(4):  # walked first, then by states
-        states = len(fst._states)
+    for visit in range(4):  # walked first, then by states
         got = [fst.encode(p) for p in pieces]
         assert got == [[ranks[t] for t in bpe.merge(p, ranks)] for p in pieces]
-        if states == 1:
-            assert len(fst._states) == 1
-    assert len(fst._states) > 1
+        assert (len(fst._states) == 1) == (visit == 0)
+
+
+def test_costs_shuffle_no_trigrams(spark):
+    from weftline.functions import charmodel
+
+    df = spark.createDataFrame([(1, "en", "the cat the"), (2, "de", "der hund der"), (3, "en", None)], "id long, lang string, text string")
+    rows = charmodel.costs(df, "id", "text", charmodel.train(df, "text", "lang"), ["en", "de"])
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(k" in plan and "hashpartitioning(k#" in plan and not any("gram" in x and "k#" in x for x in plan.split("\n") if "Exchange hashpartitioning" in x)
+    got = {r.id: (r.en, r.de) for r in rows.collect()}
+    assert got[1][0] < got[1][1] and got[2][1] < got[2][0] and got[3] == (0.0, 0.0)
+
+
+def test_scan_by_words():
+    from weftline.functions import translit
+
+    assert translit.scanned_iast("Dharma kṣetre\n12 k") == "धर्म क्षेत्रे\n१२ क्"
+    assert translit.scanned_itrans("kAUM k.h OM") == "क्ॐ क्" + translit.VIRAMA + " ॐ"
+    assert translit._IAST.kept.cache_info().currsize <= translit.KEPT_WORDS

@@ -8,7 +8,8 @@ a non-deterministic transducer that walks a trie of the vocabulary and may end a
 has one that is compatible with the token before.  For each prefix there is exactly one such last
 token, hence one new path per byte.
 
-Determinisation happens on demand: a state is the set of live paths (tokens not yet emitted, last
+Determinisation happens on demand, an arc at its second visit: what stands behind an arc that is met first is walked by
+all paths side by side, as most rare pieces come once and their states would never be met again.  A state is the set of live paths (tokens not yet emitted, last
 token, trie node); what all paths agree on is emitted at once.  A path dies when its token can grow
 no further, so at most as many are alive as the longest token has bytes: lookahead is bounded and
 cost is linear in the text, for any piece length.  States are kept up to ``max_states``, then
@@ -38,6 +39,8 @@ from pyspark.sql import functions as F
 
 from weftline.llm.workers import text_udf
 
+#: Bytes of a piece that may be walked without making states; longer ones are walked in bounded memory.
+SHORT = 256
 #: A vocabulary file larger than this is refused: it is broadcast to every executor.
 MAX_VOCABULARY_BYTES = 64 << 20
 
@@ -83,6 +86,8 @@ class Transducer:
                     self._token.append(-1)
                 node = child
             self._token[node] = rank
+        #: A node's token if that encodes to itself, else -1; -2 while not known.
+        self._whole = [-2] * len(self._token)
         self._fits: dict[int, bool] = {}
         self._halves: dict[int, tuple[int, int] | None] = {}
         self.reset()
@@ -93,6 +98,7 @@ class Transducer:
         self._number: dict[tuple, int] = {self._states[0]: 0}
         self._arcs: dict[int, tuple[int, tuple[int, ...]]] = {}
         self._ends: dict[int, tuple[int, ...]] = {}
+        self._met: set[int] = set()
 
     def halves(self, token: int) -> tuple[int, int] | None:
         """The two tokens that the last merge joins into a token; (-1, -1) for a byte, None if the token's bytes do not encode to it."""
@@ -144,12 +150,45 @@ class Transducer:
 
     def _complete(self, paths: tuple) -> tuple[tuple[int, ...], int] | None:
         """(pending tokens, token) of the one path that may end a token here."""
+        whole, fits = self._whole, self._fits
         for pending, last, node in paths:
-            token = self._token[node]
-            if token >= 0 and self.halves(token) and (last < 0 or self.fits(last, token)):
-                return pending, token
+            token = whole[node]
+            if token == -2:
+                token = self._token[node]
+                token = whole[node] = token if token >= 0 and self.halves(token) else -1
+            if token >= 0:
+                if last < 0:
+                    return pending, token
+                ok = fits.get(last << 32 | token)
+                if ok or ok is None and self.fits(last, token):
+                    return pending, token
         return None
 
+    def _walk(self, state: int, rest: bytes) -> list[int]:
+        """Ids from a state on over the rest of a piece, by all live paths side by side; no state is made.
+
+        A path's tokens are a chain (chain before, token), which paths share; its root is (None, tokens).
+        """
+        follow, complete = self._next, self._complete
+        alive = [((None, pending), last, node) for pending, last, node in self._states[state]]
+        for byte in rest:
+            done = complete(alive)
+            grown = []
+            for chain, last, node in alive:
+                child = follow.get(node << 8 | byte)
+                if child is not None and node:
+                    grown.append((chain, last, child))
+            if done:
+                grown.append((done, done[1], follow[byte]))
+            elif alive[0][2] == 0:
+                grown.append((alive[0][0], -1, follow[byte]))
+            alive = grown
+        chain, out = complete(alive), []
+        while chain[0] is not None:
+            out.append(chain[1])
+            chain = chain[0]
+        return [*chain[1], *reversed(out)]
+
     def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
         paths, follow = self._states[state], self._next
         alive = []
@@ -195,9 +234,14 @@ class Transducer:
             self.reset()
         out: list[int] = []
         state, arcs = 0, self._arcs
-        for byte in piece:
+        for at, byte in enumerate(piece):
             arc = arcs.get(state << 8 | byte)
             if arc is None:
+                if len(piece) <= SHORT and state << 8 | byte not in self._met:
+                    if len(self._met) > 2 * self.max_states:
+                        self._met.clear()
+                    self._met.add(state << 8 | byte)
+                    return out + self._walk(state, piece[at:])
                 if len(self._states) > 2 * self.max_states:  # a very long piece: forget all but where it stands
                     paths = self._states[state]
                     self.reset()
@@ -233,7 +277,10 @@ class Tokenizer:
         self.fst._fits.clear()
 
     def _piece(self, piece: str) -> bytes:
-        """Ids of a piece that is not among the new ones."""
+        """Ids of a piece, which is among the new ones after that if it is short."""
+        ids = self._new.get(piece)
+        if ids is not None:
+            return ids
         ids = self._old.get(piece)
         if ids is None:
             ids = np.asarray(self.fst.encode(piece.encode("utf-8")), "<u4").tobytes()
@@ -247,11 +294,12 @@ class Tokenizer:
         """Ids as little-endian unsigned 32-bit integers."""
         text = text or ""
         # The list of a text's pieces is the quicker way; a very long text is matched piece by piece.
-        pieces = self.pattern.findall(text) if len(text) <= 1 << 20 else (m[0] for m in self.pattern.finditer(text))
-        out = []
-        for piece in pieces:
-            ids = self._new.get(piece)
-            out.append(self._piece(piece) if ids is None else ids)
+        if len(text) > 1 << 20:
+            return b"".join([self._piece(m[0]) for m in self.pattern.finditer(text)])
+        pieces = self.pattern.findall(text)
+        out = list(map(self._new.get, pieces))
+        if None in out:
+            out = [self._piece(piece) if ids is None else ids for piece, ids in zip(pieces, out, strict=True)]
         return b"".join(out)
 
     def encode(self, text: str | None) -> list[int]:
@@ -260,7 +308,7 @@ class Tokenizer:
     def decode_bytes(self, ids: Iterable[int], chunk: int = 8_192) -> Iterator[bytes]:
         """The bytes of ids, ``chunk`` tokens at a time."""
         ids, of = iter(ids), self.fst.bytes_of
-        while data := b"".join([of[x] for x in itertools.islice(ids, chunk)]):
+        while data := b"".join(map(of.__getitem__, itertools.islice(ids, chunk))):
             yield data
 
     def decode(self, ids: Iterable[int]) -> str:
