@@ -27,13 +27,18 @@ def plain(x: Column) -> Column:
     return F.concat(F.lit("  "), F.trim(F.regexp_replace(F.lower(F.coalesce(x, F.lit(""))), r"[^\p{L}\p{M}]+", " ")), F.lit(" "))
 
 
-def trigrams(df: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """(keys, gram, n): trigrams of each row of keys, counted; texts without letters have none."""
+def _spelt(df: DataFrame, keys: list[str], text: str) -> DataFrame:
+    """(keys, gram): every trigram of every text, a row each."""
     rows = df.select(*keys, F.split(plain(F.col(text)), "").alias("_c")).filter(F.size("_c") > 3)
     # Characters by place in an array: places in a text of many bytes a character would be counted off anew each time.
     at = lambda i: F.get("_c", i)
     grams = F.transform(F.sequence(F.lit(0), F.size("_c") - 3), lambda i: F.concat(at(i), at(i + 1), at(i + 2)))
-    return rows.select(*keys, F.explode(grams).alias("gram")).groupBy(*keys, "gram").agg(F.count(F.lit(1)).alias("n"))
+    return rows.select(*keys, F.explode(grams).alias("gram"))
+
+
+def trigrams(df: DataFrame, keys: list[str], text: str) -> DataFrame:
+    """(keys, gram, n): trigrams of each row of keys, counted; texts without letters have none."""
+    return _spelt(df, keys, text).groupBy(*keys, "gram").agg(F.count(F.lit(1)).alias("n"))
 
 
 def train(df: DataFrame, text: str, lang: str) -> DataFrame:
@@ -55,10 +60,14 @@ def train(df: DataFrame, text: str, lang: str) -> DataFrame:
 def costs(df: DataFrame, key: str, text: str, model: DataFrame, langs: list[str]) -> DataFrame:
     """(key, one column of cost per language); trigrams that no language has cost the same in all, so they are left out."""
     wide = model.groupBy("gram").agg(*[F.max(F.when(F.col("lang") == x, F.col("cost"))).alias(x) for x in langs])
+    texts = df.select(F.col(key).alias("k"), F.col(text).alias("t"))
     if model.count() <= BROADCAST_ROWS:
-        wide = F.broadcast(wide)
+        # Costs are looked up where a text is spelt, so one row a text is shuffled and not one for each of its trigrams.
+        priced = _spelt(texts, ["k"], "t").withColumn("n", F.lit(1)).join(F.broadcast(wide), "gram")
+    else:
+        priced = trigrams(texts, ["k"], "t").join(wide, "gram")
     # A row of its own for each row of the table, also where keys repeat: the same key has the same sum over its texts.
-    sums = trigrams(df.select(F.col(key).alias("k"), F.col(text).alias("t")), ["k"], "t").join(wide, "gram").groupBy("k").agg(*[F.sum(F.col("n") * F.col(x)).alias(x) for x in langs])
+    sums = priced.groupBy("k").agg(*[F.sum(F.col("n") * F.col(x)).alias(x) for x in langs])
     rows = df.select(F.col(key).alias("k")).distinct().join(sums, "k", "left")
     return rows.select(F.col("k").alias(key), *[F.coalesce(F.col(x), F.lit(0.0)).alias(x) for x in langs])
 
