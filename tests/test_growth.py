@@ -56,3 +56,17 @@ def test_scan_by_words():
     assert translit.scanned_iast("Dharma kṣetre\n12 k") == "धर्म क्षेत्रे\n१२ क्"
     assert translit.scanned_itrans("kAUM k.h OM") == "क्ॐ क्" + translit.VIRAMA + " ॐ"
     assert translit._IAST.kept.cache_info().currsize <= translit.KEPT_WORDS
+
+
+def test_pieces_that_come_once_make_no_states():
+    import gc
+
+    from weftline.llm import bpe
+
+    ranks = {bytes([b]): b for b in range(256)} | {w: 256 + i for i, w in enumerate([b"ab", b"bc", b"abc", b"cd", b"abcd", b"da"])}
+    fst = bpe.Transducer(ranks)
+    for p in (b"abcdab", b"abcdb", b"abab", b"abdacd", b"aabcdabc"):  # equal beginnings
+        assert fst.encode(p) == [ranks[t] for t in bpe.merge(p, ranks)]
+    assert len(fst._states) == 1
+    bpe.tokenizer(b"\n".join(bpe.base64.b64encode(t) + b" %d" % r for t, r in ranks.items()), "[a-z]+")
+    assert gc.get_freeze_count() > 0

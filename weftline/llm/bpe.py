@@ -8,8 +8,8 @@ a non-deterministic transducer that walks a trie of the vocabulary and may end a
 has one that is compatible with the token before.  For each prefix there is exactly one such last
 token, hence one new path per byte.
 
-Determinisation happens on demand, an arc at its second visit: what stands behind an arc that is met first is walked by
-all paths side by side, as most rare pieces come once and their states would never be met again.  A state is the set of live paths (tokens not yet emitted, last
+Determinisation happens on demand, for a piece that is met again: one that is met first is walked path by path, longest
+tokens first, as most rare pieces come once and their states would never be met again.  A state is the set of live paths (tokens not yet emitted, last
 token, trie node); what all paths agree on is emitted at once.  A path dies when its token can grow
 no further, so at most as many are alive as the longest token has bytes: lookahead is bounded and
 cost is linear in the text, for any piece length.  States are kept up to ``max_states``, then
@@ -27,8 +27,10 @@ other columns are not read, so names cannot clash.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 import itertools
+import struct
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -164,30 +166,45 @@ class Transducer:
                     return pending, token
         return None
 
-    def _walk(self, state: int, rest: bytes) -> list[int]:
-        """Ids from a state on over the rest of a piece, by all live paths side by side; no state is made.
+    def _walk(self, piece: bytes) -> list[int]:
+        """Ids of a piece, path by path; no state is made.
 
-        A path's tokens are a chain (chain before, token), which paths share; its root is (None, tokens).
+        Longest tokens go first.  One path alone leads to each place of a piece, so a place that is left is never met again.
         """
-        follow, complete = self._next, self._complete
-        alive = [((None, pending), last, node) for pending, last, node in self._states[state]]
-        for byte in rest:
-            done = complete(alive)
-            grown = []
-            for chain, last, node in alive:
-                child = follow.get(node << 8 | byte)
-                if child is not None and node:
-                    grown.append((chain, last, child))
-            if done:
-                grown.append((done, done[1], follow[byte]))
-            elif alive[0][2] == 0:
-                grown.append((alive[0][0], -1, follow[byte]))
-            alive = grown
-        chain, out = complete(alive), []
-        while chain[0] is not None:
-            out.append(chain[1])
-            chain = chain[0]
-        return [*chain[1], *reversed(out)]
+        follow, whole, fits, n = self._next, self._whole, self._fits, len(piece)
+        at, last = 0, -1
+        out: list[int] = []
+        tried: list[tuple[int, int, list[tuple[int, int]]]] = []
+        while True:
+            node, i, choice = 0, at, []
+            while i < n:
+                node = follow.get(node << 8 | piece[i])
+                if node is None:
+                    break
+                i += 1
+                token = whole[node]
+                if token == -2:
+                    token = self._token[node]
+                    token = whole[node] = token if token >= 0 and self.halves(token) else -1
+                if token >= 0:
+                    choice.append((token, i))
+            while True:
+                while not choice:
+                    at, last, choice = tried.pop()
+                    out.pop()
+                token, i = choice.pop()
+                if last >= 0:
+                    ok = fits.get(last << 32 | token)
+                    if ok is None:
+                        ok = self.fits(last, token)
+                    if not ok:
+                        continue
+                break
+            out.append(token)
+            if i == n:
+                return out
+            tried.append((at, last, choice))
+            at, last = i, token
 
     def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
         paths, follow = self._states[state], self._next
@@ -232,16 +249,18 @@ class Transducer:
             return [rank]
         if len(self._states) > self.max_states:
             self.reset()
+        if len(piece) <= SHORT:
+            met = hash(piece)
+            if met not in self._met:
+                if len(self._met) > 2 * self.max_states:
+                    self._met.clear()
+                self._met.add(met)
+                return self._walk(piece)
         out: list[int] = []
         state, arcs = 0, self._arcs
-        for at, byte in enumerate(piece):
+        for byte in piece:
             arc = arcs.get(state << 8 | byte)
             if arc is None:
-                if len(piece) <= SHORT and state << 8 | byte not in self._met:
-                    if len(self._met) > 2 * self.max_states:
-                        self._met.clear()
-                    self._met.add(state << 8 | byte)
-                    return out + self._walk(state, piece[at:])
                 if len(self._states) > 2 * self.max_states:  # a very long piece: forget all but where it stands
                     paths = self._states[state]
                     self.reset()
@@ -283,7 +302,8 @@ class Tokenizer:
             return ids
         ids = self._old.get(piece)
         if ids is None:
-            ids = np.asarray(self.fst.encode(piece.encode("utf-8")), "<u4").tobytes()
+            ids = self.fst.encode(piece.encode("utf-8"))
+            ids = struct.pack(f"<{len(ids)}I", *ids)
         if len(piece) <= 64:
             if len(self._new) >= self.max_pieces:
                 self._old, self._new = self._new, {}
@@ -393,6 +413,9 @@ def tokenizer(data: bytes, pattern: str) -> Tokenizer:
     if key not in _MADE:
         _MADE.clear()
         _MADE[key] = Tokenizer(read_ranks(data), pattern)
+        # The vocabulary's tables hold no cycles and stay: the collector need not walk through them again and again.
+        gc.collect()
+        gc.freeze()
     return _MADE[key]
 
 
