@@ -70,3 +70,13 @@ def test_pieces_that_come_once_make_no_states():
     assert len(fst._states) == 1
     bpe.tokenizer(b"\n".join(bpe.base64.b64encode(t) + b" %d" % r for t, r in ranks.items()), "[a-z]+")
     assert gc.get_freeze_count() > 0
+
+
+def test_excerpts_look_at_no_more_than_they_show(spark):
+    from weftline.functions import text
+
+    df = spark.createDataFrame([("a😀b😀c" * 50,), ("😀" * 3,), ("a😀😀",), ("ab",), ("",), (None,), ("é" * 9 + "😀",)], "x string")
+    shown = df.select(text.truncate_units(F.col("x"), 5).alias("y"))
+    assert [r.y for r in shown.collect()] == ["a😀b…", "😀😀…", "a😀😀", "ab", "", None, "é" * 5 + "…"]
+    plan = shown._jdf.queryExecution().optimizedPlan().toString()
+    assert "split(" not in plan and "regexp_replace(" not in plan

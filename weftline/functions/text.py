@@ -238,15 +238,12 @@ def truncate(x: Column, n: int, more: str = "…") -> Column:
 
 def truncate_units(x: Column, n: int, more: str = "…") -> Column:
     """[C29] The first n UTF-16 units, as a browser counts them, and ``more`` if any are cut; a pair that the cut would part goes whole."""
-    units = F.length(x) + F.length(F.regexp_replace(x, r"[^\x{10000}-\x{10FFFF}]", ""))
-    kept = F.aggregate(
-        F.split(x, ""), F.struct(F.lit(0).alias("n"), F.lit("").alias("t")),
-        lambda a, c: F.struct((a["n"] + F.when(c.rlike(r"[\x{10000}-\x{10FFFF}]"), 2).otherwise(1)).alias("n"), F.when(a["n"] + F.when(c.rlike(r"[\x{10000}-\x{10FFFF}]"), 2).otherwise(1) <= n, F.concat(a["t"], c)).otherwise(a["t"]).alias("t")),
-        lambda a: a["t"],
-    )
-    # Without pairs, characters and units are the same.
-    simple = units == F.length(x)
-    return F.when(units <= n, x).when(simple, F.concat(F.substring(x, 1, n), F.lit(more))).otherwise(F.concat(kept, F.lit(more)))
+    # A text of more than n units has more than n in its first n + 1 characters, so no more of it is looked at.
+    units = F.encode(F.substring(x, 1, n + 1), "UTF-16BE")
+    parted = F.hex(F.substring(units, 2 * n - 1, 1)).between("D8", "DB")
+    kept = F.decode(F.substring(units, F.lit(1), F.when(parted, 2 * n - 2).otherwise(2 * n)), "UTF-16BE")
+    return F.when(F.length(units) > 2 * n, F.concat(kept, F.lit(more))).otherwise(x)
+
 
 
 def escape_html(x: Column) -> Column:
