@@ -80,3 +80,14 @@ def test_excerpts_look_at_no_more_than_they_show(spark):
     assert [r.y for r in shown.collect()] == ["a😀b…", "😀😀…", "a😀😀", "ab", "", None, "é" * 5 + "…"]
     plan = shown._jdf.queryExecution().optimizedPlan().toString()
     assert "split(" not in plan and "regexp_replace(" not in plan
+
+
+def test_a_memo_moves_results_once(spark, tmp_path):
+    from weftline.streaming import incremental
+
+    memo = incremental.Memo(spark, str(tmp_path / "memo"))
+    df = spark.range(500).select(F.concat(F.lit("text "), "id").alias("x"))
+    assert [memo.convert(df.filter(f), "x", F.upper, "y", run=k)[1] for k, f in ((1, "x < 'text 3'"), (2, "true"))] == [223, 277]
+    assert not [p for p in (tmp_path / "memo").iterdir() if p.is_dir()]  # no second deal by folder
+    got = memo.convert(df, "x", F.upper, "y", run=3)[0].groupBy("y_run").count().collect()
+    assert {r.y_run: r["count"] for r in got} == {1: 223, 2: 277}

@@ -77,26 +77,24 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
-#: Folders that a memo's rows are dealt out to by hash.
-BUCKETS = 64
-
-
 class Memo:
     """[K6] Converted texts kept from run to run below ``path``, by 128 bits that stand for a text.
 
-    Rows lie in folders by hash, new ones are appended in one commit, so a run that fails leaves the memo as it
+    New rows are appended in one commit, so a run that fails leaves the memo as it
     was.  Two runs at the same time may convert the same text twice; a reader takes one of them.
     """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
+    def _rows(self, kind: str) -> DataFrame:
+        return self.spark.read.schema(f"key binary, result {kind}, run long").parquet(self.path)
+
     def known(self, kind: str) -> DataFrame | None:
         """(key, result, run) of texts converted so far."""
         if not _exists(self.spark, self.path):
             return None
-        rows = self.spark.read.schema(f"key binary, result {kind}, run long, bucket int").parquet(self.path)
-        return rows.groupBy("key").agg(F.min(F.struct("run", "result")).alias("r")).select("key", "r.result", "r.run")
+        return self._rows(kind).groupBy("key").agg(F.min(F.struct("run", "result")).alias("r")).select("key", "r.result", "r.run")
 
     def convert(self, df: DataFrame, text: str, convert: Callable[[Column], Column], out: str, run: int = 0) -> tuple[DataFrame, int]:
         """``df`` with the conversion of its texts in ``out``, and how many texts this run had to convert.
@@ -108,11 +106,12 @@ class Memo:
         kind = fresh.select(convert(F.col("text")).alias("result")).schema["result"].dataType.simpleString()
         before = self.known(kind)
         if before is not None:
-            fresh = fresh.join(before.select("key"), "key", "left_anti")
-        made = fresh.select("key", convert(F.col("text")).alias("result"), F.lit(run).cast("long").alias("run"), F.pmod(F.xxhash64("key"), F.lit(BUCKETS)).cast("int").alias("bucket"))
-        made.repartition("bucket").write.mode("append").partitionBy("bucket").parquet(self.path)
+            fresh = fresh.join(self._rows(kind).select("key"), "key", "left_anti")
+        # Rows are dealt out by key already; they are written where they are.
+        fresh.select("key", convert(F.col("text")).alias("result"), F.lit(run).cast("long").alias("run")).write.mode("append").parquet(self.path)
         memo = self.known(kind)
-        n = memo.filter(F.col("run") == run).count()
+        # The results are not needed to count, so they are not read.
+        n = self._rows(kind).groupBy("key").agg(F.min("run").alias("run")).filter(F.col("run") == run).count()
         joined = df.withColumn("_key", key).join(memo.select(F.col("key").alias("_key"), F.col("result").alias(out), F.col("run").alias(f"{out}_run")), "_key", "left").drop("_key")
         return joined, n
 
