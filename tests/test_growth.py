@@ -91,3 +91,15 @@ def test_a_memo_moves_results_once(spark, tmp_path):
     assert not [p for p in (tmp_path / "memo").iterdir() if p.is_dir()]  # no second deal by folder
     got = memo.convert(df, "x", F.upper, "y", run=3)[0].groupBy("y_run").count().collect()
     assert {r.y_run: r["count"] for r in got} == {1: 223, 2: 277}
+
+
+def test_chapters_lie_in_one_folder(spark, tmp_path):
+    from weftline.sources import files
+
+    names = ["a/b", "x y+%2F", "k=1,j=2", "अ", None]
+    df = spark.createDataFrame([(n, i, f"t{i}") for n in names for i in (1, 0)] + [("again", 0, "z\n")], "j string, i int, t string").withColumn("k", F.lit(7))
+    for _ in range(2):  # the second run replaces the first one's files
+        files.write_chapters(df, ["j", "k"], "i", "t", f"file://{tmp_path}/out")
+        assert len(list((tmp_path / "out").iterdir())) == 6 and all(p.is_file() for p in (tmp_path / "out").iterdir())
+        got = {(r.j, r.k, r.body) for r in files.read_chapters(spark, f"file://{tmp_path}/out", ["j", "k"]).collect()}
+        assert got == {(n, "7", "t0\n\nt1") for n in names} | {("again", "7", "z\n")}

@@ -204,12 +204,11 @@ def rendered_parts(spark, sf_dir):
 
 @query("SELECT conv_id, string_agg(role || turn, chr(10) || chr(10) ORDER BY turn) AS body FROM conversations GROUP BY conv_id")
 def chapter_texts(spark, sf_dir):
-    """One text per key by Spark's own writer, parts in order, read back with the key of its folder."""
+    """One text per key in a file, parts in order, read back with the key of its name."""
     root = folder(spark, "chapters")
     few = t(spark, sf_dir, "conversations").withColumn("part", F.concat("role", "turn"))
     files.write_chapters(few, ["conv_id"], "turn", "part", root)
-    rows = spark.read.text(root, wholetext=True)
-    return rows.select(F.col("conv_id").cast("long").alias("conv_id"), F.regexp_replace("value", r"\n$", "").alias("body"))
+    return files.read_chapters(spark, root, ["conv_id"]).withColumn("conv_id", F.col("conv_id").cast("long"))
 
 
 MAP_SQL = "m AS (SELECT concat_ws('.', p_size % 4 + 1, p_partkey % 4 + 1, p_partkey % 60) AS sutra_id, 'govinda-bhashya-adhyaya-' || (p_size % 4 + 1) AS file, p_partkey % 60 AS section, 'x (' || (p_partkey % 60) || ')' AS heading FROM part WHERE p_partkey % 7 < 5 GROUP BY ALL)"

@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.functions.text import without_frontmatter
-from weftline.scratch import Scratch
+from weftline.scratch import Scratch, delete
+from weftline.sources.stores import write_files
 
 SCRIPTS = "struct<devanagari:string,iast:string,english:string>"
 #: The record of a corpus entry.
@@ -26,6 +27,8 @@ ENTRY = (
     "sequence double, author string, authorGroup string, goswami string, category string, "
     "commentaries array<struct<id:string,label:string,labelIast:string,commentator:string,note:string>>, availableScripts array<string>, body string"
 )
+#: Stands for a null key in a file's name, as in Spark's own folders.
+NO_KEY = "__HIVE_DEFAULT_PARTITION__"
 REQUIRED = ("title", "work", "workSlug", "sequence")
 RUN = "struct<text:string,bold:boolean,italic:boolean,underline:boolean,size:double,font:string,color:string>"
 PARAGRAPH = f"path string, para_idx int, part string, runs array<{RUN}>"
@@ -350,9 +353,24 @@ def append_log(df: DataFrame, path: str) -> bool:
 
 
 def write_chapters(df: DataFrame, keys: list[str], idx: str, body: str, path: str) -> None:
-    """[B5, B6] One text per key, its parts in order, in folders named by the keys."""
+    """[B5, B6] One text per key, its parts in order, in a file named by the keys.
+
+    All files lie in one folder, which is listed at once: a folder for each key would be a task and a listing each.
+    """
     parts = F.array_sort(F.collect_list(F.struct(idx, body)))
-    df.groupBy(*keys).agg(F.array_join(F.transform(parts, lambda r: r[body]), "\n\n").alias("value")).write.mode("overwrite").partitionBy(*keys).text(path)
+    texts = df.groupBy(*keys).agg(F.concat(F.array_join(F.transform(parts, lambda r: r[body]), "\n\n"), F.lit("\n")).alias("value"))
+    name = F.concat(F.concat_ws(",", *[F.concat(F.lit(f"{k}="), F.coalesce(F.url_encode(F.col(k).cast("string")), F.lit(NO_KEY))) for k in keys]), F.lit(".txt"))
+    delete(df.sparkSession, path)
+    write_files(texts.select(name.alias("name"), "value"), path, "name", "value")
+
+
+def read_chapters(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """[B5] The keys, as strings, and ``body`` of files of :func:`write_chapters`."""
+    # A file's address is escaped once more than its name.
+    name = F.url_decode(F.replace(F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.txt$", 1), F.lit("+"), F.lit("%2B")))
+    rows = spark.read.text(path, wholetext=True).select("value", name.alias("_n"))
+    key = lambda k: F.url_decode(F.nullif(F.regexp_extract("_n", f"(?:^|,){re.escape(k)}=([^,]*)", 1), F.lit(NO_KEY)))
+    return rows.select(*[key(k).alias(k) for k in keys], F.regexp_replace("value", r"\n\z", "").alias("body"))
 
 
 def rendered(df: DataFrame, keys: list[str], idx: str, kind: str, text: str) -> DataFrame:
@@ -402,4 +420,4 @@ def as_json(*columns: Column | str) -> Column:
     return F.to_json(F.struct(*columns))
 
 
-__all__ = ["append_log", "as_json", "docx_paragraphs", "parse_header", "read_docx", "read_entries", "read_pages", "read_slices", "read_verses", "quoted", "rendered", "rewritten", "with_header", "without_frontmatter", "write_chapters", "write_map"]
+__all__ = ["append_log", "as_json", "docx_paragraphs", "parse_header", "read_docx", "read_entries", "read_pages", "read_slices", "read_verses", "quoted", "rendered", "rewritten", "read_chapters", "with_header", "without_frontmatter", "write_chapters", "write_map"]
