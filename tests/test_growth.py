@@ -103,3 +103,13 @@ def test_chapters_lie_in_one_folder(spark, tmp_path):
         assert len(list((tmp_path / "out").iterdir())) == 6 and all(p.is_file() for p in (tmp_path / "out").iterdir())
         got = {(r.j, r.k, r.body) for r in files.read_chapters(spark, f"file://{tmp_path}/out", ["j", "k"]).collect()}
         assert got == {(n, "7", "t0\n\nt1") for n in names} | {("again", "7", "z\n")}
+
+
+def test_ranks_shuffle_rows_once(spark):
+    from weftline.operators import ordered
+
+    df = spark.createDataFrame([(k, None if k % 7 == 0 else f"n{k % 5}") for k in range(200)], "k long, s string")
+    rows = ordered.global_rank(df.repartition(8), ["s", F.col("k") * -1], "rank")
+    assert "_o0" not in rows._jdf.queryExecution().optimizedPlan().toString() and rows.columns == ["k", "s", "rank"]
+    want = sorted(range(200), key=lambda k: ("" if k % 7 == 0 else f"n{k % 5}", -k))
+    assert [r.k for r in sorted(rows.collect(), key=lambda r: r.rank)] == want and sorted(r.rank for r in rows.collect()) == list(range(1, 201))
