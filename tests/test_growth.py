@@ -113,3 +113,22 @@ def test_ranks_shuffle_rows_once(spark):
     assert "_o0" not in rows._jdf.queryExecution().optimizedPlan().toString() and rows.columns == ["k", "s", "rank"]
     want = sorted(range(200), key=lambda k: ("" if k % 7 == 0 else f"n{k % 5}", -k))
     assert [r.k for r in sorted(rows.collect(), key=lambda r: r.rank)] == want and sorted(r.rank for r in rows.collect()) == list(range(1, 201))
+
+
+def _counted(spark, df, column):
+    """``df``, and an accumulator of how often its column was made."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def mark(x):
+        seen.add(1)
+        return x
+
+    return df.withColumn(column, F.udf(mark, df.schema[column].dataType)(column)), seen
+
+
+def test_a_layout_makes_its_nodes_once(spark):
+    from weftline.operators import graph
+
+    nodes, seen = _counted(spark, spark.createDataFrame([("b", 2), ("a", 1), ("b", 1)], "g string, k int"), "g")
+    got = {(r.g, r.k, r.y) for r in graph.layout(nodes, ["g"], ["k"], 10, 5, 3).collect()}
+    assert got == {("a", 1, 10), ("b", 1, 18), ("b", 2, 23)} and seen.value == 3

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftline.functions.text import DEVANAGARI_DIGITS, from_devanagari_digits, short_heading, strip
+from weftline.functions.text import ASCII_DIGITS, DEVANAGARI_DIGITS, from_devanagari_digits, short_heading, strip
 from weftline.operators.ordered import global_rank, rank_within, running_total
+from weftline.scratch import Scratch
 
 # What a reference looks like.
 CITATION = r"\[((?:वे\.सू्?\.|ब्र\.सू्?\.)[^\]]*)\]"
@@ -24,8 +25,9 @@ def of_works(lines: DataFrame, work: str, works: tuple[str, ...] = WORKS) -> Dat
 def citations(lines: DataFrame, line: str = "line", pattern: str = CITATION) -> DataFrame:
     """[J2, J3] One row per reference with its first triple of numbers; references without one are dropped."""
     rows = lines.withColumn("cite", F.explode(F.regexp_extract_all(F.col(line), F.lit(pattern), F.lit(1))))
-    part = lambda k: from_devanagari_digits(F.regexp_extract("cite", TRIPLE, k))
-    rows = rows.filter(F.col("cite").rlike(TRIPLE)).withColumns({"adhyaya": part(1), "pada": part(2), "sutra": part(3)})
+    rows = rows.withColumn("_t", F.regexp_extract("cite", TRIPLE, 0)).filter("_t <> ''")
+    part = lambda k: F.split_part(F.translate("_t", DEVANAGARI_DIGITS, ASCII_DIGITS), F.lit("."), F.lit(k)).cast("long")
+    rows = rows.withColumns({"adhyaya": part(1), "pada": part(2), "sutra": part(3)}).drop("_t")
     return rows.withColumn("abbrev", F.when(F.col("cite").startswith("वे"), "वे.सू.").otherwise("ब्र.सू.")).withColumn("sutra_id", F.concat_ws(".", "adhyaya", "pada", "sutra"))
 
 
@@ -141,7 +143,9 @@ def layout(nodes: DataFrame, group: list[Column | str], order: list[Column | str
     """[E32] ``y`` of nodes in a column: ``row`` a node, ``gap`` between groups, ``head`` before each group's first node.
 
     A node's place is its global rank, a group's the rank among groups, so no window spans a group.
+    Nodes are written first: they are read for the bounds of ranges and for the places of nodes and of groups, but made once.
     """
+    nodes = Scratch(nodes.sparkSession, "layout").write(nodes, "nodes")
     names = [f"_g{i}" for i in range(len(group))]
     rows = nodes.withColumns({n: F.col(g) if isinstance(g, str) else g for n, g in zip(names, group, strict=True)})
     groups = global_rank(rows.select(*names).distinct(), names, "_group").withColumnsRenamed({n: f"{n}_" for n in names})

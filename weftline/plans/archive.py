@@ -550,7 +550,11 @@ def citations_and_map(spark, sf_dir) -> DataFrame:
         "sutra_id", "cite", "line", F.when(even, WORK_NAMES[0]).otherwise(WORK_NAMES[1]).alias("work"), F.when(even, "w0").otherwise("w1").alias("slug"), heading.alias("heading"),
         F.concat(F.lit("entry-"), key % 50).alias("file"), F.when(key % 11 > 0, key % 30).alias("section"), F.struct("l_orderkey", "l_linenumber").alias("at"),
     )
-    return Scratch(spark, "graph").write(graph.with_mapped(graph.cited(cites), sutra_map(spark, sf_dir), WORK_NAMES[2], "govinda-bhashya"), "cites")
+    scratch = Scratch(spark, "graph")
+    # Citations are read for their targets and for themselves, but made once.
+    cited = scratch.write(graph.cited(cites), "cited")
+    linked = scratch.write(graph.with_mapped(cited, sutra_map(spark, sf_dir), WORK_NAMES[2], "govinda-bhashya").filter("mapped"), "mapped")
+    return cited.unionByName(linked)
 
 
 _SECTION_ORDER = """list_position(['तत्त्वसन्दर्भः', 'भागवतसन्दर्भः', 'गोविन्दभाष्यम्'], work), sort_file NULLS FIRST, sort_section NULLS FIRST,
