@@ -132,3 +132,13 @@ def test_a_layout_makes_its_nodes_once(spark):
     nodes, seen = _counted(spark, spark.createDataFrame([("b", 2), ("a", 1), ("b", 1)], "g string, k int"), "g")
     got = {(r.g, r.k, r.y) for r in graph.layout(nodes, ["g"], ["k"], 10, 5, 3).collect()}
     assert got == {("a", 1, 10), ("b", 1, 18), ("b", 2, 23)} and seen.value == 3
+
+
+def test_missing_content_makes_bare_texts_once(spark):
+    from weftline.operators import align
+
+    lines = [(1, i, c * 70) for i, c in enumerate("कखगघङच")]
+    paragraphs, seen = _counted(spark, spark.createDataFrame(lines, "d long, i int, t string"), "t")
+    sections = spark.createDataFrame([(1, 1, "क" * 70, ["ख" * 70, "ग" * 70]), (1, 2, "घ" * 70, [])], "d long, n long, root string, notes array<string>")
+    got = align.missing_content(paragraphs, sections, "d", "i", "t", "n", "root", "notes", "x").collect()
+    assert [(r.d, r.n, r.start, r.source_length, r.target_length) for r in got] == [(1, 2, 3, 210, 70)] and seen.value <= 2 * len(lines)

@@ -163,22 +163,26 @@ def missing_content(paragraphs: DataFrame, sections: DataFrame, key: str, idx: s
     brackets and placeholders, a section's that of its root and notes but for placeholders.  Returns key,
     number, start, source_length, target_length, deficit and ratio.
     """
-    bare = paragraphs.withColumns({"_bare": matching_form(F.col(text)), "_count": ~is_bracket_number(F.col(text)) & ~is_placeholder(F.trim(F.col(text)), placeholder)})
-    placed = running_offsets(bare, [key], [idx], F.col("_bare"))
+    # Bare texts, places and lengths are made once and written: each is read several times below.
+    scratch = Scratch(paragraphs.sparkSession, "missing")
+    bare = paragraphs.select(key, idx, matching_form(F.col(text)).alias("_bare"), (~is_bracket_number(F.col(text)) & ~is_placeholder(F.trim(F.col(text)), placeholder)).alias("_count"))
+    placed = scratch.write(running_offsets(bare, [key], [idx], F.col("_bare")), "placed")
+    own = F.aggregate(F.filter(notes, lambda x: ~is_placeholder(F.trim(x), f"_?{placeholder}_?")), F.lit(0), lambda n, x: n + F.length(matching_form(x)))
+    formed = sections.withColumn("_q", matching_form(F.col(root)))
+    sections = scratch.write(formed.select(key, number, "_q", (F.length("_q") + own).cast("long").alias("target_length")), "sections")
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(idx, "_bare"))), lambda r: r["_bare"]), "")
-    wanted = F.array_sort(F.collect_list(F.struct(F.col(number).alias("number"), matching_form(F.col(root)).alias("q"))))
+    wanted = F.array_sort(F.collect_list(F.struct(F.col(number).alias("number"), F.col("_q").alias("q"))))
     groups = placed.groupBy(key).agg(joined.alias("_big")).join(sections.groupBy(key).agg(wanted.alias("_wanted")), key)
     found = forward_match(groups.withColumn("_queries", F.transform("_wanted", lambda w: w["q"])), "_big", "_queries")
     finds = found.select(key, F.inline(F.transform(F.arrays_zip("_wanted", "matches"), lambda m: F.struct(m["_wanted"]["number"].alias(number), m["matches"]["start"].cast("long").alias("_at"))))).filter("_at IS NOT NULL")
     # A place between paragraphs belongs to the later one: paragraphs without a bare text hold no place.
     starts = slice_ranges(finds, placed.filter("end > start").select(key, "start", F.col(idx).cast("long").alias("_para")), [key], "_at", "start", "_para")
     # Of finds in one paragraph the last has the range; the others have none and are left out.
-    ranges = starts.groupBy(key, "_para").agg(F.max(number).alias(number))
-    inside = slice_ranges(bare.withColumn("_i", F.col(idx).cast("long")), ranges, [key], "_i", "_para", number).filter(F.col(number).isNotNull())
-    lengths = range_lengths(inside, [key], number, "_bare", F.col("_count"), F.length("_bare")).withColumnRenamed("length", "source_length")
-    own = F.aggregate(F.filter(notes, lambda x: ~is_placeholder(F.trim(x), f"_?{placeholder}_?")), F.lit(0), lambda n, x: n + F.length(matching_form(x)))
-    other = sections.select(key, number, (F.length(matching_form(F.col(root))) + own).cast("long").alias("target_length"))
-    both = lengths.join(other, [key, number]).join(ranges.withColumnRenamed("_para", "start"), [key, number])
+    ranges = scratch.write(starts.groupBy(key, "_para").agg(F.max(number).alias(number)), "ranges")
+    points = placed.select(key, F.col(idx).cast("long").alias("_i"), "_count", (F.col("end") - F.col("start")).alias("_l"))
+    inside = slice_ranges(points, ranges, [key], "_i", "_para", number).filter(F.col(number).isNotNull())
+    lengths = range_lengths(inside, [key], number, "_bare", F.col("_count"), F.col("_l")).withColumnRenamed("length", "source_length")
+    both = lengths.join(sections.select(key, number, "target_length"), [key, number]).join(ranges.withColumnRenamed("_para", "start"), [key, number])
     return deficits(both, "source_length", "target_length", at_least, ratio).select(key, number, "start", "source_length", "target_length", "deficit", "ratio")
 
 
