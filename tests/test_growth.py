@@ -142,3 +142,17 @@ def test_missing_content_makes_bare_texts_once(spark):
     sections = spark.createDataFrame([(1, 1, "क" * 70, ["ख" * 70, "ग" * 70]), (1, 2, "घ" * 70, [])], "d long, n long, root string, notes array<string>")
     got = align.missing_content(paragraphs, sections, "d", "i", "t", "n", "root", "notes", "x").collect()
     assert [(r.d, r.n, r.start, r.source_length, r.target_length) for r in got] == [(1, 2, 3, 210, 70)] and seen.value <= 2 * len(lines)
+
+
+def test_summaries_hand_on_what_may_be_heavy():
+    import numpy as np
+    import pandas as pd
+    from weftline.llm import minhash_dedup, shingles
+
+    rng = np.random.default_rng(5)
+    texts = [" ".join(map(str, rng.integers(0, 10**6, 60))) + (" one two three four five" if i % 50 == 0 else "") for i in range(1_000)]
+    rows = pd.concat(list(minhash_dedup._summaries("text", minhash_dedup.COUNTERS, minhash_dedup.HEAVY)(iter([pd.DataFrame({"text": texts})]))))
+    heavy = shingles.shingles(["one two three four five"], minhash_dedup.WIDTH)[0][0].view(np.int64)[0]
+    lost = int(rows[rows.h.isna()].n.iloc[0])
+    assert len(rows) == 2 and lost <= minhash_dedup.HEAVY * len(texts) / 2
+    assert 20 - lost <= rows[rows.h == heavy].n.iloc[0] <= 20

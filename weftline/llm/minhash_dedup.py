@@ -174,13 +174,18 @@ class Postings:
 SUMMARY = "h long, n long"
 
 
-def _summaries(text_col: str, counters: int):
-    """Frequent-item summary of a partition: (shingle, documents counted), and the loss under h = null."""
+def _summaries(text_col: str, counters: int, heavy: float):
+    """Frequent-item summary of a partition: (shingle, documents counted), and the loss under h = null.
+
+    A shingle that at most the share ``heavy`` / 2 of a partition's documents have is left to the loss, so a
+    partition hands on at most (its shingles / that number) rows, whatever it held when it ended.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        keys, counts, lost = np.zeros(0, np.uint64), np.zeros(0, np.int64), 0
+        keys, counts, lost, docs = np.zeros(0, np.uint64), np.zeros(0, np.int64), 0, 0
         for pdf in batches:
             texts = pdf[text_col].tolist()
+            docs += len(texts)
             for s in in_chunks(texts):
                 got = [h for h, _ in shingles(texts[s], WIDTH)]
                 new, n = np.unique(np.concatenate(got), return_counts=True)
@@ -191,6 +196,11 @@ def _summaries(text_col: str, counters: int):
                     lost += cut
                     keep = counts > cut
                     keys, counts = keys[keep], counts[keep] - cut
+        cut = max(0, int(heavy * docs / 2) - lost)
+        if cut:
+            lost += cut
+            keep = counts > cut
+            keys, counts = keys[keep], counts[keep] - cut
         yield pd.DataFrame({"h": pd.array(keys.view(np.int64), "Int64"), "n": counts})
         yield pd.DataFrame({"h": pd.array([pd.NA], "Int64"), "n": [lost]})
         give_back()
@@ -224,16 +234,16 @@ def heavy_shingles(docs: DataFrame, text_col: str, heavy: float = HEAVY) -> tupl
     none = np.zeros(0, np.uint64), np.zeros(0)
     counters = COUNTERS
     while True:
-        sums = texts.mapInPandas(_summaries(text_col, counters), SUMMARY).groupBy("h").agg(F.sum("n").alias("n"))
+        sums = texts.mapInPandas(_summaries(text_col, counters, heavy), SUMMARY).groupBy("h").agg(F.sum("n").alias("n"))
         # Exact: what a summary lost is at most its loss.  The filter leaves at most
-        # shingles / (floor - loss) rows, a number that does not grow with the corpus; below 1 / ``heavy``
+        # shingles / (floor / 4) rows, a number that does not grow with the corpus; below 1 / ``heavy``
         # documents nothing may be lost and every shingle counts as heavy.
-        rows = sums.filter(F.col("h").isNull() | (F.col("n") >= F.lit(floor / 2))).collect()
+        rows = sums.filter(F.col("h").isNull() | (F.col("n") >= F.lit(floor / 4))).collect()
         lost = next((r.n for r in rows if r.h is None), 0)
-        if lost <= floor / 2:
+        if lost <= 0.75 * floor:
             break
         counters *= 4
-    wanted = np.sort(np.array([r.h for r in rows if r.h is not None], np.int64).view(np.uint64))
+    wanted = np.sort(np.array([r.h for r in rows if r.h is not None and r.n >= floor - lost], np.int64).view(np.uint64))
     if not len(wanted):
         return none
     got = texts.mapInPandas(_counts(text_col, wanted), SUMMARY).groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") >= floor).collect()
