@@ -152,6 +152,54 @@ def test_components(spark, monkeypatch, hot):
     assert got == {x: find(x) for x in parent}
 
 
+@pytest.mark.parametrize("hot", [1_000, 3])
+def test_components_of_more_nodes_than_are_broadcast(spark, monkeypatch, hot):
+    monkeypatch.setattr(weftline.components, "BROADCAST_NODES", 0)
+    test_components(spark, monkeypatch, hot)
+
+
+def written(spark) -> tuple[Scratch, list[str]]:
+    """A folder for intermediate tables, and the names of those that are written there."""
+    scratch, names = Scratch(spark, "test"), []
+    write = scratch.write
+    scratch.write = lambda df, name: names.append(name) or write(df, name)
+    return scratch, names
+
+
+def test_stars_need_no_round(spark):
+    scratch, names = written(spark)
+    edges = [(0, x) for x in range(1, 50)] + [(x, 100) for x in range(101, 120)] * 2 + [(200, 200)]
+    got = {x.node: x.comp for x in components(spark.createDataFrame(edges, "u long, v long"), scratch).collect()}
+    assert got == {x: 0 for x in range(50)} | {x: 100 for x in range(100, 120)} | {200: 200}
+    assert names == ["edges", "least"]
+
+
+@pytest.mark.parametrize("most", [300_000, 0])
+def test_a_star_around_any_node_needs_one_round(spark, monkeypatch, most):
+    monkeypatch.setattr(weftline.components, "BROADCAST_NODES", most)
+    scratch, names = written(spark)
+    edges = [(50, x) for x in range(100) if x != 50] + [(299, x) for x in range(200, 299)]
+    got = {x.node: x.comp for x in components(spark.createDataFrame(edges, "u long, v long"), scratch).collect()}
+    assert got == {x: x // 100 * 100 if x < 100 else 200 for x in [*range(100), *range(200, 300)]}
+    assert names.count("least") == 2
+
+
+def test_large_cluster_needs_components_once_for_its_links(spark, monkeypatch):
+    """Members are joined by way of the centres without a search for components; only links of the rest need one."""
+    for name, value in {"CLUSTER": 8, "BLOCK": 7}.items():
+        monkeypatch.setattr(minhash_dedup, name, value)
+    calls, search = [], minhash_dedup.components
+    monkeypatch.setattr(minhash_dedup, "components", lambda *a: calls.append(1) or search(*a))
+    rows = corpus(11)
+    got = {r.doc_id: r.class_id for r in minhash_dedup.near_duplicates(frame(spark, rows)).collect()}
+    assert got == classes_by_force(rows, minhash_dedup.heavy_shingles(frame(spark, rows), "text"))
+    assert len(calls) == 2
+
+
+def test_centres_that_share_members_are_one():
+    assert minhash_dedup._joined.func([[1, 5], [3], [5, 9], []]) == {1: 1, 5: 1, 9: 1, 3: 3}
+
+
 @pytest.mark.parametrize("limits", [{}, {"BUCKET": 6, "CLUSTER": 8, "BLOCK": 7, "BROADCAST_IDS": 3}])
 def test_near_duplicates_against_all_pairs(spark, monkeypatch, limits):
     """With tiny limits the ways for hot buckets and for large clusters are exercised too."""

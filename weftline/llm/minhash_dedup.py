@@ -399,43 +399,50 @@ def _verified(heavy):
     return run
 
 
-NEAR_CENTRES = "node long, s double, u long, v long"
+NEAR_CENTRES = "cluster long, node long, n_chars long, s double, first long, linked array<long>"
 
 
 def _against_centres(heavy):
-    """Per block of a large cluster, whose first rows are the centres: (node, similarity to the first centre) and links (u, v) to centres."""
+    """Per block of a large cluster, whose first rows are the centres: each member's similarity to the first centre, that centre, and the centres that it has links to."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in _grouped(batches, "block"):
             for a, b in _bounds(pdf["block"].to_numpy()):
                 part = pdf.iloc[a:b]
                 node, rank, docs = part["node"].to_numpy(np.int64), part["rank"].to_numpy(), _sets(part["text"].tolist(), heavy)
-                members = np.flatnonzero(rank < 0)
+                members, centres = np.flatnonzero(rank < 0), np.flatnonzero(rank >= 0)
                 postings = Postings([docs[i] for i in members])
-                for k, centre in enumerate(np.flatnonzero(rank >= 0).tolist()):
-                    s = postings.similarities(docs[centre])
-                    linked = s >= SIMILARITY - 1e-9
-                    if k == 0:
-                        yield pd.DataFrame({"node": node[members], "s": s}).assign(u=pd.array([pd.NA] * len(members), "Int64"), v=pd.array([pd.NA] * len(members), "Int64"))
-                    links = pd.DataFrame({"u": node[members[linked]], "v": node[centre]})
-                    yield links.assign(node=pd.array([pd.NA] * len(links), "Int64"), s=np.nan)[["node", "s", "u", "v"]]
+                s = np.array([postings.similarities(docs[i]) for i in centres])
+                linked = [node[centres[row]] for row in (s >= SIMILARITY - 1e-9).T]
+                yield part.iloc[members][["cluster", "node", "n_chars"]].assign(s=s[0], first=node[centres[0]], linked=linked)
         give_back()
 
     return run
 
 
+@F.udf(T.MapType(T.LongType(), T.LongType()))
+def _joined(linked):
+    """The least of the centres that members join, for each centre; ``linked`` has different lists of at most ``CENTRES``."""
+    label = {c: c for centres in linked for c in centres}
+    for centres in linked:
+        old = {label[c] for c in centres}
+        label = {c: min(old) if x in old else x for c, x in label.items()}
+    return label
+
+
 def _linked(heavy):
     """Per pair of blocks of a large cluster: links of the members that ``ask``, as few as join what they join.
 
-    Members with ``done`` are one class already.
+    Members with ``done`` are one class already.  A member that asks and is asked has two rows.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in _grouped(batches, "block"):
             for a, b in _bounds(pdf["block"].to_numpy()):
                 part = pdf.iloc[a:b]
-                node, asks, done = part["node"].to_numpy(np.int64), part["asks"].to_numpy(bool), part["done"].to_numpy(bool)
-                docs = _sets(part["text"].tolist(), heavy)
+                node, at = np.unique(part["node"].to_numpy(np.int64), return_index=True)
+                asks, done = (np.logical_or.reduceat(part[c].to_numpy(bool), at) for c in ("asks", "done"))
+                docs = _sets(part["text"].iloc[at].tolist(), heavy)
                 postings, label, out = Postings(docs), np.where(done, -1, node), []
                 for x in np.flatnonzero(asks).tolist():
                     linked = np.flatnonzero(postings.similarities(docs[x]) >= SIMILARITY - 1e-9)
@@ -449,9 +456,10 @@ def _linked(heavy):
     return run
 
 
-def _bounded(rows: DataFrame) -> DataFrame:
-    """``rows`` of ids and keys, marked for a broadcast if they are few."""
-    return F.broadcast(rows) if rows.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else rows
+def _bounded(rows: DataFrame, wide: int = 1) -> DataFrame:
+    """``rows`` of ids and keys, or ``wide`` times as wide as those, marked for a broadcast if they are few."""
+    most = BROADCAST_IDS // wide
+    return F.broadcast(rows) if rows.limit(most + 1).count() <= most else rows
 
 
 class _Run:
@@ -471,11 +479,10 @@ class _Run:
         self.sketches = self.nodes.filter("sketch is not null").select("node", "sketch", "n_chars")
 
     def with_texts(self, wanted: DataFrame) -> DataFrame:
-        """``wanted`` (with a node) and the text of each node."""
-        ids = self.nodes.select("node", "key", "first_id").join(wanted.select("node").distinct(), "node", "left_semi")
-        few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-        one = self.texts.join(F.broadcast(ids) if few else ids, ["key", "first_id"]).dropDuplicates(["node"])
-        return wanted.join(one.select("node", "text"), "node")
+        """``wanted`` (with a node, its key and first_id) and the text of each node."""
+        ids = _bounded(wanted.select("node", "key", "first_id"))
+        one = self.texts.join(ids, ["key", "first_id"]).dropDuplicates(["node"])
+        return wanted.drop("key", "first_id").join(one.select("node", "text"), "node")
 
     def coarse_edges(self) -> tuple[DataFrame | None, DataFrame]:
         """(edges of the coarse graph, company of nodes in their buckets)."""
@@ -495,16 +502,16 @@ class _Run:
             found = small.repartition("bucket").sortWithinPartitions("bucket", "node").mapInPandas(_forest, EDGES)
             hot = live.filter(F.col("n") > BUCKET).select("bucket", "node", "used")
             if hot.isEmpty():
-                found = self.scratch.write(found.distinct(), "coarse")
+                found = self.scratch.write(found, "coarse")
                 self.scratch.drop(live)
                 return (found if edges is None else edges.union(found)), company
-            led = hot.join(company, "node")
-            leaders = led.groupBy("bucket").agg(F.max(F.struct("company", (-F.col("node")).alias("minus"))).alias("top")).select("bucket", (-F.col("top.minus")).alias("leader"))
-            leaders = leaders.join(self.sketches.select(F.col("node").alias("leader"), F.col("sketch").alias("of_leader")), "leader")
-            met = hot.join(self.sketches.select("node", "sketch"), "node").join(leaders, "bucket").filter("node <> leader")
+            led = self.scratch.write(hot.join(company, "node").join(self.sketches.select("node", "sketch"), "node"), "led")
+            leaders = led.groupBy("bucket").agg(F.max(F.struct("company", (-F.col("node")).alias("minus"), "sketch")).alias("top"))
+            leaders = self.scratch.write(leaders.select("bucket", (-F.col("top.minus")).alias("leader"), F.col("top.sketch").alias("of_leader")), "leaders")
+            met = led.join(_bounded(leaders, 5), "bucket").filter("node <> leader")
             hot = self.scratch.write(met.select("bucket", "node", "leader", "used", sketch_similarity("sketch", "of_leader").alias("s")), "hot")
             star = hot.filter(F.col("s") >= F.lit(JOINED)).select(F.col("node").alias("u"), F.col("leader").alias("v"))
-            found = self.scratch.write(found.union(star).distinct(), "coarse")
+            found = self.scratch.write(found.union(star), "coarse")
             edges = found if edges is None else edges.union(found)
             # A bucket whose members all joined the leader is one cluster already.
             apart = hot.filter(F.col("s") < F.lit(JOINED)).select("bucket").distinct()
@@ -517,39 +524,38 @@ class _Run:
             split = split.join(_bounded(agreed), "bucket", "left").withColumn("used", F.expr("used | coalesce(agreed, 0L)")).filter("(used & shiftleft(1L, band)) = 0")
             named = F.col("bucket").bitwiseXOR(F.xxhash64("value")).alias("bucket")
             rows = self.scratch.write(split.select("node", named, F.expr("used | shiftleft(1L, band)").alias("used")).groupBy("node", "bucket").agg(F.bit_and("used").alias("used")), "rows")
-            self.scratch.drop(live, hot, split_)
+            self.scratch.drop(live, led, leaders, hot, split_)
 
     def blocks_of(self, size: str, chars: str) -> Column:
         """In how many blocks of bounded size so many texts of so many characters go."""
         return F.greatest(F.ceil(F.col(size) / BLOCK), F.ceil(F.col(chars) / BLOCK_CHARS)).cast("int")
 
-    def large_classes(self, members: DataFrame, company: DataFrame) -> DataFrame:
+    def large_classes(self, members: DataFrame) -> DataFrame:
         """(node, comp) of clusters too large to be brought together."""
-        members = self.scratch.write(self.with_texts(members.join(company, "node")).select("cluster", "node", "n_chars", "company", "text"), "large-members")
+        members = self.scratch.write(self.with_texts(members).select("cluster", "node", "n_chars", "company", "text"), "large-members")
         by_company = F.struct("company", (-F.col("node")).alias("minus"))
         by_hash = [F.min(F.struct(F.xxhash64("node", F.lit(k)).alias("h"), "node")).alias(f"c{k}") for k in range(1, CENTRES)]
         stats = members.groupBy("cluster").agg(F.max(by_company).alias("top"), F.count(F.lit(1)).alias("size"), F.sum("n_chars").alias("chars"), *by_hash)
         centre = (-F.col("top.minus")).alias("c")
         stats = self.scratch.write(stats.select("cluster", "size", "chars", self.blocks_of("size", "chars").alias("n_blocks"), F.array_distinct(F.array(centre, *[F.col(f"c{k}.node") for k in range(1, CENTRES)])).alias("centres")), "stats")
         sizes = _bounded(stats.select("cluster", "n_blocks"))
-        dealt = members.join(sizes, "cluster").select("cluster", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int").alias("b"), "node", F.lit(-1).alias("rank"), "text")
-        centres = stats.select("cluster", "n_blocks", F.posexplode("centres").alias("rank", "node")).join(members.select("node", "text"), "node")
-        centres = centres.select("cluster", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("b"), "node", "rank", "text")
+        dealt = members.join(sizes, "cluster").select("cluster", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int").alias("b"), "node", "n_chars", F.lit(-1).alias("rank"), "text")
+        centres = stats.select("cluster", "n_blocks", F.posexplode("centres").alias("rank", "node")).join(members.select("node", "n_chars", "text"), "node")
+        centres = centres.select("cluster", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("b"), "node", "n_chars", "rank", "text")
         met = dealt.union(centres).withColumn("block", F.xxhash64("cluster", "b"))
-        met = met.repartition("block").sortWithinPartitions("block", (F.col("rank") < 0), "rank", "node").select("block", "node", "rank", "text")
+        met = met.repartition("block").sortWithinPartitions("block", (F.col("rank") < 0), "rank", "node").select("block", "cluster", "node", "n_chars", "rank", "text")
         found = self.scratch.write(met.mapInPandas(_against_centres(self.heavy), NEAR_CENTRES), "near-centres")
-        selves = members.select(F.col("node").alias("u"), F.col("node").alias("v"))
-        links = found.filter("u is not null").select("u", "v")
-        first = components(links.union(selves), self.scratch)
-        main = stats.select("cluster", F.get("centres", 0).alias("node")).join(first, "node").select("cluster", F.col("comp").alias("main"))
-        placed = members.select("cluster", "node", "n_chars").join(first, "node").join(_bounded(main), "cluster")
-        placed = placed.join(found.filter("node is not null").groupBy("node").agg(F.max("s").alias("s")), "node")
-        placed = self.scratch.write(placed.select("cluster", "node", "n_chars", (F.col("comp") == F.col("main")).alias("done"), F.floor(F.col("s") / SHELL).cast("int").alias("shell")), "placed")
+        # Links to centres join members by way of a few centres: there are 2 ** CENTRES different lists of a cluster at most.
+        joins = found.filter(F.size("linked") > 0).groupBy("cluster").agg(F.min("first").alias("first"), F.collect_set("linked").alias("linked"))
+        joins = self.scratch.write(joins.select("cluster", "first", _joined("linked").alias("label")), "joins")
+        placed = found.drop("first").join(_bounded(joins.withColumn("main", F.col("label")[F.col("first")]), 10), "cluster")
+        placed = placed.withColumn("comp", F.coalesce(F.col("label")[F.get("linked", 0)], "node"))
+        placed = self.scratch.write(placed.select("cluster", "node", "comp", "n_chars", (F.col("comp") == F.col("main")).alias("done"), F.floor(F.col("s") / SHELL).cast("int").alias("shell")), "placed")
         rest = placed.filter(~F.col("done"))
         if rest.isEmpty():
-            return first
-        links = links.union(self.links_of_rest(members, placed, rest))
-        return components(links.union(selves), self.scratch)
+            return placed.select("node", "comp")
+        links = self.links_of_rest(members, placed.drop("comp"), rest.drop("comp"))
+        return components(links.union(placed.select("node", "comp")), self.scratch)
 
     def links_of_rest(self, members: DataFrame, placed: DataFrame, rest: DataFrame) -> DataFrame:
         """Links of members that are not of their cluster's main class, each block of them with each block that a link can lead to."""
@@ -567,25 +573,24 @@ class _Run:
         ask = asking.select("cluster", "shell", "x", "node").join(reach, ["cluster", "shell", "x"]).select("block", "node", F.lit(True).alias("asks"), F.lit(False).alias("done"))
         member = placed.withColumnRenamed("shell", "other").join(_bounded(others), ["cluster", "other"]).withColumn("y", in_block("n_all"))
         answer = member.select("cluster", "other", "y", "node", "done").join(reach, ["cluster", "other", "y"]).select("block", "node", F.lit(False).alias("asks"), "done")
-        met = ask.union(answer).groupBy("block", "node").agg(F.max("asks").alias("asks"), F.max("done").alias("done"))
-        met = met.join(members.select("node", "text"), "node").select("block", "node", "asks", "done", "text")
+        met = ask.union(answer).join(members.select("node", "text"), "node").select("block", "node", "asks", "done", "text")
         found = met.repartition("block").sortWithinPartitions("block", "node").mapInPandas(_linked(self.heavy), EDGES)
-        return self.scratch.write(found.distinct(), "rest-links")
+        return self.scratch.write(found, "rest-links")
 
     def classes(self) -> DataFrame | None:
         """(node, comp) of all nodes that share a cluster with another; None if there are none."""
         edges, company = self.coarse_edges()
         if edges is None or edges.isEmpty():
             return None
-        clusters = components(edges, self.scratch).withColumnRenamed("comp", "cluster").join(self.sketches.select("node", "n_chars"), "node")
-        clusters = self.scratch.write(clusters, "clusters")
+        clusters = components(edges, self.scratch).withColumnRenamed("comp", "cluster")
+        clusters = self.scratch.write(clusters.join(self.nodes.select("node", "n_chars", "key", "first_id"), "node").join(company, "node"), "clusters")
         sizes = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("chars"))
         large = sizes.filter((F.col("n") > CLUSTER) | (F.col("chars") > CLUSTER_CHARS)).select("cluster")
         large = self.scratch.write(large, "large")
-        small = self.with_texts(clusters.join(large, "cluster", "left_anti").select("cluster", "node"))
+        small = self.with_texts(clusters.join(large, "cluster", "left_anti").select("cluster", "node", "key", "first_id"))
         found = small.repartition("cluster").sortWithinPartitions("cluster", "node").mapInPandas(_verified(self.heavy), "node long, comp long")
         if not large.isEmpty():
-            found = found.union(self.large_classes(clusters.join(large, "cluster", "left_semi").select("cluster", "node", "n_chars"), company))
+            found = found.union(self.large_classes(clusters.join(large, "cluster", "left_semi")))
         return self.scratch.write(found, "classes")
 
     def of_keys(self) -> DataFrame:
