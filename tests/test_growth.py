@@ -156,3 +156,39 @@ def test_summaries_hand_on_what_may_be_heavy():
     lost = int(rows[rows.h.isna()].n.iloc[0])
     assert len(rows) == 2 and lost <= minhash_dedup.HEAVY * len(texts) / 2
     assert 20 - lost <= rows[rows.h == heavy].n.iloc[0] <= 20
+
+
+def test_trigrams_are_counted_where_they_are_spelt(spark):
+    from collections import Counter
+
+    import pyarrow as pa
+    from weftline.functions import charmodel
+
+    texts = ["  the cat the ", "   ", "  a ", "  " + "der 𐐨hund " * 30, "  अकारः " * 2]
+    want = Counter((i, x[j : j + 3]) for i, x in enumerate(texts) if len(x) > 3 for j in range(len(x) - 2))
+    for most in (1, 7, 10_000):  # windows that cut texts, and one of all
+        got = Counter()
+        for rows, grams, which in charmodel._windows(pa.array(texts), most):
+            names = charmodel._written(grams)
+            assert names == sorted(set(names))
+            got.update(zip(rows.tolist(), [names[i] for i in which], strict=True))
+        assert got == want
+    df = spark.createDataFrame([("en", "The cat, the"), ("en", None), ("de", "der")], "lang string, text string")
+    rows = charmodel.trigrams(df, "lang", "text")
+    assert "explode(" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    assert Counter({(r.lang, r.gram): r.n for r in rows.collect()}) == Counter((k, x[i : i + 3]) for k, x in (("en", "  the cat the "), ("de", "  der ")) for i in range(len(x) - 2))
+
+
+def test_costs_are_equal_on_both_ways(spark, monkeypatch):
+    from weftline.functions import charmodel
+
+    rows = [(1, "en", "the cat the"), (2, "de", "der hund der"), (2, "de", "die"), (3, "en", None), (None, "en", "the"), (4, "fr", "ж 漢字")]
+    df = spark.createDataFrame(rows, "id long, lang string, text string")
+    model = charmodel.train(df.filter("lang <> 'fr'"), "text", "lang").cache()
+    ways = []
+    for most in (charmodel.BROADCAST_ROWS, 0):
+        monkeypatch.setattr(charmodel, "BROADCAST_ROWS", most)
+        ways.append(sorted((str(r.id), round(r.en, 9), round(r.de, 9), round(r.none, 9)) for r in charmodel.costs(df, "id", "text", model, ["en", "de", "none"]).collect()))
+    assert ways[0] == ways[1] and [r[0] for r in ways[0]] == ["1", "2", "2", "3", "4", "None"]  # a key that comes twice has two rows
+    assert all(r[1:] == (0, 0, 0) for r in ways[0] if r[0] in ("3", "4", "None")) and all(r[3] == 0 for r in ways[0])
+    model.unpersist()
