@@ -31,3 +31,10 @@ def test_queries_equal_their_oracles(spark, name):
     mine = sorted(map(str, (tuple(r) for r in rows.select(*names).collect())))
     theirs = sorted(map(str, con.sql(f"select {', '.join(chr(34) + n + chr(34) for n in names)} from ({archive.ORACLE_SQL[name]})").fetchall()))
     assert mine == theirs
+
+
+def test_every_supplier_has_its_document(spark, tmp_path):
+    rows = spark.createDataFrame([(k, f"Supplier {k}") for k in range(7)], "s_suppkey long, s_name string")
+    rows.write.parquet(str(tmp_path / "supplier.parquet"))
+    got = {(r["name"], r.para_idx, r.part, r.text) for r in archive.QUERIES["document_parts"](spark, str(tmp_path)).collect()}
+    assert got == {(f"s{k}", *x) for k in range(7) for x in ((0, "body", f"Supplier {k}"), (2, "table", "cell"), (12, "footnote", "note"))}
